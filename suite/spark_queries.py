@@ -75,8 +75,8 @@ def project_pair(spark, sf):
 
 @query
 def display_names(spark, sf):
-    raw = F.concat_ws("_", "p_type", F.regexp_replace("p_name", " ", "_"), F.lower("p_brand"))
-    return read(spark, sf, "part").select("p_partkey", V.display_name_column(raw).alias("display_name"))
+    raw = "concat_ws('_', p_type, replace(p_name, ' ', '_'), lower(p_brand))"
+    return read(spark, sf, "part").selectExpr("p_partkey", f"{V.display_name_of(raw)} as display_name")
 
 
 @query
@@ -98,7 +98,7 @@ def count_copies(spark, sf):
 @query
 def null_tokens(spark, sf):
     df = side(spark, sf, "events_tokens")
-    return df.select("event_id", "event_type", V.null_tokens_to_null(F.col("value")).alias("value"))
+    return df.selectExpr("event_id", "event_type", f"{V.null_tokens_to_null('value')} as value")
 
 
 # -- counts --------------------------------------------------------------------
@@ -241,7 +241,7 @@ def infer_label_classes(spark, sf):
 def class_statistics(spark, sf):
     src = side(spark, sf, "orders_text")
     wide = C.class_statistics(src, src.columns, ("yyyy-MM-dd",))
-    names = {"values": "value_count", "not_boolean": "not_boolean", "not_number": "not_number", "not_date_0": "not_iso_date"}
+    names = {"values": "value_count", "not_boolean": "not_boolean", "not_number": "not_number", "not_date": "not_iso_date"}
     rows = [F.struct(F.lit(c).alias("column_name"), *[F.col(f"{i}_{f}").alias(n) for f, n in names.items()])
             for i, c in enumerate(src.columns)]
     return wide.select(F.inline(F.array(*rows)))
@@ -339,7 +339,7 @@ def table_differences(spark, sf, src_name, tgt_name, key):
     wide = joined.agg(
         F.count_if(~F.col(R.IN_TARGET)).alias("only_in_source"),
         F.count_if(~F.col(R.IN_SOURCE)).alias("only_in_target"),
-        *[F.count_if(R.differs(c)).alias(c) for c in cols],
+        *[F.count_if(F.expr(R.differs(c))).alias(c) for c in cols],
     )
     facts = ["only_in_source", "only_in_target", *cols]
     return wide.select(F.inline(F.array(*[F.struct(F.lit(f).alias("fact"), F.col(f).alias("n")) for f in facts])))

@@ -1,4 +1,4 @@
-"""Column expressions that bring two sides to comparable values.
+"""Expressions that bring two sides to comparable values.
 
 Everything here is a built-in expression: no Python runs on the rows.
 """
@@ -7,8 +7,6 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Boolean literals (compared in lower case), the text tokens a
@@ -61,41 +59,55 @@ def contains_map(dtype: T.DataType) -> bool:
     return False
 
 
-def missing_to_null(col: Column, dtype: T.DataType) -> Column:
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text_literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def text_list(values) -> str:
+    return ", ".join(text_literal(v) for v in values)
+
+
+# The functions below take and give SQL expressions: one text per column is
+# handed to Spark, however many columns, classes and layouts there are.
+
+
+def missing_to_null(c: str, dtype: T.DataType) -> str:
     """NaN counts as a missing value."""
-    if isinstance(dtype, FLOATING):
-        return F.when(~F.isnan(col), col)
-    return col
+    return f"nullif({c}, {dtype.simpleString()}('NaN'))" if isinstance(dtype, FLOATING) else c
 
 
-def null_tokens_to_null(col: Column, tokens=NULL_TOKENS) -> Column:
-    return F.when(~col.isin(*tokens), col) if tokens else col
+def null_tokens_to_null(c: str, tokens=NULL_TOKENS) -> str:
+    return f"case when {c} not in ({text_list(tokens)}) then {c} end" if tokens else c
 
 
-def is_boolean_literal(col: Column, dtype: T.DataType) -> Column:
+def is_boolean_literal(c: str, dtype: T.DataType) -> str:
     if isinstance(dtype, T.BooleanType):
-        return F.lit(True)
+        return "true"
     if is_numeric_type(dtype):
-        return col.isin(0, 1)
+        return f"{c} in (0, 1)"
     if isinstance(dtype, TEXTUAL):
-        return F.lower(col).isin(*TRUE_LITERALS, *FALSE_LITERALS)
-    return F.lit(False)
+        return f"lower({c}) in ({text_list(TRUE_LITERALS + FALSE_LITERALS)})"
+    return "false"
 
 
-def is_number(col: Column, dtype: T.DataType) -> Column:
+def matches(c: str, pattern: str) -> str:
+    return f"{c} rlike {text_literal(pattern)}"
+
+
+def is_number(c: str, dtype: T.DataType) -> str:
     if is_numeric_type(dtype):
-        return F.lit(True)
-    if isinstance(dtype, TEXTUAL):
-        return col.rlike(NUMBER_SHAPE)
-    return F.lit(False)
+        return "true"
+    return matches(c, NUMBER_SHAPE) if isinstance(dtype, TEXTUAL) else "false"
 
 
-def is_exact_number(col: Column, dtype: T.DataType) -> Column:
+def is_exact_number(c: str, dtype: T.DataType) -> str:
     if isinstance(dtype, INTEGRAL + (T.DecimalType,)):
-        return F.lit(True)
-    if isinstance(dtype, TEXTUAL):
-        return col.rlike(EXACT_SHAPE)
-    return F.lit(False)
+        return "true"
+    return matches(c, EXACT_SHAPE) if isinstance(dtype, TEXTUAL) else "false"
 
 
 def date_shape(fmt: str) -> str:
@@ -108,62 +120,65 @@ def date_shape(fmt: str) -> str:
     for m in re.finditer(r"'([^']*)'|([A-Za-z])\2*|.", fmt):
         text = m.group(0)
         if m.group(1) is not None:
-            out.append(re.escape(m.group(1)))
+            out.append(m.group(1))
         elif m.group(2) == "M" and len(text) == 3:
             out.append("[A-Za-z]{3}")
         elif m.group(2):
             out.append(r"\d{%d}" % len(text))
         else:
             out.append(re.escape(text))
-    return "^" + "".join(out) + "$"
+    return "".join(out)
 
 
-def as_timestamp(col: Column, dtype: T.DataType, fmt: str | None = None) -> Column:
+def fits_some_layout(c: str, formats) -> str:
+    return matches(c, "^(" + "|".join(date_shape(f) for f in formats) + ")$")
+
+
+def as_timestamp(c: str, dtype: T.DataType, fmt: str | None = None) -> str:
     """Wall-clock timestamp, null where the value is no date of the layout."""
     if isinstance(dtype, TEMPORAL):
-        return col.cast("timestamp_ntz")
+        return f"cast({c} as timestamp_ntz)"
     if isinstance(dtype, TEXTUAL) and fmt:
-        parsed = F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz")
-        return F.when(col.rlike(date_shape(fmt)), parsed)
-    return F.lit(None).cast("timestamp_ntz")
+        parsed = f"cast(try_to_timestamp({c}, {text_literal(fmt)}) as timestamp_ntz)"
+        return f"case when {matches(c, '^' + date_shape(fmt) + '$')} then {parsed} end"
+    return "cast(null as timestamp_ntz)"
 
 
-def as_text(col: Column, dtype: T.DataType) -> Column:
+def as_text(c: str, dtype: T.DataType) -> str:
     if isinstance(dtype, NESTED):
-        return F.to_json(F.struct(col.alias("v")))
+        return f"to_json(struct({c} as v))"
     if isinstance(dtype, T.BinaryType):
-        return F.hex(col)
-    return col.cast("string")
+        return f"hex({c})"
+    return c if isinstance(dtype, TEXTUAL) else f"cast({c} as string)"
 
 
-def as_boolean_text(col: Column, dtype: T.DataType) -> Column:
+def as_boolean_text(c: str, dtype: T.DataType) -> str:
     """1/0/true/false in any spelling become true/false; the rest is lower case."""
+    low = f"lower({as_text(c, dtype)})"
     if is_numeric_type(dtype):
-        return F.when(col == 1, "true").when(col == 0, "false").otherwise(F.lower(as_text(col, dtype)))
-    low = F.lower(as_text(col, dtype))
+        return f"case when {c} = 1 then 'true' when {c} = 0 then 'false' else {low} end"
     return (
-        F.when(low.isin(*TRUE_LITERALS), "true")
-        .when(low.isin(*FALSE_LITERALS), "false")
-        .otherwise(low)
+        f"case when {low} in ({text_list(TRUE_LITERALS)}) then 'true' "
+        f"when {low} in ({text_list(FALSE_LITERALS)}) then 'false' else {low} end"
     )
 
 
-def as_number(col: Column, dtype: T.DataType, number: str) -> Column:
+def as_number(c: str, dtype: T.DataType, number: str) -> str:
     if isinstance(dtype, TEXTUAL):
-        return F.when(col.rlike(NUMBER_SHAPE), F.trim(col).try_cast(number))
+        return f"case when {matches(c, NUMBER_SHAPE)} then try_cast(trim({c}) as {number}) end"
     if isinstance(dtype, T.BooleanType):
-        return col.cast("int").cast(number)
-    return col.try_cast(number)
+        return f"cast(cast({c} as int) as {number})"
+    return f"try_cast({c} as {number})"
 
 
-def render(col: Column, dtype: T.DataType) -> Column:
+def render(c: str, dtype: T.DataType) -> str:
     """Text of a normalised value as shown in findings."""
     if isinstance(dtype, T.DecimalType):
-        text = F.regexp_replace(col.cast("string"), r"(\.\d*?)0+$", "$1")
-        return F.regexp_replace(text, r"\.$", "")
+        zeros, dot = text_literal(r"(\.\d*?)0+$"), text_literal(r"\.$")
+        return f"regexp_replace(regexp_replace(cast({c} as string), {zeros}, '$1'), {dot}, '')"
     if isinstance(dtype, NESTED):
-        return F.to_json(col)
-    return as_text(col, dtype)
+        return f"to_json({c})"
+    return as_text(c, dtype)
 
 
 def display_name(name: str) -> str:
@@ -171,10 +186,6 @@ def display_name(name: str) -> str:
     return "_".join(part[:1].upper() + part[1:].lower() for part in name.split("_"))
 
 
-def display_name_column(col: Column) -> Column:
+def display_name_of(c: str) -> str:
     """The same as ``display_name`` for a column of names."""
-    parts = F.transform(
-        F.split(col, "_"),
-        lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.lower(F.substring(p, 2, 2147483647))),
-    )
-    return F.array_join(parts, "_")
+    return f"array_join(transform(split({c}, '_'), w -> concat(upper(left(w, 1)), lower(substr(w, 2)))), '_')"

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from twinledger.functions import values as V
 from twinledger.model import ValueClass
-from twinledger.operators.clean import COPIES, DIGEST, is_empty_row
+from twinledger.operators.clean import COPIES, is_empty_row
 
 
 @dataclass
@@ -23,7 +23,7 @@ class ColumnFacts:
     not_boolean: int
     not_number: int
     not_exact: int
-    not_date: dict = field(default_factory=dict)
+    not_date: dict = field(default_factory=dict)  # layout -> values it does not fit
 
 
 @dataclass
@@ -36,16 +36,15 @@ class SideFacts:
 
 def _column_aggregates(name: str, dtype: T.DataType, formats):
     """The aggregates of one column, most of them spared by its type."""
-    c = F.col(f"`{name}`")
-    out = {"values": F.count(c)}
+    c = V.quoted(name)
+    out = {"values": f"count({c})"}
     if isinstance(dtype, V.TEXTUAL):
-        out["not_boolean"] = F.count_if(~V.is_boolean_literal(c, dtype))
-        out["not_number"] = F.count_if(~V.is_number(c, dtype))
-        out["not_exact"] = F.count_if(~V.is_exact_number(c, dtype))
-        for i, fmt in enumerate(formats):
-            out[f"not_date_{i}"] = F.count_if(c.isNotNull() & V.as_timestamp(c, dtype, fmt).isNull())
+        out["not_boolean"] = f"count_if(not ({V.is_boolean_literal(c, dtype)}))"
+        out["not_number"] = f"count_if(not ({V.is_number(c, dtype)}))"
+        out["not_exact"] = f"count_if(not ({V.is_exact_number(c, dtype)}))"
+        out["not_date"] = f"count_if(not ({V.fits_some_layout(c, formats)}))"
     elif V.is_numeric_type(dtype):
-        out["not_boolean"] = F.count_if(~V.is_boolean_literal(c, dtype))
+        out["not_boolean"] = f"count_if(not ({V.is_boolean_literal(c, dtype)}))"
     return out
 
 
@@ -55,20 +54,31 @@ def class_statistics(df: DataFrame, columns, formats=V.DATE_FORMATS) -> DataFram
     The frame may be plain rows or distinct rows with their copies.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    copies = F.col(COPIES) if COPIES in df.columns else F.lit(1).cast("bigint")
-    empty = is_empty_row(columns)
+    copies = COPIES if COPIES in df.columns else "1L"
     aggs = [
-        F.coalesce(F.sum(copies), F.lit(0)).cast("bigint").alias("rows"),
-        F.coalesce(F.sum(F.when(empty, copies)), F.lit(0)).cast("bigint").alias("empty_rows"),
-        F.coalesce(F.sum(copies - 1), F.lit(0)).cast("bigint").alias("surplus_rows"),
+        f"coalesce(sum({copies}), 0L) as rows",
+        f"coalesce(sum(case when {is_empty_row(columns)} then {copies} end), 0L) as empty_rows",
+        f"coalesce(sum({copies} - 1), 0L) as surplus_rows",
     ]
     for i, name in enumerate(columns):
         for fact, agg in _column_aggregates(name, types[name], formats).items():
-            aggs.append(agg.cast("bigint").alias(f"{i}_{fact}"))
-    return df.agg(*aggs)
+            aggs.append(f"{agg} as `{i}_{fact}`")
+    return df.selectExpr(*aggs)
 
 
-def read_facts(row: Row, schema: T.StructType, columns, formats) -> SideFacts:
+def date_statistics(df: DataFrame, columns, formats=V.DATE_FORMATS) -> DataFrame:
+    """Per text column and layout the number of values that are no such date."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    aggs = []
+    for i, name in enumerate(columns):
+        c = V.quoted(name)
+        for j, fmt in enumerate(formats):
+            bad = f"{c} is not null and {V.as_timestamp(c, types[name], fmt)} is null"
+            aggs.append(f"count_if({bad}) as `{i}_{j}`")
+    return df.selectExpr(*aggs)
+
+
+def read_facts(row: Row, schema: T.StructType, columns) -> SideFacts:
     """Facts of a side from its one row of ``class_statistics``."""
     types = {f.name: f.dataType for f in schema.fields}
     facts = {}
@@ -76,8 +86,7 @@ def read_facts(row: Row, schema: T.StructType, columns, formats) -> SideFacts:
         get = lambda fact: row[f"{i}_{fact}"]
         n, dtype = get("values"), types[name]
         if isinstance(dtype, V.TEXTUAL):
-            dates = {fmt: get(f"not_date_{j}") for j, fmt in enumerate(formats)}
-            facts[name] = ColumnFacts(n, get("not_boolean"), get("not_number"), get("not_exact"), dates)
+            facts[name] = ColumnFacts(n, get("not_boolean"), get("not_number"), get("not_exact"))
         elif V.is_numeric_type(dtype):
             exact = 0 if isinstance(dtype, V.INTEGRAL + (T.DecimalType,)) else n
             facts[name] = ColumnFacts(n, get("not_boolean"), 0, exact)
@@ -88,14 +97,26 @@ def read_facts(row: Row, schema: T.StructType, columns, formats) -> SideFacts:
 
 
 def collect_facts(src: DataFrame, tgt: DataFrame, columns, formats=V.DATE_FORMATS):
-    """Facts of both sides: two aggregate scans in one job, two rows back."""
-    one = class_statistics(src, columns, formats).withColumn("side", F.lit(0))
-    two = class_statistics(tgt, columns, formats).withColumn("side", F.lit(1))
+    """Facts of both sides: two aggregate scans in one job, two rows back.
+
+    A text column in which every value has the shape of some date layout gets
+    a second pass, over those columns alone, that tells the layouts apart.
+    """
+    sides = (src, tgt)
+    one, two = (class_statistics(df, columns, formats).withColumn("side", F.lit(k)) for k, df in enumerate(sides))
     rows = {r["side"]: r for r in one.unionByName(two, allowMissingColumns=True).collect()}
-    return (
-        read_facts(rows[0], src.schema, columns, formats),
-        read_facts(rows[1], tgt.schema, columns, formats),
-    )
+    facts = tuple(read_facts(rows[k], df.schema, columns) for k, df in enumerate(sides))
+    for k, df in enumerate(sides):
+        types = {f.name: f.dataType for f in df.schema.fields}
+        dates = [
+            c for i, c in enumerate(columns)
+            if isinstance(types[c], V.TEXTUAL) and facts[k].columns[c].values and rows[k][f"{i}_not_date"] == 0
+        ]
+        if dates:
+            row = date_statistics(df, dates, formats).first()
+            for i, c in enumerate(dates):
+                facts[k].columns[c].not_date = {fmt: row[f"{i}_{j}"] for j, fmt in enumerate(formats)}
+    return facts
 
 
 def _date_format(facts: ColumnFacts, dtype: T.DataType, formats):
@@ -159,22 +180,20 @@ def infer_classes(src_schema, tgt_schema, src_facts: SideFacts, tgt_facts: SideF
     }
 
 
+def normalized(c: str, dtype: T.DataType, cls: ValueClass, side: str) -> str:
+    if cls.kind == "boolean":
+        return V.as_boolean_text(c, dtype)
+    if cls.kind == "numeric":
+        return V.as_number(c, dtype, cls.number)
+    if cls.kind == "date":
+        return V.as_timestamp(c, dtype, cls.source_format if side == "source" else cls.target_format)
+    return c if cls.kind == "nested" else V.as_text(c, dtype)
+
+
 def normalize(df: DataFrame, classes: dict, side: str) -> DataFrame:
     """Every classified column in its comparable form; the rest unchanged."""
     out = []
     for f in df.schema.fields:
-        c, cls = F.col(f"`{f.name}`"), classes.get(f.name)
-        if cls is None or f.name in (COPIES, DIGEST) or cls.kind == "nested":
-            out.append(c)
-            continue
-        if cls.kind == "boolean":
-            c = V.as_boolean_text(c, f.dataType)
-        elif cls.kind == "numeric":
-            c = V.as_number(c, f.dataType, cls.number)
-        elif cls.kind == "date":
-            fmt = cls.source_format if side == "source" else cls.target_format
-            c = V.as_timestamp(c, f.dataType, fmt)
-        else:
-            c = V.as_text(c, f.dataType)
-        out.append(c.alias(f.name))
-    return df.select(*out)
+        c = V.quoted(f.name)
+        out.append(f"{normalized(c, f.dataType, classes[f.name], side)} as {c}" if f.name in classes else c)
+    return df.selectExpr(*out)

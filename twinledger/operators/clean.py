@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinledger.functions import values as V
@@ -18,11 +16,12 @@ def with_missing_as_null(df: DataFrame) -> DataFrame:
     fields = df.schema.fields
     if not any(isinstance(f.dataType, V.FLOATING) for f in fields):
         return df
-    return df.select(*[V.missing_to_null(F.col(f.name), f.dataType).alias(f.name) for f in fields])
+    return df.selectExpr(*[
+        f"{V.missing_to_null(V.quoted(f.name), f.dataType)} as {V.quoted(f.name)}" for f in fields])
 
 
-def is_empty_row(columns) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c).isNull() for c in columns])
+def is_empty_row(columns) -> str:
+    return " and ".join(f"{V.quoted(c)} is null" for c in columns)
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ def count_validation(src: DataFrame, tgt: DataFrame) -> DataFrame:
 def empty_row_balance(src: DataFrame, tgt: DataFrame) -> DataFrame:
     """Rows that are null in every column, per side, and what the target has
     too many (extra) or too few (missing)."""
-    both = _tagged(src, tgt, lambda df: [F.count_if(is_empty_row(df.columns)).alias("n")])
+    both = _tagged(src, tgt, lambda df: [F.count_if(F.expr(is_empty_row(df.columns))).alias("n")])
     out = both.agg(_pick("source", "n").alias("source_empty"), _pick("target", "n").alias("target_empty"))
     diff = F.col("target_empty") - F.col("source_empty")
     return out.select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinledger.model import SNOWFLAKE, SPARK, SQLSERVER
@@ -55,25 +55,18 @@ MERGED = {"UNICODE_CHAR_STR": "CHAR_STR", "DATETIME2": "DATETIME"}
 RELAXED_FAMILIES = {
     name: MERGED.get(family, family) for name, family in {**SQLSERVER_FAMILIES, **OTHER_FAMILIES}.items()
 }
+LENGTH_COLUMNS = ("char_len", "num_precision", "num_radix")
 FLOAT_LENGTHS = (0, 53, 2)
 
 
-def _lookup(table: dict, col: Column) -> Column:
-    pairs = [F.lit(x) for item in table.items() for x in item]
-    return F.try_element_at(F.create_map(*pairs), col)
-
-
-def _width(col: str) -> Column:
-    """-1 is unbounded."""
-    return F.when(F.col(col) < 0, 2147483647).otherwise(F.col(col))
+def _lookup(table: dict, c: str) -> str:
+    pairs = ", ".join(f"'{name}', '{family}'" for name, family in table.items())
+    return f"try_element_at(map({pairs}), {c})"
 
 
 def _meta(meta: DataFrame, side: str) -> DataFrame:
-    return meta.select(
-        F.upper("column_name").alias(f"{side}_column"),
-        F.upper("data_type").alias(f"{side}_type"),
-        *[F.coalesce(F.col(c), F.lit(0)).alias(f"{side}_{c}") for c in ("char_len", "num_precision", "num_radix")],
-    )
+    lengths = [f"coalesce({c}, 0) as {side}_{c}" for c in ("char_len", "num_precision", "num_radix")]
+    return meta.selectExpr(f"upper(column_name) as {side}_column", f"upper(data_type) as {side}_type", *lengths)
 
 
 def datatype_comparison(src_meta: DataFrame, tgt_meta: DataFrame, pairs, source_system=SPARK,
@@ -92,59 +85,49 @@ def datatype_comparison(src_meta: DataFrame, tgt_meta: DataFrame, pairs, source_
     )
     systems = (source_system, target_system)
     names_matter = False
-    if SPARK in systems:
+    compared = {"source": "source_type", "target": "target_type"}
+    forced = None
+    if SPARK in systems or systems == (SQLSERVER, SQLSERVER):
         names_matter = source_system == target_system
-        out = out.withColumn("source_as", _lookup(RELAXED_FAMILIES, F.col("source_type")))
-        out = out.withColumn("target_as", _lookup(RELAXED_FAMILIES, F.col("target_type")))
-    elif systems == (SQLSERVER, SQLSERVER):
-        names_matter = True
-        out = out.withColumn("source_as", _lookup(SQLSERVER_FAMILIES, F.col("source_type")))
-        out = out.withColumn("target_as", _lookup(SQLSERVER_FAMILIES, F.col("target_type")))
-    elif systems == (SNOWFLAKE, SNOWFLAKE):
-        out = out.withColumn("source_as", F.col("source_type")).withColumn("target_as", F.col("target_type"))
-    else:
-        mapped, plain = ("source", "target") if source_system == SQLSERVER else ("target", "source")
-        names = mapping.groupBy(F.upper("SQLServer").alias(f"{mapped}_type")).agg(
-            F.max(F.upper("Snowflake")).alias(f"{mapped}_as"))
-        out = out.join(names, f"{mapped}_type", "left").withColumn(f"{plain}_as", F.col(f"{plain}_type"))
-        is_float = F.col(f"{plain}_type") == "FLOAT"
-        for c, n in zip(("char_len", "num_precision", "num_radix"), FLOAT_LENGTHS):
-            out = out.withColumn(f"{plain}_{c}", F.when(is_float, n).otherwise(F.col(f"{plain}_{c}")))
-
-    unmapped = F.col("source_as").isNull() | F.col("target_as").isNull()
-    same = F.col("source_as") == F.col("target_as")
-    longer = (
-        (_width("source_char_len") > _width("target_char_len"))
-        | (F.col("source_num_precision") > F.col("target_num_precision"))
-        | (F.col("source_num_radix") > F.col("target_num_radix"))
-    )
-    truncation = F.coalesce(same & longer, F.lit(False))
-    mismatch = ~unmapped & ~same
-    if names_matter:
-        mismatch = mismatch | (truncation & (F.col("source_type") != F.col("target_type")))
-    return out.select(
-        "ordinal", "source_column", "target_column", "source_type", "target_type",
-        unmapped.alias("unmapped"),
-        F.coalesce(mismatch, F.lit(False)).alias("mismatch"),
-        truncation.alias("truncation"),
+        families = RELAXED_FAMILIES if SPARK in systems else SQLSERVER_FAMILIES
+        compared = {side: _lookup(families, f"{side}_type") for side in compared}
+    elif systems != (SNOWFLAKE, SNOWFLAKE):
+        mapped, forced = ("source", "target") if source_system == SQLSERVER else ("target", "source")
+        names = mapping.selectExpr(f"upper(SQLServer) as {mapped}_type", "upper(Snowflake) as mapped_type")
+        out = out.join(names.groupBy(f"{mapped}_type").agg(F.max("mapped_type").alias("mapped_type")),
+                       f"{mapped}_type", "left")
+        compared[mapped] = "mapped_type"
+
+    def length(side, position):
+        c = f"{side}_{LENGTH_COLUMNS[position]}"
+        if side == forced:
+            c = f"if({side}_type = 'FLOAT', {FLOAT_LENGTHS[position]}, {c})"
+        return f"if({c} < 0, 2147483647, {c})"  # -1 is unbounded
+
+    longer = " or ".join(f"{length('source', i)} > {length('target', i)}" for i in range(3))
+    renamed = "source_type <> target_type" if names_matter else "false"
+    return (
+        out.selectExpr("*", f"{compared['source']} as source_as", f"{compared['target']} as target_as")
+        .selectExpr("*", f"coalesce(source_as = target_as and ({longer}), false) as truncation")
+        .selectExpr(
+            "ordinal", "source_column", "target_column", "source_type", "target_type",
+            "source_as is null or target_as is null as unmapped",
+            f"coalesce(source_as <> target_as, false) or (truncation and {renamed}) as mismatch",
+            "truncation",
+        )
     )
 
 
 def datatype_findings(comparison: DataFrame) -> DataFrame:
     """(ordinal, source_column, target_column, code): a row per finding."""
-    codes = F.array_compact(F.array(
-        F.when(F.col("unmapped"), F.lit("TYPE_UNMAPPED")),
-        F.when(F.col("mismatch"), F.lit("TYPE_MISMATCH")),
-        F.when(F.col("truncation"), F.lit("TRUNCATION")),
-    ))
-    return comparison.select("ordinal", "source_column", "target_column", "source_type", "target_type",
-                             F.explode(codes).alias("code"))
+    codes = ("array_compact(array(if(unmapped, 'TYPE_UNMAPPED', null), if(mismatch, 'TYPE_MISMATCH', null), "
+             "if(truncation, 'TRUNCATION', null)))")
+    return comparison.selectExpr("ordinal", "source_column", "target_column", "source_type", "target_type",
+                                 f"explode({codes}) as code")
 
 
 def datatype_verdict(comparison: DataFrame) -> DataFrame:
     """Truncation alone is a warning and passes."""
-    return comparison.agg(
-        F.count_if("unmapped").alias("unmapped"),
-        F.count_if("mismatch").alias("mismatched"),
-        F.count_if("truncation").alias("truncated"),
-    ).withColumn("result", F.when((F.col("unmapped") == 0) & (F.col("mismatched") == 0), "Pass").otherwise("Fail"))
+    return comparison.selectExpr(
+        "count_if(unmapped) as unmapped", "count_if(mismatch) as mismatched", "count_if(truncation) as truncated",
+    ).selectExpr("*", "if(unmapped + mismatched = 0, 'Pass', 'Fail') as result")

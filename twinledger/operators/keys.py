@@ -66,11 +66,8 @@ def _has_repeats(df: DataFrame, key) -> bool:
 
 def _agreement(names, left: str, right: str):
     """Bit mask of the columns that two rows share, as text of 0 and 1."""
-    bits = [
-        F.when(F.col(f"{left}.`{c}`") == F.col(f"{right}.`{c}`"), "1").otherwise("0")
-        for c in names
-    ]
-    return F.concat(*bits)
+    bits = [f"if(coalesce({left}.{V.quoted(c)} = {right}.{V.quoted(c)}, false), '1', '0')" for c in names]
+    return f"concat({', '.join(bits)})"
 
 
 def _evidence(rows: DataFrame, names, candidates):
@@ -85,11 +82,11 @@ def _evidence(rows: DataFrame, names, candidates):
     """
     tuples = []
     for i, mask in enumerate(candidates):
-        cols = [F.col(f"`{n}`") for j, n in enumerate(names) if mask >> j & 1]
-        filled = reduce(lambda a, b: a & b, [c.isNotNull() for c in cols])
-        tuples.append(F.struct(F.lit(i).alias("cand"), F.when(filled, F.xxhash64(*cols)).alias("hash")))
+        cols = [V.quoted(n) for j, n in enumerate(names) if mask >> j & 1]
+        filled = " and ".join(f"{c} is not null" for c in cols)
+        tuples.append(f"struct({i} as cand, case when {filled} then xxhash64({', '.join(cols)}) end as hash)")
     groups = (
-        rows.select(F.col(DIGEST), F.inline(F.array(*tuples)))
+        rows.selectExpr(DIGEST, f"inline(array({', '.join(tuples)}))")
         .where("hash is not null")
         .groupBy("cand", "hash")
         .agg(F.count(F.lit(1)).alias("n"), F.min(DIGEST).alias("lo"), F.max(DIGEST).alias("hi"))
@@ -106,13 +103,13 @@ def _evidence(rows: DataFrame, names, candidates):
         return set(), free
 
     digests = sorted({d for p in pairs for d in p})
-    hit = rows.where(F.col(DIGEST).isin(digests)).select(F.col(DIGEST), F.struct(*[f"`{n}`" for n in names]).alias("r"))
+    hit = rows.where(F.col(DIGEST).isin(digests)).selectExpr(DIGEST, f"struct({', '.join(V.quoted(n) for n in names)}) as r")
     pair_rows = rows.sparkSession.createDataFrame(sorted(pairs), "lo bigint, hi bigint")
     left = hit.select(F.col(DIGEST).alias("lo"), F.col("r").alias("a"))
     right = hit.select(F.col(DIGEST).alias("hi"), F.col("r").alias("b"))
     masks = (
         pair_rows.join(left, "lo").join(right, "hi")
-        .select(_agreement(names, "a", "b").alias("mask")).distinct().collect()
+        .selectExpr(_agreement(names, "a", "b") + " as mask").distinct().collect()
     )
     return {to_mask(i for i, bit in enumerate(m["mask"]) if bit == "1") for m in masks}, free
 
@@ -180,23 +177,25 @@ def discover_key(rows: DataFrame, columns, non_null=None, total=None,
     picked = rows if whole else rows.sample(False, min(1.0, sample_rows / total), seed=17)
     # long values are replaced by a digest of their whole content
     slim = [
-        F.sha2(V.as_text(F.col(f"`{c}`"), types[c]), 256).alias(c)
-        if isinstance(types[c], V.TEXTUAL + V.NESTED) and not whole
-        else F.col(f"`{c}`")
+        f"sha2({V.as_text(V.quoted(c), types[c])}, 256) as {V.quoted(c)}"
+        if isinstance(types[c], V.TEXTUAL + V.NESTED)
+        else V.quoted(c)
         for c in names
     ]
-    sample = Staged(picked.select(F.col(DIGEST), *slim), "key-sample")
+    sample = None if whole else Staged(picked.selectExpr(DIGEST, *slim), "key-sample")
+    tested = rows if whole else sample.frame
     try:
         full = [i for i, c in enumerate(names) if non_null[c] == total]
-        found = _first_pass(rows, sample.frame, whole, names, full, batch)
+        found = _first_pass(rows, tested, whole, names, full, batch)
         if found:
             return KeyResult(found, "discovered")
         some = [i for i, c in enumerate(names) if non_null[c] > 0]
-        found = _search(rows, sample.frame, whole, names, some, batch, True)
+        found = _search(rows, tested, whole, names, some, batch, True)
         if found:
             return KeyResult(found, "discovered_ignoring_nulls")
     finally:
-        sample.release()
+        if sample is not None:
+            sample.release()
     return KeyResult((), "none")
 
 

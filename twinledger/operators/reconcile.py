@@ -77,53 +77,49 @@ def _shape(joined: DataFrame, key, payload) -> DataFrame:
 
 
 def only_in_source(joined: DataFrame) -> DataFrame:
-    return joined.where(F.col(IN_SOURCE) & ~F.col(IN_TARGET))
+    return joined.where("in_source and not in_target")
 
 
 def only_in_target(joined: DataFrame) -> DataFrame:
-    return joined.where(F.col(IN_TARGET) & ~F.col(IN_SOURCE))
+    return joined.where("in_target and not in_source")
 
 
 def matched_rows(joined: DataFrame) -> DataFrame:
-    return joined.where(F.col(IN_SOURCE) & F.col(IN_TARGET))
+    return joined.where("in_source and in_target")
 
 
-def differs(column: str) -> Column:
+def differs(column: str) -> str:
     """A matched row whose two values differ; null equals null only."""
-    same = F.col(f"source__{column}").eqNullSafe(F.col(f"target__{column}"))
-    return F.col(IN_SOURCE) & F.col(IN_TARGET) & ~same
+    s, t = V.quoted(f"source__{column}"), V.quoted(f"target__{column}")
+    return f"in_source and in_target and not ({s} <=> {t})"
 
 
 def differences(joined: DataFrame, payload) -> DataFrame:
     """Unmatched rows and matched rows with at least one differing value."""
-    keep = reduce(lambda a, b: a | b, [differs(c) for c in payload], ~(F.col(IN_SOURCE) & F.col(IN_TARGET)))
-    return joined.where(keep)
+    tests = ["not (in_source and in_target)"] + [f"({differs(c)})" for c in payload]
+    return joined.where(" or ".join(tests))
 
 
 def extra_record_counts(joined: DataFrame) -> DataFrame:
-    return joined.agg(
-        F.count_if(~F.col(IN_TARGET)).alias("only_in_source"),
-        F.count_if(~F.col(IN_SOURCE)).alias("only_in_target"),
-    )
+    return joined.selectExpr("count_if(not in_target) as only_in_source", "count_if(not in_source) as only_in_target")
 
 
 def mismatch_counts(joined: DataFrame, payload) -> DataFrame:
     """(column_name, mismatches) of the columns that differ anywhere, from one
     aggregate over all columns."""
-    wide = joined.agg(*[F.count_if(differs(c)).alias(c) for c in payload])
+    wide = joined.selectExpr(*[f"count_if({differs(c)}) as c{i}" for i, c in enumerate(payload)])
     rows = [
-        F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("column_name"), F.col(c).alias("mismatches"))
-        for i, c in enumerate(payload)
+        f"struct({i} as ordinal, {V.text_literal(c)} as column_name, c{i} as mismatches)" for i, c in enumerate(payload)
     ]
-    return wide.select(F.inline(F.array(*rows))).where("mismatches > 0")
+    return wide.selectExpr(f"inline(array({', '.join(rows)}))").where("mismatches > 0")
 
 
 def key_map(joined: DataFrame, key, names=None) -> Column:
     types = {f.name: f.dataType for f in joined.schema.fields}
-    parts = []
-    for k in key:
-        parts += [F.lit(names[k] if names else k), F.coalesce(V.render(F.col(k), types[k]), F.lit("null"))]
-    return F.create_map(*parts)
+    parts = [
+        f"{V.text_literal(names[k] if names else k)}, coalesce({V.render(V.quoted(k), types[k])}, 'null')" for k in key
+    ]
+    return F.expr(f"map({', '.join(parts)})")
 
 
 def mismatch_samples(joined: DataFrame, key, payload, limit: int) -> DataFrame:
@@ -134,17 +130,17 @@ def mismatch_samples(joined: DataFrame, key, payload, limit: int) -> DataFrame:
     rows per column.
     """
     types = {f.name: f.dataType for f in joined.schema.fields}
-    cells = [
-        F.struct(
-            F.lit(i).alias("ordinal"),
-            F.lit(c).alias("column_name"),
-            differs(c).alias("differs"),
-            V.render(F.col(f"source__{c}"), types[f"source__{c}"]).alias("source_value"),
-            V.render(F.col(f"target__{c}"), types[f"target__{c}"]).alias("target_value"),
-        )
-        for i, c in enumerate(payload)
-    ]
-    long = differences(matched_rows(joined), payload).select(*key, F.inline(F.array(*cells))).where("differs")
+
+    def cell(i, c):
+        shown = [f"{V.render(V.quoted(f'{p}__{c}'), types[f'{p}__{c}'])} as {p}_value" for p in ("source", "target")]
+        return f"struct({i} as ordinal, {V.text_literal(c)} as column_name, {differs(c)} as differs, {', '.join(shown)})"
+
+    cells = ", ".join(cell(i, c) for i, c in enumerate(payload))
+    long = (
+        differences(matched_rows(joined), payload)
+        .selectExpr(*[V.quoted(k) for k in key], f"inline(array({cells}))")
+        .where("differs")
+    )
     order = [F.col(k).asc_nulls_first() for k in key]
     # a key that repeats on the target gives several rows: values break the tie
     w = Window.partitionBy("ordinal").orderBy(*order, "source_value", "target_value")

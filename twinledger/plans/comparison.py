@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +15,6 @@ from twinledger.operators import classes as C
 from twinledger.operators import duplicates as D
 from twinledger.operators import reconcile as R
 from twinledger.operators.clean import COPIES, DIGEST
-from twinledger.session import Staged
 
 WHOLE_ROW = "__row"
 
@@ -77,7 +77,7 @@ class Comparison:
         self.source_names, self.target_names = source_names, target_names
         self.src_facts, self.tgt_facts = src_facts, tgt_facts
         self.classes = C.infer_classes(src.schema, tgt.schema, src_facts, tgt_facts, key, formats)
-        self.staged = []
+        self.cached = []
         types = {f.name: f.dataType for f in src.schema.fields}
         self._src = C.normalize(src.drop(DIGEST), self.classes, "source").dropna("all", subset=self.columns)
         self._tgt = C.normalize(tgt.drop(DIGEST), self.classes, "target").dropna("all", subset=self.columns)
@@ -130,55 +130,54 @@ class Comparison:
             return self._keyless_findings()
         payload = [c for c in self.columns if c not in self.key]
         joined = R.reconcile(self._src.drop(COPIES), self._tgt.drop(COPIES), self.match_key, self.unique)
-        matched = F.col(R.IN_SOURCE) & F.col(R.IN_TARGET)
-        diff = R.differences(joined, payload).select(
-            *self.key, R.IN_SOURCE, R.IN_TARGET,
-            *[F.when(matched, F.col(f"{p}__{c}")).alias(f"{p}__{c}") for c in payload for p in ("source", "target")],
+        if payload and limit:
+            # the rows that differ are kept for the two readers below; both
+            # values of unmatched rows are dropped
+            matched = R.IN_SOURCE + " and " + R.IN_TARGET
+            diff = R.differences(joined, payload).selectExpr(
+                *self.key, R.IN_SOURCE, R.IN_TARGET,
+                *[f"case when {matched} then {p}__{c} end as {p}__{c}" for c in payload for p in ("source", "target")],
+            )
+            self.cached.append(diff.persist(StorageLevel.MEMORY_AND_DISK))
+            joined = diff
+
+        wide = joined.selectExpr(
+            "count_if(not in_target) as only_source",
+            "count_if(not in_source) as only_target",
+            *[f"count_if({R.differs(c)}) as n{i}" for i, c in enumerate(payload)],
         )
-        # only rows that differ are kept for the two readers below
-        staged = Staged(diff, "differences")
-        self.staged.append(staged)
-        diff = staged.frame
-
-        wide = diff.agg(
-            F.count_if(~F.col(R.IN_TARGET)).alias("__only_source"),
-            F.count_if(~F.col(R.IN_SOURCE)).alias("__only_target"),
-            *[F.count_if(R.differs(c)).alias(f"__n{i}") for i, c in enumerate(payload)],
-        )
-        items = [
-            _item("EXTRA_IN_SOURCE", F.col("__only_source")),
-            _item("EXTRA_IN_TARGET", F.col("__only_target")),
-            *[_item("MISMATCH_COUNT", F.col(f"__n{i}"), self.source_names[c], self.target_names[c],
-                    self.columns.index(c))
-              for i, c in enumerate(payload)],
+        items = [_item("EXTRA_IN_SOURCE", "only_source"), _item("EXTRA_IN_TARGET", "only_target")]
+        items += [
+            _item("MISMATCH_COUNT", f"n{i}", self.source_names[c], self.target_names[c], self.columns.index(c))
+            for i, c in enumerate(payload)
         ]
-        out = _as_findings(wide.select(F.inline(F.array(*items))).where("count > 0"), DATA_CHECK)
-        if not payload:
+        out = _as_findings(wide.selectExpr(f"inline(array({', '.join(items)}))").where("count > 0"), DATA_CHECK)
+        if not (payload and limit):
             return out
-        samples = R.mismatch_samples(diff, self.key, payload, limit)
-        of_column = lambda items: F.element_at(F.array(*[F.lit(x) for x in items]), F.col("ordinal") + 1)
-        return out.unionByName(samples.select(
-            F.lit(DATA_CHECK).alias("check"),
-            F.lit(FINDING_CODES["VALUE_MISMATCH"][0]).alias("severity"),
-            F.lit("VALUE_MISMATCH").alias("code"),
-            of_column(self.source_names[c] for c in payload).alias("source_column"),
-            of_column(self.target_names[c] for c in payload).alias("target_column"),
-            F.lit(None).cast("bigint").alias("count"),
-            R.key_map(samples, self.key, self.source_names).alias("key"),
-            "source_value", "target_value",
-            of_column(self.columns.index(c) for c in payload).alias("column_order"),
-            "example",
-        ))
+        samples = R.mismatch_samples(joined, self.key, payload, limit)
+        of_column = lambda texts: f"element_at(array({', '.join(texts)}), ordinal + 1)"
+        return out.unionByName(
+            samples.withColumn("key", R.key_map(samples, self.key, self.source_names)).selectExpr(
+                f"'{DATA_CHECK}' as check",
+                f"'{FINDING_CODES['VALUE_MISMATCH'][0]}' as severity",
+                "'VALUE_MISMATCH' as code",
+                of_column(V.text_literal(self.source_names[c]) for c in payload) + " as source_column",
+                of_column(V.text_literal(self.target_names[c]) for c in payload) + " as target_column",
+                "cast(null as bigint) as count",
+                "key",
+                "source_value",
+                "target_value",
+                of_column(str(self.columns.index(c)) for c in payload) + " as column_order",
+                "example",
+            )
+        )
 
     def _keyless_findings(self) -> DataFrame:
         diff = R.multiset_difference(self._src.select(*self.columns).dropDuplicates(),
                                      self._tgt.select(*self.columns).dropDuplicates())
-        wide = diff.agg(
-            F.coalesce(F.sum("surplus_in_source"), F.lit(0)).alias("s"),
-            F.coalesce(F.sum("surplus_in_target"), F.lit(0)).alias("t"),
-        )
-        items = [_item("EXTRA_IN_SOURCE", F.col("s")), _item("EXTRA_IN_TARGET", F.col("t"))]
-        return _as_findings(wide.select(F.inline(F.array(*items))).where("count > 0"), DATA_CHECK)
+        wide = diff.selectExpr("coalesce(sum(surplus_in_source), 0L) as s", "coalesce(sum(surplus_in_target), 0L) as t")
+        items = [_item("EXTRA_IN_SOURCE", "s"), _item("EXTRA_IN_TARGET", "t")]
+        return _as_findings(wide.selectExpr(f"inline(array({', '.join(items)}))").where("count > 0"), DATA_CHECK)
 
     # -- duplicates ---------------------------------------------------------
 
@@ -195,35 +194,32 @@ class Comparison:
         groups = D.duplicate_groups(D.surplus_of_copies(self._src), D.surplus_of_copies(self._tgt), key,
                                     unique=self.unique)
         counted = D.duplicate_classes(groups).select("code", F.col("groups").alias("count"))
-        severity = F.element_at(_severities(), F.col("code"))
-        return [], _as_findings(counted, DUPLICATE_CHECK, severity)
+        return [], _as_findings(counted, DUPLICATE_CHECK)
 
     def release(self) -> None:
-        for s in self.staged:
-            s.release()
+        for df in self.cached:
+            df.unpersist()
 
 
-def _severities():
-    return F.create_map(*[F.lit(x) for code, (severity, _, _) in FINDING_CODES.items() for x in (code, severity)])
+def _item(code: str, count: str, source=None, target=None, order: int = 0) -> str:
+    name = lambda v: "cast(null as string)" if v is None else V.text_literal(v)
+    return (
+        f"struct('{code}' as code, {name(source)} as source_column, {name(target)} as target_column, "
+        f"cast({count} as bigint) as count, {order} as column_order)"
+    )
 
 
-def _item(code: str, count, source=None, target=None, order: int = 0):
-    return F.struct(
-        F.lit(code).alias("code"),
-        F.lit(source).cast("string").alias("source_column"),
-        F.lit(target).cast("string").alias("target_column"),
-        count.cast("bigint").alias("count"),
-        F.lit(order).alias("column_order"),
-    )
+def by_code(position: int) -> str:
+    """Property of the finding code in column ``code``."""
+    pairs = ", ".join(f"'{code}', {spec[position]!r}" for code, spec in FINDING_CODES.items())
+    return f"element_at(map({pairs}), code)"
 
 
-def _as_findings(df: DataFrame, check: str, severity=None) -> DataFrame:
+def _as_findings(df: DataFrame, check: str) -> DataFrame:
     """Complete a frame of codes and counts to the findings schema."""
-    if severity is None:
-        severity = F.element_at(_severities(), F.col("code"))
-    df = df.withColumns({"check": F.lit(check), "severity": severity})
-    missing = {f.name: F.lit(None).cast(f.dataType) for f in FINDINGS_SCHEMA.fields
-               if f.name not in df.columns and f.name not in ("column_order", "example")}
-    defaults = {c: F.lit(0) for c in ("column_order", "example") if c not in df.columns}
-    return df.withColumns({**missing, **defaults}).select(*FINDINGS_SCHEMA.names)
-
+    known = {"check": f"'{check}'", "severity": by_code(0), "column_order": "0", "example": "0"}
+    return df.selectExpr(*[
+        f.name if f.name in df.columns
+        else f"{known.get(f.name) or f'cast(null as {f.dataType.simpleString()})'} as {f.name}"
+        for f in FINDINGS_SCHEMA.fields
+    ])

@@ -16,8 +16,6 @@ from twinledger.model import (
     DATA_CHECK,
     DATATYPE_CHECK,
     FILE,
-    FINDING_CODES,
-    FINDINGS_SCHEMA,
     MANIFEST_COLUMNS,
     SPARK,
     SQLSERVER,
@@ -30,16 +28,19 @@ from twinledger.operators import classes as C
 from twinledger.operators.clean import COPIES, count_copies
 from twinledger.operators.datatypes import datatype_comparison, datatype_findings
 from twinledger.operators.keys import KeyResult, resolve_key
-from twinledger.plans.comparison import Comparison
+from twinledger.plans.comparison import Comparison, by_code
 from twinledger.plans.pairing import align, pair_columns, split_names, split_supported
 from twinledger.plans.report import findings_frame, report
-from twinledger.session import Staged
+from twinledger.session import Staged, stage_both
 from twinledger.sources import jdbc, metadata
 from twinledger.sources.files import MALFORMED, FileRef, read_file
 from twinledger.sources.jdbc import JdbcRef
 from twinledger.sources.tables import TableRef, read_table
 
 
+HELD_FINDINGS = 10_000
+
+
 @dataclass(frozen=True)
 class PairSpec:
     """One row of a manifest after its references are resolved.
@@ -145,8 +146,7 @@ def _validate(spark, spec, config, mapping, execution_time, labels) -> PairResul
     formats = config.date_formats or V.DATE_FORMATS
 
     # one wide shuffle per side; every later step reads the staged rows
-    s = Staged(count_copies(src.select(*columns)), "source")
-    t = Staged(count_copies(tgt.select(*columns)), "target")
+    s, t = stage_both(count_copies(src.select(*columns)), count_copies(tgt.select(*columns)))
     comparison = None
     try:
         s_facts, t_facts = C.collect_facts(s.frame, t.frame, columns, formats)
@@ -174,17 +174,16 @@ def _validate(spark, spec, config, mapping, execution_time, labels) -> PairResul
         findings = findings_frame(spark, local)
         for f in frames:
             findings = findings.unionByName(f)
-        staged = Staged(findings, "findings")
-        staged.frame.count()  # everything read from the sides is now computed
+        findings, staged = _keep(findings, len(columns) * max(config.max_error_records, 1))
     finally:
         for held in (s, t):
             held.release()
         if comparison is not None:
             comparison.release()
-    rows = report(staged.frame, *labels, checks=checks, execution_time=execution_time)
+    rows = report(findings, *labels, checks=checks, execution_time=execution_time)
     return PairResult(
-        staged.frame, rows, KeyResult(tuple(s_names[c] for c in key.columns), key.origin),
-        {s_names[c]: cls for c, cls in comparison.classes.items()}, [staged],
+        findings, rows, KeyResult(tuple(s_names[c] for c in key.columns), key.origin),
+        {s_names[c]: cls for c, cls in comparison.classes.items()}, staged,
     )
 
 
@@ -199,20 +198,26 @@ def _datatype_frame(spark, spec, source, target, pairs, mapping) -> DataFrame:
         _metadata(spark, spec.target, target, spec.target_system),
         pairs, spec.source_system, spec.target_system, mapping,
     )
-    severity = F.create_map(*[F.lit(x) for c, v in FINDING_CODES.items() for x in (c, v[0])])
-    nothing = {f.name: F.lit(None).cast(f.dataType) for f in FINDINGS_SCHEMA.fields if f.name in ("count", "key")}
-    return (
-        datatype_findings(comparison)
-        .withColumns(nothing)
-        .select(
-            F.lit(DATATYPE_CHECK).alias("check"), F.element_at(severity, F.col("code")).alias("severity"), "code",
-            "source_column", "target_column", "count", "key",
-            F.col("source_type").alias("source_value"), F.col("target_type").alias("target_value"),
-            F.col("ordinal").alias("column_order"), F.lit(0).alias("example"),
-        )
+    return datatype_findings(comparison).selectExpr(
+        f"'{DATATYPE_CHECK}' as check", f"{by_code(0)} as severity", "code", "source_column", "target_column",
+        "cast(null as bigint) as count", "cast(null as map<string,string>) as key",
+        "source_type as source_value", "target_type as target_value", "ordinal as column_order", "0 as example",
     )
 
 
+def _keep(findings: DataFrame, bound: int):
+    """The findings as a frame that no longer needs the sides.
+
+    Findings are a few rows per column and the examples asked for.  Up to a
+    bound they are held as rows of the plan, beyond it as a staged table.
+    """
+    if bound <= HELD_FINDINGS:
+        return findings_frame(findings.sparkSession, findings.collect()), []
+    staged = Staged(findings, "findings")
+    staged.frame.count()
+    return staged.frame, [staged]
+
+
 # -- manifest -----------------------------------------------------------------
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinledger.functions.values import display_name_column
+from twinledger.functions import values as V
 from twinledger.model import CHECKS, FINDING_CODES, FINDINGS_SCHEMA, REPORT_COLUMNS
+from twinledger.plans.comparison import by_code
 
 # Codes that share one report row for all their columns.
 ONE_ROW_CODES = ("TYPE_UNMAPPED", "TYPE_MISMATCH", "TRUNCATION", "NULL_POPULATED", "MISMATCH_COUNT",
@@ -20,35 +21,25 @@ def findings_frame(spark: SparkSession, rows) -> DataFrame:
     return spark.createDataFrame(list(rows), FINDINGS_SCHEMA)
 
 
-def _code_map(position: int) -> Column:
-    return F.create_map(*[F.lit(x) for code, spec in FINDING_CODES.items() for x in (code, spec[position])])
+def _names(c: str) -> str:
+    return V.display_name_of(c)
 
 
-def _shown(col: str) -> Column:
-    return display_name_column(F.col(col))
-
-
-def _piece() -> Column:
-    """What one finding contributes to the reason of its report row."""
-    n = F.col("count").cast("string")
-    null = F.lit("null")
-    key = F.array_join(F.transform(
-        F.map_entries("key"), lambda e: F.concat(display_name_column(e["key"]), F.lit(" = "), e["value"])), ", ")
-    cell = F.concat(
-        F.lit("source "), _shown("source_column"), F.lit(" = "), F.coalesce("source_value", null),
-        F.lit(", target "), _shown("target_column"), F.lit(" = "), F.coalesce("target_value", null),
-        F.lit(" for key "), key,
-    )
-    counts = F.concat(F.lit("source count = "), F.col("source_value"), F.lit(", target count = "), F.col("target_value"))
-    return (
-        F.when(F.col("code").isin("COUNT", "COUNT_MISMATCH"), counts)
-        .when(F.col("code") == "MISMATCH_COUNT", F.concat(_shown("source_column"), F.lit(" = "), n))
-        .when(F.col("code") == "NULL_POPULATED", _shown("target_column"))
-        .when(F.col("code") == "VALUE_MISMATCH", cell)
-        .when(F.col("code").isin(*ONE_ROW_CODES, "TARGET_KEY_NOT_UNIQUE"), F.coalesce(_shown("source_column"), F.lit("")))
-        .when(F.col("code") == "PAIR_ERROR", F.col("source_value"))
-        .otherwise(n)
-    )
+# What one finding contributes to the reason of its report row.
+KEY_TEXT = f"array_join(transform(map_entries(key), e -> concat({_names('e.key')}, ' = ', e.value)), ', ')"
+CELL_TEXT = (
+    f"concat('source ', {_names('source_column')}, ' = ', coalesce(source_value, 'null'), "
+    f"', target ', {_names('target_column')}, ' = ', coalesce(target_value, 'null'), ' for key ', {KEY_TEXT})"
+)
+PIECE = f"""case
+    when code in ('COUNT', 'COUNT_MISMATCH')
+        then concat('source count = ', source_value, ', target count = ', target_value)
+    when code = 'MISMATCH_COUNT' then concat({_names('source_column')}, ' = ', count)
+    when code = 'NULL_POPULATED' then {_names('target_column')}
+    when code = 'VALUE_MISMATCH' then {CELL_TEXT}
+    when code = 'PAIR_ERROR' then source_value
+    when source_column is not null then {_names('source_column')}
+    else cast(count as string) end"""
 
 
 # Our own wording, one text per code.
@@ -78,12 +69,12 @@ REASONS = {
 }
 
 
-def _reason(pieces: Column) -> Column:
-    out = F.lit(None).cast("string")
+def _reason(pieces: str) -> str:
+    cases = []
     for code, text in REASONS.items():
         before, after = text.split("{}")
-        out = F.when(F.col("code") == code, F.concat(F.lit(before), pieces, F.lit(after))).otherwise(out)
-    return out
+        cases.append(f"when '{code}' then concat('{before}', {pieces}, '{after}')")
+    return f"case code {' '.join(cases)} end"
 
 
 def report(findings: DataFrame, source_label: str, target_label: str, checks=CHECKS,
@@ -93,34 +84,30 @@ def report(findings: DataFrame, source_label: str, target_label: str, checks=CHE
     A finding frame holds a few rows per column, so the groupings below are
     over control data whatever the size of the tables.
     """
-    spark = findings.sparkSession
-    failing = [c for c, (_, fails, _) in FINDING_CODES.items() if fails]
-    verdicts = findings.groupBy("check").agg(F.max(F.col("code").isin(*failing)).alias("failed"))
-    one_row = F.col("code").isin(*ONE_ROW_CODES)
+    failing = ", ".join(f"'{code}'" for code, spec in FINDING_CODES.items() if spec[1])
+    one_row = "code in (" + ", ".join(f"'{c}'" for c in ONE_ROW_CODES) + ")"
+    verdicts = findings.selectExpr("check", f"code in ({failing}) as fails").groupBy("check").agg(
+        F.max("fails").alias("failed"))
     rows = (
-        findings.where(~F.col("code").isin(*HIDDEN_CODES))
-        .withColumn("piece", _piece())
-        .withColumn("at", F.when(one_row, 0).otherwise(F.col("column_order")))
-        .withColumn("nth", F.when(one_row, 0).otherwise(F.col("example")))
+        findings.where("code not in (" + ", ".join(f"'{c}'" for c in HIDDEN_CODES) + ")")
+        .selectExpr("check", "code", f"if({one_row}, 0, column_order) as at", f"if({one_row}, 0, example) as nth",
+                    f"struct(column_order, {PIECE} as piece) as piece")
         .groupBy("check", "code", "at", "nth")
-        .agg(F.array_sort(F.collect_list(F.struct("column_order", "piece"))).alias("pieces"))
+        .agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
+        .selectExpr("check", "code", "at", "nth", f"{by_code(2)} as code_order",
+                    _reason("array_join(transform(pieces, p -> p.piece), ', ')") + " as Reason")
     )
-    text = F.array_join(F.transform("pieces", lambda p: p["piece"]), ", ")
-    rows = rows.select("check", "code", "at", "nth", _reason(text).alias("Reason"))
-
-    base = spark.createDataFrame([(c, CHECKS.index(c)) for c in checks], "check string, seq int")
-    out = (
+    base = findings.sparkSession.createDataFrame([(c, CHECKS.index(c)) for c in checks], "check string, seq int")
+    now = F.lit(execution_time) if execution_time is not None else F.current_timestamp()
+    return (
         base.join(verdicts, "check", "left").join(rows, "check", "left")
-        .withColumn("Validation_Result", F.when(F.coalesce("failed", F.lit(False)), "Fail").otherwise("Pass"))
-        .withColumn("code_order", F.element_at(_code_map(2), F.col("code")))
-        .orderBy(F.col("Validation_Result") != "Fail", "seq", "code_order", "at", "nth")
+        .withColumn("result", F.expr("if(coalesce(failed, false), 'Fail', 'Pass')"))
+        .orderBy(F.expr("result <> 'Fail'"), "seq", "code_order", "at", "nth")
+        .withColumn("now", now)
+        .selectExpr(
+            f"{V.text_literal(source_label)} as source_table", f"{V.text_literal(target_label)} as target_table",
+            "check as Validation_type", "result as Validation_Result", "coalesce(Reason, '') as Reason",
+            "date_format(now, 'yyyy-MM-dd HH:mm:ss') as execution_time",
+        )
+        .select(*REPORT_COLUMNS)
     )
-    now = F.lit(execution_time) if execution_time is not None else F.current_timestamp()
-    return out.select(
-        F.lit(source_label).alias("source_table"),
-        F.lit(target_label).alias("target_table"),
-        F.col("check").alias("Validation_type"),
-        "Validation_Result",
-        F.coalesce("Reason", F.lit("")).alias("Reason"),
-        F.date_format(now, "yyyy-MM-dd HH:mm:ss").alias("execution_time"),
-    ).select(*REPORT_COLUMNS)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/twinledger/{name}-{uuid.uuid4().hex}"
 
 
+def stage_both(one: DataFrame, two: DataFrame):
+    """Stage two independent frames at the same time."""
+    with ThreadPoolExecutor(2) as pool:
+        return tuple(pool.map(Staged, (one, two), ("source", "target")))
+
+
 class Staged:
     """A frame that several jobs read, computed once.
 

@@ -84,6 +84,6 @@ def read_csv(spark: SparkSession, ref: FileRef) -> DataFrame:
     schema = T.StructType(fields + [T.StructField(OVERFLOW, T.StringType())])
     df = spark.read.options(**options).schema(schema).csv(ref.path)
     fits = F.when(F.col(OVERFLOW).isNull(), True).otherwise(F.raise_error(F.lit(f"{MALFORMED}: {ref.path}")))
-    return df.where(fits.cast("boolean")).select(
-        *[V.null_tokens_to_null(F.col(f"`{c}`"), ref.null_tokens).alias(c) for c in header.columns]
+    return df.where(fits.cast("boolean")).selectExpr(
+        *[f"{V.null_tokens_to_null(V.quoted(c), ref.null_tokens)} as {V.quoted(c)}" for c in header.columns]
     )
