@@ -234,13 +234,12 @@ ORACLES["matched_rows"] = f"{JOINED} select o_orderkey, source__o_totalprice, ta
 ORACLES["extra_record_counts"] = f"""
 {JOINED} select count(*) filter (not in_target) as only_in_source, count(*) filter (not in_source) as only_in_target from j"""
 
-LC = ["l_quantity", "l_tax", "l_returnflag"]
-ORACLES["reconcile_any_keys"] = f"""
-{with_sides('lineitem', 'lineitem_changed')}
-select coalesce(s.l_orderkey, t.l_orderkey) as l_orderkey, coalesce(s.l_linenumber, t.l_linenumber) as l_linenumber,
-       s.l_orderkey is not null as in_source, t.l_orderkey is not null as in_target,
-       {', '.join(f's.{c} as source__{c}, t.{c} as target__{c}' for c in LC)}
-from s full outer join t on s.l_orderkey = t.l_orderkey and s.l_linenumber = t.l_linenumber"""
+SLIM = ["o_custkey", "o_totalprice", "o_orderpriority"]
+ORACLES["reconcile_hot_target"] = f"""
+{with_sides('orders_slim', 'orders_hot_key')}
+select coalesce(s.o_orderkey, t.o_orderkey) as o_orderkey, s.o_custkey is not null as in_source, t.o_custkey is not null as in_target,
+       {', '.join(f's.{c} as source__{c}, t.{c} as target__{c}' for c in SLIM)}
+from s full outer join t on s.o_orderkey = t.o_orderkey"""
 
 
 def differs(c):
@@ -337,6 +336,11 @@ c as ({' union all '.join(items)})
 select code, source_column, n from c where n > 0"""
 
 
+ORACLES["repeated_target_findings"] = keyed_findings(
+    "orders_slim", "orders_hot_key", [("s.o_orderkey", "t.o_orderkey")], SLIM, lambda c: f"s_{c} is distinct from t_{c}"
+) + """ union all select 'TARGET_KEY_NOT_UNIQUE', 'o_orderkey', null
+where exists (select 1 from t where o_orderkey is not null group by o_orderkey having count(*) > 1)"""
+
 LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate"]
 ORACLES["lineitem_findings"] = keyed_findings(
     "lineitem", "lineitem_changed", [(f"s.{c}", f"t.{c}") for c in LINE_KEY],

@@ -40,7 +40,7 @@ def orders_pair(spark, sf):
 
 
 def reconciled_orders(spark, sf):
-    return R.reconcile(*orders_pair(spark, sf), ORDER_KEY, unique=True)
+    return R.reconcile(*orders_pair(spark, sf), ORDER_KEY, target_unique=True)
 
 
 def payload(df, key):
@@ -142,12 +142,12 @@ def surplus_totals(spark, sf):
 
 @query
 def duplicate_groups(spark, sf):
-    return duplicates.duplicate_groups(*order_surplus(spark, sf), ORDER_KEY, unique=True)
+    return duplicates.duplicate_groups(*order_surplus(spark, sf), ORDER_KEY, target_unique=True)
 
 
 @query
 def duplicate_classes(spark, sf):
-    return duplicates.duplicate_classes(duplicates.duplicate_groups(*order_surplus(spark, sf), ORDER_KEY, unique=True))
+    return duplicates.duplicate_classes(duplicates.duplicate_groups(*order_surplus(spark, sf), ORDER_KEY, target_unique=True))
 
 
 @query
@@ -168,16 +168,11 @@ def duplicates_both_sides(spark, sf):
 # -- keys ----------------------------------------------------------------------
 
 
-def found_key(result, spark, rows):
-    """The discovered key beside the number of rows it was proven on."""
-    return rows.agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.lit(",".join(result.columns)).alias("key_columns"), F.lit(result.origin).alias("origin"), "row_count")
-
-
-def discovered(spark, rows):
-    rows = keys.with_digest(clean.clean(rows))
-    columns = [c for c in rows.columns if c != clean.DIGEST]
-    return found_key(keys.discover_key(rows, columns), spark, rows)
+def discovered(spark, df):
+    """The key beside the number of distinct rows it was proven on."""
+    key = keys.find_key(df)
+    return spark.createDataFrame([(",".join(key.columns), key.origin, key.rows)],
+                                 "key_columns string, origin string, row_count bigint")
 
 
 @query
@@ -280,11 +275,9 @@ def reconcile(spark, sf):
 
 
 @query
-def reconcile_any_keys(spark, sf):
-    """The form that takes keys repeating on both sides."""
-    src, tgt = side(spark, sf, "lineitem"), side(spark, sf, "lineitem_changed")
-    columns = ["l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_returnflag"]
-    return R.reconcile(src.select(*columns), tgt.select(*columns), ["l_orderkey", "l_linenumber"])
+def reconcile_hot_target(spark, sf):
+    """A third of the target rows share one key."""
+    return R.reconcile(side(spark, sf, "orders_slim"), side(spark, sf, "orders_hot_key"), ORDER_KEY)
 
 
 @query
@@ -310,14 +303,14 @@ def extra_record_counts(spark, sf):
 @query
 def mismatch_counts(spark, sf):
     src, tgt = orders_pair(spark, sf)
-    joined = R.reconcile(src, tgt, ORDER_KEY, unique=True)
+    joined = R.reconcile(src, tgt, ORDER_KEY, target_unique=True)
     return R.mismatch_counts(joined, payload(src, ORDER_KEY)).select("column_name", "mismatches")
 
 
 @query
 def mismatch_samples(spark, sf):
     src, tgt = orders_pair(spark, sf)
-    joined = R.reconcile(src, tgt, ORDER_KEY, unique=True)
+    joined = R.reconcile(src, tgt, ORDER_KEY, target_unique=True)
     out = R.mismatch_samples(joined, ORDER_KEY, payload(src, ORDER_KEY), SAMPLES)
     # values as numbers again where they are: engines print doubles differently
     return out.select("column_name", *ORDER_KEY, "example",
@@ -334,7 +327,7 @@ def except_all_diff(spark, sf):
 def table_differences(spark, sf, src_name, tgt_name, key):
     """Extra records and mismatch counts of a pair in one row per fact."""
     src, tgt = side(spark, sf, src_name), side(spark, sf, tgt_name)
-    joined = R.reconcile(src, tgt, key, unique=True)
+    joined = R.reconcile(src, tgt, key, target_unique=True)
     cols = payload(src, key)
     wide = joined.agg(
         F.count_if(~F.col(R.IN_TARGET)).alias("only_in_source"),
@@ -381,6 +374,13 @@ def lineitem_findings(spark, sf):
     return found.where("code <> 'VALUE_MISMATCH'").select("code", F.lower("source_column").alias("source_column"), "n")
 
 
+@query
+def repeated_target_findings(spark, sf):
+    """A hot target key and repeated null keys in the target."""
+    found = pair_findings(spark, sf, "orders_slim", "orders_hot_key", "Data Validation")
+    return found.where("code <> 'VALUE_MISMATCH'").select("code", F.lower("source_column").alias("source_column"), "n")
+
+
 @query
 def text_against_typed(spark, sf):
     """All-text side with another spelling of keys, flags, numbers and dates."""

@@ -23,6 +23,10 @@ SIDES = {
         union all
         select o_orderkey + 10000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
         from {orders} where o_orderkey % 101 = 3""",
+    "orders_slim": "select o_orderkey, o_custkey, o_totalprice, o_orderpriority from {orders}",
+    "orders_hot_key": """
+        select case when o_orderkey % 3 = 1 then 7 when o_orderkey % 89 = 8 then null else o_orderkey end o_orderkey,
+               o_custkey, o_totalprice, o_orderpriority from {orders}""",
     "orders_copies_source": """
         select * from {orders}
         union all select * from {orders} where o_orderkey % 103 = 2

@@ -33,3 +33,119 @@ def test_golden_case(spark):
         ("Datatype Validation", "Pass", ""),
         ("Duplicate Validation", "Pass", ""),
     ]
+
+
+def found(result, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in result.findings.collect()), key=repr)
+
+
+def codes(result):
+    return sorted({r["code"] for r in result.findings.collect()})
+
+
+def test_a_table_equals_itself(spark):
+    df = spark.createDataFrame([(i, f"n{i}", i / 3, None) for i in range(30)], "id int, n string, x double, z string")
+    result = run_pair(spark, PairSpec(df, df))
+    assert codes(result) == ["COUNT"] and all(r[1] == "Pass" for r in facts(result))
+
+
+def test_copies_fail_the_duplicate_check_even_as_a_warning(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "id int, v string")
+    result = run_pair(spark, PairSpec(df, df))
+    assert ("Duplicate Validation", "Fail", "warning: 1 duplicate records are the same on both sides") in facts(result)
+    assert ("Data Validation", "Pass", "") in facts(result)
+
+
+def test_empty_records_are_counted_on_raw_rows(spark):
+    src = spark.createDataFrame([(1, "a"), (None, None)], "id int, v string")
+    tgt = spark.createDataFrame([(1, "a"), (None, None), (None, None), (None, None)], "id int, v string")
+    result = run_pair(spark, PairSpec(src, tgt))
+    assert ("EXTRA_EMPTY_RECORDS", 2) in found(result, "code", "count")
+    assert "EXTRA_IN_TARGET" not in codes(result)
+
+
+def test_keys_match_by_value(spark):
+    src = spark.createDataFrame([(101, "x"), (102, "y")], "id int, v string")
+    tgt = spark.createDataFrame([("101.0", "x"), ("102", "z")], "id string, v string")
+    result = run_pair(spark, PairSpec(src, tgt, declared_key=("ID",)))
+    rows = [(r["code"], r["key"]) for r in result.findings.collect() if r["code"] == "VALUE_MISMATCH"]
+    assert rows == [("VALUE_MISMATCH", {"ID": "102"})]
+    assert result.key.origin == "declared"
+
+
+def test_renamed_columns(spark):
+    src = spark.createDataFrame([(1, 5, "a"), (2, 6, "b")], "id int, qty int, t string")
+    tgt = spark.createDataFrame([(1, 5, "a"), (2, 7, "b")], "code int, amount int, t string")
+    result = run_pair(spark, PairSpec(src, tgt, "id,qty,t", "code,amount"))
+    assert ("MISMATCH_COUNT", "QTY", "AMOUNT", 1) in found(result, "code", "source_column", "target_column", "count")
+
+
+def test_source_keys_that_meet_after_normalising(spark):
+    """'1' and '1.0' are one number: such rows are compared as whole rows."""
+    src = spark.createDataFrame([("1", "a"), ("1.0", "b"), ("2", "c")], "id string, v string")
+    tgt = spark.createDataFrame([("1", "b"), ("2", "d")], "id string, v string")
+    result = run_pair(spark, PairSpec(src, tgt, declared_key=("ID",)), RunConfig(max_error_records=3))
+    assert result.key.columns == ("ID",)
+    assert ("EXTRA_IN_SOURCE", 1) in found(result, "code", "count")
+    assert "EXTRA_IN_TARGET" not in codes(result)
+    assert [r["key"] for r in result.findings.collect() if r["code"] == "VALUE_MISMATCH"] == [{"ID": "2"}]
+
+
+def test_repeated_null_keys_match_as_a_set(spark):
+    src = spark.createDataFrame([(None, f"v{i}") for i in range(40)] + [(1, "v1"), (2, "v1")], "id int, v string")
+    tgt = spark.createDataFrame([(None, f"v{i}") for i in range(3, 45)] + [(1, "v1"), (2, "w")], "id int, v string")
+    result = run_pair(spark, PairSpec(src, tgt))
+    assert result.key.columns == ("ID",) and result.key.origin == "discovered_ignoring_nulls"
+    got = found(result, "code", "count")
+    assert ("EXTRA_IN_SOURCE", 3) in got and ("EXTRA_IN_TARGET", 5) in got and ("MISMATCH_COUNT", 1) in got
+
+
+def test_single_null_key_is_joined(spark):
+    src = spark.createDataFrame([(None, "a", 1), (1, "b", 1), (2, "c", 1)], "id int, v string, w int")
+    tgt = spark.createDataFrame([(None, "z", 1), (1, "b", 1), (2, "c", 1)], "id int, v string, w int")
+    result = run_pair(spark, PairSpec(src, tgt, declared_key=("ID",)))
+    assert [(r["key"], r["source_value"], r["target_value"]) for r in result.findings.collect()
+            if r["code"] == "VALUE_MISMATCH"] == [({"ID": "null"}, "a", "z")]
+
+
+def test_empty_source_has_no_key(spark):
+    src = spark.createDataFrame([], "id int, v string")
+    tgt = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    result = run_pair(spark, PairSpec(src, tgt))
+    assert result.key.origin == "none"
+    assert ("EXTRA_IN_TARGET", 2) in found(result, "code", "count")
+    assert ("Data Validation", "Fail", "2 extra records in target") in facts(result)
+
+
+def test_maps_are_reported_and_the_rest_compared(spark):
+    src = spark.sql("select 1 as id, map('a', 1) as m, array(1, 2) as l, 'x' as v")
+    tgt = spark.sql("select 1 as id, map('a', 1) as m, array(1, 3) as l, 'x' as v")
+    result = run_pair(spark, PairSpec(src, tgt, declared_key=("ID",)))
+    got = found(result, "code", "source_column", "source_value", "target_value")
+    assert ("UNSUPPORTED_TYPE", "M", None, None) in got
+    assert ("VALUE_MISMATCH", "L", "[1,2]", "[1,3]") in got
+
+
+def test_odd_column_names(spark):
+    src = spark.createDataFrame([(1, "a", "it's")], "`the id` int, `a.b` string, `x'y` string")
+    tgt = spark.createDataFrame([(1, "b", "it's")], "`the id` int, `a.b` string, `x'y` string")
+    result = run_pair(spark, PairSpec(src, tgt, declared_key=("THE ID",)))
+    assert ("VALUE_MISMATCH", "A.B", {"THE ID": "1"}) in found(result, "code", "source_column", "key")
+
+
+def test_columns_that_differ_become_a_report_row(spark):
+    src, tgt = spark.sql("select 1 as a"), spark.sql("select 1 as b")
+    rows = facts(run_pair(spark, PairSpec(src, tgt)))
+    assert len(rows) == 1 and rows[0][1] == "Fail" and "COLUMNS_DIFFER" in rows[0][2]
+
+
+def test_injected_changes_are_reported_exactly(spark):
+    rows = [(i, f"name {i}", i * 1.5, i % 2 == 0) for i in range(300)]
+    changed = [(i, n + "!" if i % 50 == 7 else n, x + 1 if i % 60 == 1 else x, b) for i, n, x, b in rows if i % 100 != 3]
+    schema = "id int, n string, x double, b boolean"
+    result = run_pair(spark, PairSpec(spark.createDataFrame(rows, schema), spark.createDataFrame(changed, schema)),
+                      RunConfig(max_error_records=2))
+    got = found(result, "code", "source_column", "count")
+    assert ("EXTRA_IN_SOURCE", None, 3) in got
+    assert ("MISMATCH_COUNT", "N", 6) in got and ("MISMATCH_COUNT", "X", 5) in got
+    assert sum(g[0] == "VALUE_MISMATCH" for g in got) == 4

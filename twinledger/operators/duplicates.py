@@ -36,7 +36,7 @@ def surplus_total(surplus: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_groups(src_surplus: DataFrame, tgt_surplus: DataFrame, key, unique: bool = False) -> DataFrame:
+def duplicate_groups(src_surplus: DataFrame, tgt_surplus: DataFrame, key, target_unique: bool = False) -> DataFrame:
     """Duplicate groups of both sides matched on the key, each with its class.
 
     Only rows with surplus copies get here, so the join is small next to the
@@ -44,7 +44,7 @@ def duplicate_groups(src_surplus: DataFrame, tgt_surplus: DataFrame, key, unique
     """
     s = src_surplus.select(*key, SURPLUS)
     t = tgt_surplus.select(*key, SURPLUS)
-    joined = reconcile(s, t, key, unique=unique)
+    joined = reconcile(s, t, key, target_unique)
     a, b = F.col(f"source__{SURPLUS}"), F.col(f"target__{SURPLUS}")
     label = (
         F.when(~F.col(IN_TARGET), "DUPLICATES_ONLY_SOURCE")

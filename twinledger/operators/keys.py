@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinledger.functions import values as V
-from twinledger.operators.clean import COPIES, DIGEST
+from twinledger.operators.clean import COPIES, DIGEST, clean
 from twinledger.plans.covers import open_candidates, to_mask
 from twinledger.session import Staged
 
@@ -25,6 +25,7 @@ from twinledger.session import Staged
 class KeyResult:
     columns: tuple
     origin: str  # declared, discovered, discovered_ignoring_nulls, none
+    rows: int = 0  # distinct rows it was looked for on
 
 
 def key_statistics(df: DataFrame, key) -> DataFrame:
@@ -171,9 +172,10 @@ def discover_key(rows: DataFrame, columns, non_null=None, total=None,
         row = rows.agg(F.count(F.lit(1)).alias("__rows"), *[F.count(F.col(f"`{c}`")).alias(c) for c in names]).first()
         total, non_null = row["__rows"], {c: row[c] for c in names}
     if not total:
-        return KeyResult((), "none")
+        return KeyResult((), "none", 0)
 
-    whole = total <= sample_rows
+    # a table of a few samples' size is its own sample
+    whole = total <= 4 * sample_rows
     picked = rows if whole else rows.sample(False, min(1.0, sample_rows / total), seed=17)
     # long values are replaced by a digest of their whole content
     slim = [
@@ -188,15 +190,15 @@ def discover_key(rows: DataFrame, columns, non_null=None, total=None,
         full = [i for i, c in enumerate(names) if non_null[c] == total]
         found = _first_pass(rows, tested, whole, names, full, batch)
         if found:
-            return KeyResult(found, "discovered")
+            return KeyResult(found, "discovered", total)
         some = [i for i, c in enumerate(names) if non_null[c] > 0]
         found = _search(rows, tested, whole, names, some, batch, True)
         if found:
-            return KeyResult(found, "discovered_ignoring_nulls")
+            return KeyResult(found, "discovered_ignoring_nulls", total)
     finally:
         if sample is not None:
             sample.release()
-    return KeyResult((), "none")
+    return KeyResult((), "none", total)
 
 
 def _first_pass(rows, sample, whole, names, full, batch):
@@ -216,6 +218,16 @@ def with_digest(distinct: DataFrame) -> DataFrame:
     return distinct.select(*keep, F.xxhash64(*keep).alias(DIGEST))
 
 
+def find_key(df: DataFrame, columns=None, **kwargs) -> KeyResult:
+    """``discover_key`` for a frame as it was read: its distinct rows are
+    staged once for all the jobs of the search."""
+    staged = Staged(with_digest(clean(df)), "distinct")
+    try:
+        return discover_key(staged.frame, columns or df.columns, **kwargs)
+    finally:
+        staged.release()
+
+
 def resolve_key(rows: DataFrame, columns, declared=(), **kwargs):
     """Key of the source: the declared one when it lies in the compared
     columns and is proven, else a discovered one.  Returns (KeyResult, note)."""

@@ -38,32 +38,29 @@ def repeated_keys(df: DataFrame, key) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def reconcile(src: DataFrame, tgt: DataFrame, key, unique: bool = False) -> DataFrame:
-    """Full outer match of the sides on ``key``.
-
-    ``unique`` states that no key repeats on either side (proved by the
-    caller): one full outer join with partitions of even weight.  A full
-    outer join cannot be split when a key is hot, so otherwise the result is
-    put together from an inner join and two anti joins.  Adaptive execution
-    splits skewed partitions of all three, and the anti joins see each key of
-    the other side once.
+def reconcile(src: DataFrame, tgt: DataFrame, key, target_unique: bool = False) -> DataFrame:
+    """Full outer match of the sides on ``key``, which no two source rows share.
+
+    ``target_unique`` states that no target key repeats either (proved by the
+    caller): one full outer join whose partitions have even weight.  A full
+    outer join cannot be split when a target key is hot, so otherwise the
+    target rows look up their source row in an outer join that adaptive
+    execution splits along the hot key, and the source rows without any match
+    come from an anti join against the distinct target keys.
     """
     key = list(key)
     payload = [c for c in src.columns if c not in key]
     s = _side(src, key, payload, "source__", IN_SOURCE)
     t = _side(tgt, key, payload, "target__", IN_TARGET)
     n = len(key)
-    if unique:
+    if target_unique:
         joined = s.join(t, _same_key(s, t, n, "source__", "target__"), "full_outer")
         return _shape(joined, key, payload)
 
-    both = s.join(t, _same_key(s, t, n, "source__", "target__"), "inner")
+    found = t.join(s, _same_key(t, s, n, "target__", "source__"), "left_outer")
     t_keys = tgt.select(*[F.col(k).alias(f"other__#{i}") for i, k in enumerate(key)]).dropDuplicates()
-    s_keys = src.select(*[F.col(k).alias(f"other__#{i}") for i, k in enumerate(key)]).dropDuplicates()
     only_s = s.join(t_keys, _same_key(s, t_keys, n, "source__", "other__"), "left_anti")
-    only_t = t.join(s_keys, _same_key(t, s_keys, n, "target__", "other__"), "left_anti")
-    parts = both.unionByName(only_s, allowMissingColumns=True).unionByName(only_t, allowMissingColumns=True)
-    return _shape(parts, key, payload)
+    return _shape(found.unionByName(only_s, allowMissingColumns=True), key, payload)
 
 
 def _shape(joined: DataFrame, key, payload) -> DataFrame:

@@ -19,34 +19,41 @@ from twinledger.operators.clean import COPIES, DIGEST
 WHOLE_ROW = "__row"
 
 
-def _null_in(key):
-    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
+def _null_in(key) -> str:
+    return "(" + " or ".join(f"{V.quoted(k)} is null" for k in key) + ")"
 
 
 def _null_safe(left: DataFrame, right: DataFrame, pairs):
     return reduce(lambda a, b: a & b, [left[x].eqNullSafe(right[y]) for x, y in pairs])
 
 
-def separate_repeated_null_keys(src: DataFrame, tgt: DataFrame, key, columns):
-    """Add ``__row`` to the key of both sides.
+def collapse(df: DataFrame, columns) -> DataFrame:
+    """Rows that became equal by normalising, merged; surplus copies add up."""
+    return df.groupBy(*columns).agg((F.sum(F.col(COPIES) - 1) + 1).alias(COPIES))
 
-    It is null except for rows whose key holds a null and repeats on a side.
-    Such rows would match each other many to many; with the whole row as part
-    of the key they match as a multiset of rows instead.
+
+def match_whole_rows(src: DataFrame, tgt: DataFrame, key, columns, scope: str):
+    """Add ``__row`` to both sides, to be matched beside the key.
+
+    It is null except for rows inside ``scope`` whose key repeats: null-bearing
+    keys on either side, other keys on the source.  Such rows would match each
+    other many to many; with the whole row as part of the key they match as a
+    set of rows instead, and no source row shares its match key with another.
     """
-    def tuples(df):
-        return R.repeated_keys(df.where(_null_in(key)).select(*key), key).select(*key)
+    def tuples(df, where):
+        return R.repeated_keys(df.where(where).select(*key), key).select(*key)
 
-    repeated = tuples(src).unionByName(tuples(tgt)).dropDuplicates()
+    repeated = tuples(src, scope).unionByName(tuples(tgt, f"{scope} and {_null_in(key)}")).dropDuplicates()
     repeated = repeated.select(*[F.col(k).alias(f"__rep_{i}") for i, k in enumerate(key)], F.lit(True).alias("__hot"))
-    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    row = F.struct(*[F.col(c) for c in columns])
 
     def mark(df):
-        nulls = df.where(_null_in(key))
-        joined = nulls.join(repeated, _null_safe(nulls, repeated, [(k, f"__rep_{i}") for i, k in enumerate(key)]), "left")
-        joined = joined.withColumn(WHOLE_ROW, F.when(F.col("__hot"), row)).select(*df.columns, WHOLE_ROW)
-        plain = df.where(~_null_in(key)).withColumn(WHOLE_ROW, F.when(F.lit(False), row))
-        return plain.unionByName(joined)
+        inside = df.where(scope)
+        keys = [(k, f"__rep_{i}") for i, k in enumerate(key)]
+        marked = inside.join(repeated, _null_safe(inside, repeated, keys), "left")
+        marked = marked.withColumn(WHOLE_ROW, F.when(F.col("__hot"), row)).select(*df.columns, WHOLE_ROW)
+        outside = df.where(f"not ({scope})").withColumn(WHOLE_ROW, F.when(F.lit(False), row))
+        return outside.unionByName(marked)
 
     return mark(src), mark(tgt)
 
@@ -71,8 +78,7 @@ class Comparison:
     names; ``source_names`` and ``target_names`` give the names to report.
     """
 
-    def __init__(self, src, tgt, columns, source_names, target_names, key, src_facts, tgt_facts, formats=V.DATE_FORMATS,
-                 key_proven=True):
+    def __init__(self, src, tgt, columns, source_names, target_names, key, src_facts, tgt_facts, formats=V.DATE_FORMATS):
         self.columns, self.key = list(columns), list(key)
         self.source_names, self.target_names = source_names, target_names
         self.src_facts, self.tgt_facts = src_facts, tgt_facts
@@ -82,28 +88,35 @@ class Comparison:
         self._src = C.normalize(src.drop(DIGEST), self.classes, "source").dropna("all", subset=self.columns)
         self._tgt = C.normalize(tgt.drop(DIGEST), self.classes, "target").dropna("all", subset=self.columns)
         self.match_key = list(self.key)
-        self.unique = self.target_unique = False
+        self.target_unique = False
         if not self.key:
+            # only a source without rows has no key
+            self._src, self._tgt = (collapse(df, self.columns) for df in (self._src, self._tgt))
+            self.match_key, self.target_unique = self.columns, True
             return
-        rows = (src_facts.rows - src_facts.surplus_rows, tgt_facts.rows - tgt_facts.surplus_rows)
-        has_null = any(
-            facts.columns[k].values < n - (1 if facts.empty_rows else 0)
-            for facts, n in zip((src_facts, tgt_facts), rows) for k in self.key
-        )
-        if has_null:
-            self._src, self._tgt = separate_repeated_null_keys(self._src, self._tgt, self.key, self.columns)
-            self.match_key.append(WHOLE_ROW)
-        proven = key_proven and not has_null and all(keeps_distinct(types[k], self.classes[k]) for k in self.key)
-        self._prove_unique(proven)
-
-    def _prove_unique(self, source_proven: bool) -> None:
-        """Do keys repeat on a side?  Grouping by key alone, one job."""
-        count = lambda df: R.repeated_keys(df.select(*self.match_key), self.match_key).limit(1)
-        sides = [("t", self._tgt)] + ([] if source_proven else [("s", self._src)])
-        marks = [count(df).select(F.lit(tag).alias("side")) for tag, df in sides]
-        hit = {r["side"] for r in reduce(lambda a, b: a.unionByName(b), marks).collect()}
-        self.target_unique = "t" not in hit
-        self.unique = not hit
+        # the key was found on raw values: may its normalised values repeat?
+        exact = all(keeps_distinct(types[k], self.classes[k]) for k in self.key)
+        if not exact and self._repeats(self._src):
+            self._src, self._tgt = (collapse(df, self.columns) for df in (self._src, self._tgt))
+            self._match_whole_rows("true")
+        elif self._null_in_key():
+            self._match_whole_rows(_null_in(self.key))
+        self.target_unique = not self._repeats(self._tgt)
+
+    def _match_whole_rows(self, scope: str) -> None:
+        self._src, self._tgt = match_whole_rows(self._src, self._tgt, self.key, self.columns, scope)
+        self.match_key = [*self.key, WHOLE_ROW]
+
+    def _null_in_key(self) -> bool:
+        for facts in (self.src_facts, self.tgt_facts):
+            rows = facts.rows - facts.surplus_rows - (1 if facts.empty_rows else 0)
+            if any(facts.columns[k].values < rows for k in self.key):
+                return True
+        return False
+
+    def _repeats(self, df: DataFrame) -> bool:
+        """Does a match key repeat?  Only key columns are shuffled."""
+        return not R.repeated_keys(df.select(*self.match_key), self.match_key).isEmpty()
 
     # -- data ---------------------------------------------------------------
 
@@ -129,7 +142,7 @@ class Comparison:
         if not self.key:
             return self._keyless_findings()
         payload = [c for c in self.columns if c not in self.key]
-        joined = R.reconcile(self._src.drop(COPIES), self._tgt.drop(COPIES), self.match_key, self.unique)
+        joined = R.reconcile(self._src.drop(COPIES), self._tgt.drop(COPIES), self.match_key, self.target_unique)
         if payload and limit:
             # the rows that differ are kept for the two readers below; both
             # values of unmatched rows are dropped
@@ -173,8 +186,7 @@ class Comparison:
         )
 
     def _keyless_findings(self) -> DataFrame:
-        diff = R.multiset_difference(self._src.select(*self.columns).dropDuplicates(),
-                                     self._tgt.select(*self.columns).dropDuplicates())
+        diff = R.multiset_difference(self._src.select(*self.columns), self._tgt.select(*self.columns))
         wide = diff.selectExpr("coalesce(sum(surplus_in_source), 0L) as s", "coalesce(sum(surplus_in_target), 0L) as t")
         items = [_item("EXTRA_IN_SOURCE", "s"), _item("EXTRA_IN_TARGET", "t")]
         return _as_findings(wide.selectExpr(f"inline(array({', '.join(items)}))").where("count > 0"), DATA_CHECK)
@@ -190,9 +202,8 @@ class Comparison:
             return [finding(DUPLICATE_CHECK, "EXTRA_DUPLICATES", count=t)], None
         if not t:
             return [finding(DUPLICATE_CHECK, "DUPLICATES_NOT_LOADED", count=s)], None
-        key = self.match_key or self.columns
-        groups = D.duplicate_groups(D.surplus_of_copies(self._src), D.surplus_of_copies(self._tgt), key,
-                                    unique=self.unique)
+        groups = D.duplicate_groups(D.surplus_of_copies(self._src), D.surplus_of_copies(self._tgt),
+                                    self.match_key, self.target_unique)
         counted = D.duplicate_classes(groups).select("code", F.col("groups").alias("count"))
         return [], _as_findings(counted, DUPLICATE_CHECK)
 

@@ -58,12 +58,16 @@ def read_file(spark: SparkSession, ref: FileRef) -> DataFrame:
     return upper_header(df)
 
 
-def upper_header(df: DataFrame) -> DataFrame:
-    names = [c.upper() for c in df.columns]
-    twice = {c for c in names if names.count(c) > 1}
+def require_distinct(names) -> None:
+    upper = [c.upper() for c in names]
+    twice = {c for c in upper if upper.count(c) > 1}
     if twice:
         raise DatasetError("DUPLICATE_COLUMN", ",".join(sorted(twice)))
-    return df.toDF(*names)
+
+
+def upper_header(df: DataFrame) -> DataFrame:
+    require_distinct(df.columns)
+    return df.toDF(*[c.upper() for c in df.columns])
 
 
 def read_csv(spark: SparkSession, ref: FileRef) -> DataFrame:
@@ -77,13 +81,16 @@ def read_csv(spark: SparkSession, ref: FileRef) -> DataFrame:
         "header": True, "sep": ",", "encoding": "UTF-8", "quote": '"', "escape": '"',
         "multiLine": not ref.splittable, **ref.options,
     }
-    header = spark.read.options(**options).csv(ref.path)
-    if not header.columns:
+    # the names as written: the reader itself would rename repeated ones
+    header = spark.read.options(**{**options, "header": False}).csv(ref.path).head()
+    if header is None:
         raise DatasetError("FILE_EMPTY", ref.path)
-    fields = [T.StructField(c, T.StringType()) for c in header.columns]
+    names = [name or f"_C{i}" for i, name in enumerate(header)]
+    require_distinct(names)
+    fields = [T.StructField(c, T.StringType()) for c in names]
     schema = T.StructType(fields + [T.StructField(OVERFLOW, T.StringType())])
     df = spark.read.options(**options).schema(schema).csv(ref.path)
     fits = F.when(F.col(OVERFLOW).isNull(), True).otherwise(F.raise_error(F.lit(f"{MALFORMED}: {ref.path}")))
     return df.where(fits.cast("boolean")).selectExpr(
-        *[f"{V.null_tokens_to_null(V.quoted(c), ref.null_tokens)} as {V.quoted(c)}" for c in header.columns]
+        *[f"{V.null_tokens_to_null(V.quoted(c), ref.null_tokens)} as {V.quoted(c)}" for c in names]
     )
