@@ -128,6 +128,7 @@ select case when max(n) = 1 then 1 else 2 end::integer as status, sum(n)::bigint
 
 
 ORACLES["declared_key_violated"] = declared("lineitem", "l_orderkey", "l_linenumber")
+ORACLES["declared_key_copies"] = declared(f"({sql('orders_copies_source')})", "o_orderkey")
 ORACLES["declared_key_check"] = declared("conversations", "conv_id", "turn")
 
 

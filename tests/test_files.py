@@ -107,3 +107,51 @@ def test_sinks_append(spark, tmp_path):
     assert spark.table("tl_report").count() == 2 * n
     with pytest.raises(DatasetError):
         reports.write_report(rows, RunConfig(output_type="CSV"))
+
+
+def test_command_line(spark, tmp_path):
+    from twinledger.__main__ import main
+
+    put(tmp_path / "a.csv", "id,v\n1,x\n2,y\n")
+    put(tmp_path / "b.csv", "id,v\n1,x\n2,z\n")
+    put(tmp_path / "map.csv", "SQLServer,Snowflake\nint,number\n")
+    header = ",".join(MANIFEST_COLUMNS)
+    put(tmp_path / "pairs.csv", f"{header}\n,,,{tmp_path}/a.csv,,,,,{tmp_path}/b.csv,\n")
+    main(["--manifest", f"{tmp_path}/pairs.csv", "--mapping", f"{tmp_path}/map.csv",
+          "--output", f"{tmp_path}/out", "--examples", "1"])
+    back = spark.read.csv(f"{tmp_path}/out", header=True, escape='"')
+    assert {r["Validation_Result"] for r in back.where("Validation_type = 'Data Validation'").collect()} == {"Fail"}
+
+
+def test_without_a_shared_folder_rows_are_cached(spark, tmp_path, monkeypatch):
+    from twinledger import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda spark: None)
+    src = spark.createDataFrame([(i, i % 3) for i in range(50)], "id int, v int")
+    tgt = spark.createDataFrame([(i, i % 4) for i in range(50)], "id int, v int")
+    staged = session.Staged(src)
+    assert staged.frame.storageLevel.useDisk and staged.frame.count() == 50
+    staged.release()
+    result = run_pair(spark, PairSpec(src, tgt), RunConfig(max_error_records=1))
+    assert result.key.columns == ("ID",)
+    assert "VALUE_MISMATCH" in {r["code"] for r in result.findings.collect()}
+
+
+def test_shared_folder_is_read_from_the_session(spark, tmp_path):
+    from twinledger import session
+
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    except Exception:  # fixed for the life of the session: then it must be the one used
+        root = before
+    else:
+        root = str(tmp_path)
+    try:
+        assert session.shared_dir(spark) == root
+        staged = session.Staged(spark.range(5))
+        assert staged.frame.count() == 5 and root in staged.frame.inputFiles()[0]
+        staged.release()
+    finally:
+        if root != before and before is not None:
+            spark.conf.set("spark.checkpoint.dir", before)

@@ -97,4 +97,9 @@ def test_declared_key_is_proven_or_replaced(spark, declared, columns, note):
 def test_copies_of_a_row_do_not_break_a_key(spark):
     df = spark.createDataFrame([(1, 5)] * 50 + [(2, 5)], "k int, v int")
     assert keys.find_key(df).columns == ("k",)
-    assert keys.declared_key_check(clean.clean(df), ["k"]).first()["status"] == 1
+    for frame, distinct in ((df, False), (clean.clean(df), True)):
+        r = keys.declared_key_check(frame, ["k"], distinct).first()
+        assert (r["status"], r["keyed_rows"], r["distinct_keys"]) == (1, 2, 2)
+    bad = df.union(spark.createDataFrame([(1, 6), (None, 1), (None, 2)], "k int, v int"))
+    r = keys.declared_key_check(bad, ["k"]).first()
+    assert (r["status"], r["keyed_rows"], r["distinct_keys"]) == (2, 3, 2)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
@@ -136,7 +136,7 @@ class RunConfig:
     null_tokens: tuple[str, ...] | None = None
     key_sample_rows: int = 50_000
     csv_splittable: bool = False
-    labels: dict = field(default_factory=dict)
+    concurrent_pairs: int = 4
 
     def __post_init__(self):
         n = self.max_error_records

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -45,8 +47,8 @@ HELD_FINDINGS = 10_000
 class PairSpec:
     """One row of a manifest after its references are resolved.
 
-    A side is a FileRef, TableRef, JdbcRef, or a DataFrame with a label in
-    the configuration (``labels``: 'source' / 'target').
+    A side is a FileRef, TableRef, JdbcRef or a DataFrame; ``labels`` name the
+    sides in the report where the reference does not.
     """
 
     source: object
@@ -259,21 +261,24 @@ def pair_spec(row: dict, config: RunConfig) -> PairSpec:
 
 def run_manifest(spark: SparkSession, manifest: DataFrame, config: RunConfig | None = None,
                  mapping: DataFrame | None = None, execution_time: datetime | None = None) -> DataFrame:
-    """Validate every pair of the manifest and return the combined report."""
+    """Validate every pair of the manifest and return the combined report.
+
+    A few pairs are in work at once: the small jobs of one fill the gaps of
+    another, and the cluster's scheduler shares the executors among them.
+    """
     config = config or RunConfig()
-    reports = []
-    for row in read_manifest(manifest):
+
+    def validate(row):
         try:
             spec = pair_spec(row, config)
         except DatasetError as e:
-            labels = (row["SourceTable"] or row["SourceFilePath"] or "", row["TargetTable"] or row["TargetFilePath"] or "")
-            result = _failed(spark, str(e), labels, execution_time)
-        else:
-            result = run_pair(spark, spec, config, mapping, execution_time)
-        reports.append(result.report)
-    if not reports:
+            labels = tuple(row[f"{side}Table"] or row[f"{side}FilePath"] or "" for side in ("Source", "Target"))
+            return _failed(spark, str(e), labels, execution_time)
+        return run_pair(spark, spec, config, mapping, execution_time)
+
+    rows = read_manifest(manifest)
+    if not rows:
         raise DatasetError("BAD_MANIFEST", "manifest has no pairs")
-    out = reports[0]
-    for r in reports[1:]:
-        out = out.unionByName(r)
-    return out
+    with ThreadPoolExecutor(max(1, config.concurrent_pairs)) as pool:
+        results = list(pool.map(validate, rows))
+    return reduce(DataFrame.unionByName, [r.report for r in results])
