@@ -42,6 +42,8 @@ ORACLES["count_copies"] = f"""
 select {ORDER_OUT}, n as copies from (
   select {ORDER_COLUMNS}, count(*) as n from ({sql('orders_copies_source')}) group by all)"""
 
+ORACLES["count_copies_by_digest"] = ORACLES["count_copies"]
+
 ORACLES["null_tokens"] = f"""
 select event_id, event_type,
        case when value in ('', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN',

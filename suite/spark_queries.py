@@ -95,6 +95,14 @@ def count_copies(spark, sf):
     return day(clean.count_copies(df), "o_orderdate").drop(clean.DIGEST).withColumnRenamed(clean.COPIES, "copies")
 
 
+@query
+def count_copies_by_digest(spark, sf):
+    """The form that shuffles only rows with a repeated digest."""
+    df = side(spark, sf, "orders_copies_source")
+    out = clean.count_copies_of(df, clean.repeated_digests(df))
+    return day(out, "o_orderdate").drop(clean.DIGEST).withColumnRenamed(clean.COPIES, "copies")
+
+
 @query
 def null_tokens(spark, sf):
     df = side(spark, sf, "events_tokens")

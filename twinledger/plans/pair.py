@@ -27,13 +27,13 @@ from twinledger.model import (
     finding,
 )
 from twinledger.operators import classes as C
-from twinledger.operators.clean import COPIES, count_copies
+from twinledger.operators.clean import COPIES, count_copies, count_copies_of, repeated_digests
 from twinledger.operators.datatypes import datatype_comparison, datatype_findings
 from twinledger.operators.keys import KeyResult, resolve_key
 from twinledger.plans.comparison import Comparison, by_code
 from twinledger.plans.pairing import align, pair_columns, split_names, split_supported
 from twinledger.plans.report import findings_frame, report
-from twinledger.session import Staged, stage_both
+from twinledger.session import Staged
 from twinledger.sources import jdbc, metadata
 from twinledger.sources.files import MALFORMED, FileRef, read_file
 from twinledger.sources.jdbc import JdbcRef
@@ -41,6 +41,7 @@ from twinledger.sources.tables import TableRef, read_table
 
 
 HELD_FINDINGS = 10_000
+BROADCAST_ROWS = 1_000_000  # of one bigint each
 
 
 @dataclass(frozen=True)
@@ -147,8 +148,8 @@ def _validate(spark, spec, config, mapping, execution_time, labels) -> PairResul
               for c in unsupported]
     formats = config.date_formats or V.DATE_FORMATS
 
-    # one wide shuffle per side; every later step reads the staged rows
-    s, t = stage_both(count_copies(src.select(*columns)), count_copies(tgt.select(*columns)))
+    with ThreadPoolExecutor(2) as pool:  # the sides do not depend on each other
+        s, t = pool.map(stage_side, (src.select(*columns), tgt.select(*columns)), (spec.source, spec.target))
     comparison = None
     try:
         s_facts, t_facts = C.collect_facts(s.frame, t.frame, columns, formats)
@@ -189,6 +190,28 @@ def _validate(spark, spec, config, mapping, execution_time, labels) -> PairResul
     )
 
 
+def stage_side(df: DataFrame, ref) -> Staged:
+    """Distinct rows with copies, computed once for all checks.
+
+    Files and tables are scanned twice: first for row digests alone, then for
+    the rows, of which only those with a repeated digest are shuffled.  A
+    database or a derived frame is read once and grouped as a whole, as are
+    sides with more repeated digests than may be sent to every task.
+    """
+    if not isinstance(ref, (FileRef, TableRef)):
+        return Staged(count_copies(df), "side")
+    repeated = Staged(repeated_digests(df), "repeated")
+    try:
+        if repeated.frame.count() > BROADCAST_ROWS:
+            return Staged(count_copies(df), "side")
+        side = Staged(count_copies_of(df, repeated.frame), "side")
+        if side.lazy:
+            side.frame.count()
+        return side
+    finally:
+        repeated.release()
+
+
 def _count_finding(s: int, t: int):
     code = "COUNT" if s == t else "COUNT_MISMATCH"
     return finding(COUNT_CHECK, code, count=abs(s - t), source_value=str(s), target_value=str(t))

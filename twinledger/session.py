@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -31,12 +30,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/twinledger/{name}-{uuid.uuid4().hex}"
 
 
-def stage_both(one: DataFrame, two: DataFrame):
-    """Stage two independent frames at the same time."""
-    with ThreadPoolExecutor(2) as pool:
-        return tuple(pool.map(Staged, (one, two), ("source", "target")))
-
-
 class Staged:
     """A frame that several jobs read, computed once.
 
@@ -58,6 +51,11 @@ class Staged:
             self._cached = frame.persist(StorageLevel.MEMORY_AND_DISK)
             self.frame = self._cached
 
+    @property
+    def lazy(self) -> bool:
+        """Not computed before its first reader."""
+        return self._cached is not None
+
     def release(self) -> None:
         """Give back the space; frames derived from this one must be done."""
         if self._cached is not None:
