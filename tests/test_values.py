@@ -77,5 +77,6 @@ def test_quotes_in_literals(spark):
 
 def test_maps_are_found_at_any_depth():
     inner = T.ArrayType(T.StructType([T.StructField("m", T.MapType(S, S))]))
-    assert V.contains_map(inner)
-    assert not V.contains_map(T.ArrayType(S))
+    assert not V.is_comparable(inner)
+    assert not V.is_comparable(T.VariantType())
+    assert V.is_comparable(T.ArrayType(S))

@@ -49,14 +49,18 @@ def is_numeric_type(dtype: T.DataType) -> bool:
     return isinstance(dtype, INTEGRAL + FLOATING + (T.DecimalType,))
 
 
-def contains_map(dtype: T.DataType) -> bool:
-    if isinstance(dtype, T.MapType):
-        return True
+# types without an order or an equality, in which rows cannot be grouped
+UNCOMPARABLE = (T.MapType, T.VariantType, T.CalendarIntervalType)
+
+
+def is_comparable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, UNCOMPARABLE):
+        return False
     if isinstance(dtype, T.ArrayType):
-        return contains_map(dtype.elementType)
+        return is_comparable(dtype.elementType)
     if isinstance(dtype, T.StructType):
-        return any(contains_map(f.dataType) for f in dtype.fields)
-    return False
+        return all(is_comparable(f.dataType) for f in dtype.fields)
+    return True
 
 
 def quoted(name: str) -> str:

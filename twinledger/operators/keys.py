@@ -124,42 +124,46 @@ def _evidence(rows: DataFrame, names, candidates):
     return {to_mask(i for i, bit in enumerate(m["mask"]) if bit == "1") for m in masks}, free
 
 
-def _search(rows, sample, whole_sample, names, allowed, batch, require_rows):
-    """First key among the allowed columns, or None."""
-    agreements, excluded = set(), []
-    covered = lambda m: any(m & a == m for a in agreements)
-    settled_unique = set()  # sample repeats nothing inside these
+def _names_in(mask: int, names):
+    return [n for j, n in enumerate(names) if mask >> j & 1]
+
+
+def _covered(mask: int, agreements) -> bool:
+    return any(mask & a == mask for a in agreements)
+
+
+def _settle(rows: DataFrame, names, candidates, agreements: set) -> set:
+    """The candidates that are unique on ``rows``; what refutes the others is
+    added to ``agreements``."""
+    masks, free = _evidence(rows, names, candidates)
+    agreements |= masks
+    unique = set(free)
+    for m in candidates:
+        if m in unique or _covered(m, agreements):
+            continue
+        cols = _names_in(m, names)  # only hash collisions were seen: group by the values
+        if _has_repeats(rows.select(*cols).dropna(how="any"), cols):
+            agreements.add(m)
+        else:
+            unique.add(m)
+    return unique
+
+
+def _search(rows, sample, names, allowed, agreements, batch, require_rows):
+    """First key among the allowed columns, or None.  ``sample`` is ``rows``
+    itself when that is small."""
+    excluded, passed = [], set()  # passed: the sample repeats nothing inside these
     for size in range(1, len(allowed) + 1):
-        while True:
-            todo = open_candidates(allowed, agreements, size, batch, excluded)
-            if not todo:
-                break
-            fresh = [m for m in todo if m not in settled_unique]
+        while todo := open_candidates(allowed, agreements, size, batch, excluded):
+            fresh = [m for m in todo if m not in passed]
             if fresh:
-                masks, free = _evidence(sample, names, fresh)
-                agreements |= masks
-                settled_unique.update(free)
-                stuck = [m for m in fresh if m not in free and not covered(m)]
-                for m in stuck:  # only hash collisions were seen: compare values
-                    cols = [n for j, n in enumerate(names) if m >> j & 1]
-                    if _has_repeats(sample.select(*cols).dropna(how="any"), cols):
-                        agreements.add(m)
-                    else:
-                        settled_unique.add(m)
-                if covered(todo[0]):
-                    continue
+                passed |= _settle(sample, names, fresh, agreements)
             first = todo[0]
-            if first not in settled_unique:
+            if first not in passed:
                 continue
-            cols = [n for j, n in enumerate(names) if first >> j & 1]
-            if not whole_sample:
-                masks, free = _evidence(rows, names, [first])
-                agreements |= masks
-                if not free and not covered(first):
-                    if _has_repeats(rows.select(*cols).dropna(how="any"), cols):
-                        agreements.add(first)
-                if covered(first):
-                    continue
+            if sample is not rows and not _settle(rows, names, [first], agreements):
+                continue
+            cols = _names_in(first, names)
             if require_rows and rows.select(*cols).dropna(how="any").isEmpty():
                 excluded.append(first)
                 continue
@@ -195,13 +199,18 @@ def discover_key(rows: DataFrame, columns, non_null=None, total=None,
     ]
     sample = None if whole else Staged(picked.selectExpr(DIGEST, *slim), "key-sample")
     tested = rows if whole else sample.frame
+    agreements = set()
     try:
-        full = [i for i, c in enumerate(names) if non_null[c] == total]
-        found = _first_pass(rows, tested, whole, names, full, batch)
+        complete = [i for i, c in enumerate(names) if non_null[c] == total]
+        found = None
+        # no subset can be unique when all complete columns together are not;
+        # all columns are, because the rows are distinct
+        if complete and (len(complete) == len(names) or _settle(rows, names, [to_mask(complete)], agreements)):
+            found = _search(rows, tested, names, complete, agreements, batch, False)
         if found:
             return KeyResult(found, "discovered", total)
         some = [i for i, c in enumerate(names) if non_null[c] > 0]
-        found = _search(rows, tested, whole, names, some, batch, True)
+        found = _search(rows, tested, names, some, agreements, batch, True)
         if found:
             return KeyResult(found, "discovered_ignoring_nulls", total)
     finally:
@@ -210,17 +219,6 @@ def discover_key(rows: DataFrame, columns, non_null=None, total=None,
     return KeyResult((), "none", total)
 
 
-def _first_pass(rows, sample, whole, names, full, batch):
-    if not full:
-        return None
-    if len(full) < len(names):
-        # no subset can be unique when all complete columns together are not
-        cols = [names[i] for i in full]
-        if _has_repeats(rows, cols):
-            return None
-    return _search(rows, sample, whole, names, full, batch, False)
-
-
 def with_digest(distinct: DataFrame) -> DataFrame:
     """Distinct rows as ``discover_key`` takes them."""
     keep = [c for c in distinct.columns if c not in (COPIES, DIGEST)]

@@ -297,7 +297,11 @@ def run_manifest(spark: SparkSession, manifest: DataFrame, config: RunConfig | N
         except DatasetError as e:
             labels = tuple(row[f"{side}Table"] or row[f"{side}FilePath"] or "" for side in ("Source", "Target"))
             return _failed(spark, str(e), labels, execution_time)
-        return run_pair(spark, spec, config, mapping, execution_time)
+        try:
+            return run_pair(spark, spec, config, mapping, execution_time)
+        except PySparkException as e:  # the other pairs still get their rows
+            labels = tuple(_label(r, None) for r in (spec.source, spec.target))
+            return _failed(spark, f"JOB_FAILED: {str(e).splitlines()[0]}", labels, execution_time)
 
     rows = read_manifest(manifest)
     if not rows:

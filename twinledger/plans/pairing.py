@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinledger.functions.values import contains_map
+from twinledger.functions.values import is_comparable
 from twinledger.model import ColumnPair, DatasetError
 
 
@@ -66,10 +66,10 @@ def align(src: DataFrame, tgt: DataFrame, pairs, names=None):
 
 
 def split_supported(src: DataFrame, tgt: DataFrame):
-    """(comparable column names, names with a map on either side)."""
+    """(comparable column names, names that are not on either side)."""
     a = {f.name: f.dataType for f in src.schema.fields}
     b = {f.name: f.dataType for f in tgt.schema.fields}
-    bad = [c for c in src.columns if contains_map(a[c]) or contains_map(b[c])]
+    bad = [c for c in src.columns if not (is_comparable(a[c]) and is_comparable(b[c]))]
     return [c for c in src.columns if c not in bad], bad
 
 

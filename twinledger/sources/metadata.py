@@ -34,6 +34,7 @@ TYPE_NAMES = {
     T.VarcharType: ("VARCHAR", "VARCHAR", "TEXT"),
     T.BinaryType: ("BINARY", "VARBINARY", "BINARY"),
     T.DateType: ("DATE", "DATE", "DATE"),
+    T.TimeType: ("TIME", "TIME", "TIME"),
     T.TimestampType: ("TIMESTAMP", "DATETIME2", "TIMESTAMP_TZ"),
     T.TimestampNTZType: ("TIMESTAMP_NTZ", "DATETIME2", "TIMESTAMP_NTZ"),
     T.ArrayType: ("ARRAY", "ARRAY", "ARRAY"),
