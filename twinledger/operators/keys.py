@@ -84,8 +84,8 @@ def _evidence(rows: DataFrame, names, candidates):
     """Agreements of row pairs that repeat a candidate, and the candidates
     that no group repeats.
 
-    Per candidate the rows are grouped by a hash of its columns, which spares
-    the shuffle long texts; of the groups with several rows two pairs of row
+    Per candidate the rows are grouped by 96 bits of hash of its columns, which
+    spares the shuffle long texts; of the groups with several rows two pairs of row
     digests per candidate come back.  The pairs are then compared on the real
     values, so a hash collision can delay a decision but not falsify it.
     Returns (agreement masks, candidates without any repeated group).
@@ -93,12 +93,13 @@ def _evidence(rows: DataFrame, names, candidates):
     tuples = []
     for i, mask in enumerate(candidates):
         cols = [V.quoted(n) for j, n in enumerate(names) if mask >> j & 1]
-        filled = " and ".join(f"{c} is not null" for c in cols)
-        tuples.append(f"struct({i} as cand, case when {filled} then xxhash64({', '.join(cols)}) end as hash)")
+        filled, listed = " and ".join(f"{c} is not null" for c in cols), ", ".join(cols)
+        tuples.append(f"struct({i} as cand, case when {filled} then xxhash64({listed}) end as long_hash, "
+                      f"hash({listed}) as short_hash)")
     groups = (
         rows.selectExpr(DIGEST, f"inline(array({', '.join(tuples)}))")
-        .where("hash is not null")
-        .groupBy("cand", "hash")
+        .where("long_hash is not null")
+        .groupBy("cand", "long_hash", "short_hash")
         .agg(F.count(F.lit(1)).alias("n"), F.min(DIGEST).alias("lo"), F.max(DIGEST).alias("hi"))
         .where("n > 1")
     )
