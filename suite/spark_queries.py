@@ -14,7 +14,7 @@ from twinledger.operators import clean, counts, datatypes, duplicates, keys
 from twinledger.operators import reconcile as R
 from twinledger.plans import pairing
 from twinledger.plans.pair import PairSpec, run_manifest, run_pair
-from twinledger.session import scratch_path
+from twinledger.session import Staged, scratch_path
 from twinledger.sinks import reports
 from twinledger.sources import metadata
 from twinledger.sources.files import FileRef, read_file
@@ -324,8 +324,9 @@ def mismatch_counts(spark, sf):
 @query
 def mismatch_samples(spark, sf):
     src, tgt = orders_pair(spark, sf)
-    joined = R.reconcile(src, tgt, ORDER_KEY, target_unique=True)
-    out = R.mismatch_samples(joined, ORDER_KEY, payload(src, ORDER_KEY), SAMPLES)
+    columns = payload(src, ORDER_KEY)
+    diff = Staged(R.differences(R.reconcile(src, tgt, ORDER_KEY, target_unique=True), columns), "differences").frame
+    out = R.mismatch_samples(diff, ORDER_KEY, columns, SAMPLES)
     # values as numbers again where they are: engines print doubles differently
     return out.select("column_name", *ORDER_KEY, "example",
                       F.col("source_value").try_cast("double").alias("source_number"),

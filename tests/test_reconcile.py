@@ -75,11 +75,18 @@ def test_samples_are_limited_per_column_in_key_order(spark):
     assert R.mismatch_samples(joined, ["k"], ["x", "y"], 0).count() == 0
 
 
-def test_rank_limit_is_applied_before_the_shuffle(spark):
+def test_limit_is_applied_before_the_shuffle(spark):
     s = spark.createDataFrame([(1, "a")], "k int, x string")
     joined = R.reconcile(s, s, ["k"], target_unique=True)
-    plan = R.mismatch_samples(joined, ["k"], ["x"], 3)._jdf.queryExecution().toString()
-    assert "WindowGroupLimit" in plan
+    plan = R.mismatch_samples(joined, ["k"], ["x"], 3)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject(limit=3" in plan
+
+
+def test_samples_of_a_hot_target_key(spark):
+    s = spark.createDataFrame([(1, "a"), (2, "b")], "k int, x string")
+    t = spark.createDataFrame([(1, f"z{i:03}") for i in range(300)] + [(2, "c")], "k int, x string").repartition(6)
+    got = R.mismatch_samples(R.reconcile(s, t, ["k"]), ["k"], ["x"], 3).orderBy("example").collect()
+    assert [(r["k"], r["target_value"], r["example"]) for r in got] == [(1, "z000", 1), (1, "z001", 2), (1, "z002", 3)]
 
 
 def test_full_outer_join_is_an_equi_join(spark):

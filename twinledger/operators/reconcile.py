@@ -119,31 +119,35 @@ def key_map(joined: DataFrame, key, names=None) -> Column:
     return F.expr(f"map({', '.join(parts)})")
 
 
-def mismatch_samples(joined: DataFrame, key, payload, limit: int) -> DataFrame:
+def mismatch_samples(diff: DataFrame, key, payload, limit: int, columns=None) -> DataFrame:
     """The first ``limit`` differing cells of every column in key order.
 
-    Both values are already on the joined row.  The rank filter is pushed
-    below the shuffle as a group limit, so a map task sends at most ``limit``
-    rows per column.
+    ``diff`` holds the rows of ``differences``, kept by the caller because
+    every column reads them; ``columns`` names those known to differ.  A task
+    keeps the first rows of its part in a heap of ``limit`` entries, so the
+    cells are neither sorted nor shuffled as a whole, and both values are
+    already on the joined row.
     """
-    types = {f.name: f.dataType for f in joined.schema.fields}
-
-    def cell(i, c):
-        shown = [f"{V.render(V.quoted(f'{p}__{c}'), types[f'{p}__{c}'])} as {p}_value" for p in ("source", "target")]
-        return f"struct({i} as ordinal, {V.text_literal(c)} as column_name, {differs(c)} as differs, {', '.join(shown)})"
-
-    cells = ", ".join(cell(i, c) for i, c in enumerate(payload))
-    long = (
-        differences(matched_rows(joined), payload)
-        .selectExpr(*[V.quoted(k) for k in key], f"inline(array({cells}))")
-        .where("differs")
-    )
+    types = {f.name: f.dataType for f in diff.schema.fields}
+    names = [V.quoted(k) for k in key]
+    parts = []
+    for i, c in enumerate(payload):
+        if columns is not None and c not in columns:
+            continue
+        s, t = f"source__{c}", f"target__{c}"
+        # a key that repeats on the target gives several rows: values break the tie
+        order = [F.col(k).asc_nulls_first() for k in key] + [F.col(s).asc_nulls_first(), F.col(t).asc_nulls_first()]
+        first = diff.where(differs(c)).select(*key, s, t).orderBy(*order).limit(limit)
+        parts.append(first.selectExpr(
+            f"{i} as ordinal", f"{V.text_literal(c)} as column_name", *names,
+            f"{V.render(V.quoted(s), types[s])} as source_value",
+            f"{V.render(V.quoted(t), types[t])} as target_value",
+        ))
     order = [F.col(k).asc_nulls_first() for k in key]
-    # a key that repeats on the target gives several rows: values break the tie
     w = Window.partitionBy("ordinal").orderBy(*order, "source_value", "target_value")
     return (
-        long.withColumn("example", F.row_number().over(w))
-        .where(F.col("example") <= limit)
+        reduce(DataFrame.unionByName, parts)
+        .withColumn("example", F.row_number().over(w))
         .select("ordinal", "column_name", *key, "source_value", "target_value", "example")
     )
 

@@ -138,58 +138,59 @@ class Comparison:
                                ",".join(self.target_names[k] for k in self.key)))
         return out
 
-    def data_findings(self, limit: int) -> DataFrame:
+    def data_findings(self, limit: int):
+        """(findings known from counts, frame of examples or None)."""
         if not self.key:
-            return self._keyless_findings()
+            return self._keyless_findings(), None
         payload = [c for c in self.columns if c not in self.key]
         joined = R.reconcile(self._src.drop(COPIES), self._tgt.drop(COPIES), self.match_key, self.target_unique)
         if payload and limit:
-            # the rows that differ are kept for the two readers below; both
-            # values of unmatched rows are dropped
+            # the rows that differ are kept for the readers below, unmatched
+            # rows without their values
             matched = R.IN_SOURCE + " and " + R.IN_TARGET
-            diff = R.differences(joined, payload).selectExpr(
+            joined = R.differences(joined, payload).selectExpr(
                 *self.key, R.IN_SOURCE, R.IN_TARGET,
                 *[f"case when {matched} then {p}__{c} end as {p}__{c}" for c in payload for p in ("source", "target")],
-            )
-            self.cached.append(diff.persist(StorageLevel.MEMORY_AND_DISK))
-            joined = diff
-
-        wide = joined.selectExpr(
+            ).persist(StorageLevel.MEMORY_AND_DISK)
+            self.cached.append(joined)
+        counts = joined.selectExpr(
             "count_if(not in_target) as only_source",
             "count_if(not in_source) as only_target",
             *[f"count_if({R.differs(c)}) as n{i}" for i, c in enumerate(payload)],
-        )
-        items = [_item("EXTRA_IN_SOURCE", "only_source"), _item("EXTRA_IN_TARGET", "only_target")]
-        items += [
-            _item("MISMATCH_COUNT", f"n{i}", self.source_names[c], self.target_names[c], self.columns.index(c))
-            for i, c in enumerate(payload)
+        ).first()
+        known = self._extras(counts["only_source"], counts["only_target"])
+        differing = {c: counts[f"n{i}"] for i, c in enumerate(payload) if counts[f"n{i}"]}
+        known += [
+            finding(DATA_CHECK, "MISMATCH_COUNT", self.source_names[c], self.target_names[c], n,
+                    column_order=self.columns.index(c))
+            for c, n in differing.items()
         ]
-        out = _as_findings(wide.selectExpr(f"inline(array({', '.join(items)}))").where("count > 0"), DATA_CHECK)
-        if not (payload and limit):
-            return out
-        samples = R.mismatch_samples(joined, self.key, payload, limit)
+        if not (differing and limit):
+            return known, None
+        samples = R.mismatch_samples(joined, self.key, payload, limit, differing)
         of_column = lambda texts: f"element_at(array({', '.join(texts)}), ordinal + 1)"
-        return out.unionByName(
-            samples.withColumn("key", R.key_map(samples, self.key, self.source_names)).selectExpr(
-                f"'{DATA_CHECK}' as check",
-                f"'{FINDING_CODES['VALUE_MISMATCH'][0]}' as severity",
-                "'VALUE_MISMATCH' as code",
-                of_column(V.text_literal(self.source_names[c]) for c in payload) + " as source_column",
-                of_column(V.text_literal(self.target_names[c]) for c in payload) + " as target_column",
-                "cast(null as bigint) as count",
-                "key",
-                "source_value",
-                "target_value",
-                of_column(str(self.columns.index(c)) for c in payload) + " as column_order",
-                "example",
-            )
+        return known, samples.withColumn("key", R.key_map(samples, self.key, self.source_names)).selectExpr(
+            f"'{DATA_CHECK}' as check",
+            f"'{FINDING_CODES['VALUE_MISMATCH'][0]}' as severity",
+            "'VALUE_MISMATCH' as code",
+            of_column(V.text_literal(self.source_names[c]) for c in payload) + " as source_column",
+            of_column(V.text_literal(self.target_names[c]) for c in payload) + " as target_column",
+            "cast(null as bigint) as count",
+            "key",
+            "source_value",
+            "target_value",
+            of_column(str(self.columns.index(c)) for c in payload) + " as column_order",
+            "example",
         )
 
-    def _keyless_findings(self) -> DataFrame:
+    def _extras(self, only_source: int, only_target: int):
+        both = (("EXTRA_IN_SOURCE", only_source), ("EXTRA_IN_TARGET", only_target))
+        return [finding(DATA_CHECK, code, count=n) for code, n in both if n]
+
+    def _keyless_findings(self):
         diff = R.multiset_difference(self._src.select(*self.columns), self._tgt.select(*self.columns))
-        wide = diff.selectExpr("coalesce(sum(surplus_in_source), 0L) as s", "coalesce(sum(surplus_in_target), 0L) as t")
-        items = [_item("EXTRA_IN_SOURCE", "s"), _item("EXTRA_IN_TARGET", "t")]
-        return _as_findings(wide.selectExpr(f"inline(array({', '.join(items)}))").where("count > 0"), DATA_CHECK)
+        counts = diff.selectExpr("coalesce(sum(surplus_in_source), 0L)", "coalesce(sum(surplus_in_target), 0L)").first()
+        return self._extras(*counts)
 
     # -- duplicates ---------------------------------------------------------
 
@@ -212,14 +213,6 @@ class Comparison:
             df.unpersist()
 
 
-def _item(code: str, count: str, source=None, target=None, order: int = 0) -> str:
-    name = lambda v: "cast(null as string)" if v is None else V.text_literal(v)
-    return (
-        f"struct('{code}' as code, {name(source)} as source_column, {name(target)} as target_column, "
-        f"cast({count} as bigint) as count, {order} as column_order)"
-    )
-
-
 def by_code(position: int) -> str:
     """Property of the finding code in column ``code``."""
     pairs = ", ".join(f"'{code}', {spec[position]!r}" for code, spec in FINDING_CODES.items())

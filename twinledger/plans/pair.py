@@ -168,11 +168,10 @@ def _validate(spark, spec, config, mapping, execution_time, labels) -> PairResul
 
         comparison = Comparison(s.frame, t.frame, columns, s_names, t_names, key.columns, s_facts, t_facts, formats)
         local += comparison.local_findings()
-        frames.append(comparison.data_findings(config.max_error_records))
-        known, groups = comparison.duplicate_findings()
-        local += known
-        if groups is not None:
-            frames.append(groups)
+        for known, frame in (comparison.data_findings(config.max_error_records), comparison.duplicate_findings()):
+            local += known
+            if frame is not None:
+                frames.append(frame)
 
         findings = findings_frame(spark, local)
         for f in frames:
