@@ -149,3 +149,31 @@ def test_injected_changes_are_reported_exactly(spark):
     assert ("EXTRA_IN_SOURCE", None, 3) in got
     assert ("MISMATCH_COUNT", "N", 6) in got and ("MISMATCH_COUNT", "X", 5) in got
     assert sum(g[0] == "VALUE_MISMATCH" for g in got) == 4
+
+
+def test_column_without_a_type(spark):
+    src = spark.sql("select id, null as v from range(3)")
+    tgt = spark.sql("select id, if(id = 1, 'x', null) as v from range(3)")
+    result = run_pair(spark, PairSpec(src, tgt, declared_key=("ID",)))
+    assert ("VALUE_MISMATCH", None, "x") in found(result, "code", "source_value", "target_value")
+
+
+def test_result_does_not_depend_on_partitions(spark):
+    rows = [(i, f"n{i % 7}", i / 3) for i in range(90)]
+    changed = [(i, n if i % 11 else "z", x) for i, n, x in rows if i % 17]
+    want = None
+    for parts in (1, 4, 64):
+        src = spark.createDataFrame(rows, "id int, n string, x double").repartition(parts)
+        tgt = spark.createDataFrame(changed, "id int, n string, x double").repartition(parts)
+        got = facts(run_pair(spark, PairSpec(src, tgt), RunConfig(max_error_records=3)))
+        want = want or got
+        assert got == want
+
+
+def test_swapping_sides_swaps_the_extras(spark):
+    src = spark.createDataFrame([(i, "a") for i in range(20)], "id int, v string")
+    tgt = spark.createDataFrame([(i, "a") for i in range(5, 28)], "id int, v string")
+    one = dict(found(run_pair(spark, PairSpec(src, tgt)), "code", "count"))
+    two = dict(found(run_pair(spark, PairSpec(tgt, src)), "code", "count"))
+    assert (one["EXTRA_IN_SOURCE"], one["EXTRA_IN_TARGET"]) == (5, 8)
+    assert (two["EXTRA_IN_SOURCE"], two["EXTRA_IN_TARGET"]) == (8, 5)

@@ -80,7 +80,9 @@ def text_list(values) -> str:
 
 
 def missing_to_null(c: str, dtype: T.DataType) -> str:
-    """NaN counts as a missing value."""
+    """NaN counts as a missing value; a value without a type is a missing text."""
+    if isinstance(dtype, T.NullType):
+        return f"cast({c} as string)"
     return f"nullif({c}, {dtype.simpleString()}('NaN'))" if isinstance(dtype, FLOATING) else c
 
 

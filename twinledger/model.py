@@ -66,6 +66,7 @@ FINDINGS_SCHEMA = T.StructType(
     ]
 )
 
+# Columns of the report and of the pair manifest.
 REPORT_COLUMNS = (
     "source_table",
     "target_table",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from twinledger.functions import values as V
 
@@ -12,9 +13,10 @@ DIGEST = "__digest"
 
 
 def with_missing_as_null(df: DataFrame) -> DataFrame:
-    """NaN becomes null, so that one notion of a missing value remains."""
+    """NaN becomes null, so that one notion of a missing value remains; a
+    column of no type at all becomes text."""
     fields = df.schema.fields
-    if not any(isinstance(f.dataType, V.FLOATING) for f in fields):
+    if not any(isinstance(f.dataType, V.FLOATING + (T.NullType,)) for f in fields):
         return df
     return df.selectExpr(*[
         f"{V.missing_to_null(V.quoted(f.name), f.dataType)} as {V.quoted(f.name)}" for f in fields])
