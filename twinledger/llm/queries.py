@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from twinledger.llm import exact, mixing, packing, quality, simhash, toxicity
+from twinledger.llm import chunk_dedup, exact, license_rules, mixing, packing, quality, secret_scan, simhash, spotsigs, toxicity
 from twinledger.llm.common import documents, labels
 
 
+def op1_chunk_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.repeated_spans(documents(spark, sf_dir))
+
+
+def op2_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprint_edits(documents(spark, sf_dir))
+
+
 def op3_quality_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -22,6 +30,10 @@ def op5_exact_run_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(documents(spark, sf_dir))
 
 
+def op6_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_rules.scan_licenses(documents(spark, sf_dir))
+
+
 def op7_simhash_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -34,13 +46,21 @@ def op9_toxicity_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op10_secret_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(documents(spark, sf_dir)).drop("found")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chunk_repeats": op1_chunk_repeats,
+    "op2_spot_signatures": op2_spot_signatures,
     "op3_quality_additive": op3_quality_additive,
     "op4_minimum_bin_slack": op4_minimum_bin_slack,
     "op5_exact_run_merge": op5_exact_run_merge,
+    "op6_license_rules": op6_license_rules,
     "op7_simhash_trees": op7_simhash_trees,
     "op8_source_mix": op8_source_mix,
     "op9_toxicity_ratios": op9_toxicity_ratios,
+    "op10_secret_trigrams": op10_secret_trigrams,
 }
 
 ORACLES: dict[str, str] = {
@@ -53,4 +73,5 @@ ORACLES: dict[str, str] = {
                doc_id = max(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256
         FROM d
     """,
+    "op6_license_rules": license_rules.scan_sql(),
 }
