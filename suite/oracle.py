@@ -215,11 +215,11 @@ with t as ({sql('labels_text')})
 select t.doc_id, {boolean_text('t.quality')} as quality, {boolean_text('t.toxic')} as toxic, {boolean_text('l.quality')} as flag
 from t join labels l on cast(l.doc_id as varchar) = t.doc_id"""
 ORACLES["normalize_numeric"] = f"""
-select cast(replace(k, '.0', '') as bigint) as k, try_cast(n as double) as n, try_cast(t as double) as not_a_number
-from ({sql('orders_text_us')})"""
+select o_orderkey as k, try_cast(trim(n) as double) as n, try_cast(t as double) as not_a_number
+from ({sql('orders_us')})"""
 ORACLES["normalize_date"] = f"""
-select k, strftime(try_strptime(d, '%m/%d/%Y'), '%Y-%m-%d %H:%M:%S') as d,
-       strftime(try_strptime(t, '%m/%d/%Y'), '%Y-%m-%d %H:%M:%S') as not_a_date from ({sql('orders_text_us')})"""
+select o_orderkey, strftime(try_strptime(d, '%m/%d/%Y'), '%Y-%m-%d %H:%M:%S') as d,
+       strftime(try_strptime(t, '%m/%d/%Y'), '%Y-%m-%d %H:%M:%S') as not_a_date from ({sql('orders_us')})"""
 
 # -- reconciliation
 
@@ -237,12 +237,12 @@ ORACLES["matched_rows"] = f"{JOINED} select o_orderkey, source__o_totalprice, ta
 ORACLES["extra_record_counts"] = f"""
 {JOINED} select count(*) filter (not in_target) as only_in_source, count(*) filter (not in_source) as only_in_target from j"""
 
-SLIM = ["o_custkey", "o_totalprice", "o_orderpriority"]
 ORACLES["reconcile_hot_target"] = f"""
-{with_sides('orders_slim', 'orders_hot_key')}
+{with_sides('orders', 'orders_hot_key')}, j as (
 select coalesce(s.o_orderkey, t.o_orderkey) as o_orderkey, s.o_custkey is not null as in_source, t.o_custkey is not null as in_target,
-       {', '.join(f's.{c} as source__{c}, t.{c} as target__{c}' for c in SLIM)}
-from s full outer join t on s.o_orderkey = t.o_orderkey"""
+       {', '.join(f's.{c} as source__{c}, t.{c} as target__{c}' for c in OC)}
+from s full outer join t on s.o_orderkey = t.o_orderkey)
+select {DATES} from j"""
 
 
 def differs(c):
@@ -340,7 +340,7 @@ select code, source_column, n from c where n > 0"""
 
 
 ORACLES["repeated_target_findings"] = keyed_findings(
-    "orders_slim", "orders_hot_key", [("s.o_orderkey", "t.o_orderkey")], SLIM, lambda c: f"s_{c} is distinct from t_{c}"
+    "orders", "orders_hot_key", [("s.o_orderkey", "t.o_orderkey")], OC, lambda c: f"s_{c} is distinct from t_{c}"
 ) + """ union all select 'TARGET_KEY_NOT_UNIQUE', 'o_orderkey', null
 where exists (select 1 from t where o_orderkey is not null group by o_orderkey having count(*) > 1)"""
 
@@ -454,17 +454,48 @@ ORACLES["datatype_spark"] = datatype_sql("SPARK", "SPARK")
 
 ORACLES["csv_source"] = """
 select cast(c_custkey as varchar) as "C_CUSTKEY", case when c_custkey % 7 <> 3 then c_name end as "C_NAME",
+       cast(c_nationkey as varchar) as "C_NATIONKEY", cast(c_acctbal as varchar) as "C_ACCTBAL",
        c_mktsegment as "C_MKTSEGMENT" from customer"""
-ORACLES["csv_against_table"] = f"""
-{JOINED}, c as (
-  select 'EXTRA_IN_SOURCE' as code, cast(null as varchar) as source_column, count(*) as n from j where not in_target
-  union all select 'EXTRA_IN_TARGET', null, count(*) from j where not in_source
-  union all {per_column(OC, lambda i, c: f"select 'MISMATCH_COUNT', '{c}', count(*) from j where {differs(c)}")})
-select * from c where n > 0"""
-
-
-def report_row(check, result, reason):
-    return (f"select 'ORDERS' as source_table, 'ORDERS_CHANGED' as target_table, '{check}' as \"Validation_type\", "
+ORACLES["csv_against_table"] = ORACLES["data_findings"]
+
+
+def changed_cells(key, cells):
+    """Findings of a pair in which only the given cells (column, table, condition, values) differ."""
+    parts = []
+    for column, table, where, sv, tv in cells:
+        name = f"'{column.upper()}'"
+        parts.append(finding(DATA, "'MISMATCH_COUNT'", "count(*)", column=name) + f" from {table} where {where}")
+        parts.append("select * from (" + finding(DATA, "'VALUE_MISMATCH'", column=name, key=f"'{key.upper()}=' || {key}", sv=sv, tv=tv)
+                     + f" from {table} where {where} order by {key} limit {SAMPLES})")
+    return f"select * from ({' union all '.join(f'({p})' for p in parts)}) where n is null or n > 0"
+
+
+def amount(k):
+    return f"""rtrim(concat('12345678901234567890', lpad(cast(o_orderkey as varchar), 8, '0'), '.',
+      lpad(cast({k} % 100 as varchar), 2, '0')), '0')"""
+
+
+# an amount that ends in .00 keeps the zeros before its point
+WHOLE = "concat('12345678901234567890', lpad(cast(o_orderkey as varchar), 8, '0'))"
+AMOUNT = "case when {0} % 100 = 0 then " + WHOLE + " else {1} end"
+ORACLES["exact_decimals"] = changed_cells("o_orderkey", [
+    ("amount", "orders", "o_orderkey % 83 = 7 and o_orderkey % 89 <> 3", AMOUNT.format("o_orderkey", amount("o_orderkey")),
+     AMOUNT.format("(o_orderkey + 1)", amount("(o_orderkey + 1)"))),
+    ("o_custkey", "orders", "o_orderkey % 101 = 9", "cast(o_custkey as varchar)", "cast(o_custkey + 1 as varchar)"),
+])
+STAMP = "strftime(o_orderdate, '%Y-%m-%d') || ' 00:00:0"
+ORACLES["dates_with_fraction_and_zone"] = changed_cells("o_orderkey", [
+    ("loaded", "orders", "o_orderkey % 61 = 4", STAMP + "0'", STAMP + "1.5'"),
+    ("shipped", "orders", "o_orderkey % 67 = 5", STAMP + "0'", STAMP + "1'"),
+])
+ORACLES["declared_key_outside"] = changed_cells("c0", [
+    ("c_nationkey", f"({sql('customer_positions')})", "c1 % 41 = 3", "cast(c_nationkey as varchar)", "cast(c_nationkey + 1 as varchar)"),
+]) + " union all " + finding(DATA, "'KEY_NOTE'", severity="'info'", column="'C1'", target="cast(null as varchar)",
+                             sv="'declared key is outside the compared columns'")
+
+
+def report_row(check, result, reason, source="ORDERS", target="ORDERS_CHANGED"):
+    return (f"select '{source}' as source_table, '{target}' as target_table, '{check}' as \"Validation_type\", "
             f"{result} as \"Validation_Result\", {reason} as \"Reason\"")
 
 
@@ -499,19 +530,62 @@ def changed_label(c):
     return f"""count(*) filter ({boolean_text('a.' + c)} is distinct from {boolean_text('b.' + c)})"""
 
 
+DUPLICATE_REASONS = {
+    "DUPLICATES_EQUAL": "'warning: ' || n || ' duplicate records are the same on both sides'",
+    "DUPLICATES_PARTIAL": "'warning: ' || n || ' duplicate records are partially loaded'",
+    "DUPLICATES_EXTRA_LOADED": "n || ' duplicate records are loaded too often'",
+    "DUPLICATES_ONLY_SOURCE": "n || ' duplicate records did not reach target'",
+    "DUPLICATES_ONLY_TARGET": "n || ' duplicate records exist only in target'",
+}
+ORACLES["duplicate_report"] = f"""
+{GROUPS}, n as (select code, count(*) as n from g group by code)
+{report_row('Duplicate Validation', "'Fail'",
+            'case code ' + ' '.join(f"when '{c}' then {r}" for c, r in DUPLICATE_REASONS.items()) + ' end', 'S', 'T')} from n"""
+
+
+def passed(checks, source, target, table):
+    """Report rows of a pair without any difference."""
+    count = f"(select 'source count = ' || count(*) || ', target count = ' || count(*) from {table})"
+    return [report_row(c, "'Pass'", count if c == "Count validation" else "''", source, target) for c in checks]
+
+
+FILE_CHECKS = ("Count validation", "Data Validation", "Duplicate Validation")
+ORACLES["truncation_report"] = " union all ".join(
+    passed(FILE_CHECKS, "S", "T", "customer")
+    + [report_row("Datatype Validation", "'Pass'", "'warning: values may be truncated in C_Custkey'", "S", "T")])
+
+
+def failed_data(source, target, counts):
+    """The data row of a pair that differs in the counted columns only (name -> number)."""
+    shown = ", ".join(f"case when {n} > 0 then '{name} = ' || {n} end" for name, n in counts.items())
+    some = " + ".join(counts.values())
+    return report_row("Data Validation", f"case when {some} > 0 then 'Fail' else 'Pass' end",
+                      f"case when {some} > 0 then 'mismatch count by column: ' || concat_ws(', ', {shown}) else '' end", source, target)
+
+
+def not_read(source, target, reason):
+    return report_row("Data Validation", "'Fail'", f"'{reason}'", source, target)
+
+
+LABEL_PAIR = ("labels.parquet", "TL_LABELS_TEXT")
+NAME_PAIR = ("TL_CUSTOMER_RENAMED", "TL_CUSTOMER")
+MANIFEST_ROWS = (
+    passed(("Count validation", "Duplicate Validation"), *LABEL_PAIR, "labels")
+    + [f"select * from ({failed_data(*LABEL_PAIR, {'Quality': 'q', 'Toxic': 'x'})} from l)"]
+    + passed(FILE_CHECKS, "customer.parquet", "customer.parquet", "customer")
+    + passed(FILE_CHECKS, "TL_ORDERS", "orders.parquet", "orders")
+    + passed(("Count validation", "Datatype Validation", "Duplicate Validation"), *NAME_PAIR, "customer")
+    + [f"select * from ({failed_data(*NAME_PAIR, {'Title': 'n'})} from r)",
+       not_read("TL_LABELS", "nothing.parquet", "FILE_NOT_FOUND"), not_read("TL_NOTHING", "labels.parquet", "TABLE_NOT_FOUND")]
+)
 ORACLES["manifest_report"] = f"""
-{COUNTED}, l as (
-  select {changed_label('quality')} as q, {changed_label('toxic')} as x, count(*) as n
-  from labels a join ({sql('labels_text')}) b on cast(a.doc_id as varchar) = b.doc_id)
-select 'TL_ORDERS' as source, 'Count validation' as check_name, case when sc = tc then 'Pass' else 'Fail' end as result, 1::bigint as report_rows from x
-union all select 'TL_ORDERS', 'Data Validation', 'Fail', {data_row_count(2)}
-union all select 'TL_ORDERS', 'Datatype Validation', 'Pass', 1
-union all select 'TL_ORDERS', 'Duplicate Validation', 'Pass', 1
-union all select 'labels.parquet', 'Count validation', 'Pass', 1
-union all select 'labels.parquet', 'Data Validation', case when q + x > 0 then 'Fail' else 'Pass' end,
-                 greatest((q + x > 0)::bigint + least(q, 2) + least(x, 2), 1) from l
-union all select 'labels.parquet', 'Duplicate Validation', 'Pass', 1
-union all select 'customer.parquet', c, 'Pass', 1 from (select unnest(['Count validation', 'Data Validation', 'Duplicate Validation']) as c)"""
+with l as (
+  select {changed_label('quality')} as q, {changed_label('toxic')} as x
+  from labels a join ({sql('labels_text')}) b on cast(a.doc_id as varchar) = b.doc_id),
+r as (select count(*) as n from customer where c_custkey % 41 = 3 and upper(c_name) <> c_name),
+o as ({ORACLES['full_report'].replace("'ORDERS'", "'TL_ORDERS'").replace("'ORDERS_CHANGED'", "'TL_ORDERS_CHANGED'")})
+select source_table as source, target_table as target, "Validation_type" as check_name, "Validation_Result" as result, "Reason" as reason
+from (select * from o union all {' union all '.join(MANIFEST_ROWS)})"""
 
 ORACLES["report_sinks"] = f"""
 {COUNTED}, r as (

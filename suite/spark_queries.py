@@ -55,11 +55,11 @@ def flat_findings(findings):
     )
 
 
-def pair_findings(spark, sf, source, target, check=None, key=(), **config):
-    spec = PairSpec(side(spark, sf, source), side(spark, sf, target), declared_key=tuple(key), labels=("S", "T"))
+def pair_findings(spark, sf, source, target, check=None, key=(), columns=None, **config):
+    spec = PairSpec(side(spark, sf, source), side(spark, sf, target), columns, declared_key=tuple(key), labels=("S", "T"))
     result = run_pair(spark, spec, RunConfig(max_error_records=SAMPLES, **config), execution_time=FIXED_TIME)
     found = result.findings if check is None else result.findings.where(F.col("check") == check)
-    return flat_findings(found.where("code <> 'KEY_NOTE'"))
+    return flat_findings(found)
 
 
 # -- projection, pairing, cleaning ---------------------------------------------
@@ -98,8 +98,9 @@ def count_copies(spark, sf):
 @query
 def count_copies_by_digest(spark, sf):
     """The form that shuffles only rows with a repeated digest."""
-    df = side(spark, sf, "orders_copies_source")
-    out = clean.count_copies_of(df, clean.repeated_digests(df))
+    rows = clean.with_row_digest(side(spark, sf, "orders_copies_source"))
+    single, several = clean.split_copies(rows, clean.repeated_digests(rows))
+    out = single.unionByName(several)
     return day(out, "o_orderdate").drop(clean.DIGEST).withColumnRenamed(clean.COPIES, "copies")
 
 
@@ -266,14 +267,14 @@ def normalize_boolean(spark, sf):
 
 @query
 def normalize_numeric(spark, sf):
-    df = side(spark, sf, "orders_text_us").select("k", F.concat(F.lit(" "), "n").alias("n"), F.col("t").alias("not_a_number"))
+    df = side(spark, sf, "orders_us").select(F.col("o_orderkey").cast("string").alias("k"), "n", F.col("t").alias("not_a_number"))
     kinds = {"k": C.ValueClass("numeric", "bigint"), "n": C.ValueClass("numeric"), "not_a_number": C.ValueClass("numeric")}
-    return C.normalize(df.withColumn("k", F.regexp_replace("k", r"\.0$", "")), kinds, "source")
+    return C.normalize(df, kinds, "source")
 
 
 @query
 def normalize_date(spark, sf):
-    us = side(spark, sf, "orders_text_us").select("k", "d", F.col("t").alias("not_a_date"))
+    us = side(spark, sf, "orders_us").select("o_orderkey", "d", F.col("t").alias("not_a_date"))
     kinds = {c: C.ValueClass("date", source_format="MM/dd/yyyy") for c in ("d", "not_a_date")}
     return day(C.normalize(us, kinds, "source"), "d", "not_a_date")
 
@@ -291,7 +292,7 @@ def reconcile(spark, sf):
 @query
 def reconcile_hot_target(spark, sf):
     """A third of the target rows share one key."""
-    return R.reconcile(side(spark, sf, "orders_slim"), side(spark, sf, "orders_hot_key"), ORDER_KEY)
+    return day(R.reconcile(side(spark, sf, "orders"), side(spark, sf, "orders_hot_key"), ORDER_KEY), *RENAMED_DATES)
 
 
 @query
@@ -386,13 +387,32 @@ def lineitem_findings(spark, sf):
     """Key declared on six columns; falls to discovery where it is violated."""
     found = pair_findings(spark, sf, "lineitem", "lineitem_changed", "Data Validation",
                           key=("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate"))
-    return found.where("code <> 'VALUE_MISMATCH'").select("code", F.lower("source_column").alias("source_column"), "n")
+    return found.where("code not in ('VALUE_MISMATCH', 'KEY_NOTE')").select("code", F.lower("source_column").alias("source_column"), "n")
+
+
+@query
+def exact_decimals(spark, sf):
+    """Amounts of 30 digits against text, some of it with exponents, changed in the last digit."""
+    return pair_findings(spark, sf, "orders_exact", "orders_exact_text", "Data Validation", key=("o_orderkey",))
+
+
+@query
+def dates_with_fraction_and_zone(spark, sf):
+    """Dates as a database and as Spark write them; the zoned ones are instants in the session's zone, UTC."""
+    return pair_findings(spark, sf, "orders_dates", "orders_dates_text", "Data Validation", key=("o_orderkey",))
+
+
+@query
+def declared_key_outside(spark, sf):
+    """The declared key C1 is not compared; columns named like inner positions must not stand in for it."""
+    return pair_findings(spark, sf, "customer_positions", "customer_positions_changed", "Data Validation", key=("C1",),
+                         columns="c0,c_nationkey,c_acctbal,c_mktsegment")
 
 
 @query
 def repeated_target_findings(spark, sf):
     """A hot target key and repeated null keys in the target."""
-    found = pair_findings(spark, sf, "orders_slim", "orders_hot_key", "Data Validation")
+    found = pair_findings(spark, sf, "orders", "orders_hot_key", "Data Validation")
     return found.where("code <> 'VALUE_MISMATCH'").select("code", F.lower("source_column").alias("source_column"), "n")
 
 
@@ -471,19 +491,19 @@ def datatype_spark(spark, sf):
 def csv_source(spark, sf):
     """The customers written as CSV and read back with null tokens."""
     path = scratch_path(spark, "customer-csv") + ".csv"
-    side(spark, sf, "customer").select("c_custkey", F.when(F.col("c_custkey") % 7 != 3, F.col("c_name")).otherwise("NA").alias("c_name"),
-                                       "c_mktsegment").write.csv(path, header=True)
+    named = F.when(F.col("c_custkey") % 7 != 3, F.col("c_name")).otherwise("NA")
+    side(spark, sf, "customer").withColumn("c_name", named).write.csv(path, header=True)
     return read_file(spark, FileRef(path))
 
 
 @query
 def csv_against_table(spark, sf):
+    """Spark's own CSV of a changed table, dates as it writes them."""
     path = scratch_path(spark, "orders-csv") + ".csv"
-    day(side(spark, sf, "orders_changed"), "o_orderdate").write.csv(path, header=True)
+    side(spark, sf, "orders_changed").write.csv(path, header=True)
     spec = PairSpec(side(spark, sf, "orders"), FileRef(path), labels=("S", "T"))
     found = run_pair(spark, spec, RunConfig(max_error_records=SAMPLES), execution_time=FIXED_TIME).findings
-    found = flat_findings(found).where("check_name = 'Data Validation' and code <> 'VALUE_MISMATCH'")
-    return found.select("code", F.lower("source_column").alias("source_column"), "n")
+    return flat_findings(found).where("check_name = 'Data Validation'")
 
 
 @query
@@ -499,21 +519,44 @@ MANIFEST_SCHEMA = (
 )
 
 
+@query
+def duplicate_report(spark, sf):
+    """Duplicates fail the check even where they are warnings."""
+    spec = PairSpec(side(spark, sf, "orders_copies_source"), side(spark, sf, "orders_copies_target"), labels=("S", "T"))
+    rows = run_pair(spark, spec, RunConfig(max_error_records=0), execution_time=FIXED_TIME).report
+    return rows.where("Validation_type = 'Duplicate Validation'").drop("execution_time")
+
+
+@query
+def truncation_report(spark, sf):
+    """Declared types that may truncate: a warning that passes."""
+    spec = PairSpec(side(spark, sf, "customer"), side(spark, sf, "customer_int"), source_system=SQLSERVER, labels=("S", "T"))
+    return run_pair(spark, spec, RunConfig(max_error_records=0), execution_time=FIXED_TIME).report.drop("execution_time")
+
+
 @query
 def manifest_report(spark, sf):
-    """Three pairs of whole tables: table and table, file and table, file and file."""
-    for name in ("orders", "orders_changed", "labels", "labels_text"):
+    """Pairs of whole tables over all four routes, one with renamed columns, and two that cannot be read."""
+    for name in ("orders", "orders_changed", "labels", "labels_text", "customer", "customer_renamed"):
         side(spark, sf, name).createOrReplaceTempView(f"tl_{name}")
+    table = lambda name, columns=None: (None, None, name, None, columns)
+    file = lambda name, columns=None: (None, None, None, f"{sf}/{name}.parquet", columns)
     rows = [
-        (None, None, "tl_orders", None, None, None, None, "tl_orders_changed", None, None),
-        (None, None, None, f"{sf}/labels.parquet", None, None, None, "tl_labels_text", None, None),
-        (None, None, None, f"{sf}/customer.parquet", "c_custkey,c_name", None, None, None, f"{sf}/customer.parquet", None),
+        table("tl_orders") + table("tl_orders_changed"),
+        file("labels") + table("tl_labels_text"),
+        file("customer", "c_custkey,c_name") + file("customer"),
+        table("tl_orders") + file("orders"),
+        table("tl_customer_renamed", "code,title") + table("tl_customer", "c_custkey,c_name"),
+        table("tl_labels") + file("nothing"),
+        table("tl_nothing") + file("labels"),
     ]
-    out = run_manifest(spark, spark.createDataFrame(rows, MANIFEST_SCHEMA), RunConfig(max_error_records=2),
+    out = run_manifest(spark, spark.createDataFrame(rows, MANIFEST_SCHEMA), RunConfig(max_error_records=0),
                        execution_time=FIXED_TIME)
-    return out.groupBy(F.element_at(F.split("source_table", "/"), -1).alias("source"),
-                       F.col("Validation_type").alias("check_name")).agg(
-        F.max("Validation_Result").alias("result"), F.count(F.lit(1)).alias("report_rows"))
+    last = lambda c: F.element_at(F.split(c, "/"), -1)
+    # the folder of a missing file is that of the test data
+    return out.select(last("source_table").alias("source"), last("target_table").alias("target"),
+                      F.col("Validation_type").alias("check_name"), F.col("Validation_Result").alias("result"),
+                      F.regexp_replace("Reason", "(FILE_NOT_FOUND|TABLE_NOT_FOUND).*", "$1").alias("reason"))
 
 
 @query

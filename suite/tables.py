@@ -23,10 +23,9 @@ SIDES = {
         union all
         select o_orderkey + 10000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
         from {orders} where o_orderkey % 101 = 3""",
-    "orders_slim": "select o_orderkey, o_custkey, o_totalprice, o_orderpriority from {orders}",
     "orders_hot_key": """
         select case when o_orderkey % 3 = 1 then 7 when o_orderkey % 89 = 8 then null else o_orderkey end o_orderkey,
-               o_custkey, o_totalprice, o_orderpriority from {orders}""",
+               o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority from {orders}""",
     "orders_copies_source": """
         select * from {orders}
         union all select * from {orders} where o_orderkey % 103 = 2
@@ -65,6 +64,36 @@ SIDES = {
     "orders_flags": """
         select o_orderkey k, case when o_orderstatus = 'F' then 1 else 0 end b, o_totalprice n,
                o_orderdate d, o_orderpriority t from {orders}""",
+    "orders_us": """
+        select o_orderkey, concat(' ', cast(o_totalprice as string)) n, o_orderpriority t,
+               concat(substr(cast(o_orderdate as string), 6, 2), '/', substr(cast(o_orderdate as string), 9, 2), '/',
+                      substr(cast(o_orderdate as string), 1, 4)) d from {orders}""",
+    "orders_exact": """
+        select o_orderkey, cast(concat('12345678901234567890', lpad(cast(o_orderkey as string), 8, '0'), '.',
+                                       lpad(cast(o_orderkey % 100 as string), 2, '0')) as decimal(38,2)) amount,
+               o_custkey from {orders}""",
+    "orders_exact_text": """
+        select cast(o_orderkey as string) o_orderkey,
+               concat('12345678901234567890', lpad(cast(o_orderkey as string), 8, '0'),
+                      case when o_orderkey % 89 = 3 then lpad(cast(o_orderkey % 100 as string), 2, '0')
+                           when o_orderkey % 83 = 7 then concat('.', lpad(cast((o_orderkey + 1) % 100 as string), 2, '0'))
+                           else concat('.', lpad(cast(o_orderkey % 100 as string), 2, '0'), '0') end,
+                      case when o_orderkey % 89 = 3 then 'e-2' else '' end) amount,
+               cast(case when o_orderkey % 101 = 9 then o_custkey + 1 else o_custkey end as string) o_custkey from {orders}""",
+    "orders_dates": "select o_orderkey, o_orderdate as loaded, o_orderdate as shipped from {orders}",
+    "orders_dates_text": """
+        select o_orderkey,
+               concat(substr(cast(o_orderdate as string), 1, 10), case when o_orderkey % 61 = 4 then 'T00:00:01.500' else 'T00:00:00.000' end) loaded,
+               concat(substr(cast(o_orderdate as string), 1, 10), case when o_orderkey % 67 = 5 then ' 02:00:01+02:00' else ' 02:00:00+02:00' end) shipped
+        from {orders}""",
+    "customer_positions": "select c_custkey c1, c_name c0, c_nationkey, c_acctbal, c_mktsegment from {customer}",
+    "customer_positions_changed": """
+        select c_custkey c1, c_name c0, case when c_custkey % 41 = 3 then c_nationkey + 1 else c_nationkey end c_nationkey,
+               c_acctbal, c_mktsegment from {customer}""",
+    "customer_renamed": """
+        select c_custkey code, case when c_custkey % 41 = 3 then upper(c_name) else c_name end title,
+               c_nationkey, c_acctbal, c_mktsegment from {customer}""",
+    "customer_int": "select cast(c_custkey as int) c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from {customer}",
     "orders_text_us": """
         select concat(cast(o_orderkey as string), '.0') k,
                case when o_orderkey % 79 = 5 then 'FALSE' when o_orderstatus = 'F' then 'TRUE' else 'false' end b,

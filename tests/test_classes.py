@@ -1,3 +1,4 @@
+from twinledger.functions import values as V
 from twinledger.operators import classes as C
 
 
@@ -40,8 +41,19 @@ def test_number_types(spark):
     tgt = spark.createDataFrame([(6, "2", "3")], "a long, b string, c string")
     got, _, _ = classes_of(spark, src, tgt)
     assert got["a"].number == "bigint"
-    assert got["b"].number == "decimal(38,18)"
-    assert got["c"].number == "double"
+    assert got["b"].number == "decimal(2,1)"
+    assert got["c"].number == "decimal(23,0)"
+
+
+def test_exact_numbers_of_any_length_stay_exact(spark):
+    src = spark.createDataFrame([("1" * 30, "5", "1.5e0")], "a string, b string, c string")
+    tgt = spark.createDataFrame([("0." + "1" * 30, "2", "9007199254740993")], "a string, b string, c string")
+    got, _, _ = classes_of(spark, src, tgt)
+    assert [got[c].number for c in "abc"] == [V.DIGITS, "decimal(1,0)", V.DIGITS]
+    wide = spark.sql("select cast(1 as decimal(38,2)) a, cast(1 as decimal(38,30)) b, 1.5D c")
+    assert classes_of(spark, wide, src)[0]["a"].number == "decimal(38,2)"
+    assert classes_of(spark, wide, spark.sql("select '1' a, cast(1 as decimal(38,0)) b, '1' c"))[0]["b"].number == V.DIGITS
+    assert classes_of(spark, wide, spark.sql("select '1' a, '1' b, '1' c"))[0]["c"].number == "double"
 
 
 def test_dates_of_different_layouts(spark):

@@ -43,7 +43,7 @@ def test_manifest_rows_become_database_references():
     row |= {f"{s}{p}": f"{p.upper()}" for s in ("Source", "Target") for p in ("DB", "Schema", "Table")}
     config = RunConfig(source_type=SQLSERVER, target_type=SNOWFLAKE, source_connection=SQL, target_connection=SNOW)
     spec = pair_spec({**row, "SourceKey": "A, b"}, config)
-    assert spec.source == jdbc.JdbcRef(SQL, "DB", "SCHEMA", "TABLE")
+    assert spec.source == jdbc.JdbcRef(SQL, "DB", "SCHEMA", "TABLE", key=("A", "B"))
     assert (spec.source_system, spec.target_system, spec.declared_key) == (SQLSERVER, SNOWFLAKE, ("A", "B"))
     with pytest.raises(DatasetError):
         pair_spec(row, RunConfig(source_type=SQLSERVER))

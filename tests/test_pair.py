@@ -177,3 +177,28 @@ def test_swapping_sides_swaps_the_extras(spark):
     two = dict(found(run_pair(spark, PairSpec(tgt, src)), "code", "count"))
     assert (one["EXTRA_IN_SOURCE"], one["EXTRA_IN_TARGET"]) == (5, 8)
     assert (two["EXTRA_IN_SOURCE"], two["EXTRA_IN_TARGET"]) == (8, 5)
+
+
+def test_a_changed_amount_never_passes(spark):
+    src = spark.sql("select 1 as id, cast('12345678901234567890123.45' as decimal(38,2)) as amount")
+    tgt = spark.sql("select 1 as id, '12345678901234567890123.46' as amount")
+    got = found(run_pair(spark, PairSpec(src, tgt, declared_key=("ID",))), "code", "source_value", "target_value")
+    assert ("VALUE_MISMATCH", "12345678901234567890123.45", "12345678901234567890123.46") in got
+    src = spark.sql("select * from values (1, 9007199254740993L), (2, 1L) t(id, n)")
+    tgt = spark.sql("select * from values (1, '9007199254740992'), (2, '1.0e0') t(id, n)")
+    got = found(run_pair(spark, PairSpec(src, tgt, declared_key=("ID",))), "code", "source_value", "target_value")
+    assert [g for g in got if g[0] == "VALUE_MISMATCH"] == [("VALUE_MISMATCH", "9007199254740993", "9007199254740992")]
+
+
+def test_number_text_equals_a_flag(spark):
+    src = spark.createDataFrame([(i, str(float(i % 2))) for i in range(10)], "id int, f string")
+    tgt = spark.createDataFrame([(i, i % 2) for i in range(10)], "id int, f int")
+    assert codes(run_pair(spark, PairSpec(src, tgt, declared_key=("ID",)))) == ["COUNT", "TYPE_MISMATCH"]
+
+
+def test_declared_key_is_never_taken_for_a_position(spark):
+    """c1 is a column of the tables, outside the compared ones, and also an inner name."""
+    src = spark.createDataFrame([(i, i % 3, i % 5) for i in range(30)], "a int, b int, c1 int")
+    result = run_pair(spark, PairSpec(src, src, "a,b", declared_key=("C1",)))
+    assert result.key.columns == ("A",) and result.key.origin == "discovered"
+    assert ("KEY_NOTE", "declared key is outside the compared columns") in found(result, "code", "source_value")

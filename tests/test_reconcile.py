@@ -126,7 +126,7 @@ def test_duplicate_classes(spark):
 
 def test_copies_are_counted_with_nan_as_null(spark):
     df = spark.createDataFrame([(1, float("nan")), (1, None), (2, 0.0), (2, -0.0), (3, 1.0)], "k int, v double")
-    for out in (clean.count_copies(df), clean.count_copies_of(df, clean.repeated_digests(df))):
+    for out in (clean.count_copies(df), copies_of(df)):
         got = sorted((r["k"], r["v"], r[clean.COPIES]) for r in out.collect())
         assert got == [(1, None, 2), (2, 0.0, 2), (3, 1.0, 1)]
         digests = {r["k"]: r[clean.DIGEST] for r in out.collect()}
@@ -136,12 +136,18 @@ def test_copies_are_counted_with_nan_as_null(spark):
 def test_a_group_of_copies_with_a_third_of_the_rows(spark):
     rows = [(i, "x") for i in range(400)] + [(7, "x")] * 200
     df = spark.createDataFrame(rows, "k int, v string").repartition(6)
-    for out in (clean.count_copies(df), clean.count_copies_of(df, clean.repeated_digests(df))):
+    for out in (clean.count_copies(df), copies_of(df)):
         got = {r["k"]: r[clean.COPIES] for r in out.collect()}
         assert got[7] == 201 and len(got) == 400 and sum(got.values()) == 600
 
 
 def test_single_rows_are_not_shuffled(spark):
     df = spark.createDataFrame([(1, "a")], "k int, v string")
-    plan = clean.count_copies_of(df, clean.repeated_digests(df))._jdf.queryExecution().executedPlan().toString()
+    plan = copies_of(df)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def copies_of(df):
+    rows = clean.with_row_digest(df)
+    single, several = clean.split_copies(rows, clean.repeated_digests(rows))
+    return single.unionByName(several)

@@ -32,6 +32,10 @@ def build_config(args, settings: dict) -> RunConfig:
         target_connection=connection(args.target_type, settings.get("target")),
         output_connection=connection(args.output_type, settings.get("output")),
         max_error_records=args.examples,
+        date_formats=tuple(args.date_format) if args.date_format else None,
+        null_tokens=tuple(args.null_token) if args.null_token is not None else None,
+        csv_splittable={"auto": None, "yes": True, "no": False}[args.csv_splittable],
+        concurrent_pairs=args.concurrent_pairs,
     )
 
 
@@ -45,6 +49,10 @@ def parse(argv=None):
     p.add_argument("--output", required=True, help="path, table, or database.schema.table")
     p.add_argument("--examples", type=int, default=10, help="mismatch examples per column")
     p.add_argument("--connections", help="JSON file with source/target/output connection settings")
+    p.add_argument("--date-format", action="append", help="accepted date layout, in the order of the options; instead of the built-in ones")
+    p.add_argument("--null-token", action="append", help="text that stands for a missing value in CSV; instead of the built-in ones")
+    p.add_argument("--csv-splittable", default="auto", choices=["auto", "yes", "no"], help="may a CSV file be read by many tasks: no quoted field holds a line break")
+    p.add_argument("--concurrent-pairs", type=int, default=4, help="pairs in work at once")
     return p.parse_args(argv)
 
 
@@ -57,8 +65,7 @@ def main(argv=None) -> None:
     spark = SparkSession.builder.appName("twinledger").getOrCreate()
     config = build_config(args, settings)
     mapping = read_mapping(spark, args.mapping) if args.mapping else None
-    rows = run_manifest(spark, read_control(spark, args.manifest), config, mapping)
-    write_report(rows, config)
+    run_manifest(spark, read_control(spark, args.manifest), config, mapping, on_report=lambda rows: write_report(rows, config))
 
 
 if __name__ == "__main__":

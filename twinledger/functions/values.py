@@ -21,10 +21,10 @@ NULL_TOKENS = (
 )
 DATE_FORMATS = (
     "yyyy-MM-dd",
+    "yyyy-MM-dd HH:mm",
     "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    "yyyy-MM-dd'T'HH:mm",
     "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "yyyy/MM/dd",
     "yyyy/MM/dd HH:mm:ss",
     "MM/dd/yyyy",
@@ -34,9 +34,13 @@ DATE_FORMATS = (
     "dd-MMM-yyyy",
 )
 NUMBER_SHAPE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-# plain decimals that fit decimal(38,18) without loss
-EXACT_SHAPE = r"^\s*[+-]?\d{1,20}(\.\d{1,18})?\s*$"
-TEXT_DECIMAL = "decimal(38,18)"
+# a number without an exponent
+PLAIN_SHAPE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)\s*$"
+DECIMAL_DIGITS = 38  # of Spark's widest decimal type
+# the number type of exact values that no decimal type holds: digits as text
+DIGITS = "digits"
+# whole numbers are shown with up to this many zeros, smaller and larger ones with an exponent
+SHOWN_ZEROS = 40
 
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 FLOATING = (T.FloatType, T.DoubleType)
@@ -110,10 +114,45 @@ def is_number(c: str, dtype: T.DataType) -> str:
     return matches(c, NUMBER_SHAPE) if isinstance(dtype, TEXTUAL) else "false"
 
 
-def is_exact_number(c: str, dtype: T.DataType) -> str:
-    if isinstance(dtype, INTEGRAL + (T.DecimalType,)):
-        return "true"
-    return matches(c, EXACT_SHAPE) if isinstance(dtype, TEXTUAL) else "false"
+def is_plain_number(c: str) -> str:
+    """A text whose number of whole and fraction digits can be read off."""
+    return matches(c, PLAIN_SHAPE)
+
+
+def whole_digits(c: str) -> str:
+    return f"length(regexp_extract({c}, {text_literal(r'^[\s+-]*0*(\d*)')}, 1))"
+
+
+def fraction_digits(c: str) -> str:
+    return f"length(regexp_extract({c}, {text_literal(r'\.(\d*?)0*\s*$')}, 1))"
+
+
+def digits_of(c: str) -> str:
+    """Exact value of a number's text as a text that equal values share.
+
+    Sign, digits without outer zeros and the power of ten of the last digit say
+    all of a value; they are written as a plain number where that is short.
+    """
+    shape = text_literal(r"^\s*([+-]?)(\d*)\.?(\d*)(?:[eE]([+-]?\d+))?\s*$")
+    part = lambda k: f"regexp_extract({c}, {shape}, {k})"
+    first = (
+        f"named_struct('minus', {part(1)} = '-', 'all', ltrim('0', concat({part(2)}, {part(3)})), "
+        f"'power', try_cast(if({part(4)} = '', '0', {part(4)}) as decimal(38,0)) - length({part(3)}))"
+    )
+    second = (
+        "named_struct('minus', v.minus, 'd', rtrim('0', v.all), "
+        "'e', v.power + length(v.all) - length(rtrim('0', v.all)))"
+    )
+    n = "cast(-w.e as int)"
+    plain = (
+        f"case when w.e is null then trim({c}) when w.d = '' then '0' "
+        f"when w.e between 0 and {SHOWN_ZEROS} then concat(w.d, repeat('0', cast(w.e as int))) "
+        f"when w.e < 0 and -w.e < length(w.d) then concat(left(w.d, length(w.d) - {n}), '.', right(w.d, {n})) "
+        f"when w.e < 0 and -w.e - length(w.d) <= {SHOWN_ZEROS} then concat('0.', repeat('0', {n} - length(w.d)), w.d) "
+        "else concat(w.d, 'E', cast(w.e as string)) end"
+    )
+    signed = f"concat(if(w.minus and w.d <> '' and w.e is not null, '-', ''), {plain})"
+    return f"transform(transform(array({first}), v -> {second}), w -> {signed})[0]"
 
 
 def date_shape(fmt: str) -> str:
@@ -133,7 +172,16 @@ def date_shape(fmt: str) -> str:
             out.append(r"\d{%d}" % len(text))
         else:
             out.append(re.escape(text))
-    return "".join(out)
+    return "".join(out) + (OPTIONAL_SHAPE if has_seconds(fmt) else "")
+
+
+def has_seconds(fmt: str) -> bool:
+    """After seconds a fraction and a zone may follow, as databases and Spark write them."""
+    return fmt.endswith("ss")
+
+
+OPTIONAL_SHAPE = r"(\.\d{1,9})?(Z|[+-]\d{2}(:?\d{2})?)?"
+OPTIONAL_FORMAT = "[.SSSSSSSSS][XXX][XX][X]"
 
 
 def fits_some_layout(c: str, formats) -> str:
@@ -141,11 +189,15 @@ def fits_some_layout(c: str, formats) -> str:
 
 
 def as_timestamp(c: str, dtype: T.DataType, fmt: str | None = None) -> str:
-    """Wall-clock timestamp, null where the value is no date of the layout."""
+    """Wall-clock timestamp, null where the value is no date of the layout.
+
+    A text with a zone is an instant, taken to the wall clock of the session's zone.
+    """
     if isinstance(dtype, TEMPORAL):
         return f"cast({c} as timestamp_ntz)"
     if isinstance(dtype, TEXTUAL) and fmt:
-        parsed = f"cast(try_to_timestamp({c}, {text_literal(fmt)}) as timestamp_ntz)"
+        layout = fmt + (OPTIONAL_FORMAT if has_seconds(fmt) else "")
+        parsed = f"cast(try_to_timestamp({c}, {text_literal(layout)}) as timestamp_ntz)"
         return f"case when {matches(c, '^' + date_shape(fmt) + '$')} then {parsed} end"
     return "cast(null as timestamp_ntz)"
 
@@ -159,17 +211,24 @@ def as_text(c: str, dtype: T.DataType) -> str:
 
 
 def as_boolean_text(c: str, dtype: T.DataType) -> str:
-    """1/0/true/false in any spelling become true/false; the rest is lower case."""
+    """1/0/true/false in any spelling, numbers by value, become true/false; the rest is lower case."""
     low = f"lower({as_text(c, dtype)})"
     if is_numeric_type(dtype):
         return f"case when {c} = 1 then 'true' when {c} = 0 then 'false' else {low} end"
-    return (
+    known = (
         f"case when {low} in ({text_list(TRUE_LITERALS)}) then 'true' "
-        f"when {low} in ({text_list(FALSE_LITERALS)}) then 'false' else {low} end"
+        f"when {low} in ({text_list(FALSE_LITERALS)}) then 'false' "
     )
+    if isinstance(dtype, TEXTUAL):
+        known += f"when {matches(c, NUMBER_SHAPE)} then decode({digits_of(c)}, '1', 'true', '0', 'false', {low}) "
+    return known + f"else {low} end"
 
 
 def as_number(c: str, dtype: T.DataType, number: str) -> str:
+    if number == DIGITS:
+        text = f"cast({c} as int)" if isinstance(dtype, T.BooleanType) else c
+        text = c if isinstance(dtype, TEXTUAL) else f"cast({text} as string)"
+        return f"case when {matches(text, NUMBER_SHAPE)} then {digits_of(text)} end"
     if isinstance(dtype, TEXTUAL):
         return f"case when {matches(c, NUMBER_SHAPE)} then try_cast(trim({c}) as {number}) end"
     if isinstance(dtype, T.BooleanType):

@@ -88,6 +88,8 @@ MANIFEST_COLUMNS = (
     "TargetFilePath",
     "TargetColumns",
 )
+# Columns of the manifest that may be left out.
+MANIFEST_OPTIONS = ("SourceKey", "SourcePartitionColumn", "TargetPartitionColumn")
 
 
 class DatasetError(Exception):
@@ -136,8 +138,11 @@ class RunConfig:
     date_formats: tuple[str, ...] | None = None
     null_tokens: tuple[str, ...] | None = None
     key_sample_rows: int = 50_000
-    csv_splittable: bool = False
+    # None: every CSV folder is looked through for fields that hold line breaks
+    csv_splittable: bool | None = None
     concurrent_pairs: int = 4
+    # so many repeated row digests, of eight bytes each, may be broadcast
+    broadcast_digests: int = 1_000_000
 
     def __post_init__(self):
         n = self.max_error_records

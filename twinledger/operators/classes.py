@@ -22,7 +22,9 @@ class ColumnFacts:
     values: int
     not_boolean: int
     not_number: int
-    not_exact: int
+    not_plain: int  # values whose digits cannot be counted: floating types, exponents
+    whole: int = 0  # the most digits before and behind the point of the others
+    fraction: int = 0
     not_date: dict = field(default_factory=dict)  # layout -> values it does not fit
 
 
@@ -41,7 +43,10 @@ def _column_aggregates(name: str, dtype: T.DataType, formats):
     if isinstance(dtype, V.TEXTUAL):
         out["not_boolean"] = f"count_if(not ({V.is_boolean_literal(c, dtype)}))"
         out["not_number"] = f"count_if(not ({V.is_number(c, dtype)}))"
-        out["not_exact"] = f"count_if(not ({V.is_exact_number(c, dtype)}))"
+        plain = V.is_plain_number(c)
+        out["not_plain"] = f"count_if(not ({plain}))"
+        out["whole"] = f"coalesce(max(case when {plain} then {V.whole_digits(c)} end), 0)"
+        out["fraction"] = f"coalesce(max(case when {plain} then {V.fraction_digits(c)} end), 0)"
         out["not_date"] = f"count_if(not ({V.fits_some_layout(c, formats)}))"
     elif V.is_numeric_type(dtype):
         out["not_boolean"] = f"count_if(not ({V.is_boolean_literal(c, dtype)}))"
@@ -86,10 +91,10 @@ def read_facts(row: Row, schema: T.StructType, columns) -> SideFacts:
         get = lambda fact: row[f"{i}_{fact}"]
         n, dtype = get("values"), types[name]
         if isinstance(dtype, V.TEXTUAL):
-            facts[name] = ColumnFacts(n, get("not_boolean"), get("not_number"), get("not_exact"))
+            facts[name] = ColumnFacts(n, *[get(f) for f in ("not_boolean", "not_number", "not_plain", "whole", "fraction")])
         elif V.is_numeric_type(dtype):
-            exact = 0 if isinstance(dtype, V.INTEGRAL + (T.DecimalType,)) else n
-            facts[name] = ColumnFacts(n, get("not_boolean"), 0, exact)
+            plain = n if isinstance(dtype, V.FLOATING) else 0
+            facts[name] = ColumnFacts(n, get("not_boolean"), 0, plain, *_type_digits(dtype))
         else:
             boolean = 0 if isinstance(dtype, T.BooleanType) else n
             facts[name] = ColumnFacts(n, boolean, n, n)
@@ -130,19 +135,23 @@ def _date_format(facts: ColumnFacts, dtype: T.DataType, formats):
     return False, None
 
 
+def _type_digits(dtype: T.DataType):
+    """Digits before and behind the point that a numeric type can hold."""
+    if isinstance(dtype, T.DecimalType):
+        return dtype.precision - dtype.scale, dtype.scale
+    return {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}.get(type(dtype), 0), 0
+
+
 def _number_type(a: T.DataType, b: T.DataType, fa: ColumnFacts, fb: ColumnFacts) -> str:
-    """Common type: exact where both sides are exact, double otherwise."""
+    """Common type: double only where a side is floating, else one that holds every value of both sides."""
     if isinstance(a, V.INTEGRAL) and isinstance(b, V.INTEGRAL):
         return "bigint"
-    if fa.not_exact or fb.not_exact:
+    if isinstance(a, V.FLOATING) or isinstance(b, V.FLOATING):
         return "double"
-    if isinstance(a, V.TEXTUAL) or isinstance(b, V.TEXTUAL):
-        wide = [t for t in (a, b) if isinstance(t, T.DecimalType)]
-        fits = all(t.precision - t.scale <= 20 and t.scale <= 18 for t in wide)
-        return V.TEXT_DECIMAL if fits else "double"
-    scale = max(getattr(a, "scale", 0), getattr(b, "scale", 0))
-    whole = max(getattr(t, "precision", 20) - getattr(t, "scale", 0) for t in (a, b))
-    return f"decimal(38,{scale})" if whole + scale <= 38 else "double"
+    whole, scale = max(fa.whole, fb.whole), max(fa.fraction, fb.fraction)
+    if fa.not_plain or fb.not_plain or whole + scale > V.DECIMAL_DIGITS:
+        return V.DIGITS
+    return f"decimal({max(whole + scale, 1)},{scale})"
 
 
 def value_class(a: T.DataType, b: T.DataType, fa: ColumnFacts, fb: ColumnFacts,

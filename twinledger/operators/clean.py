@@ -51,24 +51,28 @@ def count_copies(df: DataFrame) -> DataFrame:
     return grouped.withColumn(DIGEST, F.xxhash64(*df.columns))
 
 
-def repeated_digests(df: DataFrame) -> DataFrame:
-    """Digests that more than one row has: a shuffle of eight bytes a row."""
+def with_row_digest(df: DataFrame) -> DataFrame:
     df = with_missing_as_null(df)
-    digests = df.select(F.xxhash64(*df.columns).alias(DIGEST))
-    return digests.groupBy(DIGEST).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(DIGEST)
+    return df.withColumn(DIGEST, F.xxhash64(*df.columns))
+
+
+def repeated_digests(rows: DataFrame) -> DataFrame:
+    """Digests that more than one row has: a shuffle of eight bytes a row."""
+    return rows.groupBy(DIGEST).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(DIGEST)
 
 
-def count_copies_of(df: DataFrame, repeated: DataFrame) -> DataFrame:
-    """``count_copies`` when the few repeated digests are known.
+def group_copies(rows: DataFrame) -> DataFrame:
+    """Rows with digests, grouped by all their columns: copies beside the digest."""
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(COPIES))
+
+
+def split_copies(rows: DataFrame, repeated: DataFrame):
+    """``count_copies`` of rows with digests in two parts, when the few repeated digests are known.
 
     Rows whose digest is single have no copy and stay where they were read;
     only the others are grouped by all columns.  ``repeated`` is sent to all
     tasks, so the caller checks its size.
     """
-    df = with_missing_as_null(df)
-    marked = df.withColumn(DIGEST, F.xxhash64(*df.columns))
-    few = F.broadcast(repeated.select(DIGEST).withColumn("__hot", F.lit(True)))
-    joined = marked.join(few, DIGEST, "left").select(*df.columns, DIGEST, "__hot")
-    single = joined.where("__hot is null").select(*df.columns, F.lit(1).cast("bigint").alias(COPIES), DIGEST)
-    several = joined.where("__hot").groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
-    return single.unionByName(several.withColumn(DIGEST, F.xxhash64(*df.columns)))
+    few = F.broadcast(repeated.select(DIGEST))
+    single = rows.join(few, DIGEST, "left_anti").withColumn(COPIES, F.lit(1).cast("bigint"))
+    return single, group_copies(rows.join(few, DIGEST, "left_semi"))

@@ -93,6 +93,8 @@ def datatype_comparison(src_meta: DataFrame, tgt_meta: DataFrame, pairs, source_
         compared = {side: _lookup(families, f"{side}_type") for side in compared}
     elif systems != (SNOWFLAKE, SNOWFLAKE):
         mapped, forced = ("source", "target") if source_system == SQLSERVER else ("target", "source")
+        if mapping is None:  # every type is unmapped then
+            mapping = spark.createDataFrame([], "SQLServer string, Snowflake string")
         names = mapping.selectExpr(f"upper(SQLServer) as {mapped}_type", "upper(Snowflake) as mapped_type")
         out = out.join(names.groupBy(f"{mapped}_type").agg(F.max("mapped_type").alias("mapped_type")),
                        f"{mapped}_type", "left")

@@ -17,10 +17,21 @@ from pyspark.sql import functions as F
 
 from twinledger.functions import values as V
 from twinledger.operators.clean import COPIES, DIGEST, clean
-from twinledger.plans.covers import open_candidates, to_mask
+from twinledger.plans.covers import minimal, open_candidates, to_mask
 from twinledger.session import Staged
 
 
+# pairs of rows that refute a candidate come from so many parts of its groups, two from each
+PAIR_GROUPS = 8
+# rows of the sample that are compared with each other at the start of a search
+COMPARED_ROWS = 512
+# candidates that one pass over all rows tests at most
+TESTED_TOGETHER = 16
+# agreements of compared rows that are kept, those with most columns first
+LARGEST = 4096
+OUTSIDE = "declared key is outside the compared columns"
+
+
 @dataclass(frozen=True)
 class KeyResult:
     columns: tuple
@@ -85,8 +96,8 @@ def _evidence(rows: DataFrame, names, candidates):
     that no group repeats.
 
     Per candidate the rows are grouped by 96 bits of hash of its columns, which
-    spares the shuffle long texts; of the groups with several rows two pairs of row
-    digests per candidate come back.  The pairs are then compared on the real
+    spares the shuffle long texts; of the groups with several rows a bounded number of pairs
+    of row digests per candidate comes back.  The pairs are then compared on the real
     values, so a hash collision can delay a decision but not falsify it.
     Returns (agreement masks, candidates without any repeated group).
     """
@@ -103,10 +114,10 @@ def _evidence(rows: DataFrame, names, candidates):
         .agg(F.count(F.lit(1)).alias("n"), F.min(DIGEST).alias("lo"), F.max(DIGEST).alias("hi"))
         .where("n > 1")
     )
-    picked = groups.groupBy("cand").agg(
+    picked = groups.groupBy("cand", F.expr(f"pmod(short_hash, {PAIR_GROUPS})").alias("part")).agg(
         F.min("lo").alias("lo1"), F.min_by("hi", "lo").alias("hi1"),
         F.max("lo").alias("lo2"), F.max_by("hi", "lo").alias("hi2"),
-    ).collect()  # at most one row per candidate
+    ).collect()  # at most so many rows per candidate
     repeated = {r["cand"] for r in picked}
     free = [m for i, m in enumerate(candidates) if i not in repeated]
     pairs = {(r[f"lo{k}"], r[f"hi{k}"]) for r in picked for k in (1, 2) if r[f"lo{k}"] != r[f"hi{k}"]}
@@ -150,10 +161,32 @@ def _settle(rows: DataFrame, names, candidates, agreements: set) -> set:
     return unique
 
 
+def _compared(sample: DataFrame, names) -> set:
+    """Agreements of every two among a bounded number of rows of the sample, the largest of them.
+
+    The rows reach the driver as one hash a column; rows that agree in all hashes
+    are the same row or a collision and say nothing.
+    """
+    codes = [f"if({V.quoted(c)} is null, null, xxhash64({V.quoted(c)}))" for c in names]
+    rows = sample.orderBy(DIGEST).limit(COMPARED_ROWS).selectExpr(f"array({', '.join(codes)}) as codes").collect()
+    best = {}
+    for i, a in enumerate(rows):
+        for b in rows[:i]:
+            mask = 0
+            for j, (x, y) in enumerate(zip(a.codes, b.codes)):
+                if x is not None and x == y:
+                    mask |= 1 << j
+            best[mask] = None
+    full = to_mask(range(len(names)))
+    needed = sorted((full & ~m for m in best if m != full), key=int.bit_count)[:LARGEST]
+    return {full & ~d for d in minimal(needed)}
+
+
 def _search(rows, sample, names, allowed, agreements, batch, require_rows):
     """First key among the allowed columns, or None.  ``sample`` is ``rows``
     itself when that is small."""
     excluded, passed = [], set()  # passed: the sample repeats nothing inside these
+    proven, together = set(), 1  # proven on all rows; tested in one pass, more after each that fails
     for size in range(1, len(allowed) + 1):
         while todo := open_candidates(allowed, agreements, size, batch, excluded):
             fresh = [m for m in todo if m not in passed]
@@ -162,8 +195,11 @@ def _search(rows, sample, names, allowed, agreements, batch, require_rows):
             first = todo[0]
             if first not in passed:
                 continue
-            if sample is not rows and not _settle(rows, names, [first], agreements):
-                continue
+            if sample is not rows and first not in proven:
+                proven |= _settle(rows, names, [m for m in todo if m in passed and m not in proven][:together], agreements)
+                together = min(2 * together, TESTED_TOGETHER)
+                if first not in proven:
+                    continue
             cols = _names_in(first, names)
             if require_rows and rows.select(*cols).dropna(how="any").isEmpty():
                 excluded.append(first)
@@ -200,7 +236,7 @@ def discover_key(rows: DataFrame, columns, non_null=None, total=None,
     ]
     sample = None if whole else Staged(picked.selectExpr(DIGEST, *slim), "key-sample")
     tested = rows if whole else sample.frame
-    agreements = set()
+    agreements = _compared(tested, names)
     try:
         complete = [i for i, c in enumerate(names) if non_null[c] == total]
         found = None
@@ -244,7 +280,7 @@ def resolve_key(rows: DataFrame, columns, declared=(), **kwargs):
     note = None
     if declared:
         if any(d.upper() not in by_upper for d in declared):
-            note = "declared key is outside the compared columns"
+            note = OUTSIDE
         else:
             key = [by_upper[d.upper()] for d in declared]
             status = declared_key_check(rows, key, distinct=True).first()

@@ -122,32 +122,28 @@ def key_map(joined: DataFrame, key, names=None) -> Column:
 def mismatch_samples(diff: DataFrame, key, payload, limit: int, columns=None) -> DataFrame:
     """The first ``limit`` differing cells of every column in key order.
 
-    ``diff`` holds the rows of ``differences``, kept by the caller because
-    every column reads them; ``columns`` names those known to differ.  A task
-    keeps the first rows of its part in a heap of ``limit`` entries, so the
-    cells are neither sorted nor shuffled as a whole, and both values are
-    already on the joined row.
+    ``diff`` holds the rows of ``differences`` and is read once, however many
+    columns differ; ``columns`` names those known to differ.  Each row unfolds to
+    its differing cells; every task keeps the first ``limit`` of a column
+    before anything is shuffled.  A key that repeats on the target gives several
+    rows: the texts of the values break the tie.
     """
     types = {f.name: f.dataType for f in diff.schema.fields}
     names = [V.quoted(k) for k in key]
-    parts = []
+    cells = []
     for i, c in enumerate(payload):
         if columns is not None and c not in columns:
             continue
         s, t = f"source__{c}", f"target__{c}"
-        # a key that repeats on the target gives several rows: values break the tie
-        order = [F.col(k).asc_nulls_first() for k in key] + [F.col(s).asc_nulls_first(), F.col(t).asc_nulls_first()]
-        first = diff.where(differs(c)).select(*key, s, t).orderBy(*order).limit(limit)
-        parts.append(first.selectExpr(
-            f"{i} as ordinal", f"{V.text_literal(c)} as column_name", *names,
-            f"{V.render(V.quoted(s), types[s])} as source_value",
-            f"{V.render(V.quoted(t), types[t])} as target_value",
-        ))
-    order = [F.col(k).asc_nulls_first() for k in key]
-    w = Window.partitionBy("ordinal").orderBy(*order, "source_value", "target_value")
+        cells.append(
+            f"if({differs(c)}, struct({i} as ordinal, {V.text_literal(c)} as column_name, "
+            f"{V.render(V.quoted(s), types[s])} as source_value, {V.render(V.quoted(t), types[t])} as target_value), null)"
+        )
+    found = diff.selectExpr(*names, f"inline(array_compact(array({', '.join(cells)})))")
+    order = [F.col(k).asc_nulls_first() for k in key] + [F.col(v).asc_nulls_first() for v in ("source_value", "target_value")]
     return (
-        reduce(DataFrame.unionByName, parts)
-        .withColumn("example", F.row_number().over(w))
+        found.withColumn("example", F.row_number().over(Window.partitionBy("ordinal").orderBy(*order)))
+        .where(F.col("example") <= limit)
         .select("ordinal", "column_name", *key, "source_value", "target_value", "example")
     )
 

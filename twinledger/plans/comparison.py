@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +14,7 @@ from twinledger.operators import classes as C
 from twinledger.operators import duplicates as D
 from twinledger.operators import reconcile as R
 from twinledger.operators.clean import COPIES, DIGEST
+from twinledger.session import Staged
 
 WHOLE_ROW = "__row"
 
@@ -83,7 +83,7 @@ class Comparison:
         self.source_names, self.target_names = source_names, target_names
         self.src_facts, self.tgt_facts = src_facts, tgt_facts
         self.classes = C.infer_classes(src.schema, tgt.schema, src_facts, tgt_facts, key, formats)
-        self.cached = []
+        self.held = []
         types = {f.name: f.dataType for f in src.schema.fields}
         self._src = C.normalize(src.drop(DIGEST), self.classes, "source").dropna("all", subset=self.columns)
         self._tgt = C.normalize(tgt.drop(DIGEST), self.classes, "target").dropna("all", subset=self.columns)
@@ -148,11 +148,12 @@ class Comparison:
             # the rows that differ are kept for the readers below, unmatched
             # rows without their values
             matched = R.IN_SOURCE + " and " + R.IN_TARGET
-            joined = R.differences(joined, payload).selectExpr(
+            kept = Staged(R.differences(joined, payload).selectExpr(
                 *self.key, R.IN_SOURCE, R.IN_TARGET,
                 *[f"case when {matched} then {p}__{c} end as {p}__{c}" for c in payload for p in ("source", "target")],
-            ).persist(StorageLevel.MEMORY_AND_DISK)
-            self.cached.append(joined)
+            ), "differences")
+            self.held.append(kept)
+            joined = kept.frame
         counts = joined.selectExpr(
             "count_if(not in_target) as only_source",
             "count_if(not in_source) as only_target",
@@ -209,8 +210,8 @@ class Comparison:
         return [], _as_findings(counted, DUPLICATE_CHECK)
 
     def release(self) -> None:
-        for df in self.cached:
-            df.unpersist()
+        for staged in self.held:
+            staged.release()
 
 
 def by_code(position: int) -> str:

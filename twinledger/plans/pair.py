@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
-from functools import reduce
+from threading import Lock
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,8 @@ from twinledger.model import (
     DATATYPE_CHECK,
     FILE,
     MANIFEST_COLUMNS,
+    MANIFEST_OPTIONS,
+    REPORT_COLUMNS,
     SPARK,
     SQLSERVER,
     SNOWFLAKE,
@@ -27,23 +30,19 @@ from twinledger.model import (
     finding,
 )
 from twinledger.operators import classes as C
-from twinledger.operators.clean import COPIES, count_copies, count_copies_of, repeated_digests
+from twinledger.operators.clean import COPIES, group_copies, repeated_digests, split_copies, with_row_digest
 from twinledger.operators.datatypes import datatype_comparison, datatype_findings
-from twinledger.operators.keys import KeyResult, resolve_key
+from twinledger.operators.keys import OUTSIDE, KeyResult, resolve_key
 from twinledger.plans.comparison import Comparison, by_code
 from twinledger.plans.pairing import align, pair_columns, split_names, split_supported
 from twinledger.plans.report import findings_frame, report
-from twinledger.session import Staged
+from twinledger.session import Staged, scratch_path
 from twinledger.sources import jdbc, metadata
 from twinledger.sources.files import MALFORMED, FileRef, read_file
 from twinledger.sources.jdbc import JdbcRef
 from twinledger.sources.tables import TableRef, read_table
 
 
-HELD_FINDINGS = 10_000
-BROADCAST_ROWS = 1_000_000  # of one bigint each
-
-
 @dataclass(frozen=True)
 class PairSpec:
     """One row of a manifest after its references are resolved.
@@ -149,7 +148,7 @@ def _validate(spark, spec, config, mapping, execution_time, labels) -> PairResul
     formats = config.date_formats or V.DATE_FORMATS
 
     with ThreadPoolExecutor(2) as pool:  # the sides do not depend on each other
-        s, t = pool.map(stage_side, (src.select(*columns), tgt.select(*columns)), (spec.source, spec.target))
+        s, t = pool.map(lambda df: Side(df.select(*columns), config.broadcast_digests), (src, tgt))
     comparison = None
     try:
         s_facts, t_facts = C.collect_facts(s.frame, t.frame, columns, formats)
@@ -161,8 +160,10 @@ def _validate(spark, spec, config, mapping, execution_time, labels) -> PairResul
             declared = jdbc.declared_key(spark, spec.source)
         distinct = s_facts.rows - s_facts.surplus_rows - (1 if s_facts.empty_rows else 0)
         by_name = {s_names[c]: c for c in columns}
-        key, note = resolve_key(rows, columns, [by_name.get(d.upper(), d) for d in declared], sample_rows=config.key_sample_rows, total=distinct,
-                                non_null={c: s_facts.columns[c].values for c in columns})
+        known = [by_name.get(d.upper()) for d in declared]
+        key, note = resolve_key(rows, columns, () if None in known else known, sample_rows=config.key_sample_rows,
+                                total=distinct, non_null={c: s_facts.columns[c].values for c in columns})
+        note = OUTSIDE if None in known else note
         if note:
             local.append(finding(DATA_CHECK, "KEY_NOTE", ",".join(declared), source_value=note))
 
@@ -176,7 +177,7 @@ def _validate(spark, spec, config, mapping, execution_time, labels) -> PairResul
         findings = findings_frame(spark, local)
         for f in frames:
             findings = findings.unionByName(f)
-        findings, staged = _keep(findings, len(columns) * max(config.max_error_records, 1))
+        findings, staged = _keep(findings)
     finally:
         for held in (s, t):
             held.release()
@@ -189,26 +190,37 @@ def _validate(spark, spec, config, mapping, execution_time, labels) -> PairResul
     )
 
 
-def stage_side(df: DataFrame, ref) -> Staged:
-    """Distinct rows with copies, computed once for all checks.
+class Side:
+    """Distinct rows of one side with copies and digest, from a single scan of the source.
 
-    Files and tables are scanned twice: first for row digests alone, then for
-    the rows, of which only those with a repeated digest are shuffled.  A
-    database or a derived frame is read once and grouped as a whole, as are
-    sides with more repeated digests than may be sent to every task.
+    The rows are staged with their digests; the digest column alone is then
+    grouped. Rows with a single digest stay as they were written; only the
+    others are shuffled and grouped by all columns. Up to ``most`` repeated
+    digests, of eight bytes each, are sent to every task; beyond that the staged
+    rows are grouped as a whole.
     """
-    if not isinstance(ref, (FileRef, TableRef)):
-        return Staged(count_copies(df), "side")
-    repeated = Staged(repeated_digests(df), "repeated")
-    try:
-        if repeated.frame.count() > BROADCAST_ROWS:
-            return Staged(count_copies(df), "side")
-        side = Staged(count_copies_of(df, repeated.frame), "side")
-        if side.lazy:
-            side.frame.count()
-        return side
-    finally:
-        repeated.release()
+
+    def __init__(self, df: DataFrame, most: int):
+        rows = Staged(with_row_digest(df), "rows")
+        self.held = [rows]
+        repeated = Staged(repeated_digests(rows.frame), "repeated")
+        self.held.append(repeated)
+        n = repeated.frame.count()
+        if not n:
+            self.frame = rows.frame.withColumn(COPIES, F.lit(1).cast("bigint"))
+        elif n > most:
+            whole = Staged(group_copies(rows.frame), "side")
+            self.held.append(whole)
+            self.frame = whole.frame
+        else:
+            single, several = split_copies(rows.frame, repeated.frame)
+            several = Staged(several, "copies")
+            self.held.append(several)
+            self.frame = single.unionByName(several.frame)
+
+    def release(self) -> None:
+        for s in self.held:
+            s.release()
 
 
 def _count_finding(s: int, t: int):
@@ -229,16 +241,15 @@ def _datatype_frame(spark, spec, source, target, pairs, mapping) -> DataFrame:
     )
 
 
-def _keep(findings: DataFrame, bound: int):
-    """The findings as a frame that no longer needs the sides.
+def _keep(findings: DataFrame):
+    """The findings as a staged table, which no longer needs the sides.
 
-    Findings are a few rows per column and the examples asked for.  Up to a
-    bound they are held as rows of the plan, beyond it as a staged table.
+    Findings are a few rows per column and the examples asked for, but one
+    example may hold a whole text, so they never pass the driver.
     """
-    if bound <= HELD_FINDINGS:
-        return findings_frame(findings.sparkSession, findings.collect()), []
     staged = Staged(findings, "findings")
-    staged.frame.count()
+    if staged.lazy:
+        staged.frame.count()
     return staged.frame, [staged]
 
 
@@ -250,7 +261,7 @@ def read_manifest(manifest: DataFrame) -> list:
     missing = [c for c in MANIFEST_COLUMNS if c not in manifest.columns]
     if missing:
         raise DatasetError("BAD_MANIFEST", f"manifest lacks {', '.join(missing)}")
-    keep = [c for c in manifest.columns if c in MANIFEST_COLUMNS or c == "SourceKey"]
+    keep = [c for c in manifest.columns if c in MANIFEST_COLUMNS or c in MANIFEST_OPTIONS]
     out = [
         F.col(c) if c.endswith("FilePath") else F.upper(F.trim(F.col(c))).alias(c) for c in keep
     ]
@@ -259,6 +270,8 @@ def read_manifest(manifest: DataFrame) -> list:
 
 
 def pair_spec(row: dict, config: RunConfig) -> PairSpec:
+    key = tuple(split_names(row.get("SourceKey")) or ())
+
     def side(name, system, connection):
         path, table = row[f"{name}FilePath"], row[f"{name}Table"]
         if path:
@@ -268,43 +281,60 @@ def pair_spec(row: dict, config: RunConfig) -> PairSpec:
             raise DatasetError("BAD_MANIFEST", f"{name} names neither a table nor a file")
         db, schema = row[f"{name}DB"], row[f"{name}Schema"]
         if system in (SQLSERVER, SNOWFLAKE):
-            return JdbcRef(jdbc.require_connection(connection, name), db, schema, table)
+            return JdbcRef(jdbc.require_connection(connection, name), db, schema, table,
+                           partition_column=row.get(f"{name}PartitionColumn"), key=key if name == "Source" else ())
         return TableRef(table, schema, db)
 
     return PairSpec(
         side("Source", config.source_type, config.source_connection),
         side("Target", config.target_type, config.target_connection),
         row["SourceColumns"], row["TargetColumns"],
-        tuple(split_names(row.get("SourceKey")) or ()),
+        key,
         SPARK if config.source_type == FILE else config.source_type,
         SPARK if config.target_type == FILE else config.target_type,
     )
 
 
 def run_manifest(spark: SparkSession, manifest: DataFrame, config: RunConfig | None = None,
-                 mapping: DataFrame | None = None, execution_time: datetime | None = None) -> DataFrame:
+                 mapping: DataFrame | None = None, execution_time: datetime | None = None,
+                 on_report: Callable[[DataFrame], None] | None = None) -> DataFrame:
     """Validate every pair of the manifest and return the combined report.
 
     A few pairs are in work at once: the small jobs of one fill the gaps of
     another, and the cluster's scheduler shares the executors among them.
+    The rows of a pair are written when the pair ends, whatever becomes of the
+    others; ``on_report`` then gets them, one pair at a time. Any failure of a pair
+    becomes its row.
     """
     config = config or RunConfig()
+    rows = read_manifest(manifest)
+    if not rows:
+        raise DatasetError("BAD_MANIFEST", "manifest has no pairs")
+    folder, turn = scratch_path(spark, "reports"), Lock()
 
-    def validate(row):
+    def validate(row) -> PairResult:
+        labels = tuple(row[f"{side}Table"] or row[f"{side}FilePath"] or "" for side in ("Source", "Target"))
         try:
             spec = pair_spec(row, config)
+            labels = tuple(_label(r, None) for r in (spec.source, spec.target))
+            return run_pair(spark, spec, config, mapping, execution_time)
         except DatasetError as e:
-            labels = tuple(row[f"{side}Table"] or row[f"{side}FilePath"] or "" for side in ("Source", "Target"))
             return _failed(spark, str(e), labels, execution_time)
+        except Exception as e:  # a driver that is missing, a lost database: the other pairs still get their rows
+            reason = (str(e).strip() or type(e).__name__).splitlines()[0]
+            return _failed(spark, f"JOB_FAILED: {reason}", labels, execution_time)
+
+    def finish(nr: int) -> None:
+        result = validate(rows[nr])
         try:
-            return run_pair(spark, spec, config, mapping, execution_time)
-        except PySparkException as e:  # the other pairs still get their rows
-            labels = tuple(_label(r, None) for r in (spec.source, spec.target))
-            return _failed(spark, f"JOB_FAILED: {str(e).splitlines()[0]}", labels, execution_time)
+            path = f"{folder}/pair={nr}"
+            result.report.coalesce(1).withColumn("place", F.monotonically_increasing_id()).write.parquet(path)
+            if on_report:
+                with turn:
+                    on_report(spark.read.parquet(path).orderBy("place").select(*REPORT_COLUMNS))
+        finally:
+            result.release()
 
-    rows = read_manifest(manifest)
-    if not rows:
-        raise DatasetError("BAD_MANIFEST", "manifest has no pairs")
     with ThreadPoolExecutor(max(1, config.concurrent_pairs)) as pool:
-        results = list(pool.map(validate, rows))
-    return reduce(DataFrame.unionByName, [r.report for r in results])
+        list(pool.map(finish, range(len(rows))))
+    return spark.read.parquet(folder).orderBy("pair", "place").select(*REPORT_COLUMNS)

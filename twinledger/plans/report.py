@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,7 +82,8 @@ def report(findings: DataFrame, source_label: str, target_label: str, checks=CHE
     """Report rows, failed checks first.
 
     A finding frame holds a few rows per column, so the groupings below are
-    over control data whatever the size of the tables.
+    over control data whatever the size of the tables. The time is that of the
+    call, not of the later job that writes the rows.
     """
     failing = ", ".join(f"'{code}'" for code, spec in FINDING_CODES.items() if spec[1])
     one_row = "code in (" + ", ".join(f"'{c}'" for c in ONE_ROW_CODES) + ")"
@@ -98,7 +99,7 @@ def report(findings: DataFrame, source_label: str, target_label: str, checks=CHE
                     _reason("array_join(transform(pieces, p -> p.piece), ', ')") + " as Reason")
     )
     base = findings.sparkSession.createDataFrame([(c, CHECKS.index(c)) for c in checks], "check string, seq int")
-    now = F.lit(execution_time) if execution_time is not None else F.current_timestamp()
+    now = F.lit(execution_time if execution_time is not None else datetime.now(UTC))
     return (
         base.join(verdicts, "check", "left").join(rows, "check", "left")
         .withColumn("result", F.expr("if(coalesce(failed, false), 'Fail', 'Pass')"))

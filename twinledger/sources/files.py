@@ -20,15 +20,16 @@ MALFORMED = "a record has more fields than the header"
 class FileRef:
     """A path and its format; the format defaults to the file extension.
 
-    ``splittable`` states that no quoted CSV field holds a line break, so that
-    one large file may be read by many tasks.  Otherwise each file of the
-    folder is one unit of parallelism.
+    ``splittable`` states whether no quoted CSV field holds a line break, so
+    that one large file may be read by many tasks; otherwise each file of the
+    folder is one unit of parallelism. Where it is not stated, the lines are
+    looked through for an open quote first.
     """
 
     path: str
     format: str | None = None
     null_tokens: tuple = V.NULL_TOKENS
-    splittable: bool = False
+    splittable: bool | None = None
     options: dict = field(default_factory=dict, hash=False)
 
     @property
@@ -70,26 +71,64 @@ def upper_header(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.upper() for c in df.columns])
 
 
+def look_through(spark: SparkSession, path: str):
+    """(header lines with the files that have them, no quoted field holds a line break).
+
+    One pass over the lines, split like any text. A field that goes on behind
+    the end of its line leaves an odd number of quotes in it, because quotes
+    inside fields are doubled. The first line of a file is the first of
+    its first block.
+    """
+    lines = spark.read.text(path).where("value <> ''").selectExpr(
+        "value", "_metadata.file_path as file", "_metadata.file_block_start as start")
+    blocks = lines.groupBy("file", "start").agg(
+        F.first("value").alias("line"), F.count_if(F.expr("length(value) - length(replace(value, '\"', ''))") % 2 == 1).alias("open"))
+    files = blocks.groupBy("file").agg(F.min_by("line", "start").alias("header"), F.sum("open").alias("open"))
+    rows = files.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"), F.sum("open").alias("open")).collect()
+    return {r["header"]: r["files"] for r in rows}, not any(r["open"] for r in rows)
+
+
 def read_csv(spark: SparkSession, ref: FileRef) -> DataFrame:
     """Header, comma, UTF-8; every column as text with null tokens as null.
 
     Value classes are inferred later from all values.  A record with too few
     fields is filled with nulls; one with too many stops the job that reads
-    it.
+    it.  Files of a folder may order their columns differently; other
+    columns are an error.
     """
-    options = {
-        "header": True, "sep": ",", "encoding": "UTF-8", "quote": '"', "escape": '"',
-        "multiLine": not ref.splittable, **ref.options,
-    }
+    options = {"header": True, "sep": ",", "encoding": "UTF-8", "quote": '"', "escape": '"', **ref.options}
+    # what counts as an open quote is known only for doubled quotes in UTF-8
+    plain = (options["quote"], options["escape"], options["encoding"].upper()) == ('"', '"', "UTF-8")
+    headers, whole_lines = look_through(spark, ref.path) if plain else ({None: None}, False)
+    if not headers:
+        raise DatasetError("FILE_EMPTY", ref.path)
+    splittable = whole_lines if ref.splittable is None else ref.splittable
+    options = {"multiLine": not splittable, **options}
+    parts = [_read_alike(spark, ref, options, files if len(headers) > 1 else ref.path) for files in headers.values()]
+    names = {frozenset(c.upper() for c in p.columns) for p in parts}
+    if len(names) > 1:
+        raise DatasetError("FILE_HEADERS_DIFFER", ref.path)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(upper_header(p).toDF(*[_as_in(out, c) for c in p.columns]))
+    return out
+
+
+def _as_in(df: DataFrame, name: str) -> str:
+    return next(c for c in df.columns if c.upper() == name.upper())
+
+
+def _read_alike(spark: SparkSession, ref: FileRef, options: dict, path) -> DataFrame:
+    """Files with one header."""
     # the names as written: the reader itself would rename repeated ones
-    header = spark.read.options(**{**options, "header": False}).csv(ref.path).head()
+    header = spark.read.options(**{**options, "header": False}).csv(path).head()
     if header is None:
         raise DatasetError("FILE_EMPTY", ref.path)
     names = [name or f"_C{i}" for i, name in enumerate(header)]
     require_distinct(names)
     fields = [T.StructField(c, T.StringType()) for c in names]
     schema = T.StructType(fields + [T.StructField(OVERFLOW, T.StringType())])
-    df = spark.read.options(**options).schema(schema).csv(ref.path)
+    df = spark.read.options(**options).schema(schema).csv(path)
     fits = F.when(F.col(OVERFLOW).isNull(), True).otherwise(F.raise_error(F.lit(f"{MALFORMED}: {ref.path}")))
     return df.where(fits.cast("boolean")).selectExpr(
         *[f"{V.null_tokens_to_null(V.quoted(c), ref.null_tokens)} as {V.quoted(c)}" for c in names]

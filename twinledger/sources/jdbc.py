@@ -6,7 +6,7 @@ as queries; table reads are split over executors by a numeric column.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +65,7 @@ class JdbcRef:
     partition_column: str | None = None
     partitions: int = 64
     fetch_size: int = 10_000
+    key: tuple = ()  # the key named in the manifest
 
     @property
     def label(self) -> str:
@@ -121,6 +122,19 @@ def run_query(spark: SparkSession, connection, database: str | None, query: str)
     return spark.read.format("jdbc").options(**connection.jdbc_options(database)).option("query", query).load()
 
 
+# Types whose values a read may be split by.
+SPLIT_TYPES = ("TINYINT", "SMALLINT", "INT", "BIGINT", "DECIMAL", "NUMERIC", "NUMBER", "DATE", "DATETIME", "DATETIME2",
+               "SMALLDATETIME", "TIMESTAMP_NTZ")
+
+
+def split_column(ref: JdbcRef, types: dict, key=()) -> str | None:
+    """The column that a read is split by: the one named, else the first of
+    the key whose type has an order that the database can cut."""
+    if ref.partition_column:
+        return ref.partition_column
+    return next((c for c in (*ref.key, *key) if types.get(c.upper()) in SPLIT_TYPES), None)
+
+
 def split_options(ref: JdbcRef, low, high) -> dict:
     return {
         "partitionColumn": ref.partition_column, "lowerBound": str(low), "upperBound": str(high),
@@ -135,6 +149,9 @@ def read_jdbc(spark: SparkSession, ref: JdbcRef, columns=None) -> DataFrame:
         .option("fetchsize", ref.fetch_size)
         .option("dbtable", f"({table_query(ref, columns)}) t")
     )
+    if not ref.partition_column:
+        types = {r["column_name"]: r["data_type"] for r in column_metadata(spark, ref).collect()}
+        ref = replace(ref, partition_column=split_column(ref, types, declared_key(spark, ref)))
     if ref.partition_column:
         row = run_query(spark, ref.connection, ref.database, bounds_query(ref)).first()
         if row["LO"] is not None:
@@ -148,7 +165,7 @@ def list_tables(spark: SparkSession, connection, database: str, schema: str):
 
 
 def table_exists(spark: SparkSession, ref: JdbcRef) -> bool:
-    return ref.table in list_tables(spark, ref.connection, ref.database, ref.schema)
+    return ref.table.upper() in list_tables(spark, ref.connection, ref.database, ref.schema)
 
 
 def column_metadata(spark: SparkSession, ref: JdbcRef) -> DataFrame:
