@@ -32,7 +32,7 @@ def slow_components(ids, radius):
                 label[find(a)] = find(b)
     best = {}
     for f, own in ids.items():
-        best[find(f)] = min([best[find(f)]] * (find(f) in best) + own)
+        best[find(f)] = min(([best[find(f)]] if find(f) in best else []) + own)
     return {f: best[find(f)] for f in ids}
 
 
