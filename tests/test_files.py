@@ -1,9 +1,11 @@
 import pytest
 
-from twinledger.model import MANIFEST_COLUMNS, DatasetError, RunConfig
+from twinledger.model import MANIFEST_COLUMNS, SNOWFLAKE, SQLSERVER, DatasetError, RunConfig
 from twinledger.plans.pair import PairSpec, run_manifest, run_pair
 from twinledger.sinks import reports
+from twinledger.sources.control import read_mapping
 from twinledger.sources.files import FileRef, read_file
+from twinledger.sources.jdbc import SqlServerConnection
 from twinledger.sources.tables import TableRef, list_columns, list_tables, read_table, table_exists
 
 
@@ -155,3 +157,84 @@ def test_shared_folder_is_read_from_the_session(spark, tmp_path):
     finally:
         if root != before and before is not None:
             spark.conf.set("spark.checkpoint.dir", before)
+
+
+def manifest_of(spark, *pairs):
+    blank = dict.fromkeys(MANIFEST_COLUMNS)
+    return spark.createDataFrame([tuple({**blank, **p}[c] for c in MANIFEST_COLUMNS) for p in pairs],
+                                 ", ".join(f"{c} string" for c in MANIFEST_COLUMNS))
+
+
+def test_database_without_a_driver_beside_a_good_pair(spark, tmp_path):
+    put(tmp_path / "a.csv", "id,v\n1,x\n2,y\n")
+    table = {"TargetDB": "db", "TargetSchema": "dbo", "TargetTable": "t", "SourceFilePath": f"{tmp_path}/a.csv"}
+    manifest = manifest_of(spark, table, {"SourceFilePath": f"{tmp_path}/a.csv", "TargetFilePath": f"{tmp_path}/a.csv"})
+    config = RunConfig(target_type=SQLSERVER, target_connection=SqlServerConnection("nowhere:1", "u", "p"))
+    rows = run_manifest(spark, manifest, config).collect()
+    assert [r["Validation_Result"] for r in rows] == ["Fail", "Pass", "Pass", "Pass"] and "JOB_FAILED" in rows[0]["Reason"]
+
+
+def test_rows_are_handed_over_as_pairs_end(spark, tmp_path):
+    put(tmp_path / "a.csv", "id,v\n1,x\n2,y\n")
+    same = {"SourceFilePath": f"{tmp_path}/a.csv", "TargetFilePath": f"{tmp_path}/a.csv"}
+    seen = []
+    out = run_manifest(spark, manifest_of(spark, same, {**same, "TargetFilePath": f"{tmp_path}/no.csv"}, same), RunConfig(concurrent_pairs=1),
+                       on_report=lambda rows: seen.append([r["execution_time"] for r in rows.collect()]))
+    assert [len(s) for s in seen] == [3, 1, 3] and seen[0][0] <= seen[1][0] <= seen[2][0]
+    assert [r["execution_time"] for r in out.collect()] == [x for s in seen for x in s] == [r["execution_time"] for r in out.collect()]
+
+
+def test_systems_that_need_a_mapping_go_without_one(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, v string")
+    rows = run_pair(spark, PairSpec(df, df, source_system=SQLSERVER, target_system=SNOWFLAKE)).report.collect()
+    assert {r["Validation_type"]: r["Validation_Result"] for r in rows} == {
+        "Count validation": "Pass", "Data Validation": "Pass", "Datatype Validation": "Fail", "Duplicate Validation": "Pass"}
+    assert any("no type mapping for Id, V" in r["Reason"] for r in rows)
+
+
+def test_mapping_from_a_file(spark, tmp_path):
+    put(tmp_path / "map.csv", "SQLServer,Snowflake\nint,number\n Varchar ,Text\n")
+    assert sorted(map(tuple, read_mapping(spark, f"{tmp_path}/map.csv").collect())) == [("INT", "NUMBER"), ("VARCHAR", "TEXT")]
+    put(tmp_path / "bad.csv", "a,b\n1,2\n")
+    with pytest.raises(DatasetError):
+        read_mapping(spark, f"{tmp_path}/bad.csv")
+
+
+def test_csv_is_split_where_no_field_holds_a_line_break(spark, tmp_path):
+    line = ",".join(["some words here"] * 6) + ',"quoted, with ""marks"""'
+    text = "a,b,c,d,e,f,g\n" + (line + "\n") * 400_000
+    big = put(tmp_path / "big.csv", text)
+    df = read_file(spark, big)
+    assert df.rdd.getNumPartitions() > 4 and df.count() == 400_000
+    put(tmp_path / "broken.csv", text + '1,2,3,4,5,6,"a\nb"\n')
+    whole = read_file(spark, FileRef(f"{tmp_path}/broken.csv"))
+    assert whole.rdd.getNumPartitions() == 1 and whole.where("G = 'a\nb'").count() == 1
+
+
+def test_files_of_a_folder_may_order_their_columns_differently(spark, tmp_path):
+    folder = tmp_path / "many.csv"
+    folder.mkdir()
+    put(folder / "1.csv", "a,b\n1,x\n")
+    put(folder / "2.csv", "b,a\ny,2\n")
+    assert sorted(map(tuple, read_file(spark, FileRef(str(folder))).collect())) == [("1", "x"), ("2", "y")]
+    put(folder / "3.csv", "a,c\n3,z\n")
+    with pytest.raises(DatasetError) as e:
+        read_file(spark, FileRef(str(folder)))
+    assert e.value.code == "FILE_HEADERS_DIFFER"
+
+
+def test_a_table_equals_its_own_csv(spark, tmp_path, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders.write.csv(f"{tmp_path}/orders.csv", header=True)
+    rows = run_pair(spark, PairSpec(orders, FileRef(f"{tmp_path}/orders.csv"))).report.collect()
+    assert {r["Validation_Result"] for r in rows} == {"Pass"}
+
+
+def test_options_of_the_command_line():
+    from twinledger.__main__ import build_config, parse
+
+    config = build_config(parse(["--manifest", "m", "--output", "o", "--date-format", "yyyyMMdd", "--null-token", "-", "--null-token", "?",
+                                 "--csv-splittable", "no", "--concurrent-pairs", "9"]), {})
+    assert (config.date_formats, config.null_tokens, config.csv_splittable, config.concurrent_pairs) == (("yyyyMMdd",), ("-", "?"), False, 9)
+    config = build_config(parse(["--manifest", "m", "--output", "o"]), {})
+    assert (config.date_formats, config.null_tokens, config.csv_splittable) == (None, None, None)

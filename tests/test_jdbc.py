@@ -47,3 +47,25 @@ def test_manifest_rows_become_database_references():
     assert (spec.source_system, spec.target_system, spec.declared_key) == (SQLSERVER, SNOWFLAKE, ("A", "B"))
     with pytest.raises(DatasetError):
         pair_spec(row, RunConfig(source_type=SQLSERVER))
+
+
+def test_reads_are_split_by_a_key_column_with_an_order():
+    types = {"CODE": "NVARCHAR", "ID": "BIGINT", "DAY": "DATE"}
+    plain = jdbc.JdbcRef(SQL, "DB", "DBO", "ORDERS")
+    assert jdbc.split_column(REF, types) == "ID"
+    assert jdbc.split_column(plain, types, ["CODE", "ID"]) == "ID"
+    assert jdbc.split_column(jdbc.JdbcRef(SQL, "DB", "DBO", "ORDERS", key=("DAY",)), types, ["ID"]) == "DAY"
+    assert jdbc.split_column(plain, types, ["CODE"]) is None
+
+
+def test_manifest_names_the_column_that_splits_a_read():
+    row = dict.fromkeys(["SourceFilePath", "TargetFilePath", "SourceColumns", "TargetColumns"])
+    row |= {f"{s}{p}": f"{p.upper()}" for s in ("Source", "Target") for p in ("DB", "Schema", "Table")}
+    config = RunConfig(source_type=SQLSERVER, target_type=SNOWFLAKE, source_connection=SQL, target_connection=SNOW)
+    spec = pair_spec({**row, "SourcePartitionColumn": "ID", "TargetPartitionColumn": "NR"}, config)
+    assert (spec.source.partition_column, spec.target.partition_column) == ("ID", "NR")
+
+
+def test_table_names_are_found_in_any_case(monkeypatch):
+    monkeypatch.setattr(jdbc, "list_tables", lambda *a: ["ORDERS"])
+    assert jdbc.table_exists(None, jdbc.JdbcRef(SQL, "DB", "DBO", "orders"))

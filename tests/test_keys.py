@@ -1,4 +1,5 @@
 import random
+import time
 from itertools import combinations
 
 import pytest
@@ -6,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from twinledger.operators import clean, keys
+from twinledger.plans import covers
 from twinledger.plans.covers import open_candidates, to_mask
 
 
@@ -103,3 +105,40 @@ def test_copies_of_a_row_do_not_break_a_key(spark):
     bad = df.union(spark.createDataFrame([(1, 6), (None, 1), (None, 2)], "k int, v int"))
     r = keys.declared_key_check(bad, ["k"]).first()
     assert (r["status"], r["keyed_rows"], r["distinct_keys"]) == (2, 3, 2)
+
+
+def brute_covers(n, agreements, size):
+    return [m for m in (covers.to_mask(c) for c in combinations(range(n), size)) if not any(m & a == m for a in agreements)]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_candidates_equal_brute_force(seed):
+    rng = random.Random(seed)
+    n = 14
+    agreements = {rng.getrandbits(n) | rng.getrandbits(n) for _ in range(40)} - {(1 << n) - 1}
+    for size in range(1, n + 1):
+        want = brute_covers(n, agreements, size)
+        got = covers.open_candidates(range(n), agreements, size, 10**9)
+        in_order = sorted(want, key=lambda m: [i for i in range(n) if m >> i & 1])
+        assert got == in_order
+        assert covers.open_candidates(range(n), agreements, size, 3, want[:1]) == [m for m in in_order if m & want[0] != want[0]][:3] if want else not got
+
+
+@pytest.mark.parametrize("n", [14, 24, 40])
+def test_flags_that_number_the_rows_are_found_in_time(spark, n):
+    """Two-valued columns: ten of them number the rows, the others say little."""
+    rng = random.Random(n)
+    rows = [tuple(i >> j & 1 for j in range(10)) + tuple(int(rng.random() < 0.1) for _ in range(n - 10)) for i in range(600)]
+    names = [f"f{i}" for i in range(n)]
+    df = spark.createDataFrame([tuple(reversed(r)) for r in rows], ", ".join(f"{c} int" for c in names))
+    start = time.time()
+    found = keys.find_key(df)
+    assert time.time() - start < 90
+    assert df.select(*found.columns).distinct().count() == 600 and len(found.columns) == 10
+
+
+def test_a_small_sample_finds_the_same_key(spark):
+    rng = random.Random(8)
+    rows = [(i // 50, i % 50, rng.randrange(3), rng.randrange(4)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "a int, b int, c int, d int").repartition(5)
+    assert keys.find_key(df, sample_rows=20).columns == keys.find_key(df).columns == ("a", "b")

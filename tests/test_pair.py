@@ -1,7 +1,10 @@
 from datetime import datetime
 
 from twinledger.model import RunConfig
-from twinledger.plans.pair import PairSpec, run_pair
+from twinledger.operators import reconcile as R
+from twinledger.operators.clean import COPIES
+from twinledger.plans.pair import PairSpec, Side, run_pair
+from twinledger.session import Staged
 
 NOW = datetime(2024, 1, 1)
 
@@ -202,3 +205,39 @@ def test_declared_key_is_never_taken_for_a_position(spark):
     result = run_pair(spark, PairSpec(src, src, "a,b", declared_key=("C1",)))
     assert result.key.columns == ("A",) and result.key.origin == "discovered"
     assert ("KEY_NOTE", "declared key is outside the compared columns") in found(result, "code", "source_value")
+
+
+def test_a_source_is_read_once_and_its_copies_grouped_either_way(spark, tmp_path):
+    rows = [(i % 40, f"v{i % 40}") for i in range(100)] + [(100 + i, "w") for i in range(50)]
+    want = {}
+    for n in rows:
+        want[n] = want.get(n, 0) + 1
+    frame = spark.createDataFrame(rows, "id int, v string").repartition(4)
+    frame.write.parquet(f"{tmp_path}/t")
+    for most in (0, 1_000_000):
+        df = spark.read.parquet(f"{tmp_path}/t")
+        side = Side(df, most)
+        assert {(r["id"], r["v"]): r[COPIES] for r in side.frame.collect()} == want
+        plan = side.frame._jdf.queryExecution().executedPlan().toString()
+        assert f"{tmp_path}/t" not in plan  # nothing reads the source again
+        side.release()
+
+
+def test_both_settings_of_the_broadcast_give_one_report(spark):
+    src = spark.createDataFrame([(i % 30, "a") for i in range(50)], "id int, v string")
+    tgt = spark.createDataFrame([(i % 31, "a" if i % 7 else "b") for i in range(55)], "id int, v string")
+    one, two = (facts(run_pair(spark, PairSpec(src, tgt), RunConfig(broadcast_digests=n))) for n in (0, 1000))
+    assert one == two
+
+
+def test_examples_of_many_columns_read_the_differences_once(spark):
+    n = 100
+    src = spark.range(40).selectExpr("id", *[f"id * {i} as c{i}" for i in range(n)])
+    tgt = spark.range(40).selectExpr("id", *[f"id * {i} + if(id % 9 = 4, 1, 0) as c{i}" for i in range(n)])
+    payload = [f"c{i}" for i in range(n)]
+    diff = Staged(R.differences(R.reconcile(src, tgt, ["id"], True), payload), "diff")
+    out = R.mismatch_samples(diff.frame, ["id"], payload, 2)
+    got = out.collect()
+    assert len(got) == 2 * n and {r["id"] for r in got} == {4, 13}
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("InMemoryTableScan") + plan.count("FileScan") == 1

@@ -85,6 +85,7 @@ def look_through(spark: SparkSession, path: str):
         F.first("value").alias("line"), F.count_if(F.expr("length(value) - length(replace(value, '\"', ''))") % 2 == 1).alias("open"))
     files = blocks.groupBy("file").agg(F.min_by("line", "start").alias("header"), F.sum("open").alias("open"))
     rows = files.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"), F.sum("open").alias("open")).collect()
+    rows = sorted(rows, key=lambda r: r["files"][0])
     return {r["header"]: r["files"] for r in rows}, not any(r["open"] for r in rows)
 
 
