@@ -22,6 +22,10 @@ ORACLES["project_pair"] = f"""
 with t as ({sql('orders_changed')})
 select o_orderkey as "O_ORDERKEY", o_custkey as "O_CUSTKEY", o_totalprice as "O_TOTALPRICE" from t"""
 
+ORACLES["project_unequal_lists"] = f"""
+with t as ({sql('orders_changed')})
+select o_custkey as "O_ORDERKEY", o_orderkey as "O_CUSTKEY", o_orderpriority as "O_ORDERPRIORITY" from t"""
+
 ORACLES["display_names"] = """
 with raw as (
   select p_partkey, unnest(string_split(p_type || '_' || replace(p_name, ' ', '_') || '_' || lower(p_brand), '_')) as w,

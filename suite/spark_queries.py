@@ -17,6 +17,7 @@ from twinledger.plans.pair import PairSpec, run_manifest, run_pair
 from twinledger.session import Staged, scratch_path
 from twinledger.sinks import reports
 from twinledger.sources import metadata
+from twinledger.sources.control import read_mapping
 from twinledger.sources.files import FileRef, read_file
 
 FIXED_TIME = datetime(2024, 1, 1)
@@ -73,6 +74,14 @@ def project_pair(spark, sf):
     return pairing.align(src, tgt, pairs)[1]
 
 
+@query
+def project_unequal_lists(spark, sf):
+    """The tail of the longer list completes the shorter one."""
+    src, tgt = (df.toDF(*[c.upper() for c in df.columns]) for df in orders_pair(spark, sf))
+    pairs = pairing.pair_columns("o_orderkey,o_custkey", "o_custkey,o_orderkey,o_orderpriority", src.columns, tgt.columns)
+    return pairing.align(src, tgt, pairs)[1]
+
+
 @query
 def display_names(spark, sf):
     raw = "concat_ws('_', p_type, replace(p_name, ' ', '_'), lower(p_brand))"
@@ -447,8 +456,10 @@ def customer_metadata(spark, sf, src_system, tgt_system):
 def customer_datatypes(spark, sf, src_system, tgt_system):
     s, t = customer_metadata(spark, sf, src_system, tgt_system)
     pairs = [ColumnPair(c, c) for c in read(spark, sf, "customer").columns]
-    mapping = spark.createDataFrame(
-        [("INT", "NUMBER"), ("FLOAT", "FLOAT"), ("REAL", "FLOAT"), ("VARCHAR", "TEXT")], "SQLServer string, Snowflake string")
+    path = scratch_path(spark, "mapping") + ".csv"
+    names = [("int", "number"), ("float", "float"), ("real", "float"), ("varchar", "text")]
+    spark.createDataFrame(names, "SQLServer string, Snowflake string").write.csv(path, header=True)
+    mapping = read_mapping(spark, path)
     found = datatypes.datatype_findings(
         datatypes.datatype_comparison(s, t, pairs, src_system, tgt_system, mapping))
     return found.select(F.lower("source_column").alias("column_name"), "source_type", "target_type", "code")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,12 @@ def shared_dir(spark: SparkSession) -> str | None:
     return spark.conf.get(CHECKPOINT_DIR, None)
 
 
+@cache
+def _own_folder() -> tempfile.TemporaryDirectory:
+    """One temporary folder for this process, gone when it ends."""
+    return tempfile.TemporaryDirectory(prefix="twinledger-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder.
 
@@ -26,7 +33,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="twinledger-")
+        root = _own_folder().name
     return f"{root.rstrip('/')}/twinledger/{name}-{uuid.uuid4().hex}"
 
 
