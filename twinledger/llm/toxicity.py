@@ -85,6 +85,10 @@ def ratios(rows: DataFrame, features: int = FEATURES) -> tuple[np.ndarray, np.nd
     return np.array([x.bucket for x in got], np.int64), np.array([x.r for x in got])
 
 
+def _share(logits: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(logits, -60.0, 60.0)))
+
+
 def fit(held: list[np.ndarray], y: np.ndarray, r: np.ndarray) -> tuple[float, np.ndarray]:
     """Intercept and weight of each feature (its ratio times its coefficient)."""
     prior = (y.sum() + 0.5) / (len(y) + 1.0)
@@ -96,7 +100,7 @@ def fit(held: list[np.ndarray], y: np.ndarray, r: np.ndarray) -> tuple[float, np
     first, second = np.zeros(len(r) + 1), np.zeros(len(r) + 1)  # Adam; the last entry is the intercept
     for t in range(1, STEPS + 1):
         f = bias + np.bincount(row, (w * r)[col], len(y))
-        d = (1 / (1 + np.exp(-f)) - y) / len(y)
+        d = (_share(f) - y) / len(y)
         g = np.append(np.bincount(col, d[row], len(r)) * r + RIDGE * w, d.sum())
         first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
         step = 0.1 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-9) * min(1.0, 2 * (1 - t / (STEPS + 1)))
@@ -130,7 +134,7 @@ def scorer(model: dict):
         index[model["buckets"]] = np.arange(len(model["buckets"]))
         for part in texts:
             logits = np.array([model["bias"] + model["weights"][_held(t.as_py(), index)].sum() for t in part])
-            yield pa.array(1 / (1 + np.exp(-logits)), pa.float64())
+            yield pa.array(_share(logits), pa.float64())
 
     return score
 
