@@ -19,6 +19,8 @@ from twinledger.llm.common import staged, text_of
 
 CHAIN = 2
 THRESHOLD = 0.8
+#: Buckets are dealt to partitions by hash; many small ones make the partitions even.
+BUCKETS_PER_PARTITION = 8
 #: Hex digits of a spot's MD5.
 DIGITS = 12
 
@@ -64,9 +66,10 @@ def pruned_jaccard(a: Column, b: Column, least: float = 0.0) -> Column:
 
 def _bucketed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
     """(id, text, bucket) with buckets of about equal numbers of rows in order of the ids; null ids lie in the last."""
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = parts * BUCKETS_PER_PARTITION
     ident = F.col(id_col).cast("long")
-    cuts = docs.agg(F.percentile_approx(ident, [i / n for i in range(1, n)] or [0.5], 50 * n)).first()[0] or []
+    cuts = docs.agg(F.percentile_approx(ident, [i / n for i in range(1, n)], 50 * n)).first()[0] or []
     bounds = sorted(set(cuts))
     steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
     if bounds:  # binary search: how many bounds are not above the id
@@ -75,7 +78,7 @@ def _bucketed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, i
         bucket = F.when(F.col("id").isNull(), F.lit(len(bounds))).otherwise(at)
     else:
         bucket = F.lit(0)
-    return docs.select(ident.alias("id"), text_of(text_col).alias("text")).withColumn("bucket", bucket), n
+    return docs.select(ident.alias("id"), text_of(text_col).alias("text")).withColumn("bucket", bucket), parts
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -84,7 +87,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     Rows of one id are ordered by a hash of their texts. A text is shuffled once: to its bucket, which
     also gets the first row of the bucket behind it.
     """
-    rows, n = _bucketed(docs, id_col, text_col)
+    rows, parts = _bucketed(docs, id_col, text_col)
     spark = docs.sparkSession
     order = F.xxhash64("text")
     firsts = {r.bucket: (r.id, r.any) for r in rows.groupBy("bucket").agg(F.min("id").alias("id"), F.count("*").alias("any")).collect()}  # a row for each bucket
@@ -94,7 +97,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     first = rows.join(F.broadcast(known), F.col("id").eqNullSafe(F.col("f_id")) & (F.col("bucket") == F.col("f_bucket")))
     heads = first.groupBy("into", "id").agg(F.min_by("text", order).alias("text"))
     dealt = rows.withColumn("copy", F.lit(False)).unionByName(heads.select("id", "text", F.col("into").alias("bucket"), F.lit(True).alias("copy")))
-    dealt = dealt.repartition(n, "bucket").withColumn("sigs", signatures(F.col("text")))
+    dealt = dealt.repartition(parts, "bucket").withColumn("sigs", signatures(F.col("text")))
     in_order = Window.partitionBy("bucket").orderBy("copy", F.asc_nulls_last("id"), order)
     paired = dealt.withColumn("next_text", F.lead("text").over(in_order)).withColumn("next_sigs", F.lead("sigs").over(in_order))
     return paired.filter(~F.col("copy")).select("id", "text", "sigs", "next_text", "next_sigs")
