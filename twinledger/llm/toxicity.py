@@ -19,23 +19,25 @@ from pyspark.sql import functions as F
 from twinledger.llm.common import held_out, staged, text_of
 from twinledger.llm.learn import label_sample, labelled
 
-SAMPLE = 12_000
+SAMPLE = 8_000
 THRESHOLD = 0.3
-GRAMS = (3, 4, 5, 6)
+GRAMS = (4, 5, 6, 8)
 BUCKET_BITS = 20
-FEATURES = 4096
+FEATURES = 16_384
 LEAST_DOCUMENTS = 3
 SMOOTHING = 1.0
-RIDGE = 1e-4
+RIDGE = 1e-3
 STEPS = 150
+#: Entries of the training matrix in work at once.
+ENTRIES = 1 << 20
 BLOCK = 1 << 20
 
 _GAPS = bytes.maketrans(b"\t\n\r\x0b\x0c", b"     ")
 
 
 def buckets(text: str) -> Iterator[np.ndarray]:
-    """The buckets of all n-grams of a text, in blocks that overlap by the longest n-gram."""
-    data = np.frombuffer(text.encode("utf-8", "surrogatepass").lower().translate(_GAPS), np.uint8)
+    """The buckets of all n-grams of a text between two spaces, in blocks that overlap by the longest n-gram."""
+    data = np.frombuffer(b" " + text.encode("utf-8", "surrogatepass").lower().translate(_GAPS) + b" ", np.uint8)
     for at in range(0, len(data), BLOCK):
         part = data[at: at + BLOCK + GRAMS[-1] - 1].astype(np.uint32)
         h = np.zeros(len(part), np.uint32)
@@ -89,19 +91,29 @@ def _share(logits: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(logits, -60.0, 60.0)))
 
 
-def fit(held: list[np.ndarray], y: np.ndarray, r: np.ndarray) -> tuple[float, np.ndarray]:
-    """Intercept and weight of each feature (its ratio times its coefficient)."""
+def fit(col: np.ndarray, ends: np.ndarray, y: np.ndarray, r: np.ndarray) -> tuple[float, np.ndarray]:
+    """Intercept and weight of each feature (its ratio times its coefficient).
+
+    ``col`` holds the features of all documents one after the other, ``ends`` where
+    each document's end. The matrix is gone through in blocks of documents.
+    """
     prior = (y.sum() + 0.5) / (len(y) + 1.0)
     bias, w = float(np.log(prior / (1 - prior))), np.zeros(len(r))
     if len(y) == 0 or y.min() == y.max() or not len(r):
         return bias, w
-    row = np.repeat(np.arange(len(held)), [len(h) for h in held])
-    col = np.concatenate(held)
+    starts = np.concatenate(([0], ends[:-1]))
+    cuts = [0, *np.unique(np.searchsorted(ends, np.arange(ENTRIES, ends[-1] + ENTRIES, ENTRIES), "left") + 1).clip(max=len(y)).tolist(), len(y)]
+    blocks = [(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
     first, second = np.zeros(len(r) + 1), np.zeros(len(r) + 1)  # Adam; the last entry is the intercept
     for t in range(1, STEPS + 1):
-        f = bias + np.bincount(row, (w * r)[col], len(y))
-        d = (_share(f) - y) / len(y)
-        g = np.append(np.bincount(col, d[row], len(r)) * r + RIDGE * w, d.sum())
+        g, weight = np.zeros(len(r) + 1), w * r
+        for a, b in blocks:
+            own = col[starts[a]: ends[b - 1]]
+            row = np.repeat(np.arange(b - a), ends[a:b] - starts[a:b])
+            d = (_share(bias + np.bincount(row, weight[own], b - a)) - y[a:b]) / len(y)
+            g[:-1] += np.bincount(own, d[row], len(r))
+            g[-1] += d.sum()
+        g[:-1] = g[:-1] * r + RIDGE * w
         first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
         step = 0.1 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-9) * min(1.0, 2 * (1 - t / (STEPS + 1)))
         w, bias = w - step[:-1], bias - float(step[-1])
@@ -122,8 +134,9 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, features: int
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), held], schema=schema)
 
     got = rows.mapInArrow(run, "doc_id long, label int, held array<int>").orderBy(F.xxhash64("doc_id"), "doc_id", "label", "held").limit(most).toArrow()
-    held = [np.asarray(x.values) for x in got.column("held").combine_chunks()] if got.num_rows else []
-    bias, w = fit(held, got.column("label").to_numpy().astype(np.float64), r)
+    held = got.column("held").combine_chunks()
+    ends = np.cumsum(held.value_lengths().to_numpy()) if got.num_rows else np.zeros(0, np.int64)
+    bias, w = fit(held.flatten().to_numpy(), ends, got.column("label").to_numpy().astype(np.float64), r)
     return {"bias": bias, "buckets": telling, "weights": w}
 
 
