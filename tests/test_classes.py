@@ -50,10 +50,11 @@ def test_exact_numbers_of_any_length_stay_exact(spark):
     tgt = spark.createDataFrame([("0." + "1" * 30, "2", "9007199254740993")], "a string, b string, c string")
     got, _, _ = classes_of(spark, src, tgt)
     assert [got[c].number for c in "abc"] == [V.DIGITS, "decimal(1,0)", V.DIGITS]
-    wide = spark.sql("select cast(1 as decimal(38,2)) a, cast(1 as decimal(38,30)) b, 1.5D c")
+    wide = spark.sql("select cast(5 as decimal(38,2)) a, cast(5 as decimal(38,30)) b, 1.5D c")
+    assert classes_of(spark, wide, spark.sql("select '7' a, '7' b, '7' c"))[0]["a"].number == "decimal(38,2)"
     assert classes_of(spark, wide, src)[0]["a"].number == "decimal(38,2)"
-    assert classes_of(spark, wide, spark.sql("select '1' a, cast(1 as decimal(38,0)) b, '1' c"))[0]["b"].number == V.DIGITS
-    assert classes_of(spark, wide, spark.sql("select '1' a, '1' b, '1' c"))[0]["c"].number == "double"
+    assert classes_of(spark, wide, spark.sql("select '7' a, cast(7 as decimal(38,0)) b, '7' c"))[0]["b"].number == V.DIGITS
+    assert classes_of(spark, wide, spark.sql("select '7' a, '7' b, '7' c"))[0]["c"].number == "double"
 
 
 def test_dates_of_different_layouts(spark):
