@@ -52,10 +52,19 @@ def keep_rows(docs: DataFrame, keys: list[Column], winners: DataFrame) -> DataFr
     """One row of ``docs`` for each row of ``winners``, whose columns hold the keys' values.
 
     Nulls match nulls. Of several rows with the same keys one stays. The
-    columns of ``docs`` come back whatever their names.
+    columns of ``docs`` come back whatever their names. A key becomes two columns
+    without nulls, its value and whether it is null, so the join and the grouping
+    behind it agree on one exchange of the rows.
     """
     names = [f"__k{i}" for i in range(len(keys))]
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *[k.alias(n) for k, n in zip(keys, names)])
-    right = winners.toDF(*[f"__w{i}" for i in range(len(keys))])
-    match = [F.col(n).eqNullSafe(F.col(f"__w{i}")) for i, n in enumerate(names)]
-    return packed.join(right, match, "left_semi").dropDuplicates(names).select("__row.*")
+    wanted = winners.toDF(*names)
+    zero = {"bigint": F.lit(0).cast("long"), "binary": F.lit(b""), "string": F.lit("")}
+
+    def filled(frame: DataFrame) -> list[Column]:
+        types = dict(frame.dtypes)
+        return [c for n in names for c in (F.coalesce(F.col(n), zero[types[n]]).alias(n), F.col(n).isNull().alias(f"{n}_null"))]
+
+    on = [c for n in names for c in (n, f"{n}_null")]
+    kept = packed.select("__row", *filled(packed)).join(wanted.select(*filled(wanted)), on, "left_semi")
+    return kept.dropDuplicates(on).select("__row.*")
