@@ -59,8 +59,9 @@ def test_rows_come_as_often_as_taken(hard):
     want = Counter()
     for r in mixing.mix(hard).collect():
         want[repr(r.doc_id), r.size] += r.times
-    got = Counter((repr(r.doc_id), len(SPACE.findall(r.text or ""))) for r in mixing.mixed(hard).collect())
-    assert got == +want and mixing.mixed(hard).columns == hard.columns
+    rows = mixing.mixed(hard)
+    got = Counter((repr(r.doc_id), len(SPACE.findall(r.text or ""))) for r in rows.collect())
+    assert got == +want and rows.columns == hard.columns
 
 
 def test_heavier_documents_are_taken_more_often(spark):
