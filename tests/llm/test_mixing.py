@@ -78,3 +78,44 @@ def test_heavier_documents_are_taken_more_often(spark):
 
 def test_empty_table(none):
     assert mixing.mix(none).collect() == [] and mixing.mixed(none).collect() == []
+
+
+def test_the_budget_may_end_among_equal_rows(spark):
+    """Ten copies in each place, more words together than any room, and every copy fits singly."""
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(1, "one two three", s) for s in "abc" for _ in range(10)], "doc_id long, text string, source string")
+    docs = docs.withColumn("nothing", F.lit(None)).repartition(4)
+    rows = mixing.mix(docs).collect()
+    for r in rows:
+        assert 0 <= r.target - sum(x.taken for x in rows if x.source == r.source) < 3
+    want = Counter()
+    for r in rows:
+        want[r.source] += r.times
+    got = mixing.mixed(docs)
+    assert Counter(r.source for r in got.collect()) == +want and got.columns == docs.columns
+
+
+def test_a_third_of_the_rows_without_id_and_with_one_text(spark):
+    rows = [(None if i % 3 == 0 else i, "same words here" if i % 3 == 0 else f"text {i} " * (1 + i % 7), "x" if i % 2 else "y") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    first = mixing.mix(docs).collect()
+    again = mixing.mix(docs.repartition(7)).collect()
+    assert sorted(map(repr, first)) == sorted(map(repr, again))
+    left, out = Counter(), defaultdict(list)
+    for r in first:
+        left[r.source, r.target] += r.taken
+        if r.times == int(r.target // r.source_size):
+            out[r.source].append(r.size)
+    for (source, target), taken in left.items():
+        assert 0 <= round(target - taken) < min(out.get(source, [1]))
+
+
+def test_keys_that_round_together(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(300).selectExpr("id doc_id", "concat('w ', id) text", "'s' || (id % 3) source")
+    rows = mixing.mix(docs, weight=F.lit(1e-9)).collect()  # all keys are 1.0
+    for s in {r.source for r in rows}:
+        part = [r for r in rows if r.source == s]
+        assert 0 <= round(part[0].target - sum(r.taken for r in part)) < 2

@@ -9,10 +9,16 @@ A source takes whole epochs first and then part of one: every document draws
 ``-ln(u) / weight`` do, and the source takes documents in that order, each
 that still fits its budget. u is a hash of seed, id and text, so reruns agree.
 
+Equal rows draw equal keys, and far keys of light documents round together; behind
+the key come the whole hash and ``at``, the number of the staged row, so no two
+rows share a place in the order and a budget may end among copies.
+
 The order is never sorted whole. A pass sums sizes by source and key bucket,
-runs the prefix sum over buckets, and sorts only the bucket in which the
-budget ends. What a pass takes is a step (size <= s, key <= k); the next pass
-looks behind k for documents that fit what is left, until nothing fits. Thus a
+runs the prefix sum over buckets, and looks closer only where the budget ends:
+at the keys of that bucket, then, if rows share the key, at the partitions of
+these rows and at the rows of one partition. What a pass takes is a step (size
+<= s, place before ``stop``, the first that did not fit); the next pass looks
+behind it for documents that fit what is left, until nothing fits. Thus a
 document is taken if any step holds it, however many documents a source has.
 """
 
@@ -44,12 +50,17 @@ def quality_weight(text: Column) -> Column:
 
 
 def draws(docs: DataFrame, seed: int = SEED, weight: Column | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> list[Column]:
-    """doc_id, source, size and the key of each row; a weight that is null, not positive or over 1 counts as 1."""
+    """doc_id, source, size, key and hash of each row; a weight that is null, not positive or over 1 counts as 1."""
     text, ident = text_of(text_col), F.col(id_col).cast("long")
     w = quality_weight(text) if weight is None else F.when((weight > 0) & (weight <= 1), weight).otherwise(1.0)
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), ident, text), 11)
-    u = (bits + 0.5) / float(1 << 53)
-    return [ident.alias("doc_id"), F.col(source_col).cast("string").alias("source"), words_of(text).alias("size"), (1.0 - F.pow(u, 1.0 / w)).alias("key")]
+    drawn = F.xxhash64(F.lit(seed), ident, text)
+    u = (F.shiftrightunsigned(drawn, 11) + 0.5) / float(1 << 53)
+    return [ident.alias("doc_id"), F.col(source_col).cast("string").alias("source"), words_of(text).alias("size"), (1.0 - F.pow(u, 1.0 / w)).alias("key"), drawn.alias("hash")]
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """The rows staged, with ``at``: a number of their own, the partition above the place in it."""
+    return staged(rows.withColumn("at", F.monotonically_increasing_id()), "draws")
 
 
 def ranked(sources: DataFrame) -> DataFrame:
@@ -92,59 +103,86 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     return state.select("source", "source_size", F.least(F.col("cap"), F.col("weight") * rate).alias("target"))
 
 
+def _place(key: str = "key", drawn: str = "hash", at: str = "at") -> Column:
+    """Where a row stands in the order of its source."""
+    return F.struct(F.col(key).alias("key"), F.col(drawn).alias("hash"), F.col(at).alias("at"))
+
+
+def _bound(key: float) -> Column:
+    """A place before (-1) or behind (infinity) all rows."""
+    return F.struct(F.lit(key).alias("key"), F.lit(0).cast("long").alias("hash"), F.lit(0).cast("long").alias("at"))
+
+
+def _ends(rows: DataFrame, level: Column) -> DataFrame:
+    """Where the budget of each source ends: src, room, words (of all), end (level, base, n, at); no end where all fits.
+
+    ``rows`` has src, room, base (the words before these rows), size and at.
+    """
+    sums = rows.groupBy("src", level.alias("level")).agg(
+        F.sum("size").alias("words"), F.max("room").alias("room"), F.max("base").alias("base"), F.count(F.lit(1)).alias("n"), F.min("at").alias("at"),
+    )
+    run = F.sum("words").over(Window.partitionBy("src").orderBy("level").rowsBetween(Window.unboundedPreceding, 0))
+    until = sums.withColumn("until", F.col("base") + run)
+    over = F.struct("level", (F.col("until") - F.col("words")).alias("base"), "n", "at")
+    return staged(until.groupBy("src").agg(F.max("room").alias("room"), F.sum("words").alias("words"), F.min(F.when(F.col("until") > F.col("room"), over)).alias("end")), "ends")
+
+
+def _inside(rows: DataFrame, level: Column, ends: DataFrame) -> DataFrame:
+    """The rows at which the budget ends, with the words before them as base."""
+    at = ends.filter("end IS NOT NULL").select(F.col("src").alias("end_src"), F.col("end.level").alias("end_level"), F.col("end.base").alias("end_base"))
+    return rows.join(at, F.col("src").eqNullSafe(F.col("end_src")) & (level == F.col("end_level"))).withColumn("base", F.col("end_base")).drop("end_src", "end_level", "end_base")
+
+
 def _pass(rows: DataFrame, state: DataFrame) -> DataFrame:
-    """One step for each source with room: state (source, room, after) to (source, s, k, got); s is the room.
+    """One step for each source with room: state (source, room, after) to (source, s, stop, got); s is the room.
 
-    ``k`` lies halfway between the last key taken and the first that did not fit; it is
+    ``stop`` is the place of the first row that did not fit; its key is
     infinite where all that fit singly were taken.
     """
-    fit = rows.join(state, F.col("source").eqNullSafe(F.col("src"))).filter("size > 0 AND size <= room AND key > after")
-    bucket = F.floor(F.col("key") * BUCKETS).cast("int")
-    buckets = fit.groupBy("src", bucket.alias("bucket")).agg(F.sum("size").alias("words"), F.max("room").alias("room"))
-    running = F.sum("words").over(Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
-    sums = buckets.withColumn("until", running).groupBy("src").agg(
-        F.min(F.when(F.col("until") > F.col("room"), F.struct("bucket", "words", "until"))).alias("end"),
-        F.sum("words").alias("words"), F.max("room").alias("room"),
-    )
-    sums = staged(sums, "buckets")
-    whole = sums.filter("end IS NULL").select("src", F.col("room").alias("s"), F.lit(float("inf")).alias("k"), F.col("words").alias("got"))
-    ends = sums.filter("end IS NOT NULL").select(F.col("src").alias("end_src"), F.col("end.bucket").alias("end_bucket"), (F.col("end.until") - F.col("end.words")).alias("base"))
-    last = fit.join(ends, F.col("src").eqNullSafe(F.col("end_src")) & (bucket == F.col("end_bucket")))
-    fine = last.groupBy("src", "key").agg(F.sum("size").alias("words"), F.max("room").alias("room"), F.max("base").alias("base"), F.max("end_bucket").alias("end_bucket"))
-    run = F.sum("words").over(Window.partitionBy("src").orderBy("key").rowsBetween(Window.unboundedPreceding, 0))
-    fits = F.col("base") + F.col("run") <= F.col("room")
-    cut = fine.withColumn("run", run).groupBy("src").agg(
-        F.max("room").alias("s"), F.max(F.when(fits, F.col("key"))).alias("low"), F.min(F.when(~fits, F.col("key"))).alias("high"),
-        F.max("base").alias("base"), F.max(F.when(fits, F.col("run"))).alias("run"), F.max("end_bucket").alias("end_bucket"),
-    )
-    edge = F.coalesce(F.col("low"), F.col("end_bucket").cast("double") / BUCKETS)
-    part = cut.select("src", "s", ((edge + F.col("high")) / 2).alias("k"), (F.col("base") + F.coalesce("run", F.lit(0))).alias("got"))
-    return whole.unionByName(part)
+    fit = rows.join(state, F.col("source").eqNullSafe(F.col("src"))).filter((F.col("size") > 0) & (F.col("size") <= F.col("room")) & (_place() > F.col("after")))
+    fit = fit.select("src", "room", F.lit(0).cast("long").alias("base"), "size", "key", "hash", "at")
+    bucket, pair, part = F.floor(F.col("key") * BUCKETS).cast("int"), F.struct("key", "hash"), F.shiftright("at", 33)
+    buckets = _ends(fit, bucket)
+    whole = buckets.filter("end IS NULL").select("src", F.col("room").alias("s"), _bound(float("inf")).alias("stop"), F.col("words").alias("got"))
+    near = _inside(fit, bucket, buckets)
+    pairs = _ends(near, pair)
+
+    def steps(ends: DataFrame, key: str, drawn: str, at: str) -> DataFrame:
+        return ends.select("src", F.col("room").alias("s"), _place(key, drawn, at).alias("stop"), F.col("end.base").alias("got"))
+
+    alone = steps(pairs.filter("end.n = 1"), "end.level.key", "end.level.hash", "end.at")
+    tied = pairs.filter("end.n > 1")
+    if tied.isEmpty():
+        return whole.union(alone)
+    ties = _inside(near, pair, tied)
+    parts = _ends(ties, part)
+    last = _ends(_inside(ties, part, parts), F.struct("at", "key", "hash"))
+    return whole.union(alone).union(steps(last, "end.level.key", "end.level.hash", "end.level.at"))
 
 
 def plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """What each source takes: source, source_size, target, epochs, steps (array of (s, k)); one row a source.
+    """What each source takes: source, source_size, target, epochs, steps (array of (nr, s, stop)); one row a source.
 
-    ``rows`` has source, size and key.
+    ``rows`` has source, size, key, hash and at.
     """
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     goal = staged(targets(sources, weights, share, most), "goals")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     goal = goal.withColumn("epochs", epochs).withColumn("room", F.round(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long"))
-    state, steps = goal.select(F.col("source").alias("src"), "room", F.lit(-1.0).alias("after")), []
-    while True:
-        step = staged(_pass(rows, state), "step")
-        steps.append(step.select("src", F.lit(len(steps)).alias("nr"), "s", "k"))
-        left = step.filter("k < double('inf') AND s > got").select("src", (F.col("s") - F.col("got")).alias("room"), F.col("k").alias("after"))
+    state, steps = goal.select(F.col("source").alias("src"), "room", _bound(-1.0).alias("after")), []
+    while True:  # stop only moves forward, past at least one row a pass
+        step = _pass(rows, state)
+        steps.append(step.select("src", F.lit(len(steps)).alias("nr"), "s", "stop"))
+        left = step.filter("stop.key < double('inf') AND s > got").select("src", (F.col("s") - F.col("got")).alias("room"), F.col("stop").alias("after"))
         state = staged(left, "room")
         if state.isEmpty():
             break
-    taken = reduce(DataFrame.union, steps).groupBy("src").agg(F.array_sort(F.collect_list(F.struct("nr", "s", "k"))).alias("steps"))
+    taken = reduce(DataFrame.union, steps).groupBy("src").agg(F.array_sort(F.collect_list(F.struct("nr", "s", "stop"))).alias("steps"))
     return goal.join(taken, F.col("source").eqNullSafe(F.col("src")), "left").select("source", "source_size", "target", "epochs", "steps")
 
 
-def _times(size: Column, key: Column) -> Column:
-    held = F.coalesce(F.exists("steps", lambda x: (size <= x["s"]) & (key <= x["k"])), F.lit(False)) & (size > 0)
+def _times(size: Column, place: Column) -> Column:
+    held = F.coalesce(F.exists("steps", lambda x: (size <= x["s"]) & (place < x["stop"])), F.lit(False)) & (size > 0)
     return F.when(size > 0, F.col("epochs") + held.cast("long")).otherwise(F.lit(0).cast("long"))
 
 
@@ -153,24 +191,28 @@ def mix(docs: DataFrame, seed: int = SEED, weight: Column | None = None, id_col:
 
     Size counts words; a null or empty text has 0 and is never taken. The null
     source is a source of its own, the last. Rows that repeat id and text
-    draw the same key and are taken together. A source misses its target by less than its smallest
-    document left out. An empty table gives no rows; other columns are not read.
+    draw the same key and are taken one after the other; where the budget ends among them, only some are. A
+    source misses its target by less than its smallest document left out. An empty table gives no rows; other columns are not read.
     """
-    rows = staged(docs.select(*draws(docs, seed, weight, id_col, text_col, source_col)), "draws")
+    rows = numbered(docs.select(*draws(docs, seed, weight, id_col, text_col, source_col)))
     chosen = staged(plan(rows), "mix").withColumnRenamed("source", "src")
     joined = rows.join(chosen, F.col("source").eqNullSafe(F.col("src")))
-    times = _times(F.col("size"), F.col("key"))
+    times = _times(F.col("size"), _place())
     return joined.select("doc_id", "source", "size", "source_size", "target", times.alias("times"), (times * F.col("size")).alias("taken"))
 
 
 def mixed(docs: DataFrame, seed: int = SEED, weight: Column | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, with all their columns.
 
-    Only the table of sources is joined to the documents; their texts are not shuffled.
+    The rows are staged, as equal ones are told apart by their staged place. Only
+    the table of sources is joined to them; their texts are not shuffled.
     """
-    ident, source, size, key = draws(docs, seed, weight, id_col, text_col, source_col)
-    chosen = staged(plan(staged(docs.select(ident, source, size, key), "draws")), "mix").withColumnRenamed("source", "src")
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), source.alias("__source"), size.alias("__size"), key.alias("__key"))
-    joined = packed.join(chosen, F.col("__source").eqNullSafe(F.col("src")))
-    times = _times(F.col("__size"), F.col("__key")).cast("int")
-    return joined.select("__row", F.explode(F.array_repeat(F.lit(0), times))).select("__row.*")
+    _, source, size, key, drawn = draws(docs, seed, weight, id_col, text_col, source_col)
+    kept = [c for c, kind in docs.dtypes if kind != "void"]  # Parquet has no void columns
+    row = F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)])
+    rows = numbered(docs.select(row.alias("__row"), source, size, key, drawn))
+    chosen = staged(plan(rows.drop("__row")), "mix").withColumnRenamed("source", "src")
+    joined = rows.join(chosen, F.col("source").eqNullSafe(F.col("src")))
+    times = _times(F.col("size"), _place()).cast("int")
+    back = [F.col(f"__row.c{kept.index(c)}").alias(c) if c in kept else F.lit(None).alias(c) for c in docs.columns]
+    return joined.select("__row", F.explode(F.array_repeat(F.lit(0), times))).select(*back)
