@@ -59,3 +59,26 @@ def test_no_python_in_the_plan(hard):
 
 def test_empty_table(none):
     assert license_rules.scan_licenses(none).collect() == []
+
+
+VERBS = ("licensed", "licenced", "released", "distributed", "available", "published", "provided", "made available")
+
+
+def test_each_name_is_found_behind_each_verb(spark):
+    rows = [(f"Text.\n{lead}{verb} under {of}{name}.\nMore text.", x) for name, x in license_rules.NAMES.items() for verb in VERBS for lead in ("", "This work is ") for of in ("", "the terms of the ")]
+    rows += [("Released under CC BY 4.0.", "CC-BY-4.0"), ("This dataset is distributed under the terms of the CC BY-SA 4.0.", "CC-BY-SA-4.0"), ("Made available\nunder\nCC0 1.0.", "CC0-1.0")]
+    rows += [("This is free and unencumbered software released into the public\ndomain.", "Unlicense")]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: (r.licenses, r.n_matches, r.n_unknown) for r in license_rules.scan_licenses(docs).collect()}
+    for i, (text, want) in enumerate(rows):
+        assert got[i] == (want, 1, 0), text
+
+
+def test_every_known_sentence_is_a_notice(spark):
+    docs = spark.createDataFrame([(s,) for s in license_rules.known_sentences()], "s string")
+    assert docs.filter(~docs.s.rlike(license_rules.NOTICE)).collect() == []
+
+
+def test_unknown_names_behind_a_verb_count(spark):
+    docs = spark.createDataFrame([(1, "Released under CC BY 3.0."), (2, "Filmed under CCTV.")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.licenses, r.n_unknown) for r in license_rules.scan_licenses(docs).collect()) == [(1, "", 1), (2, "", 0)]

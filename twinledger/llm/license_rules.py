@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 
 from twinledger.llm.common import text_of
 
-#: Each known sentence holds one of these words, so a text without any is decided at once.
+#: Words by which a normalised sentence speaks of licences.
 TRIGGER = "licen[cs]e|copyright|permission|redistribut|warrant|rights reserved|public domain|as is|be liable|copy of the mpl"
 #: A colon ends a sentence only before a list of conditions.
 SENTENCE_END = r"([.!?;]|conditions:|met:)\s+"
 GAP = r"[^\p{L}\p{N}]+"
+#: Each known sentence matches this as it is written, so a text without any is decided at once. Names without a word of
+#: TRIGGER count behind "under"; words of a pair may be parted by a line break.
+NOTICE = TRIGGER + "|" + "|".join(x.replace(" ", GAP) for x in ("public domain", "copy of the mpl", "under (?:the terms of )?(?:(?:the|an?) )?cc(?:0| by\\b)"))
 #: What may stand before the name of a licence; it is cut off.
 LEAD = r"^(?:(?:this|the|our) [a-z]+ (?:is|are) |all [a-z]+ (?:is|are) |code |data )?(?:also )?(?:dual )?(?:licen[cs]ed|released|distributed|available|published|provided|made available) under (?:the terms of )?(?:the |an? )?"
 NEUTRAL = r"^(?:c )?copyright .*|^all rights reserved$"
@@ -126,7 +129,7 @@ def known_sentences() -> dict[str, str]:
 def _identifiers(text: Column, known: Column) -> Column:
     """Identifiers of the sentences that speak of licences, in order; ``?`` where unknown."""
     cut = F.split(F.regexp_replace(text, SENTENCE_END, "$1\n"), "\n")
-    told = F.filter(cut, lambda s: F.lower(s).rlike(TRIGGER))
+    told = F.filter(cut, lambda s: F.lower(s).rlike(NOTICE))
     plain = F.transform(told, lambda s: F.trim(F.regexp_replace(F.lower(s), GAP, " ")))
     short = F.transform(F.filter(plain, lambda s: ~s.rlike(NEUTRAL)), lambda s: F.regexp_replace(s, LEAD, "under "))
     return F.filter(F.transform(short, lambda s: F.coalesce(F.try_element_at(known, s), F.lit("?"))), lambda i: i != "-")
@@ -145,7 +148,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     known = F.create_map(*[F.lit(x) for pair in known_sentences().items() for x in pair])
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     none = F.array().cast("array<string>")
-    rows = rows.withColumn("text", F.when(F.lower("text").rlike(TRIGGER), F.col("text")))
+    rows = rows.withColumn("text", F.when(F.lower("text").rlike(NOTICE), F.col("text")))
     lines = _identifiers(F.col("text"), known)
     joined = _identifiers(F.regexp_replace("text", r"\s+", " "), known)
 
@@ -166,7 +169,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def scan_sql() -> str:
-    """The same in DuckDB's SQL."""
+    """The same in DuckDB's SQL, but by TRIGGER: it does not see the names without such a word behind other verbs than "licensed"."""
     def q(s: str) -> str:
         return "'" + s.replace("'", "''") + "'"
 
