@@ -82,3 +82,18 @@ def test_every_known_sentence_is_a_notice(spark):
 def test_unknown_names_behind_a_verb_count(spark):
     docs = spark.createDataFrame([(1, "Released under CC BY 3.0."), (2, "Filmed under CCTV.")], "doc_id long, text string")
     assert sorted((r.doc_id, r.licenses, r.n_unknown) for r in license_rules.scan_licenses(docs).collect()) == [(1, "", 1), (2, "", 0)]
+
+
+def test_a_notice_of_one_line_and_a_wrapped_one(spark):
+    """One is known only by its line, the other only with its lines joined."""
+    line, folded = "Released under the MIT License", wrapped(APACHE, 40)
+    rows = [(f"{line}\n\n{folded}", "MIT,Apache-2.0"), (f"{folded}\n\n{line}\n\nmore", "Apache-2.0,MIT"), (f"{folded}\n{line}\nmore", "Apache-2.0,MIT"), (f"{line}\n \t\r\n{wrapped(GPL, 30)}\nCopyright (c) 2020 A\n{line}", "MIT,GPL-3.0-or-later")]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in license_rules.scan_licenses(docs).collect()}
+    for i, (text, want) in enumerate(rows):
+        assert got[i] == want, text
+
+
+def test_a_sentence_across_a_blank_line(spark):
+    docs = spark.createDataFrame([(1, "Licensed under the Apache\n\nLicense, Version 2.0.")], "doc_id long, text string")
+    assert [r.licenses for r in license_rules.scan_licenses(docs).collect()] == ["Apache-2.0"]

@@ -126,13 +126,36 @@ def known_sentences() -> dict[str, str]:
     return table
 
 
-def _identifiers(text: Column, known: Column) -> Column:
-    """Identifiers of the sentences that speak of licences, in order; ``?`` where unknown."""
-    cut = F.split(F.regexp_replace(text, SENTENCE_END, "$1\n"), "\n")
+def _looked_up(cut: Column, known: Column) -> Column:
+    """Identifiers of those pieces of the text that speak of licences, in order; ``?`` where unknown."""
     told = F.filter(cut, lambda s: F.lower(s).rlike(NOTICE))
     plain = F.transform(told, lambda s: F.trim(F.regexp_replace(F.lower(s), GAP, " ")))
     short = F.transform(F.filter(plain, lambda s: ~s.rlike(NEUTRAL)), lambda s: F.regexp_replace(s, LEAD, "under "))
-    return F.filter(F.transform(short, lambda s: F.coalesce(F.try_element_at(known, s), F.lit("?"))), lambda i: i != "-")
+    return F.transform(short, lambda s: F.coalesce(F.try_element_at(known, s), F.lit("?")))
+
+
+def _sure(ids: Column) -> Column:
+    return F.size(F.filter(ids, lambda i: i != "?"))
+
+
+def _identifiers(text: Column, known: Column) -> Column:
+    """Identifiers of the sentences of a text.
+
+    A piece between sentence ends or blank lines counts as one sentence if it is known with its
+    lines joined, else as its lines.
+    """
+    pieces = F.split(F.regexp_replace(text, SENTENCE_END, "$1\n\n"), r"\n\s*\n")
+
+    def choice(piece: Column) -> Column:
+        whole = _looked_up(F.array(F.regexp_replace(piece, r"\s+", " ")), known)
+        return F.when(_sure(whole) > 0, whole).otherwise(_looked_up(F.split(piece, "\n"), known))
+
+    return F.flatten(F.transform(F.filter(pieces, lambda p: F.lower(p).rlike(NOTICE)), choice))
+
+
+def _joined(text: Column, known: Column) -> Column:
+    """The same where white space of any kind, blank lines too, ends nothing."""
+    return _looked_up(F.split(F.regexp_replace(F.regexp_replace(text, r"\s+", " "), SENTENCE_END, "$1\n"), "\n"), known)
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -140,8 +163,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     ``licenses`` has the licences in order of their first notice, comma-joined;
     ``n_matches`` counts notices, ``n_unknown`` the sentences that speak of licences and
-    are not known, ``sentences`` is the sequence of identifiers. Sentences end at
-    line breaks; where joined lines give more known sentences (a wrapped notice), those count.
+    are not known, ``sentences`` is the sequence of identifiers. What stands between sentence
+    ends or blank lines is one sentence if it is known as one (a wrapped notice), else each of its lines is; where
+    the text gives more known sentences with blank lines left out, those count.
     A null or empty text has none. Repeated rows come back as often as they
     are given, an empty table gives none; other columns are not read.
     """
@@ -149,14 +173,10 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     none = F.array().cast("array<string>")
     rows = rows.withColumn("text", F.when(F.lower("text").rlike(NOTICE), F.col("text")))
-    lines = _identifiers(F.col("text"), known)
-    joined = _identifiers(F.regexp_replace("text", r"\s+", " "), known)
-
-    def sure(ids: Column) -> Column:
-        return F.size(F.filter(ids, lambda i: i != "?"))
-
-    rows = rows.withColumn("lines", F.coalesce(lines, none)).withColumn("joined", F.coalesce(joined, none))
-    rows = rows.withColumn("ids", F.when(sure(F.col("joined")) > sure(F.col("lines")), F.col("joined")).otherwise(F.col("lines")))
+    parts = F.filter(_identifiers(F.col("text"), known), lambda i: i != "-")
+    joined = F.filter(_joined(F.col("text"), known), lambda i: i != "-")
+    rows = rows.withColumn("parts", F.coalesce(parts, none)).withColumn("joined", F.coalesce(joined, none))
+    rows = rows.withColumn("ids", F.when(_sure(F.col("joined")) > _sure(F.col("parts")), F.col("joined")).otherwise(F.col("parts")))
     sequence = F.concat(F.lit(","), F.array_join(F.transform("ids", lambda i: F.concat(i, F.lit(","))), ","))
     sequence = F.when(F.size("ids") > 0, sequence).otherwise(F.lit(""))
     for run, licence in RULES:  # every identifier is between commas of its own: ",a,,b,"
