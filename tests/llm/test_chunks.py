@@ -115,3 +115,17 @@ def test_digest_is_of_the_whole_chunk(spark):
 
 def test_empty_table(none):
     assert chunk_dedup.repeated_spans(none).collect() == [] and chunk_dedup.remove_repeats(none).collect() == []
+
+
+def test_a_chunk_shared_by_chance_hides_no_passage(spark):
+    """Document 2 holds the passage first, but a chunk amid it stays in document 1; no part has enough words alone."""
+    passage = prose(36, 51)
+    rows = [(1, f"{prose(20, 60)} {' '.join(passage.split()[10:25])} {prose(20, 61)}"), (2, f"{prose(20, 62)} {passage} {prose(20, 63)}"), (3, f"{prose(20, 64)} {passage} {prose(20, 65)}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = sorted(chunk_dedup.repeated_spans(docs).collect(), key=lambda r: (r.doc_id, r.start))
+    parts = [r for r in spans if r.doc_id == 2]
+    assert {r.doc_id for r in spans} == {2, 3} and {r.removed for r in parts} == {True, False}
+    assert all(r.n_words < chunk_dedup.SPAN_WORDS for r in parts) and sum(r.n_words for r in parts) >= chunk_dedup.SPAN_WORDS
+    assert all(a.end == b.start for a, b in zip(parts, parts[1:]))
+    left = {r.doc_id: r.text for r in chunk_dedup.remove_repeats(docs).collect()}
+    assert left[2] == dict(rows)[2] and len(left[3]) < len(dict(rows)[3])

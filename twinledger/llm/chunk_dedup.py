@@ -119,7 +119,9 @@ def repeated_spans(docs: DataFrame, span_words: int = SPAN_WORDS, id_col: str =
     """Spans of text that other documents hold too: doc_id, start, end, n_words, n_chunks, first_doc_id, removed, text_tag.
 
     Positions are code points, end exclusive. A chunk stays in the document with the
-    smallest id that holds it; ``removed`` tells whether the span's chunks stay elsewhere,
+    smallest id that holds it; ``removed`` tells whether the span's chunks stay elsewhere.
+    Neighbouring shared chunks with ``span_words`` words together are reported, however they fall
+    into spans by ``removed``,
     and ``first_doc_id`` is the smallest id that holds one of them. Repeats within one document,
     which rows with one id are, are not reported. Rows without an id count as one
     document with a null id, the last. Documents without a span, null and empty
@@ -129,21 +131,27 @@ def repeated_spans(docs: DataFrame, span_words: int = SPAN_WORDS, id_col: str =
     shared = cut.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
     shared = staged(shared.select("digest", "first"), "shared")
     found = cut.join(shared, "digest").withColumn("removed", F.col("doc") != F.col("first"))
+    run = F.col("idx") - F.dense_rank().over(Window.partitionBy("doc", "tag").orderBy("idx"))
+    whole = Window.partitionBy("doc", "tag", "run")
+    found = found.withColumn("run", run).withColumn("held", F.max("last_word").over(whole) - F.min("first_word").over(whole)).filter(F.col("held") >= span_words)
     place = F.dense_rank().over(Window.partitionBy("doc", "tag", "removed").orderBy("idx"))
-    spans = found.withColumn("island", F.col("idx") - place).groupBy("doc", "tag", "removed", "island").agg(
+    spans = found.withColumn("island", F.col("idx") - place).groupBy("doc", "tag", "removed", "run", "island").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), (F.max("last_word") - F.min("first_word")).alias("n_words"),
         (F.max("idx") - F.min("idx") + 1).alias("n_chunks"), F.min("first").alias("first"),
     )
     last = F.lit((1 << 63) - 1)
-    return spans.filter(F.col("n_words") >= span_words).select(
+    return spans.select(
         F.when(F.col("doc") != last, F.col("doc")).alias("doc_id"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"),
         "n_words", "n_chunks", F.when(F.col("first") != last, F.col("first")).alias("first_doc_id"), "removed", F.col("tag").alias("text_tag"),
     )
 
 
 def remove_repeats(docs: DataFrame, span_words: int = SPAN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the removed spans cut out of their texts; every row stays, all columns with it."""
-    spans = repeated_spans(docs, span_words, id_col, text_col).filter("removed")
+    """``docs`` with the removed spans cut out of their texts; every row stays, all columns with it.
+
+    A span under ``span_words`` stays: cut out, it would break a passage that stays around it.
+    """
+    spans = repeated_spans(docs, span_words, id_col, text_col).filter(F.col("removed") & (F.col("n_words") >= span_words))
     lists = staged(spans.groupBy("doc_id", "text_tag").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans")), "cut")
 
     @F.arrow_udf("string")
