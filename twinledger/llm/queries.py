@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from twinledger.llm import chunk_dedup, conversations, exact, license_rules, mixing, packing, phrases, quality, secret_scan, simhash, spotsigs, toxicity
+from twinledger.llm import chunk_dedup, conversations, exact, license_rules, main_text, mixing, packing, phrases, quality, secret_scan, simhash, spotsigs, toxicity
 from twinledger.llm.common import documents, labels
 
 
@@ -50,6 +50,10 @@ def op10_secret_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(documents(spark, sf_dir)).drop("found")
 
 
+def op11_main_text_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_texts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op12_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(documents(spark, sf_dir))
 
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": op8_source_mix,
     "op9_toxicity_ratios": op9_toxicity_ratios,
     "op10_secret_trigrams": op10_secret_trigrams,
+    "op11_main_text_trees": op11_main_text_trees,
     "op12_phrase_automata": op12_phrase_automata,
     "op13_conversation_repair": op13_conversation_repair,
 }
