@@ -1,5 +1,8 @@
 import hashlib
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from twinledger.llm import spotsigs
 from tests.llm.conftest import prose
@@ -81,3 +84,24 @@ def test_near_pairs_equal_brute_force(spark):
 def test_no_python_in_the_plan(hard):
     plan = spotsigs.fingerprint_edits(hard)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_long_repetitive_texts(spark):
+    """Anchors in long runs, alone, alternating, with and without content behind them: equal to brute force, in linear time."""
+    texts = ["the " * 200_000, "the a " * 100_000 + "fox dog", "the fox " * 100_000, "is a the x of y an " * 50_000, "w" * 1_000_000, "one " * 200_000, "the a fox", "the a an fox the der dog the", "a fox the"]
+    begun = time.time()
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").repartition(4).select("i", spotsigs.signatures(F.col("text")).alias("sigs")).collect()
+    assert time.time() - begun < 60
+    assert {r.i: r.sigs for r in rows} == {i: slow_sigs(t) if len(t) < 100 else quick_sigs(t) for i, t in enumerate(texts)}
+
+
+def quick_sigs(text, chain=spotsigs.CHAIN):
+    told = [w for w in text.split() if w not in spotsigs.STOPS]
+    out, ahead = set(), []
+    for w in reversed(told):
+        if w in spotsigs.ANCHORS:
+            if len(ahead) == chain:
+                out.add(" ".join([w, *ahead]))
+        else:
+            ahead = [w, *ahead][:chain]
+    return sorted({hashlib.md5(s.encode()).hexdigest()[: spotsigs.DIGITS] for s in out or {" ".join(text.split())}})

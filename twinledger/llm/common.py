@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +44,21 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, ascii_uppercase, ascii_lowercase))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, also where a lambda inside names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running_sum(numbers: Column) -> Column:
+    """array<bigint>: the sum of each place and those before it, by doubling steps: n log n whatever the length."""
+
+    def doubled(own: Column) -> Column:
+        steps = F.filter(F.array(*[F.lit(1 << k) for k in range(31)]), lambda s: s < F.size(own))
+        return F.aggregate(steps, own, lambda sums, s: F.transform(sums, lambda x, i: x + F.when(i >= s, F.get(sums, i - s)).otherwise(F.lit(0).cast("long"))))
+
+    return bound(F.transform(numbers, lambda x: x.cast("long")), doubled)
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the rows whose labels no model may learn from; a null id is not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

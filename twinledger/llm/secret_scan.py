@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinledger.llm.common import ascii_lower, staged, text_of
+from twinledger.llm.common import ascii_lower, bound, running_sum, staged, text_of
 
 EXACT_STRINGS = 64
 CLASS_SIZE = 8
@@ -49,12 +49,12 @@ BASE = (
 )
 # Published formats of keys that the base kinds do not name.
 ADDED = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35,}"),
     Rule("stripe", r"[sr]k_live_[A-Za-z0-9]{16,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}"),
 )
 RULES = BASE + ADDED
 
@@ -152,18 +152,16 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
     pattern = F.lit(rule.pattern)
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     held = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else found
-    rows = F.arrays_zip(F.transform(F.split(text, rule.pattern, -1), F.char_length).alias("gap"), F.transform(found, F.char_length).alias("size"), F.transform(held, F.char_length).alias("held"))
     empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
-    start = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans"))
+    told = F.struct(F.transform(F.split(text, rule.pattern, -1), F.char_length).alias("gaps"), F.transform(found, F.char_length).alias("sizes"), F.transform(held, F.char_length).alias("held"))
 
-    def add(state: Column, row: Column) -> Column:
-        begin = state["at"] + row["gap"]
-        end = begin + F.coalesce(row["size"], F.lit(0))
-        span = F.struct(begin.alias("start"), F.lit(order).alias("kind"), end.alias("end"))
-        spans = F.when(row["held"] >= rule.least, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
+    def placed(z: Column) -> Column:
+        ends = running_sum(F.zip_with(F.slice(z["gaps"], 1, F.size(z["sizes"])), z["sizes"], lambda g, n: g + n))
+        rows = F.filter(F.arrays_zip(ends.alias("end"), z["sizes"].alias("size"), z["held"].alias("held")), lambda r: r["held"] >= rule.least)
+        return F.transform(rows, lambda r: F.struct((r["end"] - r["size"]).alias("start"), F.lit(order).alias("kind"), r["end"].alias("end")))
 
-    return F.when(text.rlike(rule.pattern), F.aggregate(rows, start, add, lambda s: s["spans"])).otherwise(empty)
+    spans = bound(told, placed)
+    return F.when(text.rlike(rule.pattern), spans).otherwise(empty)
 
 
 def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: tuple[Rule, ...] = BASE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

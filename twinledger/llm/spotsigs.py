@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from twinledger.llm.common import staged, text_of
+from twinledger.llm.common import bound, staged, text_of
 
 CHAIN = 2
 THRESHOLD = 0.8
@@ -43,11 +43,23 @@ def signatures(text: Column, chain: int = CHAIN) -> Column:
     anchor, stop = "(?:" + "|".join(ANCHORS) + ") ", "(?:" + "|".join(STOPS) + ") "
     words = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     told = F.regexp_replace(words, "(?<= )" + stop, "")
-    content = "(?:" + anchor + ")*+[^ ]+"
-    spots = F.regexp_extract_all(told, F.lit("(?<= )(?=(" + anchor + " ".join([content] * chain) + ") )"), F.lit(1))
-    bare = F.regexp_replace(F.array_join(spots, "\n"), "(?<= )" + anchor, "")
+    behind = ("(?:" + anchor + ")*+[^ ]+ ") * (chain - 1)
+    # The last anchor of a run starts one spot. The others of longer runs are taken run by run, so that no run is read once for each of its anchors.
+    last = F.lit("(?<= )(?=(" + anchor + "(?!" + anchor + ")[^ ]+ " + behind + "))")
+    run = F.lit("(?<= )(?<! (?:" + "|".join(ANCHORS) + ") )(?=((?:" + anchor + "){2,}+[^ ]+ " + behind + "))")
+
+    def spread(match: Column) -> Column:
+        """A line for each anchor of the run, with the words of the chain."""
+        own = F.array_distinct(F.split(F.rtrim(F.regexp_extract(match, "^(?:" + anchor + ")++", 0)), " "))
+        chained = F.trim(F.regexp_replace(F.concat(F.lit(" "), match), "(?<= )" + anchor, ""))
+        return F.array_join(F.transform(own, lambda a: F.concat(a, F.lit(" "), chained)), "\n")
+
+    def lines(told: Column) -> Column:
+        first = F.regexp_replace(F.array_join(F.regexp_extract_all(told, last, F.lit(1)), "\n"), "(?<= )" + anchor, "")
+        return F.concat_ws("\n", first, F.array_join(F.transform(F.regexp_extract_all(told, run, F.lit(1)), spread), "\n"))
+
     whole = F.trim(F.regexp_replace(words, " +", " "))
-    found = F.when(bare != "", F.split(bare, "\n")).when(whole != "", F.array(whole)).otherwise(F.array().cast("array<string>"))
+    found = bound(F.split(F.btrim(bound(told, lines), F.lit(" \n")), " ?\n+"), lambda own: F.when(own[0] != "", own).when(whole != "", F.array(whole)).otherwise(F.array().cast("array<string>")))
     return F.sort_array(F.array_distinct(F.transform(found, lambda s: F.substring(F.md5(s.cast("binary")), 1, DIGITS))))
 
 
