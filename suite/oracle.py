@@ -248,6 +248,34 @@ select coalesce(s.o_orderkey, t.o_orderkey) as o_orderkey, s.o_custkey is not nu
 from s full outer join t on s.o_orderkey = t.o_orderkey)
 select {DATES} from j"""
 
+ORACLES["reconcile_by_buckets_hot_target"] = ORACLES["reconcile_hot_target"]
+
+LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate"]
+LINE_VALUES = [c for c in LINE_COLUMNS if c not in LINE_KEY]
+LINE_PAIR = with_sides("lineitem", "lineitem_few_changes")
+LINE_JOINED = f"""{LINE_PAIR}, j as (
+  select {', '.join(f'coalesce(s.{k}, t.{k}) as {k}' for k in LINE_KEY)}, s.l_orderkey is not null as in_source, t.l_orderkey is not null as in_target,
+         {', '.join(f's.{c} as source__{c}, t.{c} as target__{c}' for c in LINE_VALUES)}
+  from s full outer join t on {' and '.join(f's.{k} = t.{k}' for k in LINE_KEY)})"""
+LINE_DAY = "* replace ({})".format(day("l_shipdate"))
+ORACLES["reconcile_by_buckets"] = f"{LINE_JOINED} select {LINE_DAY} from j"
+ORACLES["differences_by_buckets"] = f"""{LINE_JOINED} select {LINE_DAY} from j
+where not (in_source and in_target) or {' or '.join(f'source__{c} is distinct from target__{c}' for c in LINE_VALUES)}"""
+
+
+def surplus(pair, columns, date):
+    """Both directions of EXCEPT ALL with the number of copies."""
+    names = ", ".join(columns)
+    return f"""
+{pair}, a as (select {names}, count(*) as n from (select {names} from s except all select {names} from t) group by all),
+b as (select {names}, count(*) as n from (select {names} from t except all select {names} from s) group by all)
+select * replace ({day(date)}) from (
+  select {names}, n as surplus_in_source, 0::bigint as surplus_in_target from a union all select {names}, 0::bigint, n from b)"""
+
+
+ORACLES["difference_by_cells"] = surplus(LINE_PAIR, LINE_COLUMNS, "l_shipdate")
+ORACLES["difference_by_cells_with_copies"] = surplus(FP2, ["o_orderkey", *OC], "o_orderdate")
+
 
 def differs(c):
     return f"in_source and in_target and source__{c} is distinct from target__{c}"

@@ -11,6 +11,7 @@ from twinledger.functions import values as V
 from twinledger.model import SNOWFLAKE, SPARK, SQLSERVER, ColumnPair, RunConfig
 from twinledger.operators import classes as C
 from twinledger.operators import clean, counts, datatypes, duplicates, keys
+from twinledger.operators import drilldown
 from twinledger.operators import reconcile as R
 from twinledger.plans import pairing
 from twinledger.plans.pair import PairSpec, run_manifest, run_pair
@@ -298,6 +299,42 @@ def reconcile(spark, sf):
     return day(reconciled_orders(spark, sf), *RENAMED_DATES)
 
 
+LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate"]
+
+
+@query
+def reconcile_by_buckets(spark, sf):
+    """All rows of a large pair with few differences; only rows of unequal buckets meet in a join."""
+    src, tgt = side(spark, sf, "lineitem"), side(spark, sf, "lineitem_few_changes")
+    return day(drilldown.reconcile_by_buckets(src, tgt, LINE_KEY), "l_shipdate")
+
+
+@query
+def differences_by_buckets(spark, sf):
+    """Unmatched and differing rows of the same pair."""
+    src, tgt = side(spark, sf, "lineitem"), side(spark, sf, "lineitem_few_changes")
+    found = R.differences(drilldown.differing_rows(src, tgt, LINE_KEY), payload(src, LINE_KEY))
+    return day(found, "l_shipdate")
+
+
+@query
+def reconcile_by_buckets_hot_target(spark, sf):
+    """A third of the target rows share one key, others have none."""
+    return day(drilldown.reconcile_by_buckets(side(spark, sf, "orders"), side(spark, sf, "orders_hot_key"), ORDER_KEY), *RENAMED_DATES)
+
+
+@query
+def difference_by_cells(spark, sf):
+    """Surplus rows of either side of a large pair, from invertible cells."""
+    return day(drilldown.difference_by_cells(side(spark, sf, "lineitem"), side(spark, sf, "lineitem_few_changes")), "l_shipdate")
+
+
+@query
+def difference_by_cells_with_copies(spark, sf):
+    """Rows that both sides repeat, with different numbers of copies."""
+    return day(drilldown.difference_by_cells(side(spark, sf, "orders_copies_source"), side(spark, sf, "orders_copies_target")), "o_orderdate")
+
+
 @query
 def reconcile_hot_target(spark, sf):
     """A third of the target rows share one key."""

@@ -111,6 +111,17 @@ SIDES = {
                case when l_orderkey % 43 = 4 then 'X' else l_returnflag end l_returnflag,
                l_linestatus, l_shipdate
         from {lineitem} where l_orderkey % 97 <> 5""",
+    "lineitem_few_changes": """
+        select l_orderkey, l_partkey, l_suppkey, l_linenumber,
+               case when l_orderkey % 1009 = 5 then l_quantity + 1 else l_quantity end l_quantity,
+               l_extendedprice, l_discount,
+               case when l_orderkey % 1499 = 8 then null else l_tax end l_tax,
+               l_returnflag, l_linestatus, l_shipdate
+        from {lineitem} where l_orderkey % 1753 <> 6
+        union all
+        select l_orderkey + 10000000, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,
+               l_linestatus, l_shipdate
+        from {lineitem} where l_orderkey % 1297 = 3""",
     "documents": "select doc_id, text, lang, source, n_chars from {documents}",
     "documents_changed": """
         select doc_id, case when doc_id % 29 = 3 then concat(text, ' ') else text end text,

@@ -47,7 +47,7 @@ def count_copies(df: DataFrame) -> DataFrame:
     validation (count, duplicates, classes, key, values) reads this frame.
     """
     df = with_missing_as_null(df)
-    grouped = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
+    grouped = df.groupBy(*[F.col(V.quoted(c)) for c in df.columns]).agg(F.count(F.lit(1)).alias(COPIES))
     return grouped.withColumn(DIGEST, F.xxhash64(*df.columns))
 
 
@@ -63,7 +63,7 @@ def repeated_digests(rows: DataFrame) -> DataFrame:
 
 def group_copies(rows: DataFrame) -> DataFrame:
     """Rows with digests, grouped by all their columns: copies beside the digest."""
-    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(COPIES))
+    return rows.groupBy(*[F.col(V.quoted(c)) for c in rows.columns]).agg(F.count(F.lit(1)).alias(COPIES))
 
 
 def split_copies(rows: DataFrame, repeated: DataFrame):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from twinledger.functions import values as V
 from twinledger.operators.clean import is_empty_row
 
 
@@ -44,7 +45,7 @@ def empty_row_balance(src: DataFrame, tgt: DataFrame) -> DataFrame:
 
 def non_null_counts(df: DataFrame) -> DataFrame:
     """One row with the number of values of every column."""
-    return df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
+    return df.agg(*[F.count(F.col(V.quoted(c))).alias(c) for c in df.columns])
 
 
 def null_populated_columns(src: DataFrame, tgt: DataFrame, key=()) -> DataFrame:
@@ -56,7 +57,7 @@ def null_populated_columns(src: DataFrame, tgt: DataFrame, key=()) -> DataFrame:
 
     def long(df):
         wide = non_null_counts(df.select(*columns))
-        rows = [F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("column_name"), F.col(c).alias("n"))
+        rows = [F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("column_name"), F.col(V.quoted(c)).alias("n"))
                 for i, c in enumerate(columns)]
         return wide.select(F.inline(F.array(*rows)))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from twinledger.functions import values as V
 from twinledger.operators.clean import COPIES, DIGEST
 from twinledger.operators.reconcile import IN_SOURCE, IN_TARGET, reconcile
 
@@ -14,7 +15,7 @@ SURPLUS = "surplus"
 def surplus_duplicates(df: DataFrame) -> DataFrame:
     """Rows that occur more than once and their copies after the first."""
     return (
-        df.groupBy(*df.columns)
+        df.groupBy(*[F.col(V.quoted(c)) for c in df.columns])
         .agg((F.count(F.lit(1)) - 1).alias(SURPLUS))
         .where(F.col(SURPLUS) > 0)
     )

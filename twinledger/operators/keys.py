@@ -219,7 +219,7 @@ def discover_key(rows: DataFrame, columns, non_null=None, total=None,
     names = [c for c in columns]
     types = {f.name: f.dataType for f in rows.schema.fields}
     if non_null is None:
-        row = rows.agg(F.count(F.lit(1)).alias("__rows"), *[F.count(F.col(f"`{c}`")).alias(c) for c in names]).first()
+        row = rows.agg(F.count(F.lit(1)).alias("__rows"), *[F.count(F.col(V.quoted(c))).alias(c) for c in names]).first()
         total, non_null = row["__rows"], {c: row[c] for c in names}
     if not total:
         return KeyResult((), "none", 0)

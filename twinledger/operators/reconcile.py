@@ -19,8 +19,8 @@ IN_SOURCE, IN_TARGET = "in_source", "in_target"
 
 def _side(df: DataFrame, key, payload, prefix: str, marker: str) -> DataFrame:
     return df.select(
-        *[F.col(k).alias(f"{prefix}#{i}") for i, k in enumerate(key)],
-        *[F.col(c).alias(f"{prefix}{c}") for c in payload],
+        *[F.col(V.quoted(k)).alias(f"{prefix}#{i}") for i, k in enumerate(key)],
+        *[F.col(V.quoted(c)).alias(f"{prefix}{c}") for c in payload],
         F.lit(True).alias(marker),
     )
 
@@ -35,7 +35,7 @@ def _same_key(left: DataFrame, right: DataFrame, n: int, lp: str, rp: str) -> Co
 
 def repeated_keys(df: DataFrame, key) -> DataFrame:
     """Key tuples that occur more than once, with their number of rows."""
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return df.groupBy(*[F.col(V.quoted(k)) for k in key]).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 def reconcile(src: DataFrame, tgt: DataFrame, key, target_unique: bool = False) -> DataFrame:
@@ -58,7 +58,7 @@ def reconcile(src: DataFrame, tgt: DataFrame, key, target_unique: bool = False)
         return _shape(joined, key, payload)
 
     found = t.join(s, _same_key(t, s, n, "target__", "source__"), "left_outer")
-    t_keys = tgt.select(*[F.col(k).alias(f"other__#{i}") for i, k in enumerate(key)]).dropDuplicates()
+    t_keys = tgt.select(*[F.col(V.quoted(k)).alias(f"other__#{i}") for i, k in enumerate(key)]).dropDuplicates()
     only_s = s.join(t_keys, _same_key(s, t_keys, n, "source__", "other__"), "left_anti")
     return _shape(found.unionByName(only_s, allowMissingColumns=True), key, payload)
 
@@ -69,7 +69,7 @@ def _shape(joined: DataFrame, key, payload) -> DataFrame:
         F.when(F.col(IN_SOURCE), F.col(f"source__#{i}")).otherwise(F.col(f"target__#{i}")).alias(k)
         for i, k in enumerate(key)
     ]
-    values = [F.col(f"{p}__{c}") for c in payload for p in ("source", "target")]
+    values = [F.col(V.quoted(f"{p}__{c}")) for c in payload for p in ("source", "target")]
     return joined.select(*keys, present(IN_SOURCE), present(IN_TARGET), *values)
 
 
@@ -154,17 +154,17 @@ def multiset_difference(src: DataFrame, tgt: DataFrame) -> DataFrame:
     Both directions of EXCEPT ALL from a single grouping that combines copies
     before the shuffle.
     """
-    columns = src.columns
-    one = src.select("*", F.lit(1).cast("bigint").alias("s"), F.lit(0).cast("bigint").alias("t"))
-    two = tgt.select("*", F.lit(0).cast("bigint").alias("s"), F.lit(1).cast("bigint").alias("t"))
+    columns = [F.col(V.quoted(c)) for c in src.columns]
+    one = src.select("*", F.lit(1).cast("bigint").alias("__s"), F.lit(0).cast("bigint").alias("__t"))
+    two = tgt.select("*", F.lit(0).cast("bigint").alias("__s"), F.lit(1).cast("bigint").alias("__t"))
     return (
         one.unionByName(two)
         .groupBy(*columns)
-        .agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
-        .where("s <> t")
+        .agg(F.sum("__s").alias("__s"), F.sum("__t").alias("__t"))
+        .where("__s <> __t")
         .select(
             *columns,
-            F.greatest(F.col("s") - F.col("t"), F.lit(0)).cast("bigint").alias("surplus_in_source"),
-            F.greatest(F.col("t") - F.col("s"), F.lit(0)).cast("bigint").alias("surplus_in_target"),
+            F.greatest(F.col("__s") - F.col("__t"), F.lit(0)).cast("bigint").alias("surplus_in_source"),
+            F.greatest(F.col("__t") - F.col("__s"), F.lit(0)).cast("bigint").alias("surplus_in_target"),
         )
     )

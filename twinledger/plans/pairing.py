@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from twinledger.functions import values as V
 from twinledger.functions.values import is_comparable
 from twinledger.model import ColumnPair, DatasetError
 
@@ -60,8 +61,8 @@ def align(src: DataFrame, tgt: DataFrame, pairs, names=None):
     of the source unless others are given."""
     names = names or [p.source for p in pairs]
     return (
-        src.select(*[F.col(f"`{p.source}`").alias(n) for p, n in zip(pairs, names)]),
-        tgt.select(*[F.col(f"`{p.target}`").alias(n) for p, n in zip(pairs, names)]),
+        src.select(*[F.col(V.quoted(p.source)).alias(n) for p, n in zip(pairs, names)]),
+        tgt.select(*[F.col(V.quoted(p.target)).alias(n) for p, n in zip(pairs, names)]),
     )
 
 

@@ -86,12 +86,12 @@ def observed_metadata(df: DataFrame, system: str = SPARK) -> DataFrame:
     length of its longest value: one aggregate over the table."""
     fields = df.schema.fields
     open_text = [f.name for f in fields if isinstance(f.dataType, V.TEXTUAL) and _lengths(f)[0] < 0]
-    longest = {n: F.coalesce(F.max(F.char_length(F.col(f"`{n}`"))), F.lit(0)) for n in open_text}
+    longest = {n: F.coalesce(F.max(F.char_length(F.col(V.quoted(n)))), F.lit(0)) for n in open_text}
     wide = df.agg(F.lit(0).alias("__none"), *[agg.alias(n) for n, agg in longest.items()])
     rows = []
     for i, f in enumerate(fields):
         chars, precision, radix = _lengths(f)
-        chars = F.col(f"`{f.name}`") if f.name in longest else F.lit(chars)
+        chars = F.col(V.quoted(f.name)) if f.name in longest else F.lit(chars)
         rows.append(F.struct(
             F.lit(i).alias("ordinal"), F.lit(f.name).alias("column_name"),
             F.lit(type_name(f.dataType, system)).alias("data_type"), chars.cast("int").alias("char_len"),
