@@ -163,7 +163,7 @@ LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quant
                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 ORACLES["discover_key"] = first_key("select * from orders", [c.strip() for c in ORDER_COLUMNS.split(",")], 2)
 ORACLES["discover_composite_key"] = first_key("select * from lineitem", LINE_COLUMNS, 2)
-ORACLES["discover_nullable_key"] = first_key(sql("customer_null_key"), ["c_custkey", "c_nationkey", "c_mktsegment"], 3)
+ORACLES["discover_nullable_key"] = first_key(sql("customer_null_key"), ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"], 3)
 ORACLES["discover_text_key"] = first_key("select * from conversations", ["conv_id", "turn", "role", "text"], 4)
 
 # -- value classes
@@ -357,29 +357,54 @@ ORACLES["data_findings"] = f"""
 {JOINED}, c as ({data_rows()}) select * from c where n is null or n > 0"""
 
 
-def keyed_findings(src, tgt, key, columns, compare, null_safe=False):
-    """(code, source_column, n) of distinct non-empty sides joined on a key."""
-    op = "is not distinct from" if null_safe else "="
-    on = " and ".join(f"{a} {op} {b}" for a, b in key)
-    items = ["select 'EXTRA_IN_SOURCE' as code, cast(null as varchar) as source_column, count(*) filter (tin is null) as n from j",
-             "select 'EXTRA_IN_TARGET', null, count(*) filter (sin is null) from j"]
-    items += [f"select 'MISMATCH_COUNT', '{c}', count(*) filter (sin and tin and ({compare(c)})) from j" for c in columns]
+def keyed_findings(src, tgt, key, columns, compare=None, shown=None, local=()):
+    """Findings of distinct non-empty sides joined on a key; rows whose key holds a null match as whole rows.
+
+    ``key`` maps a column to (source, target) expressions; ``compare`` and ``shown`` give the comparison
+    and the two texts of a column where they are not plain.
+    """
+    compare = compare or (lambda c: f"s_{c} is distinct from t_{c}")
+    shown = shown or (lambda c: (f"cast(s_{c} as varchar)", f"cast(t_{c} as varchar)"))
+    every = [*key, *columns]
+    filled = " or ".join(f"{c} is not null" for c in every)
+    row = "concat_ws('|', " + ", ".join(f"coalesce(cast({{0}}.{c} as varchar), 'null')" for c in every) + ")"
+    exprs = key.values()
+    on = " and ".join(f"{a} is not distinct from {b}" for a, b in exprs)
+    whole = [f"case when {' or '.join(f'{e[i]} is null' for e in exprs)} then {row.format(side)} end" for i, side in enumerate("st")]
+    on += f" and {whole[0]} is not distinct from {whole[1]}"
+    both = "sin and tin and"
+    key_text = " || ',' || ".join(f"'{k.upper()}=' || {shown(k)[0]}" for k in key)
+    parts = [finding(DATA, "'EXTRA_IN_SOURCE'", "count(*)") + " from j where tin is null",
+             finding(DATA, "'EXTRA_IN_TARGET'", "count(*)") + " from j where sin is null"]
+    for c in columns:
+        sv, tv = shown(c)
+        parts.append(finding(DATA, "'MISMATCH_COUNT'", "count(*)", column=f"'{c.upper()}'") + f" from j where {both} ({compare(c)})")
+        parts.append("select * from (" + finding(DATA, "'VALUE_MISMATCH'", column=f"'{c.upper()}'", key=key_text, sv=sv, tv=tv)
+                     + f" from j where {both} ({compare(c)}) order by {', '.join(f's_{k}' for k in key)}, {sv} nulls first, {tv} nulls first limit {SAMPLES})")
     return f"""
-with s as (select distinct *, true as sin from ({sql(src)})), t as (select distinct *, true as tin from ({sql(tgt)})),
-j as (select {', '.join(f's.{c} as s_{c}, t.{c} as t_{c}' for c in columns)}, sin, tin from s full outer join t on {on}),
-c as ({' union all '.join(items)})
-select code, source_column, n from c where n > 0"""
+with rs as ({sql(src)}), rt as ({sql(tgt)}),
+s as (select distinct *, true as sin from rs where {filled}), t as (select distinct *, true as tin from rt where {filled}),
+j as (select {', '.join(f's.{c} as s_{c}, t.{c} as t_{c}' for c in every)}, sin, tin from s full outer join t on {on}),
+c as ({' union all '.join(f'({p})' for p in [*parts, *local])})
+select * from c where n is null or n > 0"""
+
+
+def same(*key):
+    return {k: (f"s.{k}", f"t.{k}") for k in key}
+
+
+def with_days(*dates):
+    return lambda c: tuple(DAY.format(f"{p}_{c}") if c in dates else f"cast({p}_{c} as varchar)" for p in "st")
 
 
 ORACLES["repeated_target_findings"] = keyed_findings(
-    "orders", "orders_hot_key", [("s.o_orderkey", "t.o_orderkey")], OC, lambda c: f"s_{c} is distinct from t_{c}"
-) + """ union all select 'TARGET_KEY_NOT_UNIQUE', 'o_orderkey', null
-where exists (select 1 from t where o_orderkey is not null group by o_orderkey having count(*) > 1)"""
+    "orders", "orders_hot_key", same("o_orderkey"), OC, shown=with_days("o_orderdate"), local=[
+        finding(DATA, "'TARGET_KEY_NOT_UNIQUE'", severity="'warning'", column="'O_ORDERKEY'")
+        + " where exists (select 1 from t where o_orderkey is not null group by o_orderkey having count(*) > 1)"])
 
 LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate"]
 ORACLES["lineitem_findings"] = keyed_findings(
-    "lineitem", "lineitem_changed", [(f"s.{c}", f"t.{c}") for c in LINE_KEY],
-    [c for c in LINE_COLUMNS if c not in LINE_KEY], lambda c: f"s_{c} is distinct from t_{c}")
+    "lineitem", "lineitem_changed", same(*LINE_KEY), [c for c in LINE_COLUMNS if c not in LINE_KEY], shown=with_days("l_shipdate"))
 
 TEXT_RULES = {
     "b": "(case when s_b = 1 then 'true' else 'false' end) is distinct from lower(t_b)",
@@ -387,40 +412,21 @@ TEXT_RULES = {
     "d": "s_d is distinct from strptime(t_d, '%m/%d/%Y')",
     "t": "s_t is distinct from t_t",
 }
+TEXT_SHOWN = {"b": ("case when s_b = 1 then 'true' else 'false' end", "lower(t_b)"),
+              "d": (DAY.format("s_d"), DAY.format("strptime(t_d, '%m/%d/%Y')"))}
 ORACLES["text_against_typed"] = keyed_findings(
-    "orders_flags", "orders_text_us", [("s.k", "cast(cast(t.k as double) as bigint)")], ["b", "n", "d", "t"], TEXT_RULES.get)
-
-ORACLES["null_key_findings"] = f"""
-with s as (select distinct * from ({sql('customer_null_key')})), t as (select distinct * from ({sql('customer_null_key_changed')})),
-sk as (select *, true as sin from s where c_custkey is not null), tk as (select *, true as tin from t where c_custkey is not null),
-j as (select s.c_nationkey as sn, t.c_nationkey as tn, s.c_mktsegment as sm, t.c_mktsegment as tm, sin, tin
-      from sk s full outer join tk t on s.c_custkey = t.c_custkey),
-sx as (select * from s where c_custkey is null), tx as (select * from t where c_custkey is null),
-c as (
-  select 'EXTRA_IN_SOURCE' as code, cast(null as varchar) as source_column,
-         (select count(*) from j where tin is null) + (select count(*) from (select * from sx except select * from tx)) as n
-  union all select 'EXTRA_IN_TARGET', null,
-         (select count(*) from j where sin is null) + (select count(*) from (select * from tx except select * from sx))
-  union all select 'MISMATCH_COUNT', 'c_nationkey', (select count(*) from j where sin and tin and sn is distinct from tn)
-  union all select 'MISMATCH_COUNT', 'c_mktsegment', (select count(*) from j where sin and tin and sm is distinct from tm))
-select * from c where n > 0"""
-
-ORACLES["empty_and_null_findings"] = f"""
-with rs as ({sql('customer_empty_source')}), rt as ({sql('customer_empty_target')}),
-e as (select (select count(*) from rs where k is null and n is null and a is null) as se,
-             (select count(*) from rt where k is null and n is null and a is null) as te),
-s as (select distinct *, true as sin from rs where k is not null or n is not null or a is not null),
-t as (select distinct *, true as tin from rt where k is not null or n is not null or a is not null),
-j as (select s.n as sn, t.n as tn, s.a as sa, t.a as ta, sin, tin from s full outer join t on s.k is not distinct from t.k),
-c as (
-  select 'EXTRA_EMPTY_RECORDS' as code, cast(null as varchar) as source_column, te - se as n from e where te > se
-  union all select 'MISSING_EMPTY_RECORDS', null, se - te from e where se > te
-  union all select 'NULL_POPULATED', 'a', null from (select 1 where (select count(a) from rs) > 0 and (select count(a) from rt) = 0)
-  union all select 'EXTRA_IN_SOURCE', null, count(*) from j where tin is null
-  union all select 'EXTRA_IN_TARGET', null, count(*) from j where sin is null
-  union all select 'MISMATCH_COUNT', 'n', count(*) from j where sin and tin and sn is distinct from tn
-  union all select 'MISMATCH_COUNT', 'a', count(*) from j where sin and tin and sa is distinct from ta)
-select code, source_column, cast(n as bigint) as n from c where n is null or n > 0"""
+    "orders_flags", "orders_text_us", {"k": ("s.k", "cast(cast(t.k as double) as bigint)")}, ["b", "n", "d", "t"], TEXT_RULES.get,
+    lambda c: TEXT_SHOWN.get(c, (f"cast(s_{c} as varchar)", f"cast(t_{c} as varchar)")))
+
+CUSTOMER_REST = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+ORACLES["null_key_findings"] = keyed_findings("customer_null_key", "customer_null_key_changed", same("c_custkey"), CUSTOMER_REST)
+
+EMPTY = "select count(*) from {} where k is null and n is null and a is null and nk is null and m is null"
+ORACLES["empty_and_null_findings"] = keyed_findings(
+    "customer_empty_source", "customer_empty_target", same("k"), ["n", "a", "nk", "m"], local=[
+        finding(DATA, f"'{code}_EMPTY_RECORDS'", "greatest(({}) - ({}), 0)".format(*(EMPTY.format(r) for r in sides)))
+        for code, sides in (("EXTRA", ("rt", "rs")), ("MISSING", ("rs", "rt")))] + [
+        finding(DATA, "'NULL_POPULATED'", column="'A'") + " where (select count(a) from rs) > 0 and (select count(a) from rt) = 0"])
 
 # -- datatypes
 
@@ -488,6 +494,25 @@ ORACLES["csv_source"] = """
 select cast(c_custkey as varchar) as "C_CUSTKEY", case when c_custkey % 7 <> 3 then c_name end as "C_NAME",
        cast(c_nationkey as varchar) as "C_NATIONKEY", cast(c_acctbal as varchar) as "C_ACCTBAL",
        c_mktsegment as "C_MKTSEGMENT" from customer"""
+ORACLES["csv_line_breaks"] = """
+select cast(page_id as varchar) as "PAGE_ID", url as "URL", nullif(html, '') as "HTML" from pages"""
+CSV_LINES = f"""
+with l as (select o_orderkey, o_custkey, o_orderstatus, o_orderpriority, line,
+                  1 + sum(1 + length(line) - length(replace(line, chr(10), ''))) over (order by o_orderkey) as behind
+           from ({sql('orders_csv_lines').replace(chr(92) + 'n', "' || chr(10) || '").replace('string', 'varchar')}) join orders using (o_orderkey)),
+r as (select *, cast(behind - (length(line) - length(replace(line, chr(10), ''))) as bigint) as pos, case
+        when o_orderkey % 101 = 9 then 'a quoted field is not closed'
+        when o_orderkey % 97 = 5 and o_orderkey % 89 <> 3 then 'fewer fields than the header'
+        when o_orderkey % 89 = 3 and o_orderkey % 97 <> 5 then 'more fields than the header' end as reason from l)"""
+ORACLES["csv_bad_records"] = f"""{CSV_LINES}
+select pos as line, reason, line as record from r where reason is not null and (reason not like 'a %' or line not like '%' || chr(10) || '%')
+union all select pos + u.i, reason, u.piece from r, (select unnest(string_split(line, chr(10))) as piece, generate_subscripts(string_split(line, chr(10)), 1) - 1 as i, o_orderkey as k from r) u
+where k = o_orderkey and reason like 'a %' and line like '%' || chr(10) || '%'"""
+ORACLES["csv_good_records"] = f"""{CSV_LINES}
+select cast(o_orderkey as varchar) as "O_ORDERKEY", cast(o_custkey as varchar) as "O_CUSTKEY",
+       case when o_orderkey % 97 = 5 then case when o_orderkey % 7 = 1 then 'two' || chr(10) || 'lines, "x"' else o_orderpriority end else o_orderstatus end as "O_ORDERSTATUS",
+       case when o_orderkey % 97 = 5 then 'more' when o_orderkey % 7 = 1 then 'two' || chr(10) || 'lines, "x"' else o_orderpriority end as "O_ORDERPRIORITY"
+from r where reason is null"""
 ORACLES["csv_against_table"] = ORACLES["data_findings"]
 
 

@@ -19,7 +19,7 @@ from twinledger.session import Staged, scratch_path
 from twinledger.sinks import reports
 from twinledger.sources import metadata
 from twinledger.sources.control import read_mapping
-from twinledger.sources.files import FileRef, read_file
+from twinledger.sources.files import FileRef, bad_records, read_file
 
 FIXED_TIME = datetime(2024, 1, 1)
 SAMPLES = 5
@@ -433,7 +433,7 @@ def lineitem_findings(spark, sf):
     """Key declared on six columns; falls to discovery where it is violated."""
     found = pair_findings(spark, sf, "lineitem", "lineitem_changed", "Data Validation",
                           key=("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate"))
-    return found.where("code not in ('VALUE_MISMATCH', 'KEY_NOTE')").select("code", F.lower("source_column").alias("source_column"), "n")
+    return found
 
 
 @query
@@ -459,27 +459,27 @@ def declared_key_outside(spark, sf):
 def repeated_target_findings(spark, sf):
     """A hot target key and repeated null keys in the target."""
     found = pair_findings(spark, sf, "orders", "orders_hot_key", "Data Validation")
-    return found.where("code <> 'VALUE_MISMATCH'").select("code", F.lower("source_column").alias("source_column"), "n")
+    return found
 
 
 @query
 def text_against_typed(spark, sf):
     """All-text side with another spelling of keys, flags, numbers and dates."""
     found = pair_findings(spark, sf, "orders_flags", "orders_text_us", "Data Validation")
-    return found.where("code <> 'VALUE_MISMATCH'").select("code", F.lower("source_column").alias("source_column"), "n")
+    return found
 
 
 @query
 def null_key_findings(spark, sf):
     """Key with nulls: repeated null tuples are compared as whole rows."""
     found = pair_findings(spark, sf, "customer_null_key", "customer_null_key_changed", "Data Validation")
-    return found.where("code <> 'VALUE_MISMATCH'").select("code", F.lower("source_column").alias("source_column"), "n")
+    return found
 
 
 @query
 def empty_and_null_findings(spark, sf):
     found = pair_findings(spark, sf, "customer_empty_source", "customer_empty_target", "Data Validation", key=("k",))
-    return found.where("code <> 'VALUE_MISMATCH'").select("code", F.lower("source_column").alias("source_column"), "n")
+    return found
 
 
 # -- datatypes -----------------------------------------------------------------
@@ -544,6 +544,36 @@ def csv_source(spark, sf):
     return read_file(spark, FileRef(path))
 
 
+@query
+def csv_line_breaks(spark, sf):
+    """The pages written as one CSV file, line breaks in quoted fields and all, and read back by many tasks."""
+    path = scratch_path(spark, "pages-csv") + ".csv"
+    side(spark, sf, "pages").coalesce(1).write.options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return read_file(spark, FileRef(path, null_tokens=()))
+
+
+def orders_csv(spark, sf, name):
+    """The orders as one CSV file with long, short and unclosed records."""
+    path = scratch_path(spark, name) + ".csv"
+    header = spark.sql("select cast(null as bigint) as o_orderkey, 'o_orderkey,o_custkey,o_orderstatus,o_orderpriority' as line")
+    lines = header.unionByName(side(spark, sf, "orders_csv_lines"))
+    lines.repartition(1).sortWithinPartitions("o_orderkey").select("line").write.text(path)
+    return FileRef(path, format="csv", quarantine=True)
+
+
+@query
+def csv_bad_records(spark, sf):
+    """Broken records with the line they begin at; an unclosed one ends before the line that proves it."""
+    return bad_records(spark, orders_csv(spark, sf, "orders-broken")).select("line", "reason", "record")
+
+
+@query
+def csv_good_records(spark, sf):
+    """What is left when the broken records of the same file are set aside."""
+    return read_file(spark, orders_csv(spark, sf, "orders-good"))
+
+
 @query
 def csv_against_table(spark, sf):
     """Spark's own CSV of a changed table, dates as it writes them."""

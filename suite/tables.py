@@ -43,18 +43,24 @@ SIDES = {
     "customer_empty_source": """
         select case when c_custkey % 53 = 4 then null else c_custkey end k,
                case when c_custkey % 53 = 4 then null else c_name end n,
-               case when c_custkey % 53 = 4 then null else c_acctbal end a from {customer}""",
+               case when c_custkey % 53 = 4 then null else c_acctbal end a,
+               case when c_custkey % 53 = 4 then null else c_nationkey end nk,
+               case when c_custkey % 53 = 4 then null else c_mktsegment end m from {customer}""",
     "customer_empty_target": """
         select case when c_custkey % 59 = 4 then null else c_custkey end k,
                case when c_custkey % 59 = 4 then null else c_name end n,
-               cast(null as double) a from {customer}""",
+               cast(null as double) a,
+               case when c_custkey % 59 = 4 then null else c_nationkey end nk,
+               case when c_custkey % 59 = 4 then null else c_mktsegment end m from {customer}""",
     "customer_null_key": """
         select case when c_custkey % 50 = 0 then null else c_custkey end c_custkey,
-               c_nationkey, c_mktsegment from {customer}""",
+               case when c_custkey % 50 = 0 then null else c_name end c_name, c_nationkey,
+               case when c_custkey % 50 = 0 then null else c_acctbal end c_acctbal, c_mktsegment from {customer}""",
     "customer_null_key_changed": """
         select case when c_custkey % 50 = 0 then null else c_custkey end c_custkey,
+               case when c_custkey % 50 = 0 then null else c_name end c_name,
                case when c_custkey % 41 = 3 then c_nationkey + 1 else c_nationkey end c_nationkey,
-               c_mktsegment from {customer} where c_custkey % 37 <> 2""",
+               case when c_custkey % 50 = 0 then null else c_acctbal end c_acctbal, c_mktsegment from {customer} where c_custkey % 37 <> 2""",
     "orders_text": """
         select cast(o_orderkey as string) k,
                case when o_orderstatus = 'F' then 'True' else '0' end b,
@@ -68,6 +74,12 @@ SIDES = {
         select o_orderkey, concat(' ', cast(o_totalprice as string)) n, o_orderpriority t,
                concat(substr(cast(o_orderdate as string), 6, 2), '/', substr(cast(o_orderdate as string), 9, 2), '/',
                       substr(cast(o_orderdate as string), 1, 4)) d from {orders}""",
+    "orders_csv_lines": """
+        select o_orderkey, concat(cast(o_orderkey as string), ',', cast(o_custkey as string),
+               case when o_orderkey % 97 = 5 then '' else concat(',', o_orderstatus) end, ',"',
+               case when o_orderkey % 7 = 1 then 'two\nlines, ""x""' else o_orderpriority end,
+               case when o_orderkey % 101 = 9 then '' else '"' end, case when o_orderkey % 89 = 3 then ',more' else '' end) line
+        from {orders}""",
     "orders_exact": """
         select o_orderkey, cast(concat('12345678901234567890', lpad(cast(o_orderkey as string), 8, '0'), '.',
                                        lpad(cast(o_orderkey % 100 as string), 2, '0')) as decimal(38,2)) amount,

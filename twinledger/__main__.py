@@ -35,6 +35,7 @@ def build_config(args, settings: dict) -> RunConfig:
         date_formats=tuple(args.date_format) if args.date_format else None,
         null_tokens=tuple(args.null_token) if args.null_token is not None else None,
         csv_splittable={"auto": None, "yes": True, "no": False}[args.csv_splittable],
+        csv_quarantine=args.csv_quarantine,
         concurrent_pairs=args.concurrent_pairs,
     )
 
@@ -52,6 +53,7 @@ def parse(argv=None):
     p.add_argument("--date-format", action="append", help="accepted date layout, in the order of the options; instead of the built-in ones")
     p.add_argument("--null-token", action="append", help="text that stands for a missing value in CSV; instead of the built-in ones")
     p.add_argument("--csv-splittable", default="auto", choices=["auto", "yes", "no"], help="may a CSV file be read by many tasks: no quoted field holds a line break")
+    p.add_argument("--csv-quarantine", action="store_true", help="set broken CSV records aside and report them instead of failing the pair")
     p.add_argument("--concurrent-pairs", type=int, default=4, help="pairs in work at once")
     return p.parse_args(argv)
 

@@ -30,6 +30,7 @@ FINDING_CODES = {
     "TRUNCATION": (WARNING, False, 2),
     "KEY_NOTE": (INFO, False, 0),
     "UNSUPPORTED_TYPE": (ERROR, True, 1),
+    "BAD_RECORDS": (ERROR, True, 1),
     "EXTRA_EMPTY_RECORDS": (ERROR, True, 2),
     "MISSING_EMPTY_RECORDS": (ERROR, True, 2),
     "NULL_POPULATED": (ERROR, True, 3),
@@ -140,6 +141,8 @@ class RunConfig:
     key_sample_rows: int = 50_000
     # None: every CSV folder is looked through for fields that hold line breaks
     csv_splittable: bool | None = None
+    # broken CSV records are set aside and reported; else they fail the pair
+    csv_quarantine: bool = False
     concurrent_pairs: int = 4
     # so many repeated row digests, of eight bytes each, may be broadcast
     broadcast_digests: int = 1_000_000

@@ -286,5 +286,7 @@ def resolve_key(rows: DataFrame, columns, declared=(), **kwargs):
             status = declared_key_check(rows, key, distinct=True).first()
             if status["status"] == 1 and status["keyed_rows"]:
                 return KeyResult(tuple(key), "declared"), None
-            note = "declared key is not unique"
+            if status["status"] == 1 and not rows.head(1):
+                return KeyResult(tuple(key), "declared"), "no rows: the declared key is not proven"
+            note = "declared key is not unique" if status["status"] == 2 else "no row has the declared key filled"
     return discover_key(rows, columns, **kwargs), note

@@ -38,7 +38,7 @@ from twinledger.plans.pairing import align, pair_columns, split_names, split_sup
 from twinledger.plans.report import findings_frame, report
 from twinledger.session import Staged, scratch_path
 from twinledger.sources import jdbc, metadata
-from twinledger.sources.files import MALFORMED, FileRef, read_file
+from twinledger.sources.files import MALFORMED, FileRef, bad_records, file_format, read_file
 from twinledger.sources.jdbc import JdbcRef
 from twinledger.sources.tables import TableRef, read_table
 
@@ -115,7 +115,23 @@ def run_pair(spark: SparkSession, spec: PairSpec, config: RunConfig | None = Non
     except PySparkException as e:
         if MALFORMED not in str(e):
             raise
-        return _failed(spark, f"FILE_MALFORMED: {MALFORMED}", labels, execution_time)
+        shown = [_broken(spark, ref, name) for ref, name in zip((spec.source, spec.target), ("source", "target"))]
+        found = "; ".join(f"{n} in {text}" for n, text in filter(None, shown))
+        return _failed(spark, f"FILE_MALFORMED: {MALFORMED}" + (f": {found}" if found else ""), labels, execution_time)
+
+
+def _broken(spark, ref, name: str, shown: int = 3):
+    """(number of broken records, text that names the first few) of a CSV side, None without any."""
+    try:
+        if not isinstance(ref, FileRef) or file_format(ref) != "csv":
+            return None
+        bad = bad_records(spark, ref)
+    except DatasetError:
+        return None
+    first = bad.orderBy("file", "line").select("file", "line", "reason").limit(shown).collect()
+    if not first:
+        return None
+    return bad.count(), f"{name} (" + ", ".join(f"{r['file'].rsplit('/', 1)[-1]} line {r['line']}: {r['reason']}" for r in first) + ")"
 
 
 def _failed(spark, message, labels, execution_time) -> PairResult:
@@ -132,6 +148,10 @@ def _validate(spark, spec, config, mapping, execution_time, labels) -> PairResul
     s_names = {a: p.source for a, p in zip(at, pairs)}
     t_names = {a: p.target for a, p in zip(at, pairs)}
     local, frames = [], []
+    for ref, side, column in ((spec.source, "source", "source_value"), (spec.target, "target", "target_value")):
+        broken = _broken(spark, ref, side) if getattr(ref, "quarantine", False) else None
+        if broken:
+            local.append(finding(DATA_CHECK, "BAD_RECORDS", count=broken[0], **{column: broken[1]}))
 
     checks = CHECKS
     if any(is_file):
@@ -276,7 +296,7 @@ def pair_spec(row: dict, config: RunConfig) -> PairSpec:
         path, table = row[f"{name}FilePath"], row[f"{name}Table"]
         if path:
             tokens = V.NULL_TOKENS if config.null_tokens is None else config.null_tokens
-            return FileRef(path, null_tokens=tokens, splittable=config.csv_splittable)
+            return FileRef(path, null_tokens=tokens, splittable=config.csv_splittable, quarantine=config.csv_quarantine)
         if not table:
             raise DatasetError("BAD_MANIFEST", f"{name} names neither a table nor a file")
         db, schema = row[f"{name}DB"], row[f"{name}Schema"]

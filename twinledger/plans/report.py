@@ -38,6 +38,7 @@ PIECE = f"""case
     when code = 'NULL_POPULATED' then {_names('target_column')}
     when code = 'VALUE_MISMATCH' then {CELL_TEXT}
     when code = 'PAIR_ERROR' then source_value
+    when code = 'BAD_RECORDS' then concat(count, ' in ', coalesce(source_value, target_value))
     when source_column is not null then {_names('source_column')}
     else cast(count as string) end"""
 
@@ -50,6 +51,7 @@ REASONS = {
     "TYPE_MISMATCH": "datatype mismatch in {}",
     "TRUNCATION": "warning: values may be truncated in {}",
     "UNSUPPORTED_TYPE": "columns of an unsupported type: {}",
+    "BAD_RECORDS": "broken records set aside: {}",
     "EXTRA_EMPTY_RECORDS": "{} extra empty records in target",
     "MISSING_EMPTY_RECORDS": "{} empty records missing in target",
     "NULL_POPULATED": "target columns populated as nulls: {}",

@@ -31,7 +31,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     root = shared_dir(spark)
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
         root = _own_folder().name
     return f"{root.rstrip('/')}/twinledger/{name}-{uuid.uuid4().hex}"
