@@ -29,6 +29,32 @@ CASES = [
     (license_rules.SENTENCES["gpl2.terms"], "GPL-2.0-or-later", 1, 0), ("LICENSED### UNDER THE&&& MIT LICENSE!!", "MIT", 1, 0),
 ]
 
+VERBS = ("licensed", "licenced", "released", "distributed", "available", "published", "provided", "made available")
+BY_VERB = [(f"Text.\n{lead}{verb} under {of}{name}.\nMore text.", x) for name, x in license_rules.NAMES.items() for verb in VERBS for lead in ("", "This work is ") for of in ("", "the terms of the ")]
+
+BSD = [license_rules.SENTENCES[k] for k in ("bsd.grant", "bsd.source", "bsd.binary", "bsd.endorse", "bsd.asis", "bsd.liability")]
+HOLDER = [*BSD[:3], BSD[3].replace("the copyright holder nor", "Example Corp. nor"), BSD[4].replace("THE COPYRIGHT HOLDERS", "EXAMPLE CORP."), BSD[5].replace("THE COPYRIGHT HOLDER OR", "EXAMPLE CORP. OR ITS")]
+ZLIB = "This software is provided 'as-is', without any express or implied\nwarranty. " + license_rules.SENTENCES["zlib.grant"]
+
+
+def notice(*keys):
+    return " ".join(license_rules.SENTENCES[k] for k in keys)
+
+
+CASES += [
+    ("\n".join(BSD), "BSD-3-Clause", 1, 0), ("\n".join(HOLDER), "BSD-3-Clause", 1, 0), (wrapped(" ".join(HOLDER), 50), "BSD-3-Clause", 1, 0),
+    ("\n\n".join(BSD[:3] + BSD[4:]), "BSD-2-Clause", 1, 0), ("\n".join(BSD[:3]), "BSD-2-Clause", 1, 0),
+    ("\n".join([*BSD[:3], "Use needs a further permission of the owner.", *BSD[4:]]), "LicenseRef-BSD", 1, 1),
+    ("This library is free software; " + notice("lgpl21.terms", "lgpl.asis", "lgpl.see"), "LGPL-2.1-or-later", 1, 0), (notice("agpl3.terms", "gpl.asis", "agpl.see"), "AGPL-3.0-or-later", 1, 0),
+    (wrapped(notice("epl.terms")), "EPL-2.0", 1, 0), (ZLIB, "Zlib", 1, 0),
+    ("Licensed under the GNU General Public License v3.0.", "GPL-3.0-only", 1, 0), ("Licensed under the GNU General Public License v2.0 or later.", "GPL-2.0-or-later", 1, 0),
+    ("// SPDX-License-Identifier: MIT OR Apache-2.0", "MIT,Apache-2.0", 2, 0), ("SPDX-License-Identifier: GPL-2.0", "GPL-2.0-only", 1, 0),
+    ("SPDX-License-Identifier: (GPL-2.0+ OR MIT) AND BSD-3-Clause", "GPL-2.0-or-later,MIT,BSD-3-Clause", 3, 0),
+    ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0", "GPL-2.0-only", 1, 0), ("Released under the MIT License (see LICENSE).", "MIT", 1, 0),
+    ("Dual licensed under MIT and Apache 2.0.", "MIT,Apache-2.0", 2, 0), ("Released under MIT.", "MIT", 1, 0), ("Licensed under MIT or Foo.", "MIT", 1, 1),
+    ("Licensed under GPLv3.", "GPL-3.0-only", 1, 0), ("Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt)", "BSL-1.0", 1, 1),
+]
+
 
 def test_cases(spark):
     docs = spark.createDataFrame([(i, c[0]) for i, c in enumerate(CASES)], "doc_id long, text string")
@@ -42,7 +68,8 @@ def test_every_known_sentence_holds_a_trigger():
 
 
 def test_sql_says_the_same(spark, hard, hard_rows):
-    rows = [(i, c[0]) for i, c in enumerate(CASES)] + [(r[0], r[1]) for r in hard_rows]
+    texts = [c[0] for c in CASES] + [t for t, _ in BY_VERB] + [f"Text.\n{t}\n \t\r\n{c[0]}" for c in CASES for t in ("Released under the MIT License", "Filmed under CCTV.")]
+    rows = list(enumerate(texts)) + [(r[0], r[1]) for r in hard_rows]
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
     con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
@@ -61,11 +88,8 @@ def test_empty_table(none):
     assert license_rules.scan_licenses(none).collect() == []
 
 
-VERBS = ("licensed", "licenced", "released", "distributed", "available", "published", "provided", "made available")
-
-
 def test_each_name_is_found_behind_each_verb(spark):
-    rows = [(f"Text.\n{lead}{verb} under {of}{name}.\nMore text.", x) for name, x in license_rules.NAMES.items() for verb in VERBS for lead in ("", "This work is ") for of in ("", "the terms of the ")]
+    rows = list(BY_VERB)
     rows += [("Released under CC BY 4.0.", "CC-BY-4.0"), ("This dataset is distributed under the terms of the CC BY-SA 4.0.", "CC-BY-SA-4.0"), ("Made available\nunder\nCC0 1.0.", "CC0-1.0")]
     rows += [("This is free and unencumbered software released into the public\ndomain.", "Unlicense")]
     docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")

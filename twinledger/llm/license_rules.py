@@ -16,17 +16,31 @@ from pyspark.sql import functions as F
 
 from twinledger.llm.common import text_of
 
+#: White space, alike in both regex engines.
+SPACE = r"[ \t\n\x0B\f\r]"
 #: Words by which a normalised sentence speaks of licences.
 TRIGGER = "licen[cs]e|copyright|permission|redistribut|warrant|rights reserved|public domain|as is|be liable|copy of the mpl"
 #: A colon ends a sentence only before a list of conditions.
-SENTENCE_END = r"([.!?;]|conditions:|met:)\s+"
+SENTENCE_END = r"([.!?;]|conditions:|met:|restrictions:)" + SPACE + "+"
+#: Between two pieces of a text: a blank line.
+PARTED = r"\n" + SPACE + r"*\n"
 GAP = r"[^\p{L}\p{N}]+"
-#: Each known sentence matches this as it is written, so a text without any is decided at once. Names without a word of
-#: TRIGGER count behind "under"; words of a pair may be parted by a line break.
-NOTICE = TRIGGER + "|" + "|".join(x.replace(" ", GAP) for x in ("public domain", "copy of the mpl", "under (?:the terms of )?(?:(?:the|an?) )?cc(?:0| by\\b)"))
 #: What may stand before the name of a licence; it is cut off.
-LEAD = r"^(?:(?:this|the|our) [a-z]+ (?:is|are) |all [a-z]+ (?:is|are) |code |data )?(?:also )?(?:dual )?(?:licen[cs]ed|released|distributed|available|published|provided|made available) under (?:the terms of )?(?:the |an? )?"
+LEAD = (r"^(?:(?:this|the|our) [a-z]+(?: and the accompanying materials)? (?:is|are) |all [a-z]+ (?:is|are) |code |data )?(?:also )?(?:dual )?"
+        r"(?:licen[cs]ed|released|distributed|available|published|provided|made available) under (?:the terms of )?(?:the |an? )?")
 NEUTRAL = r"^(?:c )?copyright .*|^all rights reserved$"
+#: Changes of a lower-cased sentence before, and of a normalised one after, everything but letters and digits is cut out. Holders and
+#: references to a file go, so do exceptions behind "with"; versions are written alike; "or later" becomes one word.
+BEFORE = ((r"\(see [^()]*\)", ""), (r"([0-9])\+", "$1 orlater"))
+AFTER = (
+    (r"\bv ?([0-9])", "version $1"), (r"(general public license version [23]) 0\b", "$1"), (r" or (?:any )?later(?: version)?\b", " orlater"),
+    (r" with [a-z0-9 ]*exception(?: [0-9]+)*", ""), (r"^(?:.* )?nor the names? of (?:its|the|their|any) contributors", "nor the names of its contributors"),
+    (r"^(?:.* )?as is and any express or implied", "as is and any express or implied"), (r"^(?:.* )?be liable for any direct", "be liable for any direct"),
+    (LEAD, "under "),
+)
+#: Between the licences of a choice or a union.
+BETWEEN = " (?:and|or) (?:the )?"
+SPDX = "spdx license identifier "
 
 # Names of licences as notices write them, normalised, and their SPDX identifiers.
 NAMES = {
@@ -61,6 +75,15 @@ NAMES = {
     "creative commons attribution sharealike 4 0 international license": "CC-BY-SA-4.0",
     "creative commons attribution noncommercial 4 0 international license": "CC-BY-NC-4.0",
 }
+# Former identifiers and short names.
+SHORT = {
+    "gpl 2 0": "GPL-2.0-only", "gpl 3 0": "GPL-3.0-only", "lgpl 2 1": "LGPL-2.1-only", "lgpl 3 0": "LGPL-3.0-only", "agpl 3 0": "AGPL-3.0-only",
+    "lgpl 2 1 or later": "LGPL-2.1-or-later", "lgpl 3 0 or later": "LGPL-3.0-or-later", "agpl 3 0 or later": "AGPL-3.0-or-later",
+    "gplv2": "GPL-2.0-only", "gplv3": "GPL-3.0-only", "gpl version 2": "GPL-2.0-only", "gpl version 3": "GPL-3.0-only",
+    "gnu gpl version 2": "GPL-2.0-only", "gnu gpl version 3": "GPL-3.0-only", "gnu lesser general public license version 2 1 or later": "LGPL-2.1-or-later",
+    "gnu lesser general public license version 3 or later": "LGPL-3.0-or-later", "gnu affero general public license version 3 or later": "AGPL-3.0-or-later",
+    "boost software license 1 0": "BSL-1.0", "unlicense": "Unlicense",
+}
 # Sentences of published licence texts and notices.
 SENTENCES = {
     "mit.grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
@@ -77,6 +100,17 @@ SENTENCES = {
     "bsd.source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
     "bsd.binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
     "bsd.endorse": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "bsd.asis": "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+    "bsd.liability": "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    "zlib.asis": "This software is provided 'as-is', without any express or implied warranty.",
+    "zlib.grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "lgpl21.terms": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl3.terms": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "lgpl.asis": "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+    "lgpl.see": "See the GNU Lesser General Public License for more details.",
+    "agpl3.terms": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl.see": "See the GNU Affero General Public License for more details.",
+    "epl.terms": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
     "gpl3.terms": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "gpl2.terms": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
     "gpl.asis": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
@@ -96,8 +130,21 @@ RULES = (
     (("apache.named", "apache.comply", "apache.obtain", "apache.asis"), "Apache-2.0"),
     (("apache.named", "apache.comply", "apache.obtain"), "Apache-2.0"),
     (("apache.named",), "Apache-2.0"),
+    (("bsd.grant", "bsd.source", "bsd.binary", "bsd.endorse", "bsd.asis", "bsd.liability"), "BSD-3-Clause"),
     (("bsd.grant", "bsd.source", "bsd.binary", "bsd.endorse"), "BSD-3-Clause"),
+    (("bsd.grant", "bsd.source", "bsd.binary", "bsd.asis", "bsd.liability"), "BSD-2-Clause"),
+    (("bsd.grant", "bsd.source", "bsd.binary", "?"), "LicenseRef-BSD"),  # a further condition that is not known
     (("bsd.grant", "bsd.source", "bsd.binary"), "BSD-2-Clause"),
+    (("zlib.asis", "zlib.grant"), "Zlib"),
+    (("zlib.grant",), "Zlib"),
+    (("lgpl21.terms", "lgpl.asis", "lgpl.see"), "LGPL-2.1-or-later"),
+    (("lgpl21.terms",), "LGPL-2.1-or-later"),
+    (("lgpl3.terms", "lgpl.asis", "lgpl.see"), "LGPL-3.0-or-later"),
+    (("lgpl3.terms", "gpl.asis", "lgpl.see"), "LGPL-3.0-or-later"),
+    (("lgpl3.terms",), "LGPL-3.0-or-later"),
+    (("agpl3.terms", "gpl.asis", "agpl.see"), "AGPL-3.0-or-later"),
+    (("agpl3.terms",), "AGPL-3.0-or-later"),
+    (("epl.terms",), "EPL-2.0"),
     (("gpl3.terms", "gpl.asis", "gpl.see"), "GPL-3.0-or-later"),
     (("gpl3.terms",), "GPL-3.0-or-later"),
     (("gpl2.terms", "gpl.asis", "gpl.see"), "GPL-2.0-or-later"),
@@ -105,33 +152,70 @@ RULES = (
     (("mpl.terms", "mpl.copy"), "MPL-2.0"),
     (("mpl.terms",), "MPL-2.0"),
     (("unlicense.domain",), "Unlicense"),
-    *(((f"name.{x}",), x) for x in dict.fromkeys(NAMES.values())),
+    *(((f"name.{x}",), x) for x in dict.fromkeys([*NAMES.values(), *SHORT.values()])),
 )
 
 
 def normal(sentence: str) -> str:
-    return re.sub(r"[\W_]+", " ", sentence.lower()).strip()
+    """A sentence as it is looked up; ``_normal`` and ``scan_sql`` say the same in their languages."""
+    out = sentence.lower()
+    for pattern, to in BEFORE:
+        out = re.sub(pattern, to.replace("$", "\\"), out)
+    out = re.sub(r"[\W_]+", " ", out).strip()
+    for pattern, to in AFTER:
+        out = re.sub(pattern, to.replace("$", "\\"), out)
+    return out
 
 
 def known_sentences() -> dict[str, str]:
     """Normalised sentence -> identifier. A sentence whose text holds a sentence end is known by its parts with a trigger."""
-    table = {f"under {name}": f"name.{x}" for name, x in NAMES.items()}
-    table |= {f"spdx license identifier {normal(x)}": f"name.{x}" for x in NAMES.values()}
+    licences = dict.fromkeys([*NAMES.values(), *SHORT.values()])
+    names = {normal(x): x for x in licences} | {normal(n): x for n, x in (NAMES | SHORT).items()}
+    table = {f"under {name}": f"name.{x}" for name, x in names.items()}
+    table |= {SPDX + name: f"name.{x}" for name, x in names.items()}
     for ident, sentence in SENTENCES.items():
         parts = [p for p in map(normal, re.sub(SENTENCE_END, "\\1\n", sentence).split("\n")) if re.search(TRIGGER, p)]
-        lead = re.sub(LEAD, "under ", parts[0])
-        table[lead] = ident
+        table[parts[0]] = ident
         for p in parts[1:]:
             table[p] = "-"  # goes with the part before
     return table
 
 
+#: Each known sentence matches this as it is written, so a text without any is decided at once. Names without a word of
+#: TRIGGER count behind "under"; words of a pair may be parted by a line break.
+NOTICE = TRIGGER + "|" + "|".join(x.replace(" ", GAP) for x in (
+    "public domain", "copy of the mpl", "as is", "be liable",
+    "under (?:the terms of )?(?:(?:the|an?) )?(?:gnu )?(?:" + "|".join(sorted({x.lower().split("-")[0] for x in [*NAMES.values(), *SHORT.values()]} | {"gplv2", "gplv3"})) + ")\\b"))
+
+
+def _normal(sentence: Column) -> Column:
+    out = F.lower(sentence)
+    for pattern, to in BEFORE:
+        out = F.regexp_replace(out, pattern, to)
+    return F.trim(F.regexp_replace(out, GAP, " "))
+
+
 def _looked_up(cut: Column, known: Column) -> Column:
-    """Identifiers of those pieces of the text that speak of licences, in order; ``?`` where unknown."""
+    """Identifiers of those pieces of the text that speak of licences, in order; ``?`` where unknown.
+
+    A choice or a union of licences gives one for each, if any of them is known.
+    """
     told = F.filter(cut, lambda s: F.lower(s).rlike(NOTICE))
-    plain = F.transform(told, lambda s: F.trim(F.regexp_replace(F.lower(s), GAP, " ")))
-    short = F.transform(F.filter(plain, lambda s: ~s.rlike(NEUTRAL)), lambda s: F.regexp_replace(s, LEAD, "under "))
-    return F.transform(short, lambda s: F.coalesce(F.try_element_at(known, s), F.lit("?")))
+    plain = F.transform(told, _normal)
+
+    def changed(s: Column) -> Column:
+        for pattern, to in AFTER:
+            s = F.regexp_replace(s, pattern, to)
+        return s
+
+    def identifiers(s: Column) -> Column:
+        prefix = F.when(s.startswith(SPDX), F.lit(SPDX)).when(s.startswith("under "), F.lit("under "))
+        names = F.split(F.substring(s, F.length(prefix) + 1, F.length(s)), BETWEEN)
+        each = F.transform(names, lambda n: F.coalesce(F.try_element_at(known, F.concat(prefix, n)), F.lit("?")))
+        one = F.try_element_at(known, s)
+        return F.when(one.isNotNull(), F.array(one)).when(_sure(each) > 0, each).otherwise(F.array(F.lit("?")))
+
+    return F.flatten(F.transform(F.transform(F.filter(plain, lambda s: ~s.rlike(NEUTRAL)), changed), identifiers))
 
 
 def _sure(ids: Column) -> Column:
@@ -144,10 +228,10 @@ def _identifiers(text: Column, known: Column) -> Column:
     A piece between sentence ends or blank lines counts as one sentence if it is known with its
     lines joined, else as its lines.
     """
-    pieces = F.split(F.regexp_replace(text, SENTENCE_END, "$1\n\n"), r"\n\s*\n")
+    pieces = F.split(F.regexp_replace(text, SENTENCE_END, "$1\n\n"), PARTED)
 
     def choice(piece: Column) -> Column:
-        whole = _looked_up(F.array(F.regexp_replace(piece, r"\s+", " ")), known)
+        whole = _looked_up(F.array(F.regexp_replace(piece, SPACE + "+", " ")), known)
         return F.when(_sure(whole) > 0, whole).otherwise(_looked_up(F.split(piece, "\n"), known))
 
     return F.flatten(F.transform(F.filter(pieces, lambda p: F.lower(p).rlike(NOTICE)), choice))
@@ -155,7 +239,7 @@ def _identifiers(text: Column, known: Column) -> Column:
 
 def _joined(text: Column, known: Column) -> Column:
     """The same where white space of any kind, blank lines too, ends nothing."""
-    return _looked_up(F.split(F.regexp_replace(F.regexp_replace(text, r"\s+", " "), SENTENCE_END, "$1\n"), "\n"), known)
+    return _looked_up(F.split(F.regexp_replace(F.regexp_replace(text, SPACE + "+", " "), SENTENCE_END, "$1\n"), "\n"), known)
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -189,28 +273,50 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def scan_sql() -> str:
-    """The same in DuckDB's SQL, but by TRIGGER: it does not see the names without such a word behind other verbs than "licensed"."""
+    """The same in DuckDB's SQL, from the same tables and patterns."""
     def q(s: str) -> str:
         return "'" + s.replace("'", "''") + "'"
 
+    def replaced(value: str, changes) -> str:
+        for pattern, to in changes:
+            value = f"regexp_replace({value}, {q(pattern)}, {q(to.replace('$', chr(92)))}, 'g')"
+        return value
+
     known = known_sentences()
     table = f"map([{', '.join(map(q, known))}], [{', '.join(map(q, known.values()))}])"
 
-    def identifiers(text: str) -> str:
-        cut = f"string_split(regexp_replace({text}, {q(SENTENCE_END)}, E'\\\\1\\n', 'g'), E'\\n')"
-        told = f"list_filter({cut}, lambda s: regexp_matches(lower(s), {q(TRIGGER)}))"
-        plain = f"list_transform({told}, lambda s: trim(regexp_replace(lower(s), {q(GAP)}, ' ', 'g')))"
-        short = f"list_transform(list_filter({plain}, lambda s: NOT regexp_matches(s, {q(NEUTRAL)})), lambda s: regexp_replace(s, {q(LEAD)}, 'under ', 'g'))"
-        return f"list_filter(list_transform({short}, lambda s: coalesce(k.m[s], '?')), lambda i: i <> '-')"
+    def looked_up(cut: str) -> str:
+        told = f"list_filter({cut}, lambda s: regexp_matches(lower(s), {q(NOTICE)}))"
+        plain = f"list_transform({told}, lambda s: trim({replaced('lower(s)', (*BEFORE, (GAP, ' ')))}))"
+        short = f"list_transform(list_filter({plain}, lambda s: NOT regexp_matches(s, {q(NEUTRAL)})), lambda s: {replaced('s', AFTER)})"
+        prefix = f"(CASE WHEN starts_with(s, {q(SPDX)}) THEN {q(SPDX)} WHEN starts_with(s, 'under ') THEN 'under ' END)"
+        names = f"string_split_regex(substr(s, length({prefix}) + 1), {q(BETWEEN)})"
+        each = f"list_transform({names}, lambda n: coalesce(k.m[{prefix} || n], '?'))"
+        one = f"CASE WHEN k.m[s] IS NOT NULL THEN [k.m[s]] WHEN {prefix} IS NOT NULL AND len(list_filter({each}, lambda i: i <> '?')) > 0 THEN {each} ELSE ['?'] END"
+        return f"flatten(list_transform({short}, lambda s: {one}))"
+
+    def spaced(text: str) -> str:
+        return f"regexp_replace({text}, {q(SPACE + '+')}, ' ', 'g')"
+
+    def ended(text: str, by: str) -> str:
+        return f"regexp_replace({text}, {q(SENTENCE_END)}, E'\\\\1{by}', 'g')"
+
+    def kept(ids: str) -> str:
+        return f"coalesce(list_filter({ids}, lambda i: i <> '-'), [])"
 
+    pieces = f"list_filter(string_split_regex({ended('text', chr(92) + 'n' + chr(92) + 'n')}, {q(PARTED)}), lambda p: regexp_matches(lower(p), {q(NOTICE)}))"
+    whole, lines = looked_up(f"[{spaced('p')}]"), looked_up("string_split(p, E'\\n')")
+    choice = f"CASE WHEN len(list_filter({whole}, lambda i: i <> '?')) > 0 THEN {whole} ELSE {lines} END"
+    parts = f"flatten(list_transform({pieces}, lambda p: {choice}))"
+    joined = looked_up(f"string_split({ended(spaced('text'), chr(92) + 'n')}, E'\\n')")
     sequence = "CASE WHEN len(ids) > 0 THEN ',' || array_to_string(list_transform(ids, lambda i: i || ','), ',') ELSE '' END"
     for run, licence in RULES:
         sequence = f"replace({sequence}, {q(',' + ',,'.join(run) + ',')}, {q(f',={licence},')})"
     return f"""
         WITH k AS (SELECT {table} AS m),
-        d AS (SELECT doc_id, CASE WHEN regexp_matches(lower(coalesce(text, '')), {q(TRIGGER)}) THEN text END AS text FROM documents),
-        s AS (SELECT doc_id, coalesce({identifiers('text')}, []) AS lines, coalesce({identifiers("regexp_replace(text, E'[ \\t\\n\\x0B\\f\\r]+', ' ', 'g')")}, []) AS joined FROM d, k),
-        i AS (SELECT doc_id, CASE WHEN len(list_filter(joined, lambda x: x <> '?')) > len(list_filter(lines, lambda x: x <> '?')) THEN joined ELSE lines END AS ids FROM s),
+        d AS (SELECT doc_id, CASE WHEN regexp_matches(lower(coalesce(text, '')), {q(NOTICE)}) THEN text END AS text FROM documents),
+        s AS (SELECT doc_id, {kept(parts)} AS parts, {kept(joined)} AS joined FROM d, k),
+        i AS (SELECT doc_id, CASE WHEN len(list_filter(joined, lambda x: x <> '?')) > len(list_filter(parts, lambda x: x <> '?')) THEN joined ELSE parts END AS ids FROM s),
         f AS (SELECT doc_id, ids, regexp_extract_all({sequence}, '=([^,]+)', 1) AS found FROM i),
         u AS (SELECT doc_id, ids, found, list_filter(found, lambda x, nr: list_position(found, x) = nr) AS firsts FROM f)
         SELECT doc_id, array_to_string(firsts, ',') AS licenses, len(found)::BIGINT AS n_matches,
