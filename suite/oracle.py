@@ -545,6 +545,15 @@ ORACLES["dates_with_fraction_and_zone"] = changed_cells("o_orderkey", [
     ("loaded", "orders", "o_orderkey % 61 = 4", STAMP + "0'", STAMP + "1.5'"),
     ("shipped", "orders", "o_orderkey % 67 = 5", STAMP + "0'", STAMP + "1'"),
 ])
+ORACLES["derived_date_layouts"] = changed_cells("o_orderkey", [
+    (d, "orders", f"o_orderkey % {m} = {k}", DAY.format("o_orderdate"), DAY.format("o_orderdate + interval 1 day"))
+    for d, m, k in (("d1", 61, 4), ("d3", 67, 5))
+]) + " union all " + finding(DATA, "'DATE_AMBIGUOUS'", severity="'warning'", column="'D6'")
+CHANGED_TURNS = "select distinct conv_id from conversations where turn = 1 and conv_id % 17 = 3 and conv_id % 23 <> 5 and text is not null"
+ORACLES["map_findings"] = f"""select * from (
+{finding(DATA, "'MISMATCH_COUNT'", "count(*)", column="'TURNS'")} from ({CHANGED_TURNS})
+union all {finding(DATA, "'EXTRA_IN_SOURCE'", "count(*)")} from (select distinct conv_id from conversations where turn is not null and conv_id % 23 = 5)
+) where n > 0"""
 ORACLES["declared_key_outside"] = changed_cells("c0", [
     ("c_nationkey", f"({sql('customer_positions')})", "c1 % 41 = 3", "cast(c_nationkey as varchar)", "cast(c_nationkey + 1 as varchar)"),
 ]) + " union all " + finding(DATA, "'KEY_NOTE'", severity="'info'", column="'C1'", target="cast(null as varchar)",
@@ -652,3 +661,4 @@ ORACLES["report_sinks"] = f"""
   union all select 'Duplicate Validation', 'Pass', 1)
 select sink, check_name, result, (n * copies)::bigint as report_rows
 from r, (select 'csv' as sink, 2 as copies union all select 'parquet', 1)"""
+ORACLES["resumed_report"] = ORACLES["manifest_report"]

@@ -17,6 +17,7 @@ from twinledger.plans import pairing
 from twinledger.plans.pair import PairSpec, run_manifest, run_pair
 from twinledger.session import Staged, scratch_path
 from twinledger.sinks import reports
+from twinledger.sinks.ledger import Ledger
 from twinledger.sources import metadata
 from twinledger.sources.control import read_mapping
 from twinledger.sources.files import FileRef, bad_records, read_file
@@ -448,6 +449,20 @@ def dates_with_fraction_and_zone(spark, sf):
     return pair_findings(spark, sf, "orders_dates", "orders_dates_text", "Data Validation", key=("o_orderkey",))
 
 
+@query
+def derived_date_layouts(spark, sf):
+    """Five layouts that no list names, changed in two, and one column whose day and month cannot be told apart."""
+    return pair_findings(spark, sf, "orders_days", "orders_day_texts", "Data Validation", key=("o_orderkey",))
+
+
+@query
+def map_findings(spark, sf):
+    """A map of turns to maps for each conversation, its entries in another order on the other side."""
+    spec = PairSpec(side(spark, sf, "conversation_maps"), side(spark, sf, "conversation_maps_changed"), declared_key=("conv_id",))
+    found = run_pair(spark, spec, RunConfig(max_error_records=0), execution_time=FIXED_TIME).findings
+    return flat_findings(found.where("check = 'Data Validation'"))
+
+
 @query
 def declared_key_outside(spark, sf):
     """The declared key C1 is not compared; columns named like inner positions must not stand in for it."""
@@ -612,8 +627,7 @@ def truncation_report(spark, sf):
     return run_pair(spark, spec, RunConfig(max_error_records=0), execution_time=FIXED_TIME).report.drop("execution_time")
 
 
-@query
-def manifest_report(spark, sf):
+def whole_manifest(spark, sf):
     """Pairs of whole tables over all four routes, one with renamed columns, and two that cannot be read."""
     for name in ("orders", "orders_changed", "labels", "labels_text", "customer", "customer_renamed"):
         side(spark, sf, name).createOrReplaceTempView(f"tl_{name}")
@@ -628,8 +642,10 @@ def manifest_report(spark, sf):
         table("tl_labels") + file("nothing"),
         table("tl_nothing") + file("labels"),
     ]
-    out = run_manifest(spark, spark.createDataFrame(rows, MANIFEST_SCHEMA), RunConfig(max_error_records=0),
-                       execution_time=FIXED_TIME)
+    return rows
+
+
+def shown_report(out):
     last = lambda c: F.element_at(F.split(c, "/"), -1)
     # the folder of a missing file is that of the test data
     return out.select(last("source_table").alias("source"), last("target_table").alias("target"),
@@ -637,6 +653,25 @@ def manifest_report(spark, sf):
                       F.regexp_replace("Reason", "(FILE_NOT_FOUND|TABLE_NOT_FOUND).*", "$1").alias("reason"))
 
 
+@query
+def manifest_report(spark, sf):
+    """The report of the whole manifest."""
+    pairs = spark.createDataFrame(whole_manifest(spark, sf), MANIFEST_SCHEMA)
+    return shown_report(run_manifest(spark, pairs, RunConfig(max_error_records=0), execution_time=FIXED_TIME))
+
+
+@query
+def resumed_report(spark, sf):
+    """The same manifest in two runs of one name, the first over half of its pairs, written to one folder once."""
+    rows, path = whole_manifest(spark, sf), scratch_path(spark, "resumed")
+    config = RunConfig(max_error_records=0, output_type="PARQUET", output_path=f"{path}/report")
+    ledger = Ledger(spark, f"{path}/ledger", "night")
+    for known in (rows[: len(rows) // 2], rows):
+        run_manifest(spark, spark.createDataFrame(known, MANIFEST_SCHEMA), config, execution_time=FIXED_TIME, ledger=ledger,
+                     on_commit=lambda report, name: reports.write_report(report, config, once=name))
+    return shown_report(spark.read.parquet(config.output_path))
+
+
 @query
 def report_sinks(spark, sf):
     """One report appended twice to a CSV folder and once to Parquet, read back."""

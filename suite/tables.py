@@ -98,6 +98,12 @@ SIDES = {
                concat(substr(cast(o_orderdate as string), 1, 10), case when o_orderkey % 61 = 4 then 'T00:00:01.500' else 'T00:00:00.000' end) loaded,
                concat(substr(cast(o_orderdate as string), 1, 10), case when o_orderkey % 67 = 5 then ' 02:00:01+02:00' else ' 02:00:00+02:00' end) shipped
         from {orders}""",
+    "orders_days": "select o_orderkey, o_orderdate d1, o_orderdate d2, o_orderdate d3, o_orderdate d4, o_orderdate d5, concat(cast(o_orderkey % 12 + 1 as string), '.', cast(o_custkey % 12 + 1 as string), '.2024') d6 from {orders}",
+    "orders_day_texts": """
+        select o_orderkey, date_format(o_orderdate + make_dt_interval(if(o_orderkey % 61 = 4, 1, 0)), 'd.M.yyyy') d1,
+               date_format(o_orderdate, 'MMMM d, yyyy') d2,
+               date_format(o_orderdate + make_dt_interval(if(o_orderkey % 67 = 5, 1, 0)), 'yyyy/M/d H:mm') d3,
+               date_format(o_orderdate, 'd MMM yyyy') d4, date_format(o_orderdate, 'M/d/yyyy h:mm a') d5, concat(cast(o_orderkey % 12 + 1 as string), '.', cast(o_custkey % 12 + 1 as string), '.2024') d6 from {orders}""",
     "customer_positions": "select c_custkey c1, c_name c0, c_nationkey, c_acctbal, c_mktsegment from {customer}",
     "customer_positions_changed": """
         select c_custkey c1, c_name c0, case when c_custkey % 41 = 3 then c_nationkey + 1 else c_nationkey end c_nationkey,
@@ -153,6 +159,15 @@ SIDES = {
     "conversations_changed": """
         select conv_id, turn, case when conv_id % 9 = 1 and turn = 0 then upper(role) else role end role, text
         from {conversations} where conv_id % 31 <> 6""",
+    "conversation_maps": """
+        select conv_id, map_from_entries(collect_list(struct(turn, map('text', text, 'role', role)))) turns, count(*) n
+        from (select conv_id, turn, max(role) role, max(text) text from {conversations} where turn is not null group by conv_id, turn)
+        group by conv_id""",
+    "conversation_maps_changed": """
+        select conv_id, map_from_entries(reverse(collect_list(struct(turn, map('role', role, 'text',
+               if(conv_id % 17 = 3 and turn = 1, concat(text, '!'), text)))))) turns, count(*) n
+        from (select conv_id, turn, max(role) role, max(text) text from {conversations} where turn is not null group by conv_id, turn)
+        where conv_id % 23 <> 5 group by conv_id""",
     "labels": "select doc_id, quality, toxic from {labels}",
     "labels_text": """
         select cast(doc_id as string) doc_id,

@@ -120,15 +120,28 @@ def test_empty_source_has_no_key(spark):
     assert ("Data Validation", "Fail", "2 extra records in target") in facts(result)
 
 
-def test_maps_are_reported_and_the_rest_compared(spark):
-    src = spark.sql("select 1 as id, map('a', 1) as m, array(1, 2) as l, 'x' as v")
-    tgt = spark.sql("select 1 as id, map('a', 1) as m, array(1, 3) as l, 'x' as v")
+def test_intervals_are_reported_and_the_rest_compared(spark):
+    src = spark.sql("select 1 as id, make_interval(1) as m, array(1, 2) as l, 'x' as v")
+    tgt = spark.sql("select 1 as id, make_interval(1) as m, array(1, 3) as l, 'x' as v")
     result = run_pair(spark, PairSpec(src, tgt, declared_key=("ID",)))
     got = found(result, "code", "source_column", "source_value", "target_value")
     assert ("UNSUPPORTED_TYPE", "M", None, None) in got
     assert ("VALUE_MISMATCH", "L", "[1,2]", "[1,3]") in got
 
 
+def test_maps_compare_without_the_order_of_their_keys(spark):
+    """Maps in maps, arrays and structs; null and empty maps differ; copies count as copies."""
+    rows = """values (1, map('a', map(1, 'x', 2, 'y'), 'b', map(3, 'z')), array(map('k', 1, 'l', 2)), named_struct('m', map(1, 2, 3, 4))),
+                     (2, map(), array(), named_struct('m', null)), (3, null, null, null), (4, map('q', null), array(null), null)"""
+    turned = """values (1, map('b', map(3, 'z'), 'a', map(2, 'y', 1, 'x')), array(map('l', 2, 'k', 1)), named_struct('m', map(3, 4, 1, 2))),
+                       (2, map(), array(), named_struct('m', null)), (3, map(), null, null), (4, map('q', map(1, 'w')), array(null), null)"""
+    src, tgt = (spark.sql(f"select * from ({r}) t(id, m, l, s)") for r in (rows, turned))
+    result = run_pair(spark, PairSpec(src, src.unionByName(src)))
+    assert {r["Validation_type"]: r["Validation_Result"] for r in result.report.collect()}["Data Validation"] == "Pass"
+    got = found(run_pair(spark, PairSpec(src, tgt)), "code", "source_column", "count")
+    assert {g for g in got if g[0] in ("MISMATCH_COUNT", "UNSUPPORTED_TYPE", "EXTRA_IN_SOURCE")} == {("MISMATCH_COUNT", "M", 2)}
+
+
 def test_odd_column_names(spark):
     src = spark.createDataFrame([(1, "a", "it's")], "`the id` int, `a.b` string, `x'y` string")
     tgt = spark.createDataFrame([(1, "b", "it's")], "`the id` int, `a.b` string, `x'y` string")

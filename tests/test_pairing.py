@@ -56,7 +56,8 @@ def test_align_and_maps(spark):
     tgt = spark.sql("select 2 as x, map('k', 'v') as m")
     s, t = align(src, tgt, [ColumnPair("a", "x"), ColumnPair("m", "m")])
     assert s.columns == t.columns == ["a", "m"]
-    assert split_supported(s, t) == (["a"], ["m"])
+    assert split_supported(s, t) == (["a", "m"], [])
+    assert s.schema["m"].dataType.simpleString() == "array<struct<key:string,value:string>>"
 
 
 def test_example_limit_must_be_whole():

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 
 from twinledger.model import SNOWFLAKE, SPARK, SQLSERVER, RunConfig
 from twinledger.plans.pair import run_manifest
+from twinledger.sinks.ledger import Ledger
 from twinledger.sinks.reports import write_report
 from twinledger.sources.control import read_control, read_mapping
 from twinledger.sources.jdbc import SnowflakeConnection, SqlServerConnection
@@ -55,6 +56,8 @@ def parse(argv=None):
     p.add_argument("--csv-splittable", default="auto", choices=["auto", "yes", "no"], help="may a CSV file be read by many tasks: no quoted field holds a line break")
     p.add_argument("--csv-quarantine", action="store_true", help="set broken CSV records aside and report them instead of failing the pair")
     p.add_argument("--concurrent-pairs", type=int, default=4, help="pairs in work at once")
+    p.add_argument("--ledger", help="folder that keeps which pairs of a run are done; a rerun under the same name goes on behind them")
+    p.add_argument("--run", default="run", help="name of the run in the ledger")
     return p.parse_args(argv)
 
 
@@ -67,7 +70,12 @@ def main(argv=None) -> None:
     spark = SparkSession.builder.appName("twinledger").getOrCreate()
     config = build_config(args, settings)
     mapping = read_mapping(spark, args.mapping) if args.mapping else None
-    run_manifest(spark, read_control(spark, args.manifest), config, mapping, on_report=lambda rows: write_report(rows, config))
+    manifest = read_control(spark, args.manifest)
+    if args.ledger:
+        run_manifest(spark, manifest, config, mapping, ledger=Ledger(spark, args.ledger, args.run),
+                     on_commit=lambda rows, name: write_report(rows, config, once=name))
+    else:
+        run_manifest(spark, manifest, config, mapping, on_report=lambda rows: write_report(rows, config))
 
 
 if __name__ == "__main__":

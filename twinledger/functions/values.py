@@ -67,6 +67,28 @@ def is_comparable(dtype: T.DataType) -> bool:
     return True
 
 
+def holds_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return holds_map(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any(holds_map(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, T.MapType)
+
+
+def without_maps(c: str, dtype: T.DataType, depth: int = 0) -> str:
+    """The value with each map, at every depth, as its entries sorted by key: equal maps become equal values that group and join."""
+    if not holds_map(dtype):
+        return c
+    x = f"x{depth}"
+    if isinstance(dtype, T.ArrayType):
+        return f"transform({c}, {x} -> {without_maps(x, dtype.elementType, depth + 1)})"
+    if isinstance(dtype, T.StructType):
+        fields = ", ".join(f"{text_literal(f.name)}, {without_maps(f'{c}.{quoted(f.name)}', f.dataType, depth)}" for f in dtype.fields)
+        return f"if({c} is null, null, named_struct({fields}))"
+    value = without_maps(f"{x}.value", dtype.valueType, depth + 1)
+    return f"array_sort(transform(map_entries({c}), {x} -> named_struct('key', {x}.key, 'value', {value})))"
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -166,12 +188,16 @@ def date_shape(fmt: str) -> str:
         text = m.group(0)
         if m.group(1) is not None:
             out.append(m.group(1))
-        elif m.group(2) == "M" and len(text) == 3:
-            out.append("[A-Za-z]{3}")
+        elif m.group(2) == "M" and len(text) > 2:
+            out.append("[A-Za-z]{3}" if len(text) == 3 else "[A-Za-z]{3,9}")
+        elif m.group(2) == "a":
+            out.append("[AaPp][Mm]")
+        elif m.group(2) and len(text) == 1:
+            out.append(r"\d{1,2}")
         elif m.group(2):
             out.append(r"\d{%d}" % len(text))
         else:
-            out.append(re.escape(text))
+            out.append({"[": "(", "]": ")?"}.get(text) or re.escape(text))
     return "".join(out) + (OPTIONAL_SHAPE if has_seconds(fmt) else "")
 
 

@@ -30,6 +30,7 @@ FINDING_CODES = {
     "TRUNCATION": (WARNING, False, 2),
     "KEY_NOTE": (INFO, False, 0),
     "UNSUPPORTED_TYPE": (ERROR, True, 1),
+    "DATE_AMBIGUOUS": (WARNING, False, 1),
     "BAD_RECORDS": (ERROR, True, 1),
     "EXTRA_EMPTY_RECORDS": (ERROR, True, 2),
     "MISSING_EMPTY_RECORDS": (ERROR, True, 2),

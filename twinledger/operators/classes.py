@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from twinledger.functions import values as V
 from twinledger.model import ValueClass
+from twinledger.operators import layouts
 from twinledger.operators.clean import COPIES, is_empty_row
 
 
@@ -26,6 +27,8 @@ class ColumnFacts:
     whole: int = 0  # the most digits before and behind the point of the others
     fraction: int = 0
     not_date: dict = field(default_factory=dict)  # layout -> values it does not fit
+    derived: str | None = None  # a layout outside the list that fits all values
+    ambiguous: bool = False  # dates in which day and month cannot be told apart
 
 
 @dataclass
@@ -48,6 +51,7 @@ def _column_aggregates(name: str, dtype: T.DataType, formats):
         out["whole"] = f"coalesce(max(case when {plain} then {V.whole_digits(c)} end), 0)"
         out["fraction"] = f"coalesce(max(case when {plain} then {V.fraction_digits(c)} end), 0)"
         out["not_date"] = f"count_if(not ({V.fits_some_layout(c, formats)}))"
+        out["not_like"] = f"count_if(not ({layouts.is_date_like(c)}))"
     elif V.is_numeric_type(dtype):
         out["not_boolean"] = f"count_if(not ({V.is_boolean_literal(c, dtype)}))"
     return out
@@ -105,7 +109,8 @@ def collect_facts(src: DataFrame, tgt: DataFrame, columns, formats=V.DATE_FORMAT
     """Facts of both sides: two aggregate scans in one job, two rows back.
 
     A text column in which every value has the shape of some date layout gets
-    a second pass, over those columns alone, that tells the layouts apart.
+    a second pass, over those columns alone, that tells the layouts apart; one
+    whose values look like dates of another layout has that derived from their shapes.
     """
     sides = (src, tgt)
     one, two = (class_statistics(df, columns, formats).withColumn("side", F.lit(k)) for k, df in enumerate(sides))
@@ -121,6 +126,16 @@ def collect_facts(src: DataFrame, tgt: DataFrame, columns, formats=V.DATE_FORMAT
             row = date_statistics(df, dates, formats).first()
             for i, c in enumerate(dates):
                 facts[k].columns[c].not_date = {fmt: row[f"{i}_{j}"] for j, fmt in enumerate(formats)}
+        like = [
+            c for i, c in enumerate(columns)
+            if isinstance(types[c], V.TEXTUAL) and facts[k].columns[c].values and facts[k].columns[c].not_number
+            and rows[k][f"{i}_not_like"] == 0 and 0 not in facts[k].columns[c].not_date.values()
+        ]
+        if like:
+            shapes = layouts.shape_counts(df, like).collect()
+            for i, c in enumerate(like):
+                own = [(r["shape"], r["first"], r["second"]) for r in shapes if r["place"] == i]
+                facts[k].columns[c].derived, facts[k].columns[c].ambiguous = layouts.derive(own)
     return facts
 
 
@@ -132,6 +147,8 @@ def _date_format(facts: ColumnFacts, dtype: T.DataType, formats):
         for fmt in formats:
             if facts.not_date.get(fmt) == 0:
                 return True, fmt
+        if facts.derived:
+            return True, facts.derived
     return False, None
 
 

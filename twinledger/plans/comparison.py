@@ -129,6 +129,8 @@ class Comparison:
         if t.empty_rows < s.empty_rows:
             out.append(finding(DATA_CHECK, "MISSING_EMPTY_RECORDS", count=s.empty_rows - t.empty_rows))
         for i, c in enumerate(self.columns):
+            if s.columns[c].ambiguous or t.columns[c].ambiguous:
+                out.append(finding(DATA_CHECK, "DATE_AMBIGUOUS", self.source_names[c], self.target_names[c], column_order=i))
             if c not in self.key and s.columns[c].values and not t.columns[c].values:
                 out.append(finding(DATA_CHECK, "NULL_POPULATED", self.source_names[c], self.target_names[c],
                                    column_order=i))

@@ -37,6 +37,7 @@ from twinledger.plans.comparison import Comparison, by_code
 from twinledger.plans.pairing import align, pair_columns, split_names, split_supported
 from twinledger.plans.report import findings_frame, report
 from twinledger.session import Staged, scratch_path
+from twinledger.sinks.ledger import Ledger
 from twinledger.sources import jdbc, metadata
 from twinledger.sources.files import MALFORMED, FileRef, bad_records, file_format, read_file
 from twinledger.sources.jdbc import JdbcRef
@@ -317,7 +318,8 @@ def pair_spec(row: dict, config: RunConfig) -> PairSpec:
 
 def run_manifest(spark: SparkSession, manifest: DataFrame, config: RunConfig | None = None,
                  mapping: DataFrame | None = None, execution_time: datetime | None = None,
-                 on_report: Callable[[DataFrame], None] | None = None) -> DataFrame:
+                 on_report: Callable[[DataFrame], None] | None = None, ledger: Ledger | None = None,
+                 on_commit: Callable[[DataFrame, str], None] | None = None) -> DataFrame:
     """Validate every pair of the manifest and return the combined report.
 
     A few pairs are in work at once: the small jobs of one fill the gaps of
@@ -325,12 +327,17 @@ def run_manifest(spark: SparkSession, manifest: DataFrame, config: RunConfig | N
     The rows of a pair are written when the pair ends, whatever becomes of the
     others; ``on_report`` then gets them, one pair at a time. Any failure of a pair
     becomes its row.
+
+    With a ``ledger`` a pair is committed when its rows are written as a whole, and a
+    rerun of that run takes the committed pairs from there. ``on_commit`` gets the rows of
+    a pair with a name of their own; it is called again in a rerun only if it did not come back before.
     """
     config = config or RunConfig()
     rows = read_manifest(manifest)
     if not rows:
         raise DatasetError("BAD_MANIFEST", "manifest has no pairs")
-    folder, turn = scratch_path(spark, "reports"), Lock()
+    held = ledger or Ledger(spark, scratch_path(spark, "reports"), "run")
+    names, turn = [held.name(nr, row) for nr, row in enumerate(rows)], Lock()
 
     def validate(row) -> PairResult:
         labels = tuple(row[f"{side}Table"] or row[f"{side}FilePath"] or "" for side in ("Source", "Target"))
@@ -345,16 +352,23 @@ def run_manifest(spark: SparkSession, manifest: DataFrame, config: RunConfig | N
             return _failed(spark, f"JOB_FAILED: {reason}", labels, execution_time)
 
     def finish(nr: int) -> None:
-        result = validate(rows[nr])
-        try:
-            path = f"{folder}/pair={nr}"
-            result.report.coalesce(1).withColumn("place", F.monotonically_increasing_id()).write.parquet(path)
+        name = names[nr]
+        if not held.committed(name):
+            result = validate(rows[nr])
+            try:
+                held.commit(name, result.report.coalesce(1).withColumn("place", F.monotonically_increasing_id()))
+            finally:
+                result.release()
             if on_report:
                 with turn:
-                    on_report(spark.read.parquet(path).orderBy("place").select(*REPORT_COLUMNS))
-        finally:
-            result.release()
+                    on_report(held.rows(name).orderBy("place").select(*REPORT_COLUMNS))
+        if on_commit and not held.handed_over(name):
+            with turn:
+                on_commit(held.rows(name).orderBy("place").select(*REPORT_COLUMNS), f"{held.run}-{name}")
+                held.hand_over(name)
 
     with ThreadPoolExecutor(max(1, config.concurrent_pairs)) as pool:
         list(pool.map(finish, range(len(rows))))
-    return spark.read.parquet(folder).orderBy("pair", "place").select(*REPORT_COLUMNS)
+    paths = [held.folder.at(name) for name in names]
+    nr = F.regexp_extract(F.col("_metadata.file_path"), r"/pair-(\d+)-[0-9a-f]{16}/[^/]*$", 1)
+    return spark.read.parquet(*paths).withColumn("pair", nr).orderBy("pair", "place").select(*REPORT_COLUMNS)

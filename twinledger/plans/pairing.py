@@ -58,12 +58,17 @@ def require_columns(side: str, wanted, header) -> None:
 
 def align(src: DataFrame, tgt: DataFrame, pairs, names=None):
     """Both sides projected to the compared columns under common names, those
-    of the source unless others are given."""
+    of the source unless others are given.  Maps become their sorted entries, so
+    that they group, join and compare like any nested value."""
     names = names or [p.source for p in pairs]
-    return (
-        src.select(*[F.col(V.quoted(p.source)).alias(n) for p, n in zip(pairs, names)]),
-        tgt.select(*[F.col(V.quoted(p.target)).alias(n) for p, n in zip(pairs, names)]),
-    )
+
+    def projected(df: DataFrame, own) -> DataFrame:
+        types = {f.name: f.dataType for f in df.schema.fields}
+        # a name of another case may be meant: only the column itself tells its type then
+        typed = [(c, types[c] if c in types else df.select(F.col(V.quoted(c))).schema[0].dataType) for c in own]
+        return df.selectExpr(*[f"{V.without_maps(V.quoted(c), t)} as {V.quoted(n)}" for (c, t), n in zip(typed, names)])
+
+    return projected(src, [p.source for p in pairs]), projected(tgt, [p.target for p in pairs])
 
 
 def split_supported(src: DataFrame, tgt: DataFrame):

@@ -13,7 +13,7 @@ from twinledger.plans.comparison import by_code
 
 # Codes that share one report row for all their columns.
 ONE_ROW_CODES = ("TYPE_UNMAPPED", "TYPE_MISMATCH", "TRUNCATION", "NULL_POPULATED", "MISMATCH_COUNT",
-                 "UNSUPPORTED_TYPE")
+                 "UNSUPPORTED_TYPE", "DATE_AMBIGUOUS")
 HIDDEN_CODES = ("KEY_NOTE",)
 
 
@@ -51,6 +51,7 @@ REASONS = {
     "TYPE_MISMATCH": "datatype mismatch in {}",
     "TRUNCATION": "warning: values may be truncated in {}",
     "UNSUPPORTED_TYPE": "columns of an unsupported type: {}",
+    "DATE_AMBIGUOUS": "warning: day and month cannot be told apart in {}",
     "BAD_RECORDS": "broken records set aside: {}",
     "EXTRA_EMPTY_RECORDS": "{} extra empty records in target",
     "MISSING_EMPTY_RECORDS": "{} empty records missing in target",

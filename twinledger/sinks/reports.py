@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from twinledger.model import DatasetError, RunConfig
+from twinledger.sinks.ledger import append_once
+
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
 def append_csv(rows: DataFrame, path: str) -> None:
     """A folder of CSV parts, each with a header, quoted where needed."""
-    rows.write.mode("append").options(header=True, quote='"', escape='"', encoding="UTF-8").csv(path)
+    rows.write.mode("append").options(**CSV_OPTIONS).csv(path)
 
 
 def append_parquet(rows: DataFrame, path: str) -> None:
@@ -26,9 +29,17 @@ def append_jdbc(rows: DataFrame, connection, database: str, table: str) -> None:
     rows.write.format("jdbc").mode("append").options(**connection.jdbc_options(database)).option("dbtable", table).save()
 
 
-def write_report(rows: DataFrame, config: RunConfig) -> None:
-    """Append to the output that the configuration names."""
+def write_report(rows: DataFrame, config: RunConfig, once: str | None = None) -> None:
+    """Append to the output that the configuration names.
+
+    With a name in ``once`` a folder of files takes the rows under that name only once, however often
+    they are written. A table or a database cannot tell: there a run that ends between
+    the append and its mark in the ledger appends the rows of that one pair again.
+    """
     kind = config.output_type
+    if once and kind in ("CSV", "PARQUET") and config.output_path:
+        append_once(rows, config.output_path, once, kind, CSV_OPTIONS if kind == "CSV" else {})
+        return
     if kind == "CSV" and config.output_path:
         append_csv(rows, config.output_path)
     elif kind == "PARQUET" and config.output_path:
