@@ -74,11 +74,23 @@ def test_near_pairs_equal_brute_force(spark):
             parts[j * 3] = prose(6, 1000 + k * 10 + j)
         texts[k] = " the ".join(parts)
     texts += [texts[0], "no anchors here", ""]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    sigs = [slow_sigs(t) for t in texts]
-    first = [min(j for j in range(len(texts)) if sigs[j] == s) for s in sigs]
-    want = {(a, b): jaccard(sigs[a], sigs[b]) for a in set(first) for b in set(first) if a < b and sigs[a] and jaccard(sigs[a], sigs[b]) >= 0.8}
-    assert {(r.a, r.b): r.likeness for r in spotsigs.near_pairs(docs).collect()} == want and want
+    texts += [texts[1], "", None]
+    ids = [*range(len(texts) - 2), None, None]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    sigs = [slow_sigs(t or "") for t in texts]
+    names = [hashlib.md5("".join(s).encode()).hexdigest() for s in sigs]
+    sets = dict(zip(names, sigs))
+    want = {(a, b): jaccard(sets[a], sets[b]) for a in sets for b in sets if a < b and sets[a] and sets[b] and jaccard(sets[a], sets[b]) >= 0.8}
+    members, pairs = spotsigs.near_classes(docs)
+    assert {(r.a, r.b): r.likeness for r in pairs.collect()} == want and want
+    assert sorted(map(repr, map(tuple, members.collect()))) == sorted(map(repr, zip(ids, names)))
+
+
+def test_near_classes_of_hard_and_of_no_rows(hard, hard_rows, none):
+    members, pairs = spotsigs.near_classes(hard)
+    assert members.count() == len(hard_rows) and all(r.likeness >= 0.8 for r in pairs.collect())
+    members, pairs = spotsigs.near_classes(none)
+    assert members.collect() == [] and pairs.collect() == []
 
 
 def test_no_python_in_the_plan(hard):

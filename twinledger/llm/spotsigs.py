@@ -137,21 +137,36 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     )
 
 
-def near_pairs(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pairs (a, b, likeness) with a < b of fingerprints at least ``threshold`` alike; equal fingerprints count as one, named by its smallest id.
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, class, sigs): one row for each input row; equal fingerprints share a class, named by the MD5 of the joined spots.
 
-    Only the rarest ``n - ceil(threshold * n) + 1`` spots of a set are looked up: sets as like as that share one
-    of them. They meet within a length partition and with the one below.
+    Null ids, repeated rows and texts without a word, whose class is that of the empty fingerprint, have theirs like any other.
     """
-    sets = docs.select(F.col(id_col).cast("long").alias("doc_id"), signatures(text_of(text_col)).alias("sigs")).filter("doc_id IS NOT NULL AND size(sigs) > 0")
-    sets = staged(sets.groupBy("sigs").agg(F.min("doc_id").alias("doc_id")), "spots")
-    spots = sets.select("doc_id", F.size("sigs").alias("n"), F.explode("sigs").alias("spot"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), signatures(text_of(text_col)).alias("sigs"))
+    return rows.withColumn("class", F.md5(F.array_join("sigs", "").cast("binary"))).select("doc_id", "class", "sigs")
+
+
+def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(members, pairs): (doc_id, class) of every input row, and (a, b, likeness) with a < b of classes at least ``threshold`` alike.
+
+    Together they hold every link between rows: those within a class and, for each pair, those of
+    all rows of one class with all of the other. Copies are compared once, as a class. Only the rarest
+    ``n - ceil(threshold * n) + 1`` spots of a set are looked up: sets as like as that share one
+    of them. They meet within a length partition and with the one below. The empty fingerprint is like no other.
+    """
+    own = staged(classes(docs, id_col, text_col), "spots")
+    sets = own.filter("size(sigs) > 0").groupBy("class").agg(F.any_value("sigs").alias("sigs"))  # alike in all rows of a class
+    sets = staged(sets, "spot-sets")
+    spots = sets.select("class", F.size("sigs").alias("n"), F.explode("sigs").alias("spot"))
     often = spots.groupBy("spot").agg(F.count("*").alias("df"))
-    ranked = spots.join(often, "spot").groupBy("doc_id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "spot"))).alias("rare"))
+    ranked = spots.join(often, "spot").groupBy("class", "n").agg(F.sort_array(F.collect_list(F.struct("df", "spot"))).alias("rare"))
     kept = F.slice("rare", 1, (F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).cast("int"))
-    lists = staged(ranked.withColumn("part", F.floor(F.log(F.col("n").cast("double")) / -math.log(threshold) + 1e-9).cast("int")).select("doc_id", "n", "part", F.explode(kept).alias("r")).select("doc_id", "n", "part", "r.spot"), "spot-lists")
-    right = lists.select("spot", F.col("doc_id").alias("b_id"), F.col("n").alias("b_n"), F.explode(F.array("part", F.col("part") - 1)).alias("part"))
-    met = lists.join(right, ["spot", "part"]).filter((F.col("doc_id") != F.col("b_id")) & (F.col("n") <= F.col("b_n")) & (F.col("n") >= F.col("b_n") * threshold - 1e-9))
-    pairs = met.select(F.least("doc_id", "b_id").alias("a"), F.greatest("doc_id", "b_id").alias("b")).distinct()
-    full = pairs.join(sets.toDF("a_sigs", "a"), "a").join(sets.toDF("b_sigs", "b"), "b")
-    return full.select("a", "b", pruned_jaccard(F.col("a_sigs"), F.col("b_sigs"), threshold).alias("likeness")).filter(F.col("likeness") >= threshold)
+    part = length_partition(F.col("rare"), threshold).alias("part")
+    lists = staged(ranked.select("class", "n", part, F.explode(kept).alias("r")).select("class", "n", "part", "r.spot"), "spot-lists")
+    right = lists.select("spot", F.col("class").alias("b_class"), F.col("n").alias("b_n"), F.explode(F.array("part", F.col("part") - 1)).alias("part"))
+    fits = (F.col("n") <= F.col("b_n")) & (F.col("n") >= F.col("b_n") * threshold - 1e-9) & (F.col("class") != F.col("b_class"))
+    met = lists.join(right, ["spot", "part"]).filter(fits)
+    pairs = met.select(F.least("class", "b_class").alias("a"), F.greatest("class", "b_class").alias("b")).distinct()
+    full = pairs.join(sets.select(F.col("class").alias("a"), F.col("sigs").alias("a_sigs")), "a").join(sets.select(F.col("class").alias("b"), F.col("sigs").alias("b_sigs")), "b")
+    likeness = pruned_jaccard(F.col("a_sigs"), F.col("b_sigs"), threshold)
+    return own.select("doc_id", "class"), full.select("a", "b", likeness.alias("likeness")).filter(F.col("likeness") >= threshold)
