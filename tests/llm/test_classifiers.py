@@ -52,7 +52,7 @@ def test_without_labels_nothing_is_known(hard, none, spark, module, score, label
 
 
 def test_sample_is_bounded_and_not_held_out(medium):
-    rows = learn.label_sample(medium[1], "quality", 50).collect()
+    rows = learn.label_sample(*medium, "quality", 50).collect()
     assert len(rows) == 50 and all(zlib.crc32(str(r.doc_id).encode()) % 4 != 2 for r in rows)
 
 
@@ -77,3 +77,11 @@ def test_kept_documents_have_all_columns(medium):
     kept = quality.keep_good(docs, labels)
     want = {r.doc_id for r in quality.score_quality(docs, labels).filter("predicted = 1").collect()}
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == want
+
+
+def test_labels_of_other_documents_take_no_place_in_the_sample(spark):
+    docs = spark.createDataFrame([(i, "t") for i in range(900, 940)] + [(None, "t")], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(2000)] + [(None, 1)], "doc_id long, quality int")
+    got = learn.label_sample(docs, marks, "quality", 50).collect()
+    assert {r.doc_id for r in got} <= set(range(900, 940)) and 20 < len(got) <= 40
+    assert len(learn.label_sample(docs, marks, "quality", 5).collect()) == 5 and learn.label_sample(docs.limit(0), marks, "quality", 5).collect() == []

@@ -160,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, label_col: str
             x = pa.array([features(t.as_py()) for t in b.column(2)], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), x], schema=schema)
 
-    rows = labelled(docs, label_sample(labels, label_col, most, id_col), id_col, text_col).mapInArrow(run, "doc_id long, label int, x array<double>")
+    rows = labelled(docs, label_sample(docs, labels, label_col, most, id_col), id_col, text_col).mapInArrow(run, "doc_id long, label int, x array<double>")
     got = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "label", "x").limit(most).collect()
     return fit(np.array([r.x for r in got]).reshape(len(got), len(FEATURES)), np.array([r.label for r in got], np.float64))
 

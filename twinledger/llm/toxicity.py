@@ -122,7 +122,7 @@ def fit(col: np.ndarray, ends: np.ndarray, y: np.ndarray, r: np.ndarray) -> tupl
 
 def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, features: int = FEATURES, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> dict:
     """The model from at most ``most`` labelled rows that are not held out; features of these rows reach the driver."""
-    rows = staged(labelled(docs, label_sample(labels, label_col, most, id_col), id_col, text_col), "labelled")
+    rows = staged(labelled(docs, label_sample(docs, labels, label_col, most, id_col), id_col, text_col), "labelled")
     telling, r = ratios(rows, features)
     index = np.full(1 << BUCKET_BITS, -1, np.int32)
     index[telling] = np.arange(len(telling))
