@@ -72,6 +72,18 @@ def test_buckets_do_not_depend_on_blocks(monkeypatch):
     assert (np.unique(np.concatenate(list(toxicity.buckets(text)))) == whole).all()
 
 
+def test_ngrams_are_of_characters_of_any_script():
+    def held(text):
+        return set(np.concatenate(list(toxicity.buckets(text))).tolist())
+
+    text = "Grüße, Идиот 😀 trash"
+    padded = f" {text.lower()} "
+    grams = {padded[i: i + n] for n in toxicity.GRAMS for i in range(len(padded) - n + 1)}
+    assert len(held(text)) == len(grams)
+    assert held("ÄRGER ИДИОТ") == held("ärger идиот") and held("a\tb c d") == held("a b c d")
+    assert held("x" + text) & held(text) and not held("яяяяяя") & held("zzzzzz")
+
+
 def test_kept_documents_have_all_columns(medium):
     docs, labels = medium
     kept = quality.keep_good(docs, labels)

@@ -1,6 +1,6 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-An n-gram of the lower-cased UTF-8 bytes is hashed to one of 2**20 buckets.
+An n-gram of the characters (code points) of the lower-cased text is hashed to one of 2**20 buckets.
 Document frequencies of the buckets in toxic and other documents give the
 log-count ratio r of each; the most telling buckets become features, present
 ones with value r. A logistic regression on them is the classifier, so a
@@ -32,14 +32,16 @@ STEPS = 150
 ENTRIES = 1 << 20
 BLOCK = 1 << 20
 
-_GAPS = bytes.maketrans(b"\t\n\r\x0b\x0c", b"     ")
-
 
 def buckets(text: str) -> Iterator[np.ndarray]:
-    """The buckets of all n-grams of a text between two spaces, in blocks that overlap by the longest n-gram."""
-    data = np.frombuffer(b" " + text.encode("utf-8", "surrogatepass").lower().translate(_GAPS) + b" ", np.uint8)
-    for at in range(0, len(data), BLOCK):
-        part = data[at: at + BLOCK + GRAMS[-1] - 1].astype(np.uint32)
+    """The buckets of all n-grams of a text between two spaces, in blocks that overlap by the longest n-gram.
+
+    Upper and lower case are one in every script; control white space counts as a space.
+    """
+    lowered = f" {text.lower()} "
+    for at in range(0, len(lowered), BLOCK):
+        part = np.frombuffer(lowered[at: at + BLOCK + GRAMS[-1] - 1].encode("utf-32-le", "surrogatepass"), "<u4")
+        part = np.where((part >= 9) & (part <= 13), np.uint32(32), part)
         h = np.zeros(len(part), np.uint32)
         for n in range(1, GRAMS[-1] + 1):
             if n > len(part):
