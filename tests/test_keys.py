@@ -6,7 +6,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from twinledger.operators import clean, keys
+from pyspark.sql import functions as F
+
+from twinledger.operators import clean, keys, removal
 from twinledger.plans import covers
 from twinledger.plans.covers import open_candidates, to_mask
 
@@ -142,3 +144,57 @@ def test_a_small_sample_finds_the_same_key(spark):
     rows = [(i // 50, i % 50, rng.randrange(3), rng.randrange(4)) for i in range(4000)]
     df = spark.createDataFrame(rows, "a int, b int, c int, d int").repartition(5)
     assert keys.find_key(df, sample_rows=20).columns == keys.find_key(df).columns == ("a", "b")
+
+
+def from_above(monkeypatch, steps=0, most=50_000):
+    """Turn to the removal search after so many steps, and say what it answered."""
+    answers = []
+    monkeypatch.setattr(keys, "STEPS", steps)
+    monkeypatch.setattr(keys, "key_by_removal", lambda *a: answers.append(removal.key_by_removal(*a, most=most)) or answers[-1])
+    return answers
+
+
+@pytest.mark.parametrize("seed,n,width", [(1, 40, 14), (2, 150, 14), (3, 300, 12), (4, 3, 5)])
+def test_key_by_removal_equals_brute_force(spark, monkeypatch, seed, n, width):
+    answers = from_above(monkeypatch)
+    rng = random.Random(seed)
+    rows = list({tuple(rng.randrange(2) if i % 5 else rng.choice("ab") for i in range(width)) for _ in range(n)})
+    df = spark.createDataFrame(rows, ", ".join(f"`c.{i}` {'int' if i % 5 else 'string'}" for i in range(width))).repartition(3)
+    got = keys.find_key(df)
+    assert got.columns == tuple(f"c.{i}" for i in brute_key(rows, width))
+    assert len(answers) == 1 and answers[0] == to_mask(brute_key(rows, width))
+
+
+def test_removal_with_too_many_candidates_goes_on_from_below(spark, monkeypatch):
+    answers = from_above(monkeypatch, most=10)
+    rows = [tuple(int(b) for b in f"{i:06b}") + (i % 7,) for i in range(64)]
+    df = spark.createDataFrame(rows, ", ".join(f"c{i} int" for i in range(7)))
+    assert keys.find_key(df).columns == tuple(f"c{i}" for i in brute_key(rows, 7)) and answers == [None]
+
+
+def test_colliding_hashes_refute_nothing(spark, monkeypatch):
+    """All columns hash alike: every candidate is then decided by its values."""
+    from_above(monkeypatch)
+    rows = list({tuple(random.Random(i).randrange(2) for _ in range(1)) + (i % 3, i % 2, i // 6) for i in range(24)})
+    df = spark.createDataFrame(rows, "a int, b int, c int, d int")
+    real = removal.repeated_without
+    monkeypatch.setattr(removal, "repeated_without", lambda codes, full, c: real(
+        codes.withColumn("codes", F.transform("codes", lambda x: F.lit(0).cast("long"))), full, c))
+    assert keys.find_key(df).columns == tuple("abcd"[i] for i in brute_key(rows, 4))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(1, 9), st.sets(st.integers(1, 511), max_size=40))
+def test_grown_sets_have_free_parts_only(n, free):
+    free = {f for f in free if f.bit_count() == 2 and f < 1 << n}
+    want = {to_mask(c) for c in combinations(range(n), 3) if all(to_mask(c) & ~(1 << p) in free for p in c)}
+    got = removal.grown(sorted(free), range(n))
+    assert set(got) == want and len(got) == len(want)
+
+
+def test_unions_hold_each_candidate_once():
+    cands = [to_mask(c) for c in combinations(range(3, 30), 3)]
+    blocks, touched = removal.unions(cands)
+    assert sorted(c for held in touched.values() for c in held) == sorted(cands) and len(touched) < len(cands)
+    assert sorted(p for b in blocks for p in b) == list(range(3, 30))
+    assert all(c & ~to_mask(p for b in held for p in blocks[b]) == 0 for held, own in touched.items() for c in own)

@@ -32,7 +32,7 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 
 def drop_empty_rows(df: DataFrame) -> DataFrame:
     """Rows with a value in at least one column."""
-    return df.dropna(how="all")
+    return df.dropna(how="all", subset=[V.quoted(c) for c in df.columns])
 
 
 def clean(df: DataFrame) -> DataFrame:
@@ -48,12 +48,12 @@ def count_copies(df: DataFrame) -> DataFrame:
     """
     df = with_missing_as_null(df)
     grouped = df.groupBy(*[F.col(V.quoted(c)) for c in df.columns]).agg(F.count(F.lit(1)).alias(COPIES))
-    return grouped.withColumn(DIGEST, F.xxhash64(*df.columns))
+    return grouped.withColumn(DIGEST, F.xxhash64(*[V.quoted(c) for c in df.columns]))
 
 
 def with_row_digest(df: DataFrame) -> DataFrame:
     df = with_missing_as_null(df)
-    return df.withColumn(DIGEST, F.xxhash64(*df.columns))
+    return df.withColumn(DIGEST, F.xxhash64(*[V.quoted(c) for c in df.columns]))
 
 
 def repeated_digests(rows: DataFrame) -> DataFrame:

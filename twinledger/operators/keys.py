@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from twinledger.functions import values as V
 from twinledger.operators.clean import COPIES, DIGEST, clean
-from twinledger.plans.covers import minimal, open_candidates, to_mask
+from twinledger.operators.removal import agreement, has_repeats, key_by_removal, mask_of
+from twinledger.plans.covers import Exhausted, minimal, open_candidates, to_mask
 from twinledger.session import Staged
 
 
@@ -29,6 +30,9 @@ COMPARED_ROWS = 512
 TESTED_TOGETHER = 16
 # agreements of compared rows that are kept, those with most columns first
 LARGEST = 4096
+# short keys are enumerated in so many rounds, of so many steps each, before long ones are sought by removal
+ROUNDS = 40
+STEPS = 5_000
 OUTSIDE = "declared key is outside the compared columns"
 
 
@@ -80,17 +84,6 @@ def declared_key_check(df: DataFrame, key, distinct: bool = False) -> DataFrame:
     )
 
 
-def _has_repeats(df: DataFrame, key) -> bool:
-    repeated = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return not repeated.isEmpty()
-
-
-def _agreement(names, left: str, right: str):
-    """Bit mask of the columns that two rows share, as text of 0 and 1."""
-    bits = [f"if(coalesce({left}.{V.quoted(c)} = {right}.{V.quoted(c)}, false), '1', '0')" for c in names]
-    return f"concat({', '.join(bits)})"
-
-
 def _evidence(rows: DataFrame, names, candidates):
     """Agreements of row pairs that repeat a candidate, and the candidates
     that no group repeats.
@@ -131,15 +124,20 @@ def _evidence(rows: DataFrame, names, candidates):
     right = hit.select(F.col(DIGEST).alias("hi"), F.col("r").alias("b"))
     masks = (
         pair_rows.join(left, "lo").join(right, "hi")
-        .selectExpr(_agreement(names, "a", "b") + " as mask").distinct().collect()
+        .selectExpr(agreement(names, "a", "b") + " as mask").distinct().collect()
     )
-    return {to_mask(i for i, bit in enumerate(m["mask"]) if bit == "1") for m in masks}, free
+    return {mask_of(m["mask"]) for m in masks}, free
 
 
 def _names_in(mask: int, names):
     return [n for j, n in enumerate(names) if mask >> j & 1]
 
 
+def _filled(rows: DataFrame, cols) -> DataFrame:
+    """The given columns of the rows that have a value in all of them."""
+    return rows.select(*[V.quoted(c) for c in cols]).where(" and ".join(f"{V.quoted(c)} is not null" for c in cols))
+
+
 def _covered(mask: int, agreements) -> bool:
     return any(mask & a == mask for a in agreements)
 
@@ -154,7 +152,7 @@ def _settle(rows: DataFrame, names, candidates, agreements: set) -> set:
         if m in unique or _covered(m, agreements):
             continue
         cols = _names_in(m, names)  # only hash collisions were seen: group by the values
-        if _has_repeats(rows.select(*cols).dropna(how="any"), cols):
+        if has_repeats(_filled(rows, cols), [V.quoted(c) for c in cols]):
             agreements.add(m)
         else:
             unique.add(m)
@@ -184,11 +182,29 @@ def _compared(sample: DataFrame, names) -> set:
 
 def _search(rows, sample, names, allowed, agreements, batch, require_rows):
     """First key among the allowed columns, or None.  ``sample`` is ``rows``
-    itself when that is small."""
+    itself when that is small.
+
+    Short keys are enumerated from below.  Where that takes too long, columns without
+    nulls are searched from above; if that has too many candidates, on from below.
+    """
+    steps, rounds = None if require_rows else STEPS, 0
     excluded, passed = [], set()  # passed: the sample repeats nothing inside these
     proven, together = set(), 1  # proven on all rows; tested in one pass, more after each that fails
     for size in range(1, len(allowed) + 1):
-        while todo := open_candidates(allowed, agreements, size, batch, excluded):
+        while True:
+            rounds += 1
+            try:
+                if steps is not None and rounds > ROUNDS:
+                    raise Exhausted
+                todo = open_candidates(allowed, agreements, size, batch, excluded, steps)
+            except Exhausted:
+                steps = None
+                found = key_by_removal(rows, names, allowed, agreements)
+                if found is not None:
+                    return tuple(_names_in(found, names))
+                continue
+            if not todo:
+                break
             fresh = [m for m in todo if m not in passed]
             if fresh:
                 passed |= _settle(sample, names, fresh, agreements)
@@ -201,7 +217,7 @@ def _search(rows, sample, names, allowed, agreements, batch, require_rows):
                 if first not in proven:
                     continue
             cols = _names_in(first, names)
-            if require_rows and rows.select(*cols).dropna(how="any").isEmpty():
+            if require_rows and _filled(rows, cols).isEmpty():
                 excluded.append(first)
                 continue
             return tuple(cols)
@@ -259,6 +275,7 @@ def discover_key(rows: DataFrame, columns, non_null=None, total=None,
 def with_digest(distinct: DataFrame) -> DataFrame:
     """Distinct rows as ``discover_key`` takes them."""
     keep = [c for c in distinct.columns if c not in (COPIES, DIGEST)]
+    keep = [V.quoted(c) for c in keep]
     return distinct.select(*keep, F.xxhash64(*keep).alias(DIGEST))
 
 

@@ -15,6 +15,14 @@ def to_mask(positions) -> int:
     return sum(1 << p for p in positions)
 
 
+def positions(mask: int) -> list:
+    return [p for p in range(mask.bit_length()) if mask >> p & 1]
+
+
+class Exhausted(Exception):
+    """A search took more steps than it was given."""
+
+
 def minimal(sets) -> list:
     """The sets (bit masks) that hold no other one, smallest first."""
     out = []
@@ -30,7 +38,8 @@ class Cover:
     ``hits[i]`` are the needed sets, as bits, that the i-th allowed column hits.
     """
 
-    def __init__(self, allowed, needed):
+    def __init__(self, allowed, needed, steps=None):
+        self.steps = steps  # None: as many as it takes
         self.allowed, self.needed = list(allowed), minimal(needed)
         self.possible = 0 not in self.needed
         self.all = (1 << len(self.needed)) - 1
@@ -46,6 +55,10 @@ class Cover:
         """
         if not open_sets:
             return True
+        if self.steps is not None:
+            if not self.steps:
+                raise Exhausted
+            self.steps -= 1
         if left <= 0 or (start, left, open_sets) in self.dead:
             return False
         gains = sorted(((h & open_sets).bit_count() for h in self.hits[start:]), reverse=True)
@@ -84,13 +97,13 @@ class Cover:
             yield from extend(0, 0, size, self.all)
 
 
-def open_candidates(allowed, agreements, size: int, limit: int, excluded=()):
+def open_candidates(allowed, agreements, size: int, limit: int, excluded=(), steps=None):
     """Up to ``limit`` sets of ``size`` positions, in list order, that lie in
-    no agreement and contain no excluded set."""
+    no agreement and contain no excluded set.  Raises ``Exhausted`` beyond ``steps`` steps."""
     allowed = list(allowed)
     full = to_mask(allowed)
     found = []
-    for chosen in Cover(allowed, (full & ~a for a in agreements)).sets(size):
+    for chosen in Cover(allowed, (full & ~a for a in agreements), steps).sets(size):
         if not any(chosen & e == e for e in excluded):
             found.append(chosen)
             if len(found) == limit:
