@@ -163,6 +163,15 @@ LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quant
                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 ORACLES["discover_key"] = first_key("select * from orders", [c.strip() for c in ORDER_COLUMNS.split(",")], 2)
 ORACLES["discover_composite_key"] = first_key("select * from lineitem", LINE_COLUMNS, 2)
+FLAGS = [f"f{i}" for i in range(12)]
+ORACLES["discover_flag_key"] = f"""
+with d as (select distinct * from ({sql('lineitem_flags')})),
+b as (select {' + '.join(f'{2 ** (11 - i)} * {c}' for i, c in enumerate(FLAGS))} as v from d),
+m as (select unnest(range(1, 4096))::integer as m),
+u as (select m from b, m group by m having count(distinct v & m) = count(*)),
+k as (select m from u order by bit_count(m), m desc limit 1)
+select concat_ws(',', {', '.join(f"case when m & {2 ** (11 - i)} > 0 then '{c}' end" for i, c in enumerate(FLAGS))}) as key_columns,
+       'discovered' as origin, (select count(*) from d) as row_count from k"""
 ORACLES["discover_nullable_key"] = first_key(sql("customer_null_key"), ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"], 3)
 ORACLES["discover_text_key"] = first_key("select * from conversations", ["conv_id", "turn", "role", "text"], 4)
 

@@ -188,9 +188,9 @@ def duplicates_both_sides(spark, sf):
 # -- keys ----------------------------------------------------------------------
 
 
-def discovered(spark, df):
+def discovered(spark, df, **how):
     """The key beside the number of distinct rows it was proven on."""
-    key = keys.find_key(df)
+    key = keys.find_key(df, **how)
     return spark.createDataFrame([(",".join(key.columns), key.origin, key.rows)],
                                  "key_columns string, origin string, row_count bigint")
 
@@ -226,6 +226,12 @@ def discover_composite_key(spark, sf):
     return discovered(spark, read(spark, sf, "lineitem"))
 
 
+@query
+def discover_flag_key(spark, sf):
+    """Key among twelve flags of all lines, sought from the columns that can be left out."""
+    return discovered(spark, side(spark, sf, "lineitem_flags"), rounds=0)
+
+
 @query
 def discover_nullable_key(spark, sf):
     return discovered(spark, side(spark, sf, "customer_null_key"))

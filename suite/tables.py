@@ -12,6 +12,13 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+# conditions on lines, some of which follow from others
+LINE_FLAGS = [
+    "l_linestatus = 'O'", "l_linenumber between 2 and 3", "l_returnflag = 'R'", "(l_quantity > 25) <> (l_discount > 0.05)",
+    "l_quantity > 25", "l_quantity > 10", "l_discount > 0.05", "l_tax > 0.04", "l_extendedprice > 30000", "l_linenumber > 3",
+    "l_linenumber > 1", "l_partkey % 2 = 0",
+]
+
 SIDES = {
     "orders": "select * from {orders}",
     "orders_changed": """
@@ -52,6 +59,9 @@ SIDES = {
                cast(null as double) a,
                case when c_custkey % 59 = 4 then null else c_nationkey end nk,
                case when c_custkey % 59 = 4 then null else c_mktsegment end m from {customer}""",
+    "lineitem_flags": f"""
+        select {", ".join(f"case when {test} then 1 else 0 end as f{i}" for i, test in enumerate(LINE_FLAGS))}
+        from {{lineitem}}""",
     "customer_null_key": """
         select case when c_custkey % 50 = 0 then null else c_custkey end c_custkey,
                case when c_custkey % 50 = 0 then null else c_name end c_name, c_nationkey,

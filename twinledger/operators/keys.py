@@ -180,21 +180,21 @@ def _compared(sample: DataFrame, names) -> set:
     return {full & ~d for d in minimal(needed)}
 
 
-def _search(rows, sample, names, allowed, agreements, batch, require_rows):
+def _search(rows, sample, names, allowed, agreements, batch, require_rows, rounds):
     """First key among the allowed columns, or None.  ``sample`` is ``rows``
     itself when that is small.
 
     Short keys are enumerated from below.  Where that takes too long, columns without
     nulls are searched from above; if that has too many candidates, on from below.
     """
-    steps, rounds = None if require_rows else STEPS, 0
+    steps, tried = None if require_rows else STEPS, 0
     excluded, passed = [], set()  # passed: the sample repeats nothing inside these
     proven, together = set(), 1  # proven on all rows; tested in one pass, more after each that fails
     for size in range(1, len(allowed) + 1):
         while True:
-            rounds += 1
+            tried += 1
             try:
-                if steps is not None and rounds > ROUNDS:
+                if steps is not None and tried > rounds:
                     raise Exhausted
                 todo = open_candidates(allowed, agreements, size, batch, excluded, steps)
             except Exhausted:
@@ -225,12 +225,13 @@ def _search(rows, sample, names, allowed, agreements, batch, require_rows):
 
 
 def discover_key(rows: DataFrame, columns, non_null=None, total=None,
-                 sample_rows: int = 50_000, batch: int = 64) -> KeyResult:
+                 sample_rows: int = 50_000, batch: int = 64, rounds: int = ROUNDS) -> KeyResult:
     """Smallest key of distinct rows that carry ``__digest``.
 
     Pass 1 takes columns without nulls; pass 2 all columns, ignoring rows with
     a null in the set, of which at least one must be complete.  ``non_null``
-    (column -> number of values) and ``total`` spare a scan when known.
+    (column -> number of values) and ``total`` spare a scan when known.  After
+    ``rounds`` rounds of short sets pass 1 looks for long ones by removal, with 0 at once.
     """
     names = [c for c in columns]
     types = {f.name: f.dataType for f in rows.schema.fields}
@@ -259,11 +260,11 @@ def discover_key(rows: DataFrame, columns, non_null=None, total=None,
         # no subset can be unique when all complete columns together are not;
         # all columns are, because the rows are distinct
         if complete and (len(complete) == len(names) or _settle(rows, names, [to_mask(complete)], agreements)):
-            found = _search(rows, tested, names, complete, agreements, batch, False)
+            found = _search(rows, tested, names, complete, agreements, batch, False, rounds)
         if found:
             return KeyResult(found, "discovered", total)
         some = [i for i, c in enumerate(names) if non_null[c] > 0]
-        found = _search(rows, tested, names, some, agreements, batch, True)
+        found = _search(rows, tested, names, some, agreements, batch, True, rounds)
         if found:
             return KeyResult(found, "discovered_ignoring_nulls", total)
     finally:
