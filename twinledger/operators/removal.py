@@ -27,7 +27,7 @@ from twinledger.session import Staged
 #: Candidates of one size beyond which the search is left to the other direction.
 MOST = 50_000
 #: Blocks of columns beyond the size of a candidate.
-MORE_BLOCKS = 7
+MORE_BLOCKS = 5
 
 
 def has_repeats(df: DataFrame, key) -> bool:
