@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from twinledger.operators import clean
 from twinledger.operators import duplicates as D
@@ -90,6 +91,31 @@ def test_samples_of_a_hot_target_key(spark):
     assert [(r["k"], r["target_value"], r["example"]) for r in got] == [(1, "z000", 1), (1, "z001", 2), (1, "z002", 3)]
 
 
+def test_a_hot_target_key_is_dealt_to_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(R, "HOT_ROWS", 100, raising=False)
+    monkeypatch.setattr(R, "CELLS_A_TASK", 100, raising=False)
+    s = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "d")], "k int, x string")
+    t = spark.createDataFrame([(1, f"z{i:04}") for i in range(2000)] + [(None, f"n{i}") for i in range(300)] + [(2, "b"), (4, "e")], "k int, x string")
+    names = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        joined = R.reconcile(s, t, ["k"])
+        sizes = [r["count"] for r in joined.where("k = 1").groupBy(F.spark_partition_id()).count().collect()]
+        got = joined.selectExpr("count(*)", "count_if(in_source and in_target)", "count_if(not in_source)", "count_if(not in_target)").first()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert tuple(got) == (2303, 2301, 1, 1)
+    assert sum(sizes) == 2000 and len(sizes) > 4 and max(sizes) < 1000
+    diff = R.differences(joined, ["x"]).coalesce(1)
+    spread = R.spread_cells(diff, 2300).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in spread) == 2300 and max(r["count"] for r in spread) < 300
+    one, two = (rows(R.mismatch_samples(diff, ["k"], ["x"], 4, cells=n)) for n in (0, 2300))
+    assert one == two and len(one) == 4
+
+
 def test_full_outer_join_is_an_equi_join(spark):
     src, tgt = data(False)
     s, t = frames(spark, src, tgt)

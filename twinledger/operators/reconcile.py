@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from twinledger.functions import values as V
 
 IN_SOURCE, IN_TARGET = "in_source", "in_target"
+#: Rows of one target key that a task joins, and differing cells that a task sorts.
+HOT_ROWS, CELLS_A_TASK = 100_000, 500_000
 
 
 def _side(df: DataFrame, key, payload, prefix: str, marker: str) -> DataFrame:
@@ -44,9 +46,10 @@ def reconcile(src: DataFrame, tgt: DataFrame, key, target_unique: bool = False)
     ``target_unique`` states that no target key repeats either (proved by the
     caller): one full outer join whose partitions have even weight.  A full
     outer join cannot be split when a target key is hot, so otherwise the
-    target rows look up their source row in an outer join that adaptive
-    execution splits along the hot key, and the source rows without any match
-    come from an anti join against the distinct target keys.
+    target rows look up their source row in an outer join, and the source rows
+    without any match come from an anti join against the distinct target keys.
+    The rows of a key with over ``HOT_ROWS`` of them are dealt by their values to
+    parts, each of which gets the source row; at most one key in ``HOT_ROWS`` rows is broadcast.
     """
     key = list(key)
     payload = [c for c in src.columns if c not in key]
@@ -57,12 +60,25 @@ def reconcile(src: DataFrame, tgt: DataFrame, key, target_unique: bool = False)
         joined = s.join(t, _same_key(s, t, n, "source__", "target__"), "full_outer")
         return _shape(joined, key, payload)
 
-    found = t.join(s, _same_key(t, s, n, "target__", "source__"), "left_outer")
-    t_keys = tgt.select(*[F.col(V.quoted(k)).alias(f"other__#{i}") for i, k in enumerate(key)]).dropDuplicates()
+    t_keys = tgt.groupBy(*[F.col(V.quoted(k)).alias(f"other__#{i}") for i, k in enumerate(key)]).agg(F.count(F.lit(1)).alias("n"))
+    hot = t_keys.where(F.col("n") > HOT_ROWS)
+    parted_t, parted_s = (_with_parts(df, hot, n, p) for df, p in ((t, "target__"), (s, "source__")))
+    spread = [F.col(V.quoted(f"target__{c}")) for c in payload if "map<" not in t.select(V.quoted(f"target__{c}")).dtypes[0][1]]
+    parted_t = parted_t.withColumn("target__#part", F.pmod(F.xxhash64(F.lit(0), *spread), F.col("target__#parts")))
+    parted_s = parted_s.withColumn("source__#part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("source__#parts") - 1)))
+    same = _same_key(parted_t, parted_s, n, "target__", "source__") & (F.col("target__#part") == F.col("source__#part"))
+    found = parted_t.join(parted_s, same, "left_outer").drop(*[f"{p}__#{c}" for p in ("target", "source") for c in ("part", "parts")])
     only_s = s.join(t_keys, _same_key(s, t_keys, n, "source__", "other__"), "left_anti")
     return _shape(found.unionByName(only_s, allowMissingColumns=True), key, payload)
 
 
+def _with_parts(df: DataFrame, hot: DataFrame, n: int, prefix: str) -> DataFrame:
+    """The rows with the number of parts of their key: one, unless it is hot."""
+    few = hot.select(*[F.col(f"other__#{i}").alias(f"hot__#{i}") for i in range(n)], F.ceil(F.col("n") / HOT_ROWS).alias("hot__#n"))
+    marked = df.join(F.broadcast(few), _same_key(df, few, n, prefix, "hot__"), "left_outer")
+    return marked.withColumn(f"{prefix}#parts", F.coalesce("hot__#n", F.lit(1).cast("bigint"))).select(*[V.quoted(c) for c in df.columns], f"{prefix}#parts")
+
+
 def _shape(joined: DataFrame, key, payload) -> DataFrame:
     present = lambda marker: F.coalesce(F.col(marker), F.lit(False)).alias(marker)
     keys = [
@@ -119,18 +135,31 @@ def key_map(joined: DataFrame, key, names=None) -> Column:
     return F.expr(f"map({', '.join(parts)})")
 
 
-def mismatch_samples(diff: DataFrame, key, payload, limit: int, columns=None) -> DataFrame:
+def spread_cells(diff: DataFrame, cells: int) -> DataFrame:
+    """The matched rows of ``diff``, dealt by their values so that a task gets about ``CELLS_A_TASK`` of the differing cells.
+
+    Few cells stay where they are. A file of ``diff`` may hold many rows with one value in a
+    column, small on disk but not when their cells are sorted.
+    """
+    if cells <= CELLS_A_TASK:
+        return diff
+    parts = max(cells // CELLS_A_TASK + 1, diff.rdd.getNumPartitions())
+    return matched_rows(diff).repartition(parts, *[F.col(V.quoted(c)) for c, dtype in diff.dtypes if "map<" not in dtype])
+
+
+def mismatch_samples(diff: DataFrame, key, payload, limit: int, columns=None, cells: int = 0) -> DataFrame:
     """The first ``limit`` differing cells of every column in key order.
 
     ``diff`` holds the rows of ``differences`` and is read once, however many
-    columns differ; ``columns`` names those known to differ.  Each row unfolds to
+    columns differ; ``columns`` names those known to differ, ``cells`` is the number
+    of differing cells where that is known.  Each row unfolds to
     its differing cells; every task keeps the first ``limit`` of a column
     before anything is shuffled.  A key that repeats on the target gives several
     rows: the texts of the values break the tie.
     """
     types = {f.name: f.dataType for f in diff.schema.fields}
     names = [V.quoted(k) for k in key]
-    cells = []
+    diff, cells = spread_cells(diff, cells), []
     for i, c in enumerate(payload):
         if columns is not None and c not in columns:
             continue

@@ -170,7 +170,7 @@ class Comparison:
         ]
         if not (differing and limit):
             return known, None
-        samples = R.mismatch_samples(joined, self.key, payload, limit, differing)
+        samples = R.mismatch_samples(joined, self.key, payload, limit, differing, sum(differing.values()))
         of_column = lambda texts: f"element_at(array({', '.join(texts)}), ordinal + 1)"
         return known, samples.withColumn("key", R.key_map(samples, self.key, self.source_names)).selectExpr(
             f"'{DATA_CHECK}' as check",
