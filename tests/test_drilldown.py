@@ -95,3 +95,26 @@ def test_cells_hold_copies_and_decode_up_to_their_limit(spark):
         if decodes:
             assert sorted(told.values()) == [-1] * 500 + [1] * 500
     assert spark_rows(D.difference_by_cells(a, b, first=1 << 8)) == spark_rows(R.multiset_difference(a, b))
+
+
+def test_many_differences_need_two_passes_and_groups_of_cells(spark, monkeypatch):
+    """The strata tell how many differ; no pass of cells fails, nothing reaches the driver, undecoded groups are compared by values."""
+    a, b = spark.range(30_000).toDF("i"), spark.range(4000, 34_000).toDF("i")  # 8,000 differing rows
+    a = a.unionByName(a.where("i < 10")).unionByName(spark.range(50_000, 50_100).toDF("i"))
+    want = spark_rows(R.multiset_difference(a, b))
+    passes, plain = [], D._sums
+    monkeypatch.setattr(D, "_sums", lambda src, tgt, size, digests, group: passes.append(size) or plain(src, tgt, size, digests, group))
+    monkeypatch.setattr(D, "GROUP_CELLS", 1 << 9)
+    assert spark_rows(D.difference_by_cells(a, b, first=1 << 8)) == want
+    assert passes == [1 << 8, 1 << 9]
+    peel = D.peel
+    monkeypatch.setattr(D, "peel", lambda found, size: None if size == 1 << 9 and len(found) % 2 else peel(found, size))
+    assert spark_rows(D.difference_by_cells(a, b, first=1 << 8)) == want
+
+
+def test_sums_of_cells_are_exact(spark):
+    a = spark.createDataFrame([(i % 5,) for i in range(100)], "i long")
+    b = spark.createDataFrame([(i % 7,) for i in range(70)], "i long")
+    digests = {r.i: (r.x, r.y) for r in a.unionByName(b).select("i", *[d.alias(n) for d, n in zip(D.row_digests(a), "xy")]).distinct().collect()}
+    sums = {r.cell: (int(r.n), int(r.a), int(r.b), int(r.c)) for r in D.cells(a, b, 64).collect()}
+    assert D.peel(sums, 64) == {digests[i]: (20 if i < 5 else 0) - 10 for i in range(7)}
