@@ -90,3 +90,16 @@ def test_files_with_other_headers_and_only_headers(spark, tmp_path):
     ref = FileRef(str(folder), quarantine=True)
     assert sorted(map(tuple, read_file(spark, ref).collect())) == [("1", "x\ny"), ("2", "p\nq")]
     assert [(r["line"], r["reason"]) for r in bad_records(spark, ref).collect()] == [(4, SHORT)]
+
+
+def test_no_task_writes_the_whole_file_and_lines_count_through_the_parts(spark, sf_dir, monkeypatch):
+    from suite import spark_queries as Q
+    from tests.check_queries import compare
+
+    monkeypatch.setattr(Q, "LINES_A_FILE", 200, raising=False)
+    ref = Q.orders_csv(spark, sf_dir, "parts")
+    sizes = [r["count"] for r in spark.read.text(ref.path).groupBy(F.col("_metadata.file_path")).count().collect()]
+    assert len(sizes) > 4 and max(sizes) < 1000
+    for name in ("csv_bad_records", "csv_good_records"):
+        same, got, want = compare(spark, sf_dir, name)
+        assert same, (name, got[1][:3], want[1][:3])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -141,6 +141,17 @@ def bad_records(spark: SparkSession, ref: FileRef) -> DataFrame:
     return out
 
 
+def lines_ahead(spark: SparkSession, ref: FileRef, headers: int = 0) -> DataFrame:
+    """(file, ahead): the lines of all files before each file of a folder, by name, without the first ``headers`` of a later file.
+
+    Added to a line's number in its file, it gives the number in the files put one behind the other under one header.
+    One row a file is left when they are put in order.
+    """
+    lines = spark.read.option("lineSep", "\n").text(ref.path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    return lines.select("file", F.coalesce(F.sum(F.col("n") - headers).over(before), F.lit(0)).alias("ahead"))
+
+
 def _options(ref: FileRef) -> dict:
     return {"header": True, "sep": ",", "encoding": "UTF-8", "quote": '"', "escape": '"', **ref.options}
 
