@@ -103,3 +103,19 @@ def test_no_task_writes_the_whole_file_and_lines_count_through_the_parts(spark,
     for name in ("csv_bad_records", "csv_good_records"):
         same, got, want = compare(spark, sf_dir, name)
         assert same, (name, got[1][:3], want[1][:3])
+
+
+def test_lines_are_put_in_order_by_chunks_of_a_block(spark, tmp_path, monkeypatch):
+    """Quoted fields over many chunks of four lines."""
+    from twinledger.sources import records
+
+    monkeypatch.setattr(records, "CHUNK", 4)
+    path = tmp_path / "d.csv"
+    rows = [(str(i), "l\n" * (i % 23) + '"q"', "x") for i in range(200)]
+    with open(path, "w", newline="") as f:
+        w = csv.writer(f, lineterminator="\n")
+        w.writerows([("a", "b", "c"), *rows])
+    got = sorted(map(tuple, read_file(spark, FileRef(str(path), null_tokens=())).collect()), key=lambda r: int(r[0]))
+    assert got == rows
+    records_read = read_records(spark, str(path))
+    assert "chunk" in records_read._jdf.queryExecution().optimizedPlan().toString()

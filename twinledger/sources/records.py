@@ -2,7 +2,7 @@
 
 A line of a file is a function from "a quoted field is open before it" to "a
 quoted field is open behind it". These functions are composed for chunks of
-lines, for blocks and along the blocks of a file, so that every line learns
+lines and along the chunks of a file, so that every line learns
 whether it begins a record without any task reading a file from its start.
 """
 
@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 UNCLOSED = "a quoted field is not closed"
 LONG = "more fields than the header"
 SHORT = "fewer fields than the header"
-CHUNK = 4096  # lines whose functions are composed in one array
+CHUNK = 4096  # lines whose functions are composed in one array, and that are put in order together
+UNIT = ("file", "start", "chunk")
 
 
 def read_lines(spark: SparkSession, path) -> DataFrame:
-    """(file, start, id, value, f0, f1): the lines with their block and their function.
+    """(file, start, chunk, id, value, f0, f1): the lines with their block, their chunk of it and their function.
 
     ``id`` rises by one along a block. ``f0`` and ``f1`` say whether a
     quoted field is open behind the line if none / one was open before it.
@@ -31,6 +32,7 @@ def read_lines(spark: SparkSession, path) -> DataFrame:
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("id"), F.regexp_replace("value", "\r$", "").alias("line"), "value")
+    lines = lines.withColumn("chunk", F.expr(f"id div {CHUNK}"))
     parts = F.split(F.replace("line", F.lit('""'), F.lit("")), '"', -1)
     lines = lines.withColumn("parts", F.when(F.contains("line", F.lit('"')), parts)).withColumn("last", F.size("parts") - 1)
 
@@ -65,14 +67,14 @@ def composed(functions):
     return F.aggregate(functions, F.struct(F.lit(0).alias("f0"), F.lit(1).alias("f1")), through)
 
 
-def open_before(frame: DataFrame, unit, order: str, carry) -> DataFrame:
+def open_before(frame: DataFrame, unit, order, carry) -> DataFrame:
     """``open``: whether a quoted field is open before each row, from the functions of the rows of its unit before it.
 
     The last function that forgets its argument decides, turned by every
     later one that swaps; without such a function ``carry`` is turned.
     """
-    upto = Window.partitionBy(*unit).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(*unit).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy(*unit).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(*unit).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     swaps = F.when((F.col("f0") == 1) & (F.col("f1") == 0), 1).otherwise(0)
     frame = frame.withColumn("swaps", F.sum(swaps).over(upto))
     fixed = F.when(F.col("f0") == F.col("f1"), F.struct("f0", "swaps"))
@@ -81,26 +83,22 @@ def open_before(frame: DataFrame, unit, order: str, carry) -> DataFrame:
     return frame.withColumn("open", (state % 2).cast("int")).drop("swaps", "fixed", "swapped")
 
 
-def read_blocks(lines: DataFrame) -> DataFrame:
-    """(file, start, base, carry, lines_before, header): one row a block.
+def read_chunks(lines: DataFrame) -> DataFrame:
+    """(file, start, chunk, base, carry, lines_before, header): one row a chunk of at most ``CHUNK`` lines of a block.
 
     Only functions other than the identity are shuffled, in arrays of at
-    most ``CHUNK`` lines; then one function a chunk.
+    most ``CHUNK`` lines; then one function a chunk goes along its file.
     """
     moves = F.when((F.col("f0") != 0) | (F.col("f1") != 1), F.struct("id", "f0", "f1"))
     filled = F.when(F.trim("value") != "", F.when(F.trim("value") != "\r", F.col("id")))
-    chunks = lines.groupBy("file", "start", F.expr(f"id div {CHUNK}").alias("chunk")).agg(
+    chunks = lines.groupBy(*UNIT).agg(
         F.array_sort(F.collect_list(moves)).alias("moves"), F.count("*").alias("n"), F.min("id").alias("base"), F.min(filled).alias("filled"))
-    chunks = chunks.withColumn("f", composed(F.col("moves")))
-    blocks = chunks.groupBy("file", "start").agg(
-        F.array_sort(F.collect_list(F.struct("chunk", "f.f0", "f.f1"))).alias("moves"), F.sum("n").alias("n"),
-        F.min("base").alias("base"), F.min("filled").alias("filled"))
-    blocks = blocks.withColumn("f", composed(F.col("moves"))).select("file", "start", "n", "base", "filled", "f.f0", "f.f1")
-    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("lines_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    chunks = chunks.withColumn("f", composed(F.col("moves"))).select(*UNIT, "n", "base", "filled", "f.f0", "f.f1")
+    before = Window.partitionBy("file").orderBy("start", "chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = chunks.withColumn("lines_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
     header = F.min(F.col("lines_before") + F.col("filled") - F.col("base") + 1).over(Window.partitionBy("file"))
-    blocks = open_before(blocks.withColumn("header", header), ["file"], "start", F.lit(0))
-    return blocks.select("file", "start", "base", F.col("open").alias("carry"), "lines_before", "header")
+    chunks = open_before(chunks.withColumn("header", header), ["file"], ["start", "chunk"], F.lit(0))
+    return chunks.select(*UNIT, "base", F.col("open").alias("carry"), "lines_before", "header")
 
 
 def read_records(spark: SparkSession, path) -> DataFrame:
@@ -113,22 +111,22 @@ def read_records(spark: SparkSession, path) -> DataFrame:
     lines end with ``\\n`` or ``\\r\\n``.
     """
     lines = read_lines(spark, path)
-    lines = lines.join(read_blocks(lines), ["file", "start"])
+    lines = lines.join(read_chunks(lines), list(UNIT))
     lines = lines.withColumn("line", F.col("lines_before") + F.col("id") - F.col("base") + 1)
-    lines = open_before(lines, ["file", "start"], "id", F.col("carry"))
+    lines = open_before(lines, UNIT, ["id"], F.col("carry"))
     begins = (F.col("open") == 0) | F.col("restart")
-    upto = Window.partitionBy("file", "start").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy(*UNIT).orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
     lines = lines.withColumns({"begins": begins, "behind": F.when(begins, F.col("f0")).otherwise(F.col("f1"))})
     lines = lines.withColumn("first", F.last(F.when(F.col("begins"), F.col("line")), ignorenulls=True).over(upto))
     single = F.col("begins") & (F.col("behind") == 0)
     whole = lines.where(single).select("file", "line", "header", F.col("value").alias("record"), F.lit(True).alias("closed"))
 
-    pieces = lines.where(~single).select("file", "start", "line", "first", "header", "value", "behind")
-    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    # what is open at the end of a block began there or, if none of its lines begins a record, earlier
-    ends = pieces.groupBy("file", "start").agg(F.max("first").alias("ends"))
-    ends = ends.select("file", "start", F.last("ends", ignorenulls=True).over(earlier).alias("ends"))
-    pieces = pieces.join(ends, ["file", "start"]).withColumn("first", F.coalesce("first", "ends")).drop("start", "ends")
+    pieces = lines.where(~single).select(*UNIT, "line", "first", "header", "value", "behind")
+    earlier = Window.partitionBy("file").orderBy("start", "chunk").rowsBetween(Window.unboundedPreceding, -1)
+    # what is open at the end of a chunk began there or, if none of its lines begins a record, earlier
+    ends = pieces.groupBy(*UNIT).agg(F.max("first").alias("ends"))
+    ends = ends.select(*UNIT, F.last("ends", ignorenulls=True).over(earlier).alias("ends"))
+    pieces = pieces.join(ends, list(UNIT)).withColumn("first", F.coalesce("first", "ends")).drop("start", "chunk", "ends")
     state = pieces.groupBy("file", "first").agg((F.max_by("behind", "line") == 0).alias("closed"))
     pieces = pieces.join(state, ["file", "first"])
     joined = pieces.where("closed").groupBy("file", "first", "header").agg(F.array_sort(F.collect_list(F.struct("line", "value"))).alias("v"))
