@@ -198,3 +198,44 @@ def test_unions_hold_each_candidate_once():
     assert sorted(c for held in touched.values() for c in held) == sorted(cands) and len(touched) < len(cands)
     assert sorted(p for b in blocks for p in b) == list(range(3, 30))
     assert all(c & ~to_mask(p for b in held for p in blocks[b]) == 0 for held, own in touched.items() for c in own)
+
+
+def test_most_candidates_are_refuted_by_parts_of_their_hashes(spark, monkeypatch):
+    """40,000 rows, of which the sample sees few: pairs that repeat a candidate are sought
+    among the few rows whose hash of it repeats in a part, never among all rows."""
+    seen, plain = [], keys._evidence
+    monkeypatch.setattr(keys, "_evidence", lambda rows, *a: seen.append(rows.count()) or plain(rows, *a))
+    df = spark.range(0, 40_000, 1, 4).selectExpr("id div 2 as a", "id % 2 + 2 * (id div 40) as b", "id % 5000 as c", "id % 8 as d")
+    want = brute_key([tuple(r) for r in df.collect()], 4)
+    assert keys.find_key(df, sample_rows=200).columns == tuple("abcd"[i] for i in want) == ("a", "b")
+    assert max(seen) < 2000
+
+
+def test_rows_without_copies_are_not_shuffled_whole(spark, monkeypatch):
+    plans, plain = [], keys.Staged
+    monkeypatch.setattr(keys, "Staged", lambda frame, *a: plans.append(frame._jdf.queryExecution().analyzed().toString()) or plain(frame, *a))
+    assert keys.find_key(spark.range(1000).selectExpr("id", "id % 7 as x")).columns == ("id",)
+    assert plans and not any("Deduplicate" in p for p in plans)
+
+
+@pytest.mark.parametrize("most", [0, 2, 1000])
+def test_staged_distinct_rows_equal_clean_rows(spark, most):
+    nan = float("nan")
+    rows = [(i, "t", i / 2) for i in range(50)] + [(i, "t", i / 2) for i in range(10)] * 3
+    rows += [(None, None, None), (None, None, nan), (7, None, nan), (7, None, None), (8, "z", 0.0), (8, "z", -0.0)]
+    df = spark.createDataFrame(rows, "`a.b` int, `c``d` string, x double").repartition(4)
+    want = sorted(map(repr, keys.with_digest(clean.clean(df)).collect()))
+    with keys.staged_distinct(df, most) as got:
+        assert sorted(map(repr, got.select("`a.b`", "`c``d`", "x", clean.DIGEST).collect())) == want and len(want) == 52
+
+
+@pytest.mark.parametrize("seed,hashes", [(1, 1), (2, 8), (3, 300), (6, 40)])
+def test_equal_hashes_are_decided_by_values(spark, monkeypatch, seed, hashes):
+    """Hashes of few values collide everywhere, in hot groups too."""
+    plain = keys._long_hash
+    monkeypatch.setattr(keys, "_long_hash", lambda mask, names: f"pmod({plain(mask, names)}, {hashes})")
+    rng = random.Random(seed)
+    rows = random_rows(rng, 80, 4, 0.1 if seed % 2 else 0.0)
+    rows = [r for r in rows if any(v is not None for v in r)]
+    df = spark.createDataFrame(rows, ", ".join(f"c{i} int" for i in range(4))).repartition(3)
+    assert keys.find_key(df, sample_rows=5).columns == tuple(f"c{i}" for i in brute_key(rows, 4))

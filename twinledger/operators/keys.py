@@ -5,10 +5,15 @@ is unique over the distinct rows.  A row sample only ever *rules out* sets:
 two rows that agree on some columns prove that no key lies inside them.  Sets
 that survive are tested on all rows, in order, until one passes, so the answer
 is exact whatever the sample holds.
+
+A test on all rows shuffles hashes of the candidate alone, first those of a small
+part of its hashes: rows that agree are in the same part, so most candidates that
+repeat anything are out before all of their hashes are shuffled.
 """
 
 from __future__ import annotations
 
+from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,18 +21,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinledger.functions import values as V
-from twinledger.operators.clean import COPIES, DIGEST, clean
+from twinledger.operators.clean import (
+    COPIES, DIGEST, clean, drop_empty_rows, repeated_digests, split_copies, with_missing_as_null,
+)
 from twinledger.operators.removal import agreement, has_repeats, key_by_removal, mask_of
 from twinledger.plans.covers import Exhausted, minimal, open_candidates, to_mask
-from twinledger.session import Staged
+from twinledger.session import Staged, free_shuffles
 
 
 # pairs of rows that refute a candidate come from so many parts of its groups, two from each
 PAIR_GROUPS = 8
 # rows of the sample that are compared with each other at the start of a search
 COMPARED_ROWS = 512
-# candidates that one pass over all rows tests at most
-TESTED_TOGETHER = 16
+# parts of the hashes of a candidate, by their lowest bits
+PARTS = 256
+# all rows are tested in these steps: up to which part, and how many candidates one pass takes at most, so
+# that none shuffles more hashes than there are rows; a step takes more of them after each that fails
+TESTED = ((1, 16), (16, 8), (PARTS, 1))
+# so many repeated row digests, of eight bytes each, are sent to every task
+REPEATED = 1_000_000
+# with more of them, rows are made distinct in so many parts, one after the other
+CLEANED = 8
 # agreements of compared rows that are kept, those with most columns first
 LARGEST = 4096
 # short keys are enumerated in so many rounds, of so many steps each, before long ones are sought by removal
@@ -84,6 +98,12 @@ def declared_key_check(df: DataFrame, key, distinct: bool = False) -> DataFrame:
     )
 
 
+def _long_hash(mask: int, names) -> str:
+    """Hash of a candidate's columns, null where one of them is."""
+    cols = [V.quoted(n) for n in _names_in(mask, names)]
+    return f"case when {' and '.join(f'{c} is not null' for c in cols)} then xxhash64({', '.join(cols)}) end"
+
+
 def _evidence(rows: DataFrame, names, candidates):
     """Agreements of row pairs that repeat a candidate, and the candidates
     that no group repeats.
@@ -96,10 +116,8 @@ def _evidence(rows: DataFrame, names, candidates):
     """
     tuples = []
     for i, mask in enumerate(candidates):
-        cols = [V.quoted(n) for j, n in enumerate(names) if mask >> j & 1]
-        filled, listed = " and ".join(f"{c} is not null" for c in cols), ", ".join(cols)
-        tuples.append(f"struct({i} as cand, case when {filled} then xxhash64({listed}) end as long_hash, "
-                      f"hash({listed}) as short_hash)")
+        listed = ", ".join(V.quoted(n) for n in _names_in(mask, names))
+        tuples.append(f"struct({i} as cand, {_long_hash(mask, names)} as long_hash, hash({listed}) as short_hash)")
     groups = (
         rows.selectExpr(DIGEST, f"inline(array({', '.join(tuples)}))")
         .where("long_hash is not null")
@@ -159,6 +177,71 @@ def _settle(rows: DataFrame, names, candidates, agreements: set) -> set:
     return unique
 
 
+def _unique_in(rows: DataFrame, names, candidates, agreements: set, first: int, upto: int) -> set:
+    """The candidates that repeat nothing in the parts of their hashes from ``first`` to before ``upto``;
+    what refutes the others is added to ``agreements``.
+
+    The hashes of these parts are all that is shuffled. Rows are read again only for hashes that occur
+    more than once, for a bounded number of them, and there values decide.
+    """
+    tuples = [f"struct({i} as cand, {_long_hash(m, names)} as h)" for i, m in enumerate(candidates)]
+    repeated = (
+        rows.selectExpr(f"inline(array({', '.join(tuples)}))")
+        .where(f"h is not null and h & {PARTS - 1} between {first} and {upto - 1}")
+        .groupBy("cand", "h").agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .groupBy("cand", F.expr(f"pmod(hash(h), {PAIR_GROUPS})").alias("part"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi"))
+        .collect()  # at most so many rows per candidate
+    )
+    looked_up, several = {}, {}
+    for r in repeated:
+        mask = candidates[r["cand"]]
+        looked_up.setdefault(mask, set()).update((r["lo"], r["hi"]))
+        several[mask] = several.get(mask, 0) + r["n"]
+    unique = {m for m in candidates if m not in several}
+    if several:
+        found = [F.coalesce(F.expr(_long_hash(m, names)).isin(sorted(hashes)), F.lit(False)) for m, hashes in looked_up.items()]
+        some = rows.where(reduce(lambda a, b: a | b, found))
+        for m in _settle(some, names, list(several), agreements):  # only hashes were equal
+            cols = _names_in(m, names)
+            if several[m] > len(looked_up[m]) and has_repeats(_filled(rows, cols), [V.quoted(c) for c in cols]):
+                agreements.add(m)
+            else:
+                unique.add(m)
+    return unique
+
+
+class _AllRows:
+    """Tests of candidates on all rows, which remember how far each of them came."""
+
+    def __init__(self, rows: DataFrame, names, agreements: set):
+        self.rows, self.names, self.agreements = rows, names, agreements
+        self.upto = {}  # candidate -> part before which it repeats nothing
+        self.together = [most if not step else 1 for step, (_, most) in enumerate(TESTED)]
+
+    def unique(self, first: int, others=()) -> bool:
+        """Is ``first`` unique? What refutes it is added to the agreements.
+
+        The others are tested with it as far as that costs little, those that came as far as it did.
+        """
+        done = 0
+        for step, (upto, most) in enumerate(TESTED):
+            if _covered(first, self.agreements):
+                return False
+            if self.upto.get(first, 0) < upto:
+                tested = [first, *(m for m in others if m != first and self.upto.get(m, 0) == done)]
+                tested = [m for m in tested if not _covered(m, self.agreements)][:self.together[step]]
+                free_shuffles(self.rows.sparkSession)  # of the test before, or of what made the rows
+                kept = _unique_in(self.rows, self.names, tested, self.agreements, done, upto)
+                self.upto.update((m, upto) for m in kept)
+                if first not in kept:
+                    self.together[step] = min(2 * self.together[step], most)
+                    return False
+            done = upto
+        return True
+
+
 def _compared(sample: DataFrame, names) -> set:
     """Agreements of every two among a bounded number of rows of the sample, the largest of them.
 
@@ -180,16 +263,15 @@ def _compared(sample: DataFrame, names) -> set:
     return {full & ~d for d in minimal(needed)}
 
 
-def _search(rows, sample, names, allowed, agreements, batch, require_rows, rounds):
+def _search(rows, sample, names, allowed, agreements, batch, require_rows, rounds, all_rows):
     """First key among the allowed columns, or None.  ``sample`` is ``rows``
-    itself when that is small.
+    itself when that is small; else ``all_rows`` tests what the sample leaves.
 
     Short keys are enumerated from below.  Where that takes too long, columns without
     nulls are searched from above; if that has too many candidates, on from below.
     """
     steps, tried = None if require_rows else STEPS, 0
     excluded, passed = [], set()  # passed: the sample repeats nothing inside these
-    proven, together = set(), 1  # proven on all rows; tested in one pass, more after each that fails
     for size in range(1, len(allowed) + 1):
         while True:
             tried += 1
@@ -211,11 +293,8 @@ def _search(rows, sample, names, allowed, agreements, batch, require_rows, round
             first = todo[0]
             if first not in passed:
                 continue
-            if sample is not rows and first not in proven:
-                proven |= _settle(rows, names, [m for m in todo if m in passed and m not in proven][:together], agreements)
-                together = min(2 * together, TESTED_TOGETHER)
-                if first not in proven:
-                    continue
+            if sample is not rows and not all_rows.unique(first, [m for m in todo if m in passed]):
+                continue
             cols = _names_in(first, names)
             if require_rows and _filled(rows, cols).isEmpty():
                 excluded.append(first)
@@ -254,17 +333,19 @@ def discover_key(rows: DataFrame, columns, non_null=None, total=None,
     sample = None if whole else Staged(picked.selectExpr(DIGEST, *slim), "key-sample")
     tested = rows if whole else sample.frame
     agreements = _compared(tested, names)
+    all_rows = _AllRows(rows, names, agreements)
     try:
         complete = [i for i, c in enumerate(names) if non_null[c] == total]
-        found = None
+        found, everything = None, to_mask(complete)
         # no subset can be unique when all complete columns together are not;
         # all columns are, because the rows are distinct
-        if complete and (len(complete) == len(names) or _settle(rows, names, [to_mask(complete)], agreements)):
-            found = _search(rows, tested, names, complete, agreements, batch, False, rounds)
+        if complete and (len(complete) == len(names) or _settle(tested, names, [everything], agreements)
+                         and (whole or all_rows.unique(everything))):
+            found = _search(rows, tested, names, complete, agreements, batch, False, rounds, all_rows)
         if found:
             return KeyResult(found, "discovered", total)
         some = [i for i, c in enumerate(names) if non_null[c] > 0]
-        found = _search(rows, tested, names, some, agreements, batch, True, rounds)
+        found = _search(rows, tested, names, some, agreements, batch, True, rounds, all_rows)
         if found:
             return KeyResult(found, "discovered_ignoring_nulls", total)
     finally:
@@ -280,14 +361,47 @@ def with_digest(distinct: DataFrame) -> DataFrame:
     return distinct.select(*keep, F.xxhash64(*keep).alias(DIGEST))
 
 
+@contextmanager
+def staged_distinct(df: DataFrame, most: int = REPEATED):
+    """``with_digest(clean(df))``, staged in one scan of ``df``.
+
+    The rows are staged as they are read and only their digests are grouped. Rows with a single digest
+    stay where they were written, the others are grouped by all columns; with more than ``most``
+    repeated digests the staged rows are cleaned whole, a part of the digests at a time, so that not all
+    of them are shuffled at once. The digest is not staged, it would not compress.
+    """
+    spark = df.sparkSession
+    with ExitStack() as held:
+        def stage(frame, name):
+            staged = Staged(frame, name)
+            held.callback(staged.release)
+            return staged
+
+        read = stage(drop_empty_rows(with_missing_as_null(df)), "rows")
+        rows = with_digest(read.frame)
+        repeated = stage(repeated_digests(rows), "repeated").frame
+        n = repeated.count()
+        if n > most:
+            parts = []
+            for i in range(CLEANED):
+                part = rows.where(f"pmod({DIGEST}, {CLEANED}) = {i}").drop(DIGEST)
+                parts.append(stage(clean(part), "distinct").frame)
+                parts[-1].count()  # computes it where no folder is shared
+                free_shuffles(spark)
+            rows = with_digest(reduce(DataFrame.unionByName, parts))
+            if not read.lazy:
+                read.release()
+        elif n:
+            single, several = split_copies(rows, repeated)
+            rows = single.unionByName(stage(several, "copies").frame).drop(COPIES)
+        yield rows
+
+
 def find_key(df: DataFrame, columns=None, **kwargs) -> KeyResult:
     """``discover_key`` for a frame as it was read: its distinct rows are
     staged once for all the jobs of the search."""
-    staged = Staged(with_digest(clean(df)), "distinct")
-    try:
-        return discover_key(staged.frame, columns or df.columns, **kwargs)
-    finally:
-        staged.release()
+    with staged_distinct(df) as rows:
+        return discover_key(rows, columns or df.columns, **kwargs)
 
 
 def resolve_key(rows: DataFrame, columns, declared=(), **kwargs):
